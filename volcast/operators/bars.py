@@ -14,12 +14,13 @@ def ohlcv_bars(ticks: DataFrame, width: str = "1 hour", symbol: str = "symbol",
                taker: str | None = "taker_buy_volume") -> DataFrame:
     """Tumbling-window bars labelled by the window end.
 
-    open/close are the first/last price in event time (``min_by``/``max_by`` with
-    the price as tie-break, so the answer never depends on row order).  All
-    aggregates are partial-aggregated map-side: a hot symbol is collapsed before
-    the shuffle, and the shuffle carries one row per (map task, symbol, bar).
+    open/close are the first/last price in event time (``min_by``/``max_by``;
+    never dependent on row order once ``(symbol, event_time)`` is unique, see
+    :func:`volcast.operators.quality.dedupe`).  All aggregates have fixed-width
+    buffers, so they run as a partial HashAggregate map-side: a hot symbol is
+    collapsed before the shuffle, which carries one row per (map task, symbol, bar).
     """
-    order = F.struct(F.col(time), F.col(price))
+    order = F.col(time)
     aggs = [
         F.min_by(price, order).alias("open"),
         F.max(price).alias("high"),

@@ -19,6 +19,8 @@ RV_WINDOWS = {"rv_15m": 15, "rv_1h": 60, "rv_4h": 240, "rv_24h": 1440}
 PARKINSON_WINDOWS = {"parkinson_15m": 15, "parkinson_1h": 60}
 VOLUME_WINDOW = 60
 TARGET_WINDOWS = {"target_15m": 15, "target_1h": 60}
+FORWARD_NAMES = {"target_15m": ("rv_future_15m", "cnt_future_15m"),
+                 "target_1h": ("rv_future_1h", "cnt_future_1h")}
 
 # Frames at least this long use running-sum differences (O(rows) instead of O(rows x n)).
 PREFIX_MIN_ROWS = 240
@@ -67,8 +69,9 @@ def add_forward_sums(frame: DataFrame, spec) -> DataFrame:
     cols = {}
     for k, n in TARGET_WINDOWS.items():
         fwd = spec.rowsBetween(1, n)
-        cols[f"_fsum_{k}"] = F.sum("sq_return").over(fwd)
-        cols[f"_fcnt_{k}"] = F.count("sq_return").over(fwd)
+        fs, fc = FORWARD_NAMES[k]
+        cols[fs] = F.sum("sq_return").over(fwd)
+        cols[fc] = F.count("sq_return").over(fwd)
     return frame.withColumns(cols)
 
 
@@ -76,11 +79,11 @@ def finish_targets(df: DataFrame) -> DataFrame:
     """Keep rows whose forward frames are full, then log1p the sums."""
     cond = None
     for k, n in TARGET_WINDOWS.items():
-        c = F.col(f"_fcnt_{k}") == n
+        c = F.col(FORWARD_NAMES[k][1]) == n
         cond = c if cond is None else cond & c
     df = df.filter(cond)
-    df = df.withColumns({k: F.log1p(F.col(f"_fsum_{k}")) for k in TARGET_WINDOWS})
-    return df.drop(*[f"_fsum_{k}" for k in TARGET_WINDOWS], *[f"_fcnt_{k}" for k in TARGET_WINDOWS])
+    df = df.withColumns({k: F.log1p(F.col(FORWARD_NAMES[k][0])) for k in TARGET_WINDOWS})
+    return df.drop(*[c for pair in FORWARD_NAMES.values() for c in pair])
 
 
 def bars_to_events(bars: DataFrame) -> DataFrame:
@@ -88,8 +91,12 @@ def bars_to_events(bars: DataFrame) -> DataFrame:
     return bars.withColumnRenamed("bar_time", "event_time")
 
 
-def feature_table(bars: DataFrame, targets: bool = True, chunk_rows: int | None = None) -> DataFrame:
-    """D3: bars + returns + realised variance + Parkinson + volume features (+ targets)."""
+def feature_table(bars: DataFrame, targets: bool = True, chunk_rows: int | None = None,
+                  filter_targets: bool = True) -> DataFrame:
+    """D3: bars + returns + realised variance + Parkinson + volume features (+ targets).
+
+    With ``filter_targets=False`` the forward sums and counts are kept as columns
+    and no row is dropped; :func:`finish_targets` applies the full-frame filter later."""
     df = bars_to_events(bars)
 
     def build(frame, spec):
@@ -102,7 +109,7 @@ def feature_table(bars: DataFrame, targets: bool = True, chunk_rows: int | None
 
     out = over_series(df, ["symbol"], "event_time", build, back=BACK_ROWS,
                       ahead=AHEAD_ROWS if targets else 0, chunk_rows=chunk_rows)
-    return finish_targets(out) if targets else out
+    return finish_targets(out) if (targets and filter_targets) else out
 
 
 def plain_window_features(bars: DataFrame, targets: bool = True) -> DataFrame:

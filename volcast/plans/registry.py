@@ -12,9 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volcast.operators import detect, features
+from volcast.operators import detect
 from volcast.plans import sql as S
-from volcast.plans.common import bars, rounded
+from volcast.plans.common import bars, feature_rows, features, rounded
 
 Plan = Callable[[SparkSession, str], DataFrame]
 PLANS: dict[str, Plan] = {}
@@ -44,7 +44,7 @@ def ohlcv_bars(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('close', 'prev_close', 'log_return', 'sq_return')} FROM sq"""))
 def log_returns(spark, sf_dir):
     """Previous close, log return, squared return."""
-    f = features.feature_table(bars(spark, sf_dir), targets=False)
+    f = feature_rows(spark, sf_dir)
     return rounded(f.select("symbol", "event_time", "close", "prev_close", "log_return", "sq_return"))
 
 
@@ -52,7 +52,7 @@ def log_returns(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('rv_15m', 'rv_1h', 'rv_4h', 'rv_24h')} FROM feat"""))
 def realised_variance(spark, sf_dir):
     """Trailing realised variance over 15 / 60 / 240 / 1440 rows."""
-    f = features.feature_table(bars(spark, sf_dir), targets=False)
+    f = feature_rows(spark, sf_dir)
     return rounded(f.select("symbol", "event_time", "rv_15m", "rv_1h", "rv_4h", "rv_24h"))
 
 
@@ -60,7 +60,7 @@ def realised_variance(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('parkinson_1m', 'parkinson_15m', 'parkinson_1h')} FROM feat"""))
 def parkinson(spark, sf_dir):
     """One-bar Parkinson and its 15 / 60 row means."""
-    f = features.feature_table(bars(spark, sf_dir), targets=False)
+    f = feature_rows(spark, sf_dir)
     return rounded(f.select("symbol", "event_time", "parkinson_1m", "parkinson_15m", "parkinson_1h"))
 
 
@@ -68,7 +68,7 @@ def parkinson(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('vol_mean_1h', 'vol_std_1h', 'volume_zscore', 'buy_ratio')} FROM feat"""))
 def volume_features(spark, sf_dir):
     """Trailing volume mean / std / z-score and buy ratio."""
-    f = features.feature_table(bars(spark, sf_dir), targets=False)
+    f = feature_rows(spark, sf_dir)
     return rounded(f.select("symbol", "event_time", "vol_mean_1h", "vol_std_1h", "volume_zscore", "buy_ratio"))
 
 
@@ -76,7 +76,7 @@ def volume_features(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('rv_15m', 'target_15m', 'target_1h')} FROM targets"""))
 def forward_targets(spark, sf_dir):
     """Forward realised variance over rows +1..+15 / +1..+60, full frames only."""
-    f = features.feature_table(bars(spark, sf_dir), targets=True)
+    f = features(spark, sf_dir)
     return rounded(f.select("symbol", "event_time", "rv_15m", "target_15m", "target_1h"))
 
 

@@ -75,3 +75,19 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_scratch(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the scratch location (one per run, never reused)."""
     return scratch_dir(spark, "volcast", f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def source_signature(path: str) -> str:
+    """Cheap identity of an input path (names, sizes, mtimes) for memoising derived tables."""
+    parts = []
+    if os.path.isdir(path):
+        for root, _, files in os.walk(path):
+            for f in sorted(files):
+                st = os.stat(os.path.join(root, f))
+                parts.append(f"{f}:{st.st_size}:{int(st.st_mtime)}")
+    elif os.path.exists(path):
+        st = os.stat(path)
+        parts.append(f"{path}:{st.st_size}:{int(st.st_mtime)}")
+    else:
+        parts.append(path)
+    return "|".join(parts)
