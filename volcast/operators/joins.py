@@ -1,0 +1,19 @@
+"""Joins against small tables: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side is copied to every executor; keep it far below executor memory.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The count is an action, so ``df`` should be a materialised table (a scan of a
+    few files: the count reads parquet footers).  Beyond the bound the join stays
+    a shuffle join, where AQE's skew handling splits a hot key's partition."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

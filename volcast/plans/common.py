@@ -66,7 +66,39 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     cols: list[Column] = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name), digits).alias(f.name))
+            # "+ 0.0" turns -0.0 into 0.0: a mean of ~1e-17 rounds to a zero whose
+            # sign would otherwise depend on summation order.
+            cols.append((F.round(F.col(f.name), digits) + F.lit(0.0)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def split_features(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """features_with_targets labelled train / val / test by the global time cuts."""
+    from volcast.operators.dataset import chrono_split
+    return chrono_split(features(spark, sf_dir, width))
+
+
+def scaler_stats(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """K3: per-symbol train statistics, written once."""
+    from volcast.operators.dataset import scaler_stats as stats_of
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    return materialized(spark, ("scaler_stats", width, src, source_signature(src)),
+                        lambda: stats_of(split_features(spark, sf_dir, width).filter("split = 'train'")))
+
+
+def scaled(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """Scaled train / val / test in one table partitioned by split and symbol."""
+    from volcast.operators.dataset import SCALE_COLUMNS, apply_scaling, drop_incomplete
+    from volcast.operators.joins import small_side
+    keep = ["symbol", "event_time", "split", *SCALE_COLUMNS, "volume_zscore", "target_15m", "target_1h"]
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+
+    def build():
+        stats = small_side(scaler_stats(spark, sf_dir, width))
+        d = apply_scaling(split_features(spark, sf_dir, width).select(*keep), stats)
+        return drop_incomplete(d).select(*keep)
+
+    return materialized(spark, ("scaled", width, src, source_signature(src)), build,
+                        partition_by=["split", "symbol"])

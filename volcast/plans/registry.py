@@ -114,3 +114,165 @@ def alert_rate(spark, sf_dir):
         F.count(F.lit(1)).alias("n_scored"),
         F.sum(flag).cast("long").alias("n_alerts"),
         F.avg(flag.cast("double")).alias("alert_rate")))
+
+
+# ---------------------------------------------------------------- data quality
+
+from volcast.operators import dataset as ds  # noqa: E402
+from volcast.operators import models as md  # noqa: E402
+from volcast.operators import quality as qa  # noqa: E402
+from volcast.plans.common import scaled, scaler_stats, split_features  # noqa: E402
+from volcast.sources.tables import archive_and_gap_files, table  # noqa: E402
+
+STEP_S = 3600   # hourly bars
+
+
+@plan("coverage", S.with_(S.BARS, """
+SELECT symbol, count(*) AS n_rows, min(bar_time) AS first_time, max(bar_time) AS last_time
+FROM bars GROUP BY symbol"""))
+def coverage(spark, sf_dir):
+    """Q1 A2 O1: bars per symbol and their span."""
+    return qa.coverage(bars(spark, sf_dir).withColumnRenamed("bar_time", "event_time"))
+
+
+_OVERLAP = S._split_ctes("events", "ts", "ov") + """,
+archive AS (SELECT e.* FROM events e, ov_c c WHERE epoch_us(e.ts) < c.val_cut),
+gapfiles AS (SELECT e.* FROM events e, ov_c c WHERE epoch_us(e.ts) >= c.train_cut),
+overlap AS (SELECT * FROM archive UNION ALL SELECT * FROM gapfiles)"""
+
+
+@plan("duplicate_count", S.with_(_OVERLAP.lstrip(",\n"), """
+SELECT count(*) AS n_rows, count(DISTINCT (event_type, ts)) AS n_distinct,
+       count(*) - count(DISTINCT (event_type, ts)) AS n_duplicates FROM overlap"""))
+def duplicate_count(spark, sf_dir):
+    """Archive files and gap files overlap; count the repeated (symbol, time) keys."""
+    return qa.duplicate_count(archive_and_gap_files(table(spark, sf_dir, "events")), ["event_type", "ts"])
+
+
+@plan("dedupe_events", S.with_(_OVERLAP.lstrip(",\n"), """
+SELECT event_id, ts, user_id, event_type, round(value, 6) + 0.0 AS value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id) AS k FROM overlap) WHERE k = 1"""))
+def dedupe_events(spark, sf_dir):
+    """Union of overlapping sources, one row per (symbol, time), first by event_id."""
+    u = archive_and_gap_files(table(spark, sf_dir, "events"))
+    d = qa.dedupe(u, ["event_type", "ts"], ["event_id"])
+    return rounded(d.select("event_id", "ts", "user_id", "event_type", "value", "props"))
+
+
+_GAPS = S.BARS + f""",
+g0 AS (SELECT symbol, bar_time AS event_time, lag(bar_time) OVER (PARTITION BY symbol ORDER BY bar_time) AS prev_time
+       FROM bars),
+gaps AS (
+  SELECT symbol, event_time, prev_time, (epoch_us(event_time) - epoch_us(prev_time)) // 1000000 AS gap_s
+  FROM g0 WHERE prev_time IS NOT NULL),
+gap_rows AS (SELECT *, gap_s // {STEP_S} - 1 AS missing_bars FROM gaps WHERE gap_s > {STEP_S})"""
+
+
+@plan("gap_report", S.with_(_GAPS, "SELECT symbol, event_time, prev_time, gap_s, missing_bars FROM gap_rows"))
+def gap_report(spark, sf_dir):
+    """Bars preceded by a hole longer than one bar."""
+    return qa.gap_report(bars(spark, sf_dir).withColumnRenamed("bar_time", "event_time"), STEP_S)
+
+
+@plan("gap_fill_plan", S.with_(_GAPS, f"""
+SELECT symbol, prev_time AS gap_after, page_no,
+       epoch_ms(prev_time) + {STEP_S * 1000} + page_no * {qa.REST_PAGE_ROWS * STEP_S * 1000} AS page_start_ms,
+       epoch_ms(prev_time) + {STEP_S * 1000} + page_no * {qa.REST_PAGE_ROWS * STEP_S * 1000}
+         + (least({qa.REST_PAGE_ROWS}, missing_bars - page_no * {qa.REST_PAGE_ROWS}) - 1) * {STEP_S * 1000} AS page_end_ms,
+       CAST(least({qa.REST_PAGE_ROWS}, missing_bars - page_no * {qa.REST_PAGE_ROWS}) AS BIGINT) AS n_bars
+FROM gap_rows, LATERAL (SELECT unnest(range(0, CAST(ceil(missing_bars / {qa.REST_PAGE_ROWS}) AS BIGINT))) AS page_no)
+WHERE missing_bars > 0"""))
+def gap_fill_plan(spark, sf_dir):
+    """REST pages (1000 bars each) that re-fetch every missing bar."""
+    g = qa.gap_report(bars(spark, sf_dir).withColumnRenamed("bar_time", "event_time"), STEP_S)
+    return qa.gap_fill_plan(g, STEP_S)
+
+
+# ---------------------------------------------------------------- split & scale
+
+@plan("chrono_split", S.with_(S.SPLIT, "SELECT symbol, event_time, split FROM split"))
+def chrono_split(spark, sf_dir):
+    """Train / val / test by the 80 % and 90 % cuts of the global span."""
+    return split_features(spark, sf_dir).select("symbol", "event_time", "split")
+
+
+@plan("split_sizes", S.with_(S.SPLIT, "SELECT split, count(*) AS n_rows FROM split GROUP BY split"))
+def split_sizes(spark, sf_dir):
+    """Q5: rows per split."""
+    return split_features(spark, sf_dir).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_STAT_COLS = [f"{c}_{s}" for c in ds.SCALE_COLUMNS for s in ("mean", "std")]
+
+
+@plan("scaler_stats", S.with_(S.SCALED, f"SELECT symbol, {S.rnd(*_STAT_COLS)} FROM stats"))
+def scaler_stats_plan(spark, sf_dir):
+    """Per-symbol mean and sample std of the seven scaled columns (train only)."""
+    return rounded(scaler_stats(spark, sf_dir))
+
+
+_SCALED_OUT = [*ds.SCALE_COLUMNS, "volume_zscore", "target_15m", "target_1h"]
+
+
+@plan("scaled_features", S.with_(S.SCALED, f"SELECT symbol, event_time, split, {S.rnd(*_SCALED_OUT)} FROM scaled"))
+def scaled_features(spark, sf_dir):
+    """Standardised features of all splits, incomplete rows dropped."""
+    return rounded(scaled(spark, sf_dir).select("symbol", "event_time", "split", *_SCALED_OUT))
+
+
+@plan("scale_check", S.with_(S.SCALED, f"""
+SELECT symbol, count(*) AS n_rows, round(avg(rv_15m), 6) + 0.0 AS mean_rv_15m,
+       round(stddev_samp(rv_15m), 6) + 0.0 AS std_rv_15m
+FROM scaled WHERE split = 'train' GROUP BY symbol"""))
+def scale_check(spark, sf_dir):
+    """Scaled train rv_15m has mean ~0 and std ~1 for every symbol."""
+    d = scaled(spark, sf_dir).filter("split = 'train'")
+    return rounded(d.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.avg("rv_15m").alias("mean_rv_15m"),
+                                           F.stddev_samp("rv_15m").alias("std_rv_15m")))
+
+
+@plan("symbol_ids", S.with_(S.SCALED, """
+SELECT symbol, CAST(row_number() OVER (ORDER BY symbol) - 1 AS INTEGER) AS symbol_id
+FROM (SELECT DISTINCT symbol FROM scaled WHERE split = 'train')"""))
+def symbol_ids(spark, sf_dir):
+    """Dense ids over the sorted distinct training symbols."""
+    return ds.dense_ids(scaled(spark, sf_dir).filter("split = 'train'"), "symbol")
+
+
+_SEQ_OUT = [*ds.SEQUENCE_FEATURES, "target_15m"]
+
+
+@plan("every_fifth", S.with_(S.SCALED + S._sampled("test", "samp"),
+                             f"SELECT symbol, event_time, {S.rnd(*_SEQ_OUT)} FROM samp"))
+def every_fifth(spark, sf_dir):
+    """Every 5th scaled test row per symbol, in time order."""
+    d = scaled(spark, sf_dir).filter("split = 'test'").select("symbol", "event_time", *_SEQ_OUT)
+    return rounded(ds.drop_incomplete(ds.every_kth(d), _SEQ_OUT))
+
+
+_SEQ_SQL = S.SCALED + S._sampled("train", "samp") + f""",
+seqs AS (
+  SELECT symbol, event_time, target_15m AS target,
+         count(*) OVER w AS seq_len,
+         first_value(rv_15m) OVER w AS first_rv_15m, last_value(rv_15m) OVER w AS last_rv_15m,
+         first_value(buy_ratio) OVER w AS first_buy_ratio, last_value(buy_ratio) OVER w AS last_buy_ratio
+  FROM samp
+  WINDOW w AS (PARTITION BY symbol ORDER BY event_time ROWS BETWEEN {ds.SEQ_LEN} PRECEDING AND 1 PRECEDING))"""
+
+
+@plan("sequences", S.with_(_SEQ_SQL, f"""
+SELECT symbol, event_time, CAST(seq_len AS INTEGER) AS seq_len,
+       {S.rnd('first_rv_15m', 'last_rv_15m', 'first_buy_ratio', 'last_buy_ratio', 'target')}
+FROM seqs WHERE seq_len = {ds.SEQ_LEN}"""))
+def sequences(spark, sf_dir):
+    """W11 Y-4: 48 x 8 windows of every-5th scaled training rows and the next row's target
+    (reported as length plus first / last values of two features)."""
+    d = scaled(spark, sf_dir).filter("split = 'train'").select("symbol", "event_time", *_SEQ_OUT)
+    s = ds.sequences(ds.drop_incomplete(ds.every_kth(d), _SEQ_OUT))
+    i_rv, i_br = ds.SEQUENCE_FEATURES.index("rv_15m"), ds.SEQUENCE_FEATURES.index("buy_ratio")
+    first, last = F.col("seq")[0], F.col("seq")[ds.SEQ_LEN - 1]
+    return rounded(s.select("symbol", "event_time", F.size("seq").alias("seq_len"),
+                            first[i_rv].alias("first_rv_15m"), last[i_rv].alias("last_rv_15m"),
+                            first[i_br].alias("first_buy_ratio"), last[i_br].alias("last_buy_ratio"),
+                            "target"))

@@ -108,8 +108,67 @@ def with_(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body
 
 
-R = "round({0}, 6) AS {0}"
+R = "round({0}, 6) + 0.0 AS {0}"
 
 
 def rnd(*cols: str) -> str:
     return ", ".join(R.format(c) for c in cols)
+
+
+# ---------------------------------------------------------------- dataset preparation
+
+def _scaled_cols() -> str:
+    from volcast.operators.dataset import SCALE_COLUMNS
+    return ",\n    ".join(
+        f"CASE WHEN st.{c}_std = 0 THEN NULL ELSE (s.{c} - st.{c}_mean) / st.{c}_std END AS {c}"
+        for c in SCALE_COLUMNS)
+
+
+def _stats_cols() -> str:
+    from volcast.operators.dataset import SCALE_COLUMNS
+    return ", ".join(f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_std" for c in SCALE_COLUMNS)
+
+
+def _notnull(cols) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+def _split_ctes(src: str, time: str, name: str) -> str:
+    return f""",
+{name}_b AS (SELECT epoch_us(min({time})) AS t0, epoch_us(max({time})) AS t1 FROM {src}),
+{name}_c AS (
+  SELECT t0 + CAST(floor(CAST(t1 - t0 AS DOUBLE) * 0.8) AS BIGINT) AS train_cut,
+         t0 + CAST(floor(CAST(t1 - t0 AS DOUBLE) * 0.9) AS BIGINT) AS val_cut FROM {name}_b)"""
+
+
+SPLIT = FEATURES + _split_ctes("targets", "event_time", "bnd") + """,
+split AS (
+  SELECT t.*, CASE WHEN epoch_us(t.event_time) < c.train_cut THEN 'train'
+                   WHEN epoch_us(t.event_time) < c.val_cut THEN 'val' ELSE 'test' END AS split
+  FROM targets t, bnd_c c)"""
+
+
+def _scaled() -> str:
+    from volcast.operators.dataset import DROPNA_COLUMNS
+    return SPLIT + f""",
+stats AS (SELECT symbol, {_stats_cols()} FROM split WHERE split = 'train' GROUP BY symbol),
+scaled0 AS (
+  SELECT s.symbol, s.event_time, s.split,
+    {_scaled_cols()},
+    s.volume_zscore, s.target_15m, s.target_1h
+  FROM split s LEFT JOIN stats st ON s.symbol = st.symbol),
+scaled AS (SELECT * FROM scaled0 WHERE {_notnull(DROPNA_COLUMNS)})"""
+
+
+SCALED = _scaled()
+
+
+def _sampled(split_name: str, cte: str) -> str:
+    from volcast.operators.dataset import SEQUENCE_FEATURES
+    cols = ", ".join(SEQUENCE_FEATURES)
+    return f""",
+{cte}0 AS (
+  SELECT symbol, event_time, {cols}, target_15m,
+         row_number() OVER (PARTITION BY symbol ORDER BY event_time) AS srn
+  FROM scaled WHERE split = '{split_name}'),
+{cte} AS (SELECT * FROM {cte}0 WHERE (srn - 1) % 5 = 0 AND {_notnull(SEQUENCE_FEATURES + ['target_15m'])})"""

@@ -32,3 +32,14 @@ def ticks(events: DataFrame) -> DataFrame:
 
 def load_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks(table(spark, sf_dir, "events"))
+
+
+def archive_and_gap_files(events: DataFrame, time: str = "ts") -> DataFrame:
+    """The archive (everything before the 90 % cut) plus gap files (everything from
+    the 80 % cut on), read together as one table — the overlap is duplicated, as when a
+    backfill re-downloads a range the archive already holds."""
+    from volcast.operators.dataset import split_bounds
+    from volcast.functions.market import ntz_micros
+    b = split_bounds(events, time)
+    us = ntz_micros(time)
+    return events.filter(us < b["val_cut"]).unionByName(events.filter(us >= b["train_cut"]))
