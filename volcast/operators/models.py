@@ -53,7 +53,8 @@ def fit_har(df: DataFrame, inputs: Sequence[str] = HAR_INPUTS, target: str = HAR
     out = s.select("n", *[wi.alias(f"_w{i}") for i, wi in enumerate(w)], "my", *[f"m{i}" for i in range(k)])
     intercept = F.col("my") - sum((F.col(f"_w{i}") * F.col(f"m{i}") for i in range(k)), F.lit(0.0))
     return out.select(F.col("n").alias("n_train"), intercept.alias("intercept"),
-                      F.col("_w0").alias("w_15m"), F.col("_w1").alias("w_1h"), F.col("_w2").alias("w_24h"))
+                      F.col("_w0").alias("w_15m"), F.col("_w1").alias("w_1h"), F.col("_w2").alias("w_24h"),
+                      F.col("my").alias("y_mean"))
 
 
 def coefficients(fit: DataFrame) -> dict[str, Column]:
@@ -79,9 +80,9 @@ def regression_metrics(df: DataFrame, truth: str, preds: dict[str, Column | str]
                                      F.avg(F.abs(err)).alias("mae"))
 
 
-def mean_target(train: DataFrame, target: str = HAR_TARGET) -> Column:
-    """The naive predictor (train mean of the target) as a scalar subquery."""
-    return train.agg(F.avg(target)).scalar()
+def mean_target(fit: DataFrame) -> Column:
+    """The naive predictor — mean target over the fit's rows — as a scalar subquery."""
+    return fit.select("y_mean").scalar()
 
 
 def target_scaling(train_seq: DataFrame, target: str = "target") -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from volcast.functions import market as m
 from volcast.operators import detect
 from volcast.plans import sql as S
 from volcast.plans.common import bars, feature_rows, features, rounded
@@ -276,3 +277,128 @@ def sequences(spark, sf_dir):
                             first[i_rv].alias("first_rv_15m"), last[i_rv].alias("last_rv_15m"),
                             first[i_br].alias("first_buy_ratio"), last[i_br].alias("last_buy_ratio"),
                             "target"))
+
+
+# ---------------------------------------------------------------- models
+
+_FIT_OUT = ["intercept", "w_15m", "w_1h", "w_24h", "y_mean"]
+
+
+def _har_fit(spark, sf_dir):
+    return md.fit_har(split_features(spark, sf_dir).filter("split = 'train'"))
+
+
+@plan("har_fit", S.with_(S.HAR_FIT, f"SELECT n_train, {S.rnd(*_FIT_OUT)} FROM har_fit"))
+def har_fit(spark, sf_dir):
+    """M1: HAR-RV least squares on the train split (normal equations, one aggregate)."""
+    return rounded(_har_fit(spark, sf_dir))
+
+
+@plan("model_metrics", S.with_(S.HAR_FIT + """,
+test AS (
+  SELECT s.target_15m AS y,
+         f.intercept + f.w_15m * ln(1 + s.rv_15m) + f.w_1h * ln(1 + s.rv_1h) + f.w_24h * ln(1 + s.rv_24h) AS har,
+         f.y_mean AS mean
+  FROM split s, har_fit f WHERE s.split = 'test'),
+per_model AS (
+  SELECT 'HAR' AS model, y, har AS p FROM test UNION ALL SELECT 'mean' AS model, y, mean AS p FROM test)""", """
+SELECT model, count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 6) + 0.0 AS rmse,
+       round(avg(abs(y - p)), 6) + 0.0 AS mae
+FROM per_model WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY model"""))
+def model_metrics(spark, sf_dir):
+    """RMSE / MAE of the fitted HAR model and the mean predictor on test."""
+    fit = _har_fit(spark, sf_dir)
+    test = md.score_har_fitted(split_features(spark, sf_dir).filter("split = 'test'"), fit)
+    return rounded(md.regression_metrics(test, "target_15m",
+                                         {"HAR": "har_pred", "mean": md.mean_target(fit)}))
+
+
+_SCORE_OUT = ["rv_15m", "forecast", "residual", "vol_forecast", "vol_realized"]
+
+
+@plan("har_score", S.with_(S.FEATURES + f""",
+hs AS (SELECT symbol, event_time, rv_15m, {S._har()} AS forecast FROM feat),
+hr AS (
+  SELECT *,
+    CASE WHEN rv_15m + 1e-12 > 0 AND forecast + 1e-12 > 0 THEN ln(rv_15m + 1e-12) - ln(forecast + 1e-12) END
+      AS residual,
+    sqrt(greatest(exp(forecast) - 1, 0.0)) * 100 AS vol_forecast,
+    sqrt(greatest(rv_15m, 0.0)) * 100 AS vol_realized
+  FROM hs)""", f"SELECT symbol, event_time, {S.rnd(*_SCORE_OUT)} FROM hr"))
+def har_score(spark, sf_dir):
+    """Served-model forecast, residual and percent volatilities
+    for every feature row (no warm-up gate)."""
+    f = detect.score_har(feature_rows(spark, sf_dir))
+    return rounded(f.select("symbol", "event_time", *_SCORE_OUT))
+
+
+@plan("latest_forecasts", S.with_(S.DETECT + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol, day ORDER BY event_time DESC) AS recency
+           FROM forecasts)""", f"""
+SELECT symbol, day, event_time, CAST(recency AS INTEGER) AS recency, {S.rnd('forecast', 'residual', 'zscore')}
+FROM ranked WHERE recency <= 3"""))
+def latest_forecasts(spark, sf_dir):
+    """The newest three forecasts of each (symbol, day) — the store's newest-first
+    clustering, as a top-k per key (window per symbol-day, never per symbol)."""
+    from pyspark.sql import Window
+    d = detect.detect_anomalies(bars(spark, sf_dir))
+    w = Window.partitionBy("symbol", "day").orderBy(F.col("event_time").desc())
+    d = d.withColumn("recency", F.row_number().over(w)).filter("recency <= 3")
+    return rounded(d.select("symbol", "day", "event_time", "recency", "forecast", "residual", "zscore"))
+
+
+PANEL_WIDTH = "6 hours"
+
+
+@plan("forecast_panel", S.with_(S.DETECT, f"""
+SELECT symbol, time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01 00:00:00') + INTERVAL 6 HOUR AS panel_time,
+       count(*) AS n_bars,
+       round(avg(vol_realized), 6) + 0.0 AS vol_realized, round(avg(vol_forecast), 6) + 0.0 AS vol_forecast,
+       round(max(abs(zscore)), 6) + 0.0 AS max_abs_z,
+       CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS n_anomalies,
+       CAST({m.ANOMALY_THRESHOLD} AS DOUBLE) AS z_upper, CAST(-{m.ANOMALY_THRESHOLD} AS DOUBLE) AS z_lower
+FROM forecasts GROUP BY symbol, time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01 00:00:00')"""))
+def forecast_panel(spark, sf_dir):
+    """Realised vs forecast volatility and |z| with the ±4 bands, per symbol and 6 hours."""
+    d = detect.detect_anomalies(bars(spark, sf_dir))
+    g = d.groupBy("symbol", F.window("event_time", PANEL_WIDTH).alias("w")).agg(
+        F.count(F.lit(1)).alias("n_bars"),
+        F.avg("vol_realized").alias("vol_realized"), F.avg("vol_forecast").alias("vol_forecast"),
+        F.max(F.abs("zscore")).alias("max_abs_z"),
+        F.sum(F.col("is_anomaly").cast("long")).alias("n_anomalies"))
+    out = g.select("symbol", F.col("w.end").alias("panel_time"), "n_bars", "vol_realized", "vol_forecast",
+                   "max_abs_z", "n_anomalies", F.lit(m.ANOMALY_THRESHOLD).alias("z_upper"),
+                   F.lit(-m.ANOMALY_THRESHOLD).alias("z_lower"))
+    return rounded(out)
+
+
+@plan("sequence_model_metrics")
+def sequence_model_metrics(spark, sf_dir):
+    """Spark ML regression on flattened 48 x 8 training sequences plus a
+    one-hot symbol, scored on every split that has sequences; RMSE / MAE per split."""
+    sc = scaled(spark, sf_dir)
+    ids = ds.dense_ids(sc.filter("split = 'train'"), "symbol")
+    per_split = []
+    for name in ("train", "val", "test"):
+        d = sc.filter(F.col("split") == name).select("symbol", "event_time", *_SEQ_OUT)
+        s = ds.sequences(ds.drop_incomplete(ds.every_kth(d), _SEQ_OUT))
+        per_split.append(md.flatten_sequences(s, ids).withColumn("split", F.lit(name)))
+    train = per_split[0]
+    model = md.fit_sequence_model(train)
+    scored = model.transform(per_split[0].unionByName(per_split[1]).unionByName(per_split[2]))
+    err = F.col("target") - F.col("prediction")
+    return rounded(scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                               F.sqrt(F.avg(err * err)).alias("rmse"),
+                                               F.avg(F.abs(err)).alias("mae")))
+
+
+SAMPLE_FRACTION = 0.01
+
+
+@plan("hash_sample")
+def hash_sample(spark, sf_dir):
+    """F8: deterministic ~1 % sample of the ticks — a row is kept when the hash of its
+    identity falls in the first 1 % of the hash range (same rows on any partitioning)."""
+    ev = table(spark, sf_dir, "events")
+    h = F.pmod(F.xxhash64("event_type", "ts", "event_id"), F.lit(1_000_000))
+    return ev.filter(h < int(SAMPLE_FRACTION * 1_000_000))

@@ -172,3 +172,37 @@ def _sampled(split_name: str, cte: str) -> str:
          row_number() OVER (PARTITION BY symbol ORDER BY event_time) AS srn
   FROM scaled WHERE split = '{split_name}'),
 {cte} AS (SELECT * FROM {cte}0 WHERE (srn - 1) % 5 = 0 AND {_notnull(SEQUENCE_FEATURES + ['target_15m'])})"""
+
+
+# ---------------------------------------------------------------- models
+
+def _det3(a) -> str:
+    return (f"({a[0][0]} * ({a[1][1]} * {a[2][2]} - {a[1][2]} * {a[2][1]})"
+            f" - {a[0][1]} * ({a[1][0]} * {a[2][2]} - {a[1][2]} * {a[2][0]})"
+            f" + {a[0][2]} * ({a[1][0]} * {a[2][1]} - {a[1][1]} * {a[2][0]}))")
+
+
+def _har_fit() -> str:
+    cov = [[f"c{min(i, j)}{max(i, j)}" for j in range(3)] for i in range(3)]
+    cy = [f"cy{i}" for i in range(3)]
+    ws = []
+    for k in range(3):
+        mm = [[cy[r] if c == k else cov[r][c] for c in range(3)] for r in range(3)]
+        ws.append(f"{_det3(mm)} / {_det3(cov)} AS w{k}")
+    covs = ", ".join(f"covar_pop(x{i}, x{j}) AS c{i}{j}" for i in range(3) for j in range(i, 3))
+    return f""",
+har_d AS (
+  SELECT ln(1 + rv_15m) AS x0, ln(1 + rv_1h) AS x1, ln(1 + rv_24h) AS x2, target_15m AS y
+  FROM split WHERE split = 'train' AND rv_15m IS NOT NULL AND rv_1h IS NOT NULL AND rv_24h IS NOT NULL
+    AND target_15m IS NOT NULL),
+har_s AS (
+  SELECT count(*) AS n, avg(y) AS my, avg(x0) AS m0, avg(x1) AS m1, avg(x2) AS m2,
+         covar_pop(x0, y) AS cy0, covar_pop(x1, y) AS cy1, covar_pop(x2, y) AS cy2, {covs}
+  FROM har_d),
+har_w AS (SELECT n, my, m0, m1, m2, {", ".join(ws)} FROM har_s),
+har_fit AS (
+  SELECT n AS n_train, my - (0.0 + w0 * m0 + w1 * m1 + w2 * m2) AS intercept,
+         w0 AS w_15m, w1 AS w_1h, w2 AS w_24h, my AS y_mean FROM har_w)"""
+
+
+HAR_FIT = SPLIT + _har_fit()
