@@ -402,3 +402,156 @@ def hash_sample(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     h = F.pmod(F.xxhash64("event_type", "ts", "event_id"), F.lit(1_000_000))
     return ev.filter(h < int(SAMPLE_FRACTION * 1_000_000))
+
+
+# ---------------------------------------------------------------- ingestion
+
+from volcast.functions.market import epoch_to_millis, millis_to_ntz  # noqa: E402
+from volcast.session import fresh_scratch  # noqa: E402
+from volcast.sinks.files import write_csv  # noqa: E402
+from volcast.sources import archives as ar  # noqa: E402
+from volcast.sources import encode as enc  # noqa: E402
+from volcast.sources import klines as kl  # noqa: E402
+from volcast.sources import messages as msg  # noqa: E402
+
+_K = "CAST(json_extract(props, '$.k') AS INTEGER)"
+_TAKER = "CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END"
+_MS_NTZ = "make_timestamp((epoch_us(ts) // 1000) * 1000)"  # ms truncated, like UnixMilli
+_CANDLE = ["open", "close", "high", "low", "volume", "taker_buy_volume"]
+
+
+@plan("decode_kline_json", f"""
+SELECT event_type AS symbol, {_MS_NTZ} AS event_time,
+       {", ".join(f"round(x_{c}, 6) + 0.0 AS {c}" for c in _CANDLE)},
+       CAST({_K} AS BIGINT) AS num_trades
+FROM (SELECT *, value + 1.0 AS x_open, value + 1.0 AS x_close, value + 1.0 AS x_high, value + 1.0 AS x_low,
+             value AS x_volume, {_TAKER} AS x_taker_buy_volume FROM events)
+WHERE value >= 1""")
+def decode_kline_json(spark, sf_dir):
+    """Kline event JSON (prices as strings or bare numbers) decoded to
+    typed candles; open candles dropped."""
+    d = msg.closed_candles(msg.decode_kline(enc.kline_json(table(spark, sf_dir, "events"))))
+    return rounded(d.select("symbol", "event_time", *_CANDLE, "num_trades"))
+
+
+@plan("decode_envelope", f"""
+SELECT lower(event_type) || '@kline_1s' AS stream, event_type AS symbol, {_MS_NTZ} AS event_time,
+       round(value + 1.0, 6) + 0.0 AS close
+FROM events WHERE {_K} < 95 AND value >= 1""")
+def decode_envelope(spark, sf_dir):
+    """Combined-stream envelopes -> routed (key = symbol, value = inner JSON)
+    records for closed candles; broken envelopes are skipped."""
+    r = msg.route(enc.envelopes(table(spark, sf_dir, "events")))
+    return rounded(r.select("stream", "symbol", "event_time", "close"))
+
+
+@plan("decode_rejects", f"""
+SELECT count(*) AS n_messages,
+       CAST(sum(CASE WHEN {_K} >= 95 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_envelope,
+       CAST(0 AS BIGINT) AS n_bad_event,
+       CAST(sum(CASE WHEN {_K} < 95 AND value < 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_open,
+       CAST(sum(CASE WHEN {_K} < 95 AND value >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_routed
+FROM events""")
+def decode_rejects(spark, sf_dir):
+    """F2 K8: message totals of the routing step (bad envelopes, bad events, open, routed)."""
+    return msg.reject_counts(enc.envelopes(table(spark, sf_dir, "events")))
+
+
+_KROW_SQL = S.BARS + f""",
+krows AS (
+  SELECT symbol, epoch_ms(bar_time) - {STEP_S * 1000} AS open_time, open, high, low, close, volume,
+         epoch_ms(bar_time) - 1 AS close_time, volume * close AS quote_volume, num_trades,
+         taker_buy_volume AS taker_buy_base, taker_buy_volume * close AS taker_buy_quote
+  FROM bars)"""
+_KNUM = ["open", "high", "low", "close", "volume", "quote_volume", "taker_buy_base", "taker_buy_quote"]
+
+
+def _typed_klines(d):
+    return d.select("symbol", "open_time", *[kl.to_double(c).alias(c) for c in _KNUM], "close_time", "num_trades")
+
+
+@plan("decode_rest_page", S.with_(_KROW_SQL, f"""
+SELECT symbol, open_time, {S.rnd(*_KNUM)}, close_time, num_trades FROM krows"""))
+def decode_rest_page(spark, sf_dir):
+    """REST pages (JSON arrays of 12-element mixed arrays, 1000 per page) decoded
+    back into typed kline rows."""
+    rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
+    return rounded(_typed_klines(kl.decode_rest_pages(enc.rest_pages(rows))))
+
+
+@plan("epoch_normalise", """
+SELECT event_id, raw_open_time AS open_time,
+       CASE WHEN raw_open_time > 100000000000000 THEN raw_open_time // 1000 ELSE raw_open_time END AS open_time_ms,
+       make_timestamp(CASE WHEN raw_open_time > 100000000000000 THEN raw_open_time // 1000
+                           ELSE raw_open_time END * 1000) AS event_time
+FROM (SELECT event_id, CASE WHEN value >= 50 THEN epoch_us(ts) ELSE epoch_us(ts) // 1000 END AS raw_open_time FROM events)""")
+def epoch_normalise(spark, sf_dir):
+    """Archive epochs in µs or ms (X-2) -> ms -> timestamp."""
+    from volcast.functions.market import ntz_micros
+    us = ntz_micros("ts")
+    raw = F.when(F.col("value") >= 50, us).otherwise(F.floor(us / 1000)).cast("long")
+    d = table(spark, sf_dir, "events").select("event_id", raw.alias("open_time"))
+    ms = epoch_to_millis("open_time")
+    return d.select("event_id", "open_time", ms.alias("open_time_ms"), millis_to_ntz(ms).alias("event_time"))
+
+
+@plan("csv_klines", S.with_(_KROW_SQL, f"""
+SELECT symbol, open_time, {S.rnd(*_KNUM)}, close_time, num_trades FROM krows"""))
+def csv_klines(spark, sf_dir):
+    """Bars written as header-less archive CSV (one folder per symbol), read
+    back by glob with the explicit schema, symbol recovered from the file path."""
+    rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
+    out = fresh_scratch(spark, "klines-csv")
+    write_csv(rows.select(*kl.KLINE_FIELDS, "symbol"), out, partition_by=["symbol"])
+    raw = kl.read_kline_csv(spark, f"{out}/symbol=*/*.csv", symbol_pattern=r"/symbol=([^/]+)/")
+    return rounded(_typed_klines(raw.filter(F.col("_corrupt").isNull())))
+
+
+@plan("manifest_missing", S.with_(S.BARS + """,
+days AS (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE)
+                AS period FROM events),
+syms AS (SELECT DISTINCT event_type AS symbol FROM events),
+wanted AS (SELECT symbol, period FROM syms, days),
+present AS (SELECT symbol, CAST(bar_time - INTERVAL 1 HOUR AS DATE) AS period FROM bars GROUP BY ALL
+            HAVING count(*) = 24)""", """
+SELECT w.symbol, w.period, w.symbol || '-1h-' || strftime(w.period, '%Y-%m-%d') AS file_name,
+       w.symbol || '/1h/' || w.symbol || '-1h-' || strftime(w.period, '%Y-%m-%d') || '.zip' AS path
+FROM wanted w ANTI JOIN present p ON w.symbol = p.symbol AND w.period = p.period"""))
+def manifest_missing(spark, sf_dir):
+    """Daily archive files per symbol over the data's span, minus the
+    days already complete (24 hourly bars) — what a re-run would download."""
+    ev = table(spark, sf_dir, "events")
+    first, last = ev.agg(F.min(F.to_date("ts"))).scalar(), ev.agg(F.max(F.to_date("ts"))).scalar()
+    syms = ev.select(F.col("event_type").alias("symbol")).distinct()
+    wanted = ar.work_manifest(syms, first, last, unit="day", interval_label="1h")
+    b = bars(spark, sf_dir)
+    day = F.to_date(F.col("bar_time") - F.expr("INTERVAL 1 HOUR"))
+    present = (b.groupBy("symbol", day.alias("period")).agg(F.count(F.lit(1)).alias("n"))
+                .filter(F.col("n") == 24))
+    return ar.missing_files(wanted, present, ["symbol", "period"])
+
+
+@plan("checksum_verify", """
+SELECT file_name, expected, actual,
+       CASE WHEN actual = expected THEN 'ok' ELSE 'mismatch' END AS status
+FROM (SELECT 'doc-' || doc_id || '.txt' AS file_name, sha256(text) AS actual,
+             CASE WHEN source = 'src7' THEN sha256(text || '#') ELSE sha256(text) END AS expected
+      FROM documents)""")
+def checksum_verify(spark, sf_dir):
+    """SHA-256 of every document's bytes against its manifest line."""
+    content, manifest = enc.checksum_manifest(table(spark, sf_dir, "documents"))
+    return ar.verify_checksums(content, manifest)
+
+
+@plan("archive_unpack")
+def archive_unpack(spark, sf_dir):
+    """One zip archive per symbol-day of kline CSV, unpacked and parsed back to rows."""
+    rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
+    day = F.date_format(millis_to_ntz("open_time"), "yyyy-MM-dd")
+    lines = rows.select("symbol", "open_time", day.alias("day"),
+                        F.concat_ws(",", *[F.col(c).cast("string") for c in kl.KLINE_FIELDS]).alias("line"))
+    lines = lines.withColumn("file_name", F.format_string("%s-1h-%s", F.col("symbol"), F.col("day")))
+    zips = ar.pack_zip(lines, ["symbol", "day"], order_col="open_time")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kl.KLINE_CSV_SCHEMA.fields)
+    parsed = ar.unpack_zip(zips).select("file_name", F.from_csv("line", ddl).alias("k"))
+    return parsed.select(F.regexp_extract("file_name", r"^([^-]+)-", 1).alias("symbol"), "k.*")
