@@ -1,0 +1,14 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned batch input before CPU-heavy per-row work
+    (JSON, hashing, archives).  A small file with one row group is one task; a
+    large input already has at least ``target`` partitions and is left alone, so
+    no shuffle is added where the scan itself gives the parallelism."""
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

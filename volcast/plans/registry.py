@@ -413,6 +413,7 @@ from volcast.sources import archives as ar  # noqa: E402
 from volcast.sources import encode as enc  # noqa: E402
 from volcast.sources import klines as kl  # noqa: E402
 from volcast.sources import messages as msg  # noqa: E402
+from volcast.operators.partitioning import spread  # noqa: E402
 
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 _TAKER = "CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END"
@@ -430,7 +431,7 @@ WHERE value >= 1""")
 def decode_kline_json(spark, sf_dir):
     """Kline event JSON (prices as strings or bare numbers) decoded to
     typed candles; open candles dropped."""
-    d = msg.closed_candles(msg.decode_kline(enc.kline_json(table(spark, sf_dir, "events"))))
+    d = msg.closed_candles(msg.decode_kline(enc.kline_json(spread(table(spark, sf_dir, "events")))))
     return rounded(d.select("symbol", "event_time", *_CANDLE, "num_trades"))
 
 
@@ -441,7 +442,7 @@ FROM events WHERE {_K} < 95 AND value >= 1""")
 def decode_envelope(spark, sf_dir):
     """Combined-stream envelopes -> routed (key = symbol, value = inner JSON)
     records for closed candles; broken envelopes are skipped."""
-    r = msg.route(enc.envelopes(table(spark, sf_dir, "events")))
+    r = msg.route(enc.envelopes(spread(table(spark, sf_dir, "events"))))
     return rounded(r.select("stream", "symbol", "event_time", "close"))
 
 
@@ -454,7 +455,7 @@ SELECT count(*) AS n_messages,
 FROM events""")
 def decode_rejects(spark, sf_dir):
     """F2 K8: message totals of the routing step (bad envelopes, bad events, open, routed)."""
-    return msg.reject_counts(enc.envelopes(table(spark, sf_dir, "events")))
+    return msg.reject_counts(enc.envelopes(spread(table(spark, sf_dir, "events"))))
 
 
 _KROW_SQL = S.BARS + f""",
@@ -539,7 +540,7 @@ FROM (SELECT 'doc-' || doc_id || '.txt' AS file_name, sha256(text) AS actual,
       FROM documents)""")
 def checksum_verify(spark, sf_dir):
     """SHA-256 of every document's bytes against its manifest line."""
-    content, manifest = enc.checksum_manifest(table(spark, sf_dir, "documents"))
+    content, manifest = enc.checksum_manifest(spread(table(spark, sf_dir, "documents")))
     return ar.verify_checksums(content, manifest)
 
 
@@ -608,7 +609,7 @@ FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM}"""))
 def stream_zscore(spark, sf_dir):
     """Keyed streaming forecaster output (latest write per key) — equal to the
     batch detector on the closed bars."""
-    t = spark.read.parquet(f"{live_run(spark, sf_dir)}/forecasts")
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/forecasts", live.FORECAST_TABLE_SCHEMA)
     return rounded(live.latest(t).select(*detect.FORECAST_COLUMNS))
 
 
@@ -617,7 +618,7 @@ SELECT symbol, event_time, {S.rnd('close', 'forecast', 'rv_15m', 'zscore')}
 FROM forecasts WHERE is_anomaly AND epoch_us(event_time) // 1000 <= {_WM}"""))
 def stream_anomalies(spark, sf_dir):
     """K6: the anomaly table written by the same foreachBatch, latest write per key."""
-    t = spark.read.parquet(f"{live_run(spark, sf_dir)}/anomalies")
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/anomalies", live.ANOMALY_SCHEMA)
     return rounded(live.latest(t, ("symbol", "event_time"))
                    .select("symbol", "event_time", "close", "forecast", "rv_15m", "zscore"))
 

@@ -37,13 +37,20 @@ def _text(c: str | Column) -> Column:
     return col.cast("string")
 
 
+def _parse_once(df: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Attach a parsed struct through a one-element ``explode``.  The generator is a plan
+    barrier: later filters on the struct cannot be pushed below it, so the parser runs
+    once per row instead of once per referencing expression."""
+    return df.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def decode_kline(df: DataFrame, value: str = "value") -> DataFrame:
     """Kline event JSON -> typed candle rows plus ``_bad`` for undecodable input.
 
     Prices may be JSON strings or bare numbers (both read as text, then
     ``try_cast``).  ``v`` and ``V`` differ only in case; they are separated by
     position (``k.*`` + ``toDF``), so no session-wide case-sensitivity switch is needed."""
-    d = df.withColumn("_ev", F.from_json(_text(value), KLINE_EVENT, _PERMISSIVE))
+    d = _parse_once(df, F.from_json(_text(value), KLINE_EVENT, _PERMISSIVE), "_ev")
     k = d.select("*", "_ev.k.*")
     names = list(k.columns)
     base = len(names) - len(KLINE_FIELDS.fields)
@@ -72,8 +79,7 @@ def closed_candles(decoded: DataFrame) -> DataFrame:
 def open_envelope(df: DataFrame, value: str = "value") -> DataFrame:
     """Combined-stream envelope -> ``stream`` and the raw inner ``data`` text (kept
     byte-for-byte for forwarding); ``_env_bad`` marks undecodable envelopes."""
-    env = F.from_json(_text(value), ENVELOPE, _PERMISSIVE)
-    d = df.withColumn("_env", env)
+    d = _parse_once(df, F.from_json(_text(value), ENVELOPE, _PERMISSIVE), "_env")
     bad = F.col("_env._corrupt").isNotNull() | F.col("_env.data").isNull()
     return d.select("*", F.col("_env.stream").alias("stream"), F.col("_env.data").alias("data"),
                     bad.alias("_env_bad")).drop("_env")

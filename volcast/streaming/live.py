@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from volcast.functions.market import micros_to_ntz, ntz_micros
 from volcast.operators.bars import ohlcv_bars
@@ -125,6 +126,20 @@ class ForecastSink:
             b.unpersist()
 
 
+ANOMALY_SCHEMA = StructType([*(OUTPUT_SCHEMA[c] for c in ("symbol", "event_time", "close", "forecast", "rv_15m",
+                                                           "zscore")),
+                             StructField("batch_id", LongType())])
+FORECAST_TABLE_SCHEMA = StructType([*OUTPUT_SCHEMA.fields, StructField("batch_id", LongType())])
+
+
+def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read a foreachBatch table with its schema fixed (a table may hold no file yet)."""
+    import os
+    if path.startswith("/") and not os.path.exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def latest(table: DataFrame, keys=("symbol", "day", "event_time")) -> DataFrame:
     """K5 read side: the newest write (highest batch id) of each primary key."""
     from volcast.operators.quality import dedupe
