@@ -76,10 +76,15 @@ def drop_incomplete(df: DataFrame, cols: Sequence[str] = DROPNA_COLUMNS) -> Data
     return df.na.drop(subset=list(cols))
 
 
-def every_kth(df: DataFrame, k: int = SAMPLE_EVERY, key: str = "symbol", time: str = "event_time") -> DataFrame:
-    """Rows 1, 1+k, 1+2k, ... of each symbol in time order (the reference's
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def every_kth(df: DataFrame, k: int = SAMPLE_EVERY, key: str | Sequence[str] = "symbol",
+              time: str = "event_time") -> DataFrame:
+    """Rows 1, 1+k, 1+2k, ... of each series in time order (the reference's
     positional sampling), numbered without a whole-symbol task."""
-    n = number_rows(df, [key], [time], time_segment(time), total_col=None)
+    n = number_rows(df, _keys(key), [time], time_segment(time), total_col=None)
     return n.filter(F.pmod(F.col(RN) - 1, F.lit(k)) == 0).drop(RN)
 
 
@@ -94,7 +99,7 @@ def dense_ids(df: DataFrame, col: str, out: str = "symbol_id") -> DataFrame:
 
 
 def sequences(df: DataFrame, features: Sequence[str] = SEQUENCE_FEATURES, target: str = "target_15m",
-              seq_len: int = SEQ_LEN, key: str = "symbol", time: str = "event_time",
+              seq_len: int = SEQ_LEN, key: str | Sequence[str] = "symbol", time: str = "event_time",
               chunk_rows: int | None = None) -> DataFrame:
     """W11 / Y-4: for each row t with ``seq_len`` rows before it, the matrix of rows
     t-seq_len .. t-1 (time-major, ``seq_len`` x len(features)) and the target of row t."""
@@ -104,7 +109,8 @@ def sequences(df: DataFrame, features: Sequence[str] = SEQUENCE_FEATURES, target
         vec = F.array(*[F.col(c).cast("double") for c in feats])
         return frame.withColumn("seq", F.collect_list(vec).over(spec.rowsBetween(-seq_len, -1)))
 
-    d = df.select(key, time, *feats, target)
-    out = over_series(d, [key], time, build, back=seq_len, chunk_rows=chunk_rows)
+    keys = _keys(key)
+    d = df.select(*keys, time, *feats, target)
+    out = over_series(d, keys, time, build, back=seq_len, chunk_rows=chunk_rows)
     return (out.filter(F.size("seq") == seq_len)
-               .select(key, time, "seq", F.col(target).alias("target")))
+               .select(*keys, time, "seq", F.col(target).alias("target")))

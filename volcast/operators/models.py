@@ -86,29 +86,43 @@ def mean_target(fit: DataFrame) -> Column:
 
 
 def target_scaling(train_seq: DataFrame, target: str = "target") -> DataFrame:
-    """Mean and population std of the sequence targets (one row)."""
+    """Mean and population std of the training targets (one row)."""
     return train_seq.agg(F.avg(target).alias("y_mean"), F.stddev_pop(target).alias("y_std"))
 
 
-def flatten_sequences(seqs: DataFrame, ids: DataFrame, n_symbols_hint: int | None = None) -> DataFrame:
-    """M8 inputs: flattened 48 x 8 window + one-hot symbol id as an ML vector."""
+def flatten_sequences(seqs: DataFrame, ids: DataFrame) -> DataFrame:
+    """M8 inputs: flattened 48 x 8 window as an ML vector, plus the dense symbol id.
+    ``ids`` has one row per symbol; the join is left so unseen symbols keep a null id."""
     from pyspark.ml.functions import array_to_vector
 
+    extra = [c for c in seqs.columns if c not in ("symbol", "event_time", "seq", "target")]
     d = seqs.join(ids, "symbol", "left")
-    flat = F.flatten("seq")
-    return d.withColumn("features", array_to_vector(flat)).select("symbol", "event_time", "symbol_id",
-                                                                   "features", "target")
+    return d.select("symbol", "event_time", *extra, F.coalesce("symbol_id", F.lit(-1)).alias("symbol_id"),
+                    array_to_vector(F.flatten("seq")).alias("features"), "target")
 
 
 def fit_sequence_model(train_vec: DataFrame, reg: float = 1e-3, elastic: float = 0.0, max_iter: int = 50):
     """M8: the second forecaster, re-aimed as a distributed Spark ML regression on the
-    flattened sequence plus a one-hot symbol (the recurrent network itself is not built)."""
+    flattened sequence plus a one-hot symbol (the recurrent network itself is not built).
+    The label is the standardised target (A8), as in the reference's training loop."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    enc = OneHotEncoder(inputCols=["symbol_id"], outputCols=["sym_vec"], handleInvalid="keep")
+    enc = OneHotEncoder(inputCols=["symbol_id"], outputCols=["sym_vec"], handleInvalid="keep", dropLast=False)
     asm = VectorAssembler(inputCols=["features", "sym_vec"], outputCol="x")
-    lr = LinearRegression(featuresCol="x", labelCol="target", regParam=reg, elasticNetParam=elastic,
+    lr = LinearRegression(featuresCol="x", labelCol="target_s", regParam=reg, elasticNetParam=elastic,
                           maxIter=max_iter, standardization=True)
     return Pipeline(stages=[enc, asm, lr]).fit(train_vec)
+
+
+def standardise_target(df: DataFrame, scaling: DataFrame, target: str = "target") -> DataFrame:
+    """(y - mean) / std with the training statistics as scalar subqueries."""
+    mean, std = scaling.select("y_mean").scalar(), scaling.select("y_std").scalar()
+    return df.withColumn("target_s", F.try_divide(F.col(target) - mean, std))
+
+
+def destandardise(df: DataFrame, scaling: DataFrame, pred: str = "prediction", out: str = "seq_pred") -> DataFrame:
+    """M9: predictions back to the target's units: p * std + mean."""
+    mean, std = scaling.select("y_mean").scalar(), scaling.select("y_std").scalar()
+    return df.withColumn(out, F.col(pred) * std + mean)

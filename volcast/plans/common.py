@@ -19,6 +19,7 @@ BAR_WIDTH = "1 hour"     # registered plans work on hourly bars of ``events``
 DIGITS = 6               # results are rounded once, at the very end
 
 _MEMO: dict[tuple, str] = {}
+_SCHEMAS: dict[tuple, object] = {}
 _LOCK = threading.RLock()
 
 
@@ -35,9 +36,12 @@ def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]
         path = _MEMO.get(full_key)
         if path is None:
             path = fresh_scratch(spark, "-".join(str(k) for k in key[:1]))
-            write_parquet(build(), path, partition_by=partition_by)
-            _MEMO[full_key] = path
-    return spark.read.parquet(path)
+            df = build()
+            write_parquet(df, path, partition_by=partition_by)
+            _MEMO[full_key], _SCHEMAS[full_key] = path, df.schema
+    schema = _SCHEMAS[full_key]
+    # Read with the written schema: an empty result leaves no data file to infer from.
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def bars(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
@@ -102,3 +106,20 @@ def scaled(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFram
 
     return materialized(spark, ("scaled", width, src, source_signature(src)), build,
                         partition_by=["split", "symbol"])
+
+
+def sequence_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """W10 W11 Y-4: every-5th rows of each (symbol, split) series and their 48 x 8 windows,
+    all splits in one pass (the series key includes the split), written once."""
+    from volcast.operators import dataset as ds
+    cols = [*ds.SEQUENCE_FEATURES, "target_15m"]
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+
+    def build():
+        d = scaled(spark, sf_dir, width).select("symbol", "split", "event_time", *cols)
+        keys = ["symbol", "split"]
+        sampled = ds.drop_incomplete(ds.every_kth(d, key=keys), cols)
+        return ds.sequences(sampled, key=keys)
+
+    return materialized(spark, ("sequences", width, src, source_signature(src)), build,
+                        partition_by=["split"])

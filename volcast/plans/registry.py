@@ -7,6 +7,7 @@ once, at the end, in both the plan and its SQL twin.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from volcast.functions import market as m
 from volcast.operators import detect
 from volcast.plans import sql as S
 from volcast.plans.common import bars, feature_rows, features, rounded
+from volcast.session import ship_package
 
 Plan = Callable[[SparkSession, str], DataFrame]
 PLANS: dict[str, Plan] = {}
@@ -24,10 +26,14 @@ ORACLE: dict[str, str] = {}
 
 def plan(name: str, oracle: str | None = None):
     def deco(fn: Plan) -> Plan:
-        PLANS[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)          # Python workers import volcast from the shipped zip
+            return fn(spark, sf_dir)
+        PLANS[name] = run
         if oracle is not None:
             ORACLE[name] = oracle
-        return fn
+        return run
     return deco
 
 
@@ -122,7 +128,8 @@ def alert_rate(spark, sf_dir):
 from volcast.operators import dataset as ds  # noqa: E402
 from volcast.operators import models as md  # noqa: E402
 from volcast.operators import quality as qa  # noqa: E402
-from volcast.plans.common import scaled, scaler_stats, split_features  # noqa: E402
+from volcast.plans.common import scaled, scaler_stats, sequence_table, split_features  # noqa: E402
+from volcast.session import fresh_scratch  # noqa: E402
 from volcast.sources.tables import archive_and_gap_files, table  # noqa: E402
 
 STEP_S = 3600   # hourly bars
@@ -269,8 +276,7 @@ FROM seqs WHERE seq_len = {ds.SEQ_LEN}"""))
 def sequences(spark, sf_dir):
     """W11 Y-4: 48 x 8 windows of every-5th scaled training rows and the next row's target
     (reported as length plus first / last values of two features)."""
-    d = scaled(spark, sf_dir).filter("split = 'train'").select("symbol", "event_time", *_SEQ_OUT)
-    s = ds.sequences(ds.drop_incomplete(ds.every_kth(d), _SEQ_OUT))
+    s = sequence_table(spark, sf_dir).filter("split = 'train'")
     i_rv, i_br = ds.SEQUENCE_FEATURES.index("rv_15m"), ds.SEQUENCE_FEATURES.index("buy_ratio")
     first, last = F.col("seq")[0], F.col("seq")[ds.SEQ_LEN - 1]
     return rounded(s.select("symbol", "event_time", F.size("seq").alias("seq_len"),
@@ -374,19 +380,20 @@ def forecast_panel(spark, sf_dir):
 
 @plan("sequence_model_metrics")
 def sequence_model_metrics(spark, sf_dir):
-    """Spark ML regression on flattened 48 x 8 training sequences plus a
-    one-hot symbol, scored on every split that has sequences; RMSE / MAE per split."""
-    sc = scaled(spark, sf_dir)
-    ids = ds.dense_ids(sc.filter("split = 'train'"), "symbol")
-    per_split = []
-    for name in ("train", "val", "test"):
-        d = sc.filter(F.col("split") == name).select("symbol", "event_time", *_SEQ_OUT)
-        s = ds.sequences(ds.drop_incomplete(ds.every_kth(d), _SEQ_OUT))
-        per_split.append(md.flatten_sequences(s, ids).withColumn("split", F.lit(name)))
-    train = per_split[0]
-    model = md.fit_sequence_model(train)
-    scored = model.transform(per_split[0].unionByName(per_split[1]).unionByName(per_split[2]))
-    err = F.col("target") - F.col("prediction")
+    """Spark ML regression on flattened 48 x 8 training sequences plus a
+    one-hot symbol, trained on the standardised target, saved and re-loaded as a pipeline
+    artefact, then scored (de-standardised) on every split; n / RMSE / MAE per split."""
+    from pyspark.ml import PipelineModel
+    seqs = sequence_table(spark, sf_dir)
+    ids = ds.dense_ids(scaled(spark, sf_dir).filter("split = 'train'"), "symbol")
+    vec = md.flatten_sequences(seqs, ids)
+    train = vec.filter("split = 'train'")
+    scaling = md.target_scaling(train)
+    model = md.fit_sequence_model(md.standardise_target(train, scaling))
+    path = fresh_scratch(spark, "sequence-model")
+    model.write().overwrite().save(path)
+    scored = md.destandardise(PipelineModel.load(path).transform(vec), scaling)
+    err = F.col("target") - F.col("seq_pred")
     return rounded(scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
                                                F.sqrt(F.avg(err * err)).alias("rmse"),
                                                F.avg(F.abs(err)).alias("mae")))
@@ -407,7 +414,6 @@ def hash_sample(spark, sf_dir):
 # ---------------------------------------------------------------- ingestion
 
 from volcast.functions.market import epoch_to_millis, millis_to_ntz  # noqa: E402
-from volcast.session import fresh_scratch  # noqa: E402
 from volcast.sinks.files import write_csv  # noqa: E402
 from volcast.sources import archives as ar  # noqa: E402
 from volcast.sources import encode as enc  # noqa: E402
@@ -577,16 +583,20 @@ def live_run(spark, sf_dir) -> str:
         base = fresh_scratch(spark, "live")
         schema = table(spark, sf_dir, "events").schema
         once = {"availableNow": True}
-        q = live.start_forecasting(spark, live.event_ticks(live.file_stream(spark, src, schema)),
-                                   f"{base}/ck_forecast", f"{base}/forecasts", f"{base}/anomalies", trigger=once)
-        q.awaitTermination()
-        q = live.start_bars(live.event_ticks(live.file_stream(spark, src, schema)), f"{base}/ck_bars",
-                            f"{base}/bars", trigger=once)
-        q.awaitTermination()
-        envs = live.file_stream(spark, src, schema).select("event_id", "event_type", "ts", "value", "user_id",
-                                                            "props")
-        q = live.start_route(enc.envelopes(envs), f"{base}/ck_route", f"{base}/routed", trigger=once)
-        q.awaitTermination()
+
+        def stream():
+            return live.file_stream(spark, src, schema)
+
+        # Three independent queries, run side by side as a deployment would.
+        queries = [
+            live.start_forecasting(spark, live.event_ticks(stream()), f"{base}/ck_forecast", f"{base}/forecasts",
+                                   f"{base}/anomalies", trigger=once),
+            live.start_bars(live.event_ticks(stream()), f"{base}/ck_bars", f"{base}/bars", trigger=once),
+            live.start_route(enc.envelopes(stream()), f"{base}/ck_route", f"{base}/routed", trigger=once,
+                             parallelism=spark.sparkContext.defaultParallelism),
+        ]
+        for q in queries:
+            q.awaitTermination()
         _MEMO[key] = base
         return base
 

@@ -40,6 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -91,3 +92,41 @@ def source_signature(path: str) -> str:
     else:
         parts.append(path)
     return "|".join(parts)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``volcast`` importable in Python workers (pandas UDFs, keyed state processors).
+
+    Zips the package once per application and hands it to ``addPyFile`` — Spark's own
+    file server copies it to every executor (a few hundred kilobytes)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        target_dir = tempfile.mkdtemp(prefix="volcast-pkg-")   # driver copy; Spark ships it
+    else:
+        target_dir = os.path.join(base.replace("file:", "", 1), "volcast", f"pkg-{app}")
+        os.makedirs(target_dir, exist_ok=True)
+    path = os.path.join(target_dir, "volcast.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    # Driver-side Python runners (e.g. the keyed-state processor's init runner) do not
+    # read addPyFile includes; they take PYTHONPATH from each function's environment.
+    env = sc.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if path not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([path, *paths])
+    _SHIPPED.add(app)

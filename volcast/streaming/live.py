@@ -168,9 +168,13 @@ def start_bars(ticks: DataFrame, checkpoint: str, path: str, width: str = "1 hou
     return w.trigger(**(trigger or {"processingTime": TRIGGER})).start()
 
 
-def start_route(messages: DataFrame, checkpoint: str, path: str, trigger: dict | None = None) -> StreamingQuery:
+def start_route(messages: DataFrame, checkpoint: str, path: str, trigger: dict | None = None,
+                parallelism: int | None = None) -> StreamingQuery:
     """Envelopes -> (key = symbol, value = inner JSON) of closed candles.  For Kafka use
-    ``format("kafka")``; the file form co-locates a symbol's records by hash of the key."""
+    ``format("kafka")``; the file form co-locates a symbol's records by hash of the key.
+    ``parallelism`` round-robins a source with few partitions before the JSON work."""
+    if parallelism:
+        messages = messages.repartition(parallelism)
     r = msg.route(messages).select("key", "value", "symbol")
     w = (r.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
          .option("path", path).partitionBy("symbol"))
