@@ -32,3 +32,10 @@ def test_metrics_simple(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 3.0)], "y double, p double")
     r = md.regression_metrics(df, "y", {"m": "p"}).first()
     assert abs(r.rmse - np.sqrt(0.5)) < 1e-12 and abs(r.mae - 0.5) < 1e-12
+
+
+def test_symbol_lookup_prunes_partitions(spark):
+    import __spark_entry__ as E
+    df = E.queries()["symbol_lookup"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(symbol" in plan and "click" in plan

@@ -24,7 +24,7 @@ _LOCK = threading.RLock()
 
 
 def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame],
-                 partition_by: list[str] | None = None) -> DataFrame:
+                 partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
     """Write ``build()`` once per application into the shared scratch folder and read it back.
 
     Cuts lineage (a lost executor re-reads files instead of recomputing the
@@ -37,7 +37,7 @@ def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]
         if path is None:
             path = fresh_scratch(spark, "-".join(str(k) for k in key[:1]))
             df = build()
-            write_parquet(df, path, partition_by=partition_by)
+            write_parquet(df, path, partition_by=partition_by, sort_by=sort_by)
             _MEMO[full_key], _SCHEMAS[full_key] = path, df.schema
     schema = _SCHEMAS[full_key]
     # Read with the written schema: an empty result leaves no data file to infer from.
@@ -57,7 +57,7 @@ def feature_rows(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> Da
     return materialized(spark, ("features", width, src, source_signature(src)),
                         lambda: feature_table(bars(spark, sf_dir, width), targets=True,
                                               filter_targets=False),
-                        partition_by=["symbol"])
+                        partition_by=["symbol"], sort_by=["event_time"])
 
 
 def features(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
@@ -105,7 +105,7 @@ def scaled(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFram
         return drop_incomplete(d).select(*keep)
 
     return materialized(spark, ("scaled", width, src, source_signature(src)), build,
-                        partition_by=["split", "symbol"])
+                        partition_by=["split", "symbol"], sort_by=["event_time"])
 
 
 def sequence_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:

@@ -394,14 +394,36 @@ def sequence_model_metrics(spark, sf_dir):
     model.write().overwrite().save(path)
     scored = md.destandardise(PipelineModel.load(path).transform(vec), scaling)
     err = F.col("target") - F.col("seq_pred")
-    return rounded(scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
-                                               F.sqrt(F.avg(err * err)).alias("rmse"),
-                                               F.avg(F.abs(err)).alias("mae")))
+    per_split = scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"),
+                                            F.avg(F.abs(err)).alias("mae"))
+    # Loss over all splits as the sample-weighted mean of the per-split losses.
+    overall = per_split.agg(F.lit("all").alias("split"), F.sum("n").alias("n"),
+                            (F.sum(F.col("mse") * F.col("n")) / F.sum("n")).alias("mse"),
+                            (F.sum(F.col("mae") * F.col("n")) / F.sum("n")).alias("mae"))
+    out = per_split.unionByName(overall).select("split", "n", F.sqrt("mse").alias("rmse"), "mae")
+    return rounded(out)
 
 
 SAMPLE_FRACTION = 0.01
 
 
+@plan("har_artifact", S.with_(S.HAR_FIT, f"SELECT n_train, {S.rnd(*_FIT_OUT)} FROM har_fit"))
+def har_artifact(spark, sf_dir):
+    """K9: the fitted HAR coefficients saved as a model artefact and loaded back."""
+    from volcast.sinks.models import load_har, save_har
+    path = fresh_scratch(spark, "har-model")
+    save_har(_har_fit(spark, sf_dir), path)
+    return rounded(load_har(spark, path))
+
+
+@plan("symbol_lookup", S.with_(S.FEATURES, f"""
+SELECT symbol, event_time, {S.rnd('close', 'rv_15m', 'target_15m')} FROM targets WHERE symbol = 'click'"""))
+def symbol_lookup(spark, sf_dir):
+    """one symbol from the feature table — a partition-pruned read of ``symbol=click``."""
+    f = features(spark, sf_dir).filter(F.col("symbol") == "click")
+    return rounded(f.select("symbol", "event_time", "close", "rv_15m", "target_15m"))
+
+
 @plan("hash_sample")
 def hash_sample(spark, sf_dir):
     """F8: deterministic ~1 % sample of the ticks — a row is kept when the hash of its
@@ -477,6 +499,15 @@ def _typed_klines(d):
     return d.select("symbol", "open_time", *[kl.to_double(c).alias(c) for c in _KNUM], "close_time", "num_trades")
 
 
+@plan("warmup_closes", S.with_(S.BARS, "SELECT symbol, bar_time, round(close, 6) + 0.0 AS close FROM bars"))
+def warmup_closes(spark, sf_dir):
+    """REST pages decoded to the forecaster's warm-up input — close time (field 6)
+    and close (field 4) per symbol; close time + 1 ms is the bar label, so warm-up and live
+    bars share one key."""
+    rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
+    return rounded(kl.warmup_closes(kl.decode_rest_pages(enc.rest_pages(rows))))
+
+
 @plan("decode_rest_page", S.with_(_KROW_SQL, f"""
 SELECT symbol, open_time, {S.rnd(*_KNUM)}, close_time, num_trades FROM krows"""))
 def decode_rest_page(spark, sf_dir):

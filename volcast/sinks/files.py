@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                  mode: str = "overwrite") -> None:
+                  mode: str = "overwrite", sort_by: list[str] | None = None) -> None:
     """Parquet, optionally partitioned.  Rows are clustered by the partition columns
-    first so each task writes few files per partition directory."""
+    (so each task writes few files per directory) and then by ``sort_by`` (O2), so
+    row-group min/max statistics let later range filters skip row groups."""
     w = df
-    if partition_by:
-        w = w.sortWithinPartitions(*partition_by)
+    order = [*(partition_by or []), *(sort_by or [])]
+    if order:
+        w = w.sortWithinPartitions(*order)
     writer = w.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
