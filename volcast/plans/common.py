@@ -123,3 +123,13 @@ def sequence_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) ->
 
     return materialized(spark, ("sequences", width, src, source_signature(src)), build,
                         partition_by=["split"])
+
+
+def forecast_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """K5 (batch): the detector's forecast rows, written once, partitioned by symbol and
+    sorted by time inside — the forecast store's ((symbol, day), event_time) layout."""
+    from volcast.operators.detect import detect_anomalies
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    return materialized(spark, ("forecasts", width, src, source_signature(src)),
+                        lambda: detect_anomalies(bars(spark, sf_dir, width)),
+                        partition_by=["symbol"], sort_by=["day", "event_time"])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from volcast.functions import market as m
 from volcast.operators import detect
 from volcast.plans import sql as S
-from volcast.plans.common import bars, feature_rows, features, rounded
+from volcast.plans.common import bars, feature_rows, features, forecast_table, rounded
 from volcast.session import ship_package
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -97,7 +97,7 @@ _FORECAST_NUM = ("close", "rv_15m", "rv_1h", "rv_24h", "forecast", "vol_forecast
 SELECT symbol, event_time, day, {S.rnd(*_FORECAST_NUM)}, is_anomaly FROM forecasts"""))
 def har_zscore(spark, sf_dir):
     """Served HAR forecast, log residual, past-288 z-score, flag."""
-    return rounded(detect.detect_anomalies(bars(spark, sf_dir)))
+    return rounded(forecast_table(spark, sf_dir))
 
 
 @plan("anomalies", S.with_(S.DETECT, f"""
@@ -105,7 +105,7 @@ SELECT symbol, event_time, {S.rnd('close', 'forecast', 'rv_15m', 'zscore')}
 FROM forecasts WHERE is_anomaly"""))
 def anomalies(spark, sf_dir):
     """K6 / Y-7: flagged rows only."""
-    d = detect.detect_anomalies(bars(spark, sf_dir)).filter("is_anomaly")
+    d = forecast_table(spark, sf_dir).filter("is_anomaly")
     return rounded(d.select("symbol", "event_time", "close", "forecast", "rv_15m", "zscore"))
 
 
@@ -115,7 +115,7 @@ SELECT symbol, count(*) AS n_scored, CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0
 FROM forecasts GROUP BY symbol"""))
 def alert_rate(spark, sf_dir):
     """Share of scored bars flagged, per symbol."""
-    d = detect.detect_anomalies(bars(spark, sf_dir))
+    d = forecast_table(spark, sf_dir)
     flag = F.col("is_anomaly").cast("int")
     return rounded(d.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("n_scored"),
@@ -347,7 +347,7 @@ def latest_forecasts(spark, sf_dir):
     """The newest three forecasts of each (symbol, day) — the store's newest-first
     clustering, as a top-k per key (window per symbol-day, never per symbol)."""
     from pyspark.sql import Window
-    d = detect.detect_anomalies(bars(spark, sf_dir))
+    d = forecast_table(spark, sf_dir)
     w = Window.partitionBy("symbol", "day").orderBy(F.col("event_time").desc())
     d = d.withColumn("recency", F.row_number().over(w)).filter("recency <= 3")
     return rounded(d.select("symbol", "day", "event_time", "recency", "forecast", "residual", "zscore"))
@@ -366,7 +366,7 @@ SELECT symbol, time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01 00
 FROM forecasts GROUP BY symbol, time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01 00:00:00')"""))
 def forecast_panel(spark, sf_dir):
     """Realised vs forecast volatility and |z| with the ±4 bands, per symbol and 6 hours."""
-    d = detect.detect_anomalies(bars(spark, sf_dir))
+    d = forecast_table(spark, sf_dir)
     g = d.groupBy("symbol", F.window("event_time", PANEL_WIDTH).alias("w")).agg(
         F.count(F.lit(1)).alias("n_bars"),
         F.avg("vol_realized").alias("vol_realized"), F.avg("vol_forecast").alias("vol_forecast"),
