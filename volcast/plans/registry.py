@@ -100,6 +100,14 @@ def har_zscore(spark, sf_dir):
     return rounded(forecast_table(spark, sf_dir))
 
 
+@plan("har_zscore_1m", S.with_(S.detect_sql("minute"), f"""
+SELECT symbol, event_time, day, {S.rnd(*_FORECAST_NUM)}, is_anomaly FROM forecasts"""))
+def har_zscore_1m(spark, sf_dir):
+    """A1 W1-W3 M3 M4 W8 M5 on one-minute bars (the reference's bar width): a 1440-row
+    frame is a day of minutes, the z-score reaches 1728 rows back through the halo."""
+    return rounded(forecast_table(spark, sf_dir, "1 minute"))
+
+
 @plan("anomalies", S.with_(S.DETECT, f"""
 SELECT symbol, event_time, {S.rnd('close', 'forecast', 'rv_15m', 'zscore')}
 FROM forecasts WHERE is_anomaly"""))

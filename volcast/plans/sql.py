@@ -17,15 +17,19 @@ ticks AS (
          CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END AS taker_buy_volume
   FROM events)"""
 
-BARS = TICKS + """,
+def bars_sql(unit: str = "hour") -> str:
+    return TICKS + f""",
 bars AS (
-  SELECT symbol, date_trunc('hour', event_time) + INTERVAL 1 HOUR AS bar_time,
+  SELECT symbol, date_trunc('{unit}', event_time) + INTERVAL 1 {unit.upper()} AS bar_time,
          arg_min(price, event_time) AS open, max(price) AS high, min(price) AS low,
          arg_max(price, event_time) AS close, sum(volume) AS volume,
          sum(taker_buy_volume) AS taker_buy_volume, count(*) AS num_trades
-  FROM ticks GROUP BY symbol, date_trunc('hour', event_time))"""
+  FROM ticks GROUP BY symbol, date_trunc('{unit}', event_time))"""
 
-RETURNS = BARS + """,
+
+BARS = bars_sql("hour")
+
+_RETURNS_TAIL = """,
 ret0 AS (
   SELECT symbol, bar_time AS event_time, open, high, low, close, volume, taker_buy_volume, num_trades,
          lag(close) OVER (PARTITION BY symbol ORDER BY bar_time) AS prev_close,
@@ -35,6 +39,7 @@ ret AS (
   SELECT *, CASE WHEN prev_close <> 0 AND close / prev_close > 0 THEN ln(close / prev_close) END AS log_return
   FROM ret0),
 sq AS (SELECT *, log_return * log_return AS sq_return FROM ret)"""
+RETURNS = BARS + _RETURNS_TAIL
 
 
 def _rows(n: int) -> str:
@@ -75,7 +80,7 @@ def _har(rv15: str = "rv_15m", rv1h: str = "rv_1h", rv24: str = "rv_24h") -> str
             f" + {m.HAR_W_24H!r} * ln(1 + {rv24}))")
 
 
-DETECT = RETURNS + f""",
+_DETECT_TAIL = f""",
 drv AS (
   SELECT *,
     sum(sq_return) OVER {_rows(15)} AS rv_15m,
@@ -102,6 +107,11 @@ scored AS (
   FROM dz0 WHERE rn >= {m.MIN_PRICES}),
 forecasts AS (
   SELECT *, coalesce(abs(zscore) > {m.ANOMALY_THRESHOLD}, false) AS is_anomaly FROM scored)"""
+DETECT = RETURNS + _DETECT_TAIL
+
+
+def detect_sql(unit: str) -> str:
+    return bars_sql(unit) + _RETURNS_TAIL + _DETECT_TAIL
 
 
 def with_(ctes: str, body: str) -> str:
