@@ -553,6 +553,34 @@ def csv_klines(spark, sf_dir):
     return rounded(_typed_klines(raw.filter(F.col("_corrupt").isNull())))
 
 
+@plan("etl_from_csv", S.with_(S.FEATURES, f"""
+SELECT symbol, event_time, {S.rnd('close', 'rv_15m', 'rv_24h', 'parkinson_15m', 'volume_zscore', 'buy_ratio',
+                                  'target_15m', 'target_1h')} FROM targets"""))
+def etl_from_csv(spark, sf_dir):
+    """The ETL notebook end to end — archive CSV (before the
+    90 % cut) and gap-file CSV (from the 80 % cut, with µs epochs) overlap; both are read by
+    one glob, normalised, de-duplicated on (symbol, time) and turned into features + targets."""
+    from volcast.functions.market import ntz_micros
+    from volcast.operators.dataset import split_bounds
+    from volcast.operators.features import feature_table
+    rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
+    b = split_bounds(rows.select(millis_to_ntz("open_time").alias("t")), "t")
+    us = F.col("open_time") * 1000
+    out = fresh_scratch(spark, "klines-etl")
+    write_csv(rows.filter(us < b["val_cut"]).select(*kl.KLINE_FIELDS, "symbol"), f"{out}/archive",
+              partition_by=["symbol"])
+    gap = rows.filter(us >= b["train_cut"]).withColumn("open_time", F.col("open_time") * 1000)  # µs epochs
+    write_csv(gap.select(*kl.KLINE_FIELDS, "symbol"), f"{out}/gap", partition_by=["symbol"])
+    raw = kl.read_kline_csv(spark, f"{out}/*/symbol=*/*.csv", symbol_pattern=r"/symbol=([^/]+)/")
+    norm = kl.normalise_klines(raw.filter(F.col("_corrupt").isNull()))
+    unique = qa.dedupe(kl.klines_to_bars(norm), ["symbol", "bar_time"], ["num_trades"])
+    # Archive rows are labelled by open time; the bar table by window end.
+    unique = unique.withColumn("bar_time", F.col("bar_time") + F.expr(f"INTERVAL {STEP_S} SECONDS"))
+    f = feature_table(unique, targets=True)
+    return rounded(f.select("symbol", "event_time", "close", "rv_15m", "rv_24h", "parkinson_15m",
+                            "volume_zscore", "buy_ratio", "target_15m", "target_1h"))
+
+
 @plan("manifest_missing", S.with_(S.BARS + """,
 days AS (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE)
                 AS period FROM events),
