@@ -654,11 +654,14 @@ def live_run(spark, sf_dir) -> str:
         def stream():
             return live.file_stream(spark, src, schema)
 
-        # Three independent queries, run side by side as a deployment would.
+        # Three independent queries, run side by side as a deployment would; state
+        # partitions = the session's parallelism (a handful of symbols here).
+        par = spark.sparkContext.defaultParallelism
         queries = [
             live.start_forecasting(spark, live.event_ticks(stream()), f"{base}/ck_forecast", f"{base}/forecasts",
-                                   f"{base}/anomalies", trigger=once),
-            live.start_bars(live.event_ticks(stream()), f"{base}/ck_bars", f"{base}/bars", trigger=once),
+                                   f"{base}/anomalies", trigger=once, state_partitions=par),
+            live.start_bars(live.event_ticks(stream()), f"{base}/ck_bars", f"{base}/bars", trigger=once,
+                            state_partitions=par),
             live.start_route(enc.envelopes(stream()), f"{base}/ck_route", f"{base}/routed", trigger=once,
                              parallelism=spark.sparkContext.defaultParallelism),
         ]

@@ -130,3 +130,24 @@ def ship_package(spark: SparkSession) -> None:
     if path not in paths:
         env["PYTHONPATH"] = os.pathsep.join([path, *paths])
     _SHIPPED.add(app)
+
+
+def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Spark settings sized for a data volume and a cluster (pass to ``build_session(extra=...)``).
+
+    Shuffle partitions: enough that each holds ~``target_partition_bytes`` of the input
+    (bars and features are far smaller than ticks, AQE coalesces the rest), and at least
+    three waves of tasks.  File splits match the same size, and AQE splits any shuffle
+    partition five times the median and above 1 GiB (skew)."""
+    parts = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -149,23 +149,41 @@ def latest(table: DataFrame, keys=("symbol", "day", "event_time")) -> DataFrame:
 
 def start_forecasting(spark: SparkSession, ticks: DataFrame, checkpoint: str, forecast_path: str,
                       anomaly_path: str, width: str = "1 hour", coef: dict | None = None,
-                      initial: DataFrame | None = None, trigger: dict | None = None) -> StreamingQuery:
+                      initial: DataFrame | None = None, trigger: dict | None = None,
+                      state_partitions: int | None = None) -> StreamingQuery:
     """T4 T5: the whole live job.  ``trigger`` defaults to the reference's 10 s cadence;
-    pass ``{"availableNow": True}`` to drain the input and stop (tests, replays)."""
+    pass ``{"availableNow": True}`` to drain the input and stop (tests, replays).
+
+    ``state_partitions`` fixes the number of state-store partitions (bar windows and
+    per-symbol state).  Spark records it in the checkpoint at the first start and keeps
+    it for the life of the checkpoint, so choose it for the cluster, not the first batch."""
     use_rocksdb(spark)
     out = forecasts(stream_bars(ticks, width), coef, initial)
     w = (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(ForecastSink(forecast_path, anomaly_path)))
     w = w.trigger(**(trigger or {"processingTime": TRIGGER}))
-    return w.start()
+    return _start_with_partitions(spark, w, state_partitions)
+
+
+def _start_with_partitions(spark: SparkSession, writer, partitions: int | None) -> StreamingQuery:
+    if not partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def start_bars(ticks: DataFrame, checkpoint: str, path: str, width: str = "1 hour",
-               trigger: dict | None = None) -> StreamingQuery:
+               trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Final bars to a parquet table (file sink: exactly-once through its commit log)."""
     w = (stream_bars(ticks, width).writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", checkpoint).option("path", path))
-    return w.trigger(**(trigger or {"processingTime": TRIGGER})).start()
+    w = w.trigger(**(trigger or {"processingTime": TRIGGER}))
+    return _start_with_partitions(ticks.sparkSession, w, state_partitions)
 
 
 def start_route(messages: DataFrame, checkpoint: str, path: str, trigger: dict | None = None,
