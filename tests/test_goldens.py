@@ -64,7 +64,8 @@ def test_sequence_counts(spark):
 
 
 def _z_frame(spark, residuals):
-    d = spark.createDataFrame([("A", i, float(r)) for i, r in enumerate(residuals)], "symbol string, i long, residual double")
+    d = spark.createDataFrame([("A", i, None if r is None else float(r)) for i, r in enumerate(residuals)],
+                              "symbol string, i long, residual double")
     spec = Window.partitionBy("symbol").orderBy("i")
     return detect.add_zscore(d, spec).orderBy("i").collect()
 
@@ -89,3 +90,39 @@ def test_stream_state_matches_golden():
     import numpy as np
     arr = np.asarray(s.residuals)
     assert abs((5 - arr.mean()) / arr.std(ddof=1) - 5 / math.sqrt(288 / 287)) < 1e-12
+
+
+def _z_blocked(spark, residuals, chunk=None):
+    from volcast.operators.series import CHUNK, RN, over_series
+    d = spark.createDataFrame([("A", i, float(r) if r is not None else None) for i, r in enumerate(residuals)],
+                              "symbol string, i long, residual double")
+    d = d.withColumn("t", F.timestamp_seconds(F.col("i") * 60).cast("timestamp_ntz"))
+
+    def build(frame, spec):
+        return detect.add_zscore_blocked(frame, spec, ["symbol", CHUNK], RN)
+
+    out = over_series(d, ["symbol"], "t", build, back=m.Z_PAST_ROWS, chunk_rows=chunk)
+    return [r.zscore for r in out.orderBy("i").collect()]
+
+
+def test_blocked_z_golden_and_gate(spark):
+    z = _z_blocked(spark, [(-1.0) ** i for i in range(288)] + [5.0])
+    assert abs(z[-1] - 5 / math.sqrt(288 / 287)) < 1e-9
+    z = _z_blocked(spark, [(-1) ** i for i in range(30)])
+    assert z[28] is None and z[29] is not None
+    z = _z_blocked(spark, [2.5] * 100)          # constant: std 0 -> no z
+    assert all(v is None for v in z)
+
+
+def test_blocked_z_equals_sliding(spark):
+    import random
+    rnd = random.Random(3)
+    res = [None] * 15 + [rnd.gauss(0, 1) * (1 + (i // 200)) for i in range(1100)]
+    want = [r.zscore for r in _z_frame(spark, res)]
+    for chunk in (None, 97, 400):
+        got = _z_blocked(spark, res, chunk)
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            assert (a is None) == (b is None)
+            if a is not None:
+                assert abs(a - b) < 1e-9
