@@ -44,6 +44,15 @@ def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def once_per_app(spark: SparkSession, key: tuple, run: Callable[[], str]) -> str:
+    """Run ``run()`` (which returns a path) once per application and key; return its path."""
+    full_key = (spark.sparkContext.applicationId, *key)
+    with _LOCK:
+        if full_key not in _MEMO:
+            _MEMO[full_key] = run()
+        return _MEMO[full_key]
+
+
 def bars(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """Hourly bars of ``events`` (materialised once per application and input)."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"

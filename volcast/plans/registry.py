@@ -14,10 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volcast.functions import market as m
+from volcast.functions.market import epoch_to_millis, millis_to_ntz
+from volcast.operators import dataset as ds
 from volcast.operators import detect
+from volcast.operators import models as md
+from volcast.operators import quality as qa
+from volcast.operators.partitioning import spread
 from volcast.plans import sql as S
-from volcast.plans.common import bars, feature_rows, features, forecast_table, rounded
-from volcast.session import ship_package
+from volcast.plans.common import (bars, feature_rows, features, forecast_table, once_per_app, rounded, scaled,
+                                  scaler_stats, sequence_table, split_features)
+from volcast.session import fresh_scratch, ship_package, source_signature
+from volcast.sinks.files import write_csv
+from volcast.sources import archives as ar
+from volcast.sources import encode as enc
+from volcast.sources import klines as kl
+from volcast.sources import messages as msg
+from volcast.sources.tables import archive_and_gap_files, table
+from volcast.streaming import live
 
 Plan = Callable[[SparkSession, str], DataFrame]
 PLANS: dict[str, Plan] = {}
@@ -133,12 +146,6 @@ def alert_rate(spark, sf_dir):
 
 # ---------------------------------------------------------------- data quality
 
-from volcast.operators import dataset as ds  # noqa: E402
-from volcast.operators import models as md  # noqa: E402
-from volcast.operators import quality as qa  # noqa: E402
-from volcast.plans.common import scaled, scaler_stats, sequence_table, split_features  # noqa: E402
-from volcast.session import fresh_scratch  # noqa: E402
-from volcast.sources.tables import archive_and_gap_files, table  # noqa: E402
 
 STEP_S = 3600   # hourly bars
 
@@ -443,13 +450,6 @@ def hash_sample(spark, sf_dir):
 
 # ---------------------------------------------------------------- ingestion
 
-from volcast.functions.market import epoch_to_millis, millis_to_ntz  # noqa: E402
-from volcast.sinks.files import write_csv  # noqa: E402
-from volcast.sources import archives as ar  # noqa: E402
-from volcast.sources import encode as enc  # noqa: E402
-from volcast.sources import klines as kl  # noqa: E402
-from volcast.sources import messages as msg  # noqa: E402
-from volcast.operators.partitioning import spread  # noqa: E402
 
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 _TAKER = "CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END"
@@ -633,9 +633,6 @@ def archive_unpack(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
-from volcast.plans.common import _LOCK, _MEMO  # noqa: E402
-from volcast.session import source_signature  # noqa: E402
-from volcast.streaming import live  # noqa: E402
 
 
 def live_run(spark, sf_dir) -> str:
@@ -643,32 +640,31 @@ def live_run(spark, sf_dir) -> str:
     bars, forecasts + anomalies (foreachBatch) and routed messages, each with its own
     checkpoint under one fresh scratch folder."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (spark.sparkContext.applicationId, "live", src, source_signature(src))
-    with _LOCK:
-        if key in _MEMO:
-            return _MEMO[key]
-        base = fresh_scratch(spark, "live")
-        schema = table(spark, sf_dir, "events").schema
-        once = {"availableNow": True}
-
-        def stream():
-            return live.file_stream(spark, src, schema)
-
-        # Three independent queries, run side by side as a deployment would; state
-        # partitions = the session's parallelism (a handful of symbols here).
-        par = spark.sparkContext.defaultParallelism
-        queries = [
-            live.start_forecasting(spark, live.event_ticks(stream()), f"{base}/ck_forecast", f"{base}/forecasts",
-                                   f"{base}/anomalies", trigger=once, state_partitions=par),
-            live.start_bars(live.event_ticks(stream()), f"{base}/ck_bars", f"{base}/bars", trigger=once,
-                            state_partitions=par),
-            live.start_route(enc.envelopes(stream()), f"{base}/ck_route", f"{base}/routed", trigger=once,
-                             parallelism=spark.sparkContext.defaultParallelism),
-        ]
-        for q in queries:
-            q.awaitTermination()
-        _MEMO[key] = base
-        return base
+    return once_per_app(spark, ("live", src, source_signature(src)), lambda: _drain_live(spark, sf_dir, src))
+
+
+def _drain_live(spark, sf_dir, src) -> str:
+    base = fresh_scratch(spark, "live")
+    schema = table(spark, sf_dir, "events").schema
+    once = {"availableNow": True}
+
+    def stream():
+        return live.file_stream(spark, src, schema)
+
+    # Three independent queries, run side by side as a deployment would; state
+    # partitions = the session's parallelism (a handful of symbols here).
+    par = spark.sparkContext.defaultParallelism
+    queries = [
+        live.start_forecasting(spark, live.event_ticks(stream()), f"{base}/ck_forecast", f"{base}/forecasts",
+                               f"{base}/anomalies", trigger=once, state_partitions=par),
+        live.start_bars(live.event_ticks(stream()), f"{base}/ck_bars", f"{base}/bars", trigger=once,
+                        state_partitions=par),
+        live.start_route(enc.envelopes(stream()), f"{base}/ck_route", f"{base}/routed", trigger=once,
+                         parallelism=spark.sparkContext.defaultParallelism),
+    ]
+    for q in queries:
+        q.awaitTermination()
+    return base
 
 
 _WM = "(SELECT (epoch_us(max(ts)) // 1000) - 30000 FROM events)"   # watermark in ms after the last batch

@@ -78,7 +78,7 @@ def kline_rows(bars: DataFrame, width_ms: int) -> DataFrame:
         F.lit("0").alias("ignore"))
 
 
-def _row_text(r: str = "") -> Column:
+def _row_text() -> Column:
     """One REST kline as a mixed JSON array: integers bare, prices as strings."""
     s = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
     parts = [F.col("open_time").cast("string"), s("open"), s("high"), s("low"), s("close"), s("volume"),
