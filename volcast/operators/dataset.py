@@ -29,15 +29,31 @@ def split_bounds(df: DataFrame, time: str = "event_time") -> dict[str, Column]:
     t0, t1 = ntz_micros(F.min(time)), ntz_micros(F.max(time))
     b = df.agg(t0.alias("t0"), t1.alias("t1"))
     span = F.col("t1") - F.col("t0")
-    cuts = b.select(
+    cuts = b.select(F.struct(
+        (F.col("t0") + F.floor(span * TRAIN_FRACTION)).cast("long").alias("train_cut"),
+        (F.col("t0") + F.floor(span * VAL_FRACTION)).cast("long").alias("val_cut")).alias("c"))
+    # One struct-valued subquery: every use is the same plan, so Spark runs it once.
+    c = cuts.scalar()
+    return {"train_cut": c["train_cut"], "val_cut": c["val_cut"]}
+
+
+def split_cuts(df: DataFrame, time: str = "event_time") -> DataFrame:
+    """The two cuts (epoch µs) as a one-row table — to be written once and reused."""
+    t0, t1 = ntz_micros(F.min(time)), ntz_micros(F.max(time))
+    span = F.col("t1") - F.col("t0")
+    return df.agg(t0.alias("t0"), t1.alias("t1")).select(
         (F.col("t0") + F.floor(span * TRAIN_FRACTION)).cast("long").alias("train_cut"),
         (F.col("t0") + F.floor(span * VAL_FRACTION)).cast("long").alias("val_cut"))
-    return {"train_cut": cuts.select("train_cut").scalar(), "val_cut": cuts.select("val_cut").scalar()}
 
 
-def chrono_split(df: DataFrame, time: str = "event_time") -> DataFrame:
-    """label rows train / val / test by the global cuts (one pass, no re-scan per split)."""
-    b = split_bounds(df, time)
+def chrono_split(df: DataFrame, time: str = "event_time", cuts: DataFrame | None = None) -> DataFrame:
+    """label rows train / val / test by the global cuts (one pass, no re-scan per split).
+    ``cuts`` is a one-row table from :func:`split_cuts`; without it the cuts are a subquery."""
+    if cuts is not None:
+        c = cuts.select(F.struct("train_cut", "val_cut").alias("c")).scalar()
+        b = {"train_cut": c["train_cut"], "val_cut": c["val_cut"]}
+    else:
+        b = split_bounds(df, time)
     us = ntz_micros(time)
     split = (F.when(us < b["train_cut"], F.lit("train"))
               .when(us < b["val_cut"], F.lit("val"))

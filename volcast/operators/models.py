@@ -57,10 +57,16 @@ def fit_har(df: DataFrame, inputs: Sequence[str] = HAR_INPUTS, target: str = HAR
                       F.col("my").alias("y_mean"))
 
 
+def _fit_row(fit: DataFrame) -> Column:
+    """The one-row fit as a single struct-valued scalar subquery.  Every use is the same
+    plan, so Spark executes the fit once however many fields are read."""
+    return fit.select(F.struct(*fit.columns).alias("fit")).scalar()
+
+
 def coefficients(fit: DataFrame) -> dict[str, Column]:
-    """Coefficients as scalar subqueries, ready for :func:`har_forecast`."""
-    return {"intercept": fit.select("intercept").scalar(), "w15": fit.select("w_15m").scalar(),
-            "w1h": fit.select("w_1h").scalar(), "w24": fit.select("w_24h").scalar()}
+    """Coefficients as fields of one scalar subquery, ready for :func:`har_forecast`."""
+    row = _fit_row(fit)
+    return {"intercept": row["intercept"], "w15": row["w_15m"], "w1h": row["w_1h"], "w24": row["w_24h"]}
 
 
 def score_har_fitted(df: DataFrame, fit: DataFrame, out: str = "har_pred") -> DataFrame:
@@ -82,7 +88,7 @@ def regression_metrics(df: DataFrame, truth: str, preds: dict[str, Column | str]
 
 def mean_target(fit: DataFrame) -> Column:
     """The naive predictor — mean target over the fit's rows — as a scalar subquery."""
-    return fit.select("y_mean").scalar()
+    return _fit_row(fit)["y_mean"]
 
 
 def target_scaling(train_seq: DataFrame, target: str = "target") -> DataFrame:
@@ -118,11 +124,11 @@ def fit_sequence_model(train_vec: DataFrame, reg: float = 1e-3, elastic: float =
 
 def standardise_target(df: DataFrame, scaling: DataFrame, target: str = "target") -> DataFrame:
     """(y - mean) / std with the training statistics as scalar subqueries."""
-    mean, std = scaling.select("y_mean").scalar(), scaling.select("y_std").scalar()
-    return df.withColumn("target_s", F.try_divide(F.col(target) - mean, std))
+    row = _fit_row(scaling)
+    return df.withColumn("target_s", F.try_divide(F.col(target) - row["y_mean"], row["y_std"]))
 
 
 def destandardise(df: DataFrame, scaling: DataFrame, pred: str = "prediction", out: str = "seq_pred") -> DataFrame:
     """M9: predictions back to the target's units: p * std + mean."""
-    mean, std = scaling.select("y_mean").scalar(), scaling.select("y_std").scalar()
-    return df.withColumn(out, F.col(pred) * std + mean)
+    row = _fit_row(scaling)
+    return df.withColumn(out, F.col(pred) * row["y_std"] + row["y_mean"])

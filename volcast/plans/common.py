@@ -87,10 +87,26 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
+def split_cuts(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """The 80 % / 90 % cuts of the feature table's span, written once (one row)."""
+    from volcast.operators.dataset import split_cuts as cuts_of
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    return materialized(spark, ("split_cuts", width, src, source_signature(src)),
+                        lambda: cuts_of(features(spark, sf_dir, width)))
+
+
 def split_features(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """features_with_targets labelled train / val / test by the global time cuts."""
     from volcast.operators.dataset import chrono_split
-    return chrono_split(features(spark, sf_dir, width))
+    return chrono_split(features(spark, sf_dir, width), cuts=split_cuts(spark, sf_dir, width))
+
+
+def har_fit(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """M1 K9: the HAR-RV fit on the train split, written once as a one-row model table."""
+    from volcast.operators.models import fit_har
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    return materialized(spark, ("har_fit", width, src, source_signature(src)),
+                        lambda: fit_har(split_features(spark, sf_dir, width).filter("split = 'train'")))
 
 
 def scaler_stats(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
@@ -142,3 +158,11 @@ def forecast_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) ->
     return materialized(spark, ("forecasts", width, src, source_signature(src)),
                         lambda: detect_anomalies(bars(spark, sf_dir, width)),
                         partition_by=["symbol"], sort_by=["day", "event_time"])
+
+
+def symbol_dictionary(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """Dense ids of the training symbols, written once (one row per symbol)."""
+    from volcast.operators.dataset import dense_ids
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    return materialized(spark, ("symbol_ids", width, src, source_signature(src)),
+                        lambda: dense_ids(scaled(spark, sf_dir, width).filter("split = 'train'"), "symbol"))

@@ -19,10 +19,12 @@ from volcast.operators import dataset as ds
 from volcast.operators import detect
 from volcast.operators import models as md
 from volcast.operators import quality as qa
+from volcast.operators.joins import small_side
 from volcast.operators.partitioning import spread
 from volcast.plans import sql as S
 from volcast.plans.common import (bars, feature_rows, features, forecast_table, once_per_app, rounded, scaled,
-                                  scaler_stats, sequence_table, split_features)
+                                  scaler_stats, sequence_table, split_features, symbol_dictionary)
+from volcast.plans.common import har_fit as fitted_har
 from volcast.session import fresh_scratch, ship_package, source_signature
 from volcast.sinks.files import write_csv
 from volcast.sources import archives as ar
@@ -260,7 +262,7 @@ SELECT symbol, CAST(row_number() OVER (ORDER BY symbol) - 1 AS INTEGER) AS symbo
 FROM (SELECT DISTINCT symbol FROM scaled WHERE split = 'train')"""))
 def symbol_ids(spark, sf_dir):
     """Dense ids over the sorted distinct training symbols."""
-    return ds.dense_ids(scaled(spark, sf_dir).filter("split = 'train'"), "symbol")
+    return symbol_dictionary(spark, sf_dir)
 
 
 _SEQ_OUT = [*ds.SEQUENCE_FEATURES, "target_15m"]
@@ -305,14 +307,10 @@ def sequences(spark, sf_dir):
 _FIT_OUT = ["intercept", "w_15m", "w_1h", "w_24h", "y_mean"]
 
 
-def _har_fit(spark, sf_dir):
-    return md.fit_har(split_features(spark, sf_dir).filter("split = 'train'"))
-
-
 @plan("har_fit", S.with_(S.HAR_FIT, f"SELECT n_train, {S.rnd(*_FIT_OUT)} FROM har_fit"))
 def har_fit(spark, sf_dir):
     """M1: HAR-RV least squares on the train split (normal equations, one aggregate)."""
-    return rounded(_har_fit(spark, sf_dir))
+    return rounded(md.fit_har(split_features(spark, sf_dir).filter("split = 'train'")))
 
 
 @plan("model_metrics", S.with_(S.HAR_FIT + """,
@@ -328,7 +326,7 @@ SELECT model, count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 6) + 0.0 AS rms
 FROM per_model WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY model"""))
 def model_metrics(spark, sf_dir):
     """RMSE / MAE of the fitted HAR model and the mean predictor on test."""
-    fit = _har_fit(spark, sf_dir)
+    fit = fitted_har(spark, sf_dir)
     test = md.score_har_fitted(split_features(spark, sf_dir).filter("split = 'test'"), fit)
     return rounded(md.regression_metrics(test, "target_15m",
                                          {"HAR": "har_pred", "mean": md.mean_target(fit)}))
@@ -400,10 +398,11 @@ def sequence_model_metrics(spark, sf_dir):
     artefact, then scored (de-standardised) on every split; n / RMSE / MAE per split."""
     from pyspark.ml import PipelineModel
     seqs = sequence_table(spark, sf_dir)
-    ids = ds.dense_ids(scaled(spark, sf_dir).filter("split = 'train'"), "symbol")
-    vec = md.flatten_sequences(seqs, ids)
+    vec = md.flatten_sequences(seqs, small_side(symbol_dictionary(spark, sf_dir)))   # size-checked broadcast
     train = vec.filter("split = 'train'")
-    scaling = md.target_scaling(train)
+    path = fresh_scratch(spark, "sequence-target-scaling")
+    md.target_scaling(train).write.parquet(path)          # A8: one row, reused by fit and scoring
+    scaling = spark.read.parquet(path)
     model = md.fit_sequence_model(md.standardise_target(train, scaling))
     path = fresh_scratch(spark, "sequence-model")
     model.write().overwrite().save(path)
@@ -427,7 +426,7 @@ def har_artifact(spark, sf_dir):
     """K9: the fitted HAR coefficients saved as a model artefact and loaded back."""
     from volcast.sinks.models import load_har, save_har
     path = fresh_scratch(spark, "har-model")
-    save_har(_har_fit(spark, sf_dir), path)
+    save_har(md.fit_har(split_features(spark, sf_dir).filter("split = 'train'")), path)
     return rounded(load_har(spark, path))
 
 
