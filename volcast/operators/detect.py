@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from volcast.functions import market as m
 from volcast.operators.features import add_realised_variance, add_returns, bars_to_events
-from volcast.operators.series import CHUNK, RN, over_series
+from volcast.operators.series import CHUNK, RN, over_series, window_moments
 
 DETECT_RV = {"rv_15m": 15, "rv_1h": 60, "rv_24h": 1440}
 FORECAST_COLUMNS = ["symbol", "event_time", "day", "close", "rv_15m", "rv_1h", "rv_24h", "forecast",
@@ -30,47 +30,11 @@ def add_zscore(frame: DataFrame, spec, value: str = "residual", out: str = "zsco
 def add_zscore_blocked(frame: DataFrame, spec, part_keys: list[str], rn: str, value: str = "residual",
                        out: str = "zscore", past_rows: int = m.Z_PAST_ROWS,
                        min_past: int = m.Z_MIN_PAST) -> DataFrame:
-    """W8 in O(rows): same result as :func:`add_zscore`, without re-aggregating 288 rows per row.
-
-    Rows are cut into blocks of ``past_rows`` by global row number.  The past window of
-    row i (rows i-w .. i-1) is the tail of the previous block from i's offset on plus the
-    head of its own block before i.  Both parts come from running frames inside a block
-    (count, mean, population variance — Welford updates, exact zero for constant data)
-    and are combined with the parallel-variance merge (Chan et al.), the same merge Spark
-    applies to partial aggregates.  ``part_keys`` are the partition keys of ``spec``."""
-    w = past_rows
-    blk = "_zb"
-    frame = frame.withColumn(blk, F.floor((F.col(rn) - 1) / w))
-    asc = Window.partitionBy(*part_keys, blk).orderBy(F.col(rn)).rowsBetween(Window.unboundedPreceding, 0)
-    desc = Window.partitionBy(*part_keys, blk).orderBy(F.col(rn).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    x = F.col(value)
-    frame = frame.withColumns({
-        "_ha_n": F.count(x).over(asc), "_ha_m": F.avg(x).over(asc), "_ha_v": F.var_pop(x).over(asc),
-        "_tb_n": F.count(x).over(desc), "_tb_m": F.avg(x).over(desc), "_tb_v": F.var_pop(x).over(desc),
-    })
-    # head of own block before i: running stats at row i-1 (same block unless i opens it)
-    own = F.lag(blk, 1).over(spec) == F.col(blk)
-    frame = frame.withColumns({
-        "_a_n": F.when(own, F.lag("_ha_n", 1).over(spec)).otherwise(F.lit(0)),
-        "_a_m": F.when(own, F.lag("_ha_m", 1).over(spec)),
-        "_a_v": F.when(own, F.lag("_ha_v", 1).over(spec)),
-        # tail of the previous block from i's offset: stats of row i-w (one block back)
-        "_b_n": F.coalesce(F.lag("_tb_n", w).over(spec), F.lit(0)),
-        "_b_m": F.lag("_tb_m", w).over(spec),
-        "_b_v": F.lag("_tb_v", w).over(spec),
-    })
-    na, nb = F.col("_a_n").cast("double"), F.col("_b_n").cast("double")
-    n = na + nb
-    ma, mb = F.coalesce(F.col("_a_m"), F.lit(0.0)), F.coalesce(F.col("_b_m"), F.lit(0.0))
-    m2a = F.coalesce(F.col("_a_v"), F.lit(0.0)) * na
-    m2b = F.coalesce(F.col("_b_v"), F.lit(0.0)) * nb
-    delta = mb - ma
-    mean = F.when(n > 0, ma + delta * nb / n)
-    m2 = m2a + m2b + F.when(n > 0, delta * delta * na * nb / n).otherwise(F.lit(0.0))
-    std = F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1)))
-    z = F.when(n >= min_past, m.safe_zscore(value, mean, std))
-    return frame.withColumn(out, z).drop(blk, "_ha_n", "_ha_m", "_ha_v", "_tb_n", "_tb_m", "_tb_v",
-                                         "_a_n", "_a_m", "_a_v", "_b_n", "_b_m", "_b_v")
+    """W8 in O(rows): same result as :func:`add_zscore` (past ``past_rows`` values,
+    at least ``min_past``), with the window moments from :func:`window_moments`."""
+    frame = window_moments(frame, spec, part_keys, rn, value, past_rows, past=True, prefix="_z")
+    z = F.when(F.col("_z_n") >= min_past, m.safe_zscore(value, "_z_mean", "_z_std"))
+    return frame.withColumn(out, z).drop("_z_n", "_z_mean", "_z_std")
 
 
 def score_har(df: DataFrame, coef: dict | None = None) -> DataFrame:

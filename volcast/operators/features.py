@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from volcast.functions import market as m
-from volcast.operators.series import over_series, rolling_sum_prefix
+from volcast.operators.series import CHUNK, RN, over_series, rolling_sum_prefix, window_moments
 
 # Fixed window lengths (rows) of the reference's feature set.
 RV_WINDOWS = {"rv_15m": 15, "rv_1h": 60, "rv_4h": 240, "rv_24h": 1440}
@@ -49,15 +49,24 @@ def add_realised_variance(frame: DataFrame, spec, windows: dict[str, int] = RV_W
     return frame
 
 
-def add_range_volume(frame: DataFrame, spec) -> DataFrame:
-    """Parkinson, volume z-score, buy ratio."""
+def add_range_volume(frame: DataFrame, spec, part_keys: list[str] | None = None, rn: str | None = None) -> DataFrame:
+    """Parkinson, volume z-score, buy ratio.
+
+    With ``part_keys``/``rn`` (the halo-chunk series) the 60-row volume mean and std
+    come from :func:`window_moments` in O(rows); otherwise from sliding frames."""
     frame = frame.withColumn("parkinson_1m", m.parkinson_bar("high", "low"))
-    vol = spec.rowsBetween(-(VOLUME_WINDOW - 1), 0)
     cols = {k: F.avg("parkinson_1m").over(spec.rowsBetween(-(n - 1), 0))
             for k, n in PARKINSON_WINDOWS.items()}
-    cols["vol_mean_1h"] = F.avg("volume").over(vol)
-    cols["vol_std_1h"] = F.stddev_samp("volume").over(vol)
+    if part_keys and rn:
+        frame = window_moments(frame, spec, part_keys, rn, "volume", VOLUME_WINDOW, past=False, prefix="_vol")
+        cols["vol_mean_1h"] = F.col("_vol_mean")
+        cols["vol_std_1h"] = F.col("_vol_std")
+    else:
+        vol = spec.rowsBetween(-(VOLUME_WINDOW - 1), 0)
+        cols["vol_mean_1h"] = F.avg("volume").over(vol)
+        cols["vol_std_1h"] = F.stddev_samp("volume").over(vol)
     frame = frame.withColumns(cols)
+    frame = frame.drop(*[c for c in ("_vol_n", "_vol_mean", "_vol_std") if c in frame.columns])
     return frame.withColumns({
         "volume_zscore": m.safe_zscore("volume", "vol_mean_1h", "vol_std_1h"),
         "buy_ratio": m.ratio("taker_buy_volume", "volume"),
@@ -102,7 +111,7 @@ def feature_table(bars: DataFrame, targets: bool = True, chunk_rows: int | None
     def build(frame, spec):
         frame = add_returns(frame, spec)
         frame = add_realised_variance(frame, spec)
-        frame = add_range_volume(frame, spec)
+        frame = add_range_volume(frame, spec, ["symbol", CHUNK], RN)
         if targets:
             frame = add_forward_sums(frame, spec)
         return frame

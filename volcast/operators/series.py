@@ -142,3 +142,54 @@ def rolling_sum_prefix(frame: DataFrame, spec, col: str, n: int, out: str,
     cnt = F.col(cc) - F.coalesce(F.lag(cc, n).over(spec), F.lit(0))
     val = F.greatest(diff, F.lit(0.0)) if nonnegative else diff
     return frame.withColumn(out, F.when(cnt > 0, val)).drop(cs, cc)
+
+
+def window_moments(frame: DataFrame, spec, part_keys: Sequence[str], rn: str, value: str, w: int,
+                   past: bool, prefix: str) -> DataFrame:
+    """Count, mean and sample std of ``value`` over the last ``w`` rows, in O(rows).
+
+    The window ends at row e = i (``past=False``) or e = i - 1 (``past=True``).  Rows
+    are cut into blocks of ``w`` by row number ``rn``; the window is the head of e's
+    block up to e plus, when it starts in the previous block, that block's tail from
+    the window start.  Heads and tails are running frames inside a block (Welford
+    updates: a constant block has exactly zero variance); the two pieces are merged
+    with the parallel-variance formula (Chan et al.).  ``part_keys`` / ``spec`` are the
+    series partitioning (e.g. symbol + chunk, ordered by ``rn``).  Adds
+    ``{prefix}_n``, ``{prefix}_mean`` and ``{prefix}_std``."""
+    s = 1 if past else 0
+    blk = f"_{prefix}_blk"
+    frame = frame.withColumn(blk, F.floor((F.col(rn) - 1) / w))
+    within = Window.partitionBy(*part_keys, blk)
+    head = within.orderBy(F.col(rn)).rowsBetween(Window.unboundedPreceding, 0)
+    tail = within.orderBy(F.col(rn).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    x = F.col(value)
+    t = {k: f"_{prefix}_{k}" for k in ("hn", "hm", "hv", "tn", "tm", "tv", "an", "am", "av", "bn", "bm", "bv")}
+    frame = frame.withColumns({
+        t["hn"]: F.count(x).over(head), t["hm"]: F.avg(x).over(head), t["hv"]: F.var_pop(x).over(head),
+        t["tn"]: F.count(x).over(tail), t["tm"]: F.avg(x).over(tail), t["tv"]: F.var_pop(x).over(tail),
+    })
+    lag_a, lag_b = s, w - 1 + s
+
+    def at(col, k):
+        return F.col(col) if k == 0 else F.lag(col, k).over(spec)
+
+    other_block = at(blk, lag_b) != at(blk, lag_a)
+    frame = frame.withColumns({
+        t["an"]: F.coalesce(at(t["hn"], lag_a), F.lit(0)), t["am"]: at(t["hm"], lag_a), t["av"]: at(t["hv"], lag_a),
+        t["bn"]: F.when(other_block, at(t["tn"], lag_b)).otherwise(F.lit(0)),
+        t["bm"]: F.when(other_block, at(t["tm"], lag_b)),
+        t["bv"]: F.when(other_block, at(t["tv"], lag_b)),
+    })
+    na = F.coalesce(F.col(t["an"]), F.lit(0)).cast("double")
+    nb = F.coalesce(F.col(t["bn"]), F.lit(0)).cast("double")
+    n = na + nb
+    ma, mb = F.coalesce(F.col(t["am"]), F.lit(0.0)), F.coalesce(F.col(t["bm"]), F.lit(0.0))
+    delta = mb - ma
+    m2 = (F.coalesce(F.col(t["av"]), F.lit(0.0)) * na + F.coalesce(F.col(t["bv"]), F.lit(0.0)) * nb
+          + F.when(n > 0, delta * delta * na * nb / n).otherwise(F.lit(0.0)))
+    frame = frame.withColumns({
+        f"{prefix}_n": n.cast("long"),
+        f"{prefix}_mean": F.when(n > 0, ma + delta * nb / n),
+        f"{prefix}_std": F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))),
+    })
+    return frame.drop(blk, *t.values())
