@@ -94,6 +94,22 @@ def volume_features(spark, sf_dir):
     return rounded(f.select("symbol", "event_time", "vol_mean_1h", "vol_std_1h", "volume_zscore", "buy_ratio"))
 
 
+@plan("volume_zscore", S.with_(S.FEATURES, f"""
+SELECT symbol, event_time, {S.rnd('volume', 'volume_zscore')} FROM feat"""))
+def volume_zscore(spark, sf_dir):
+    """Volume against its trailing 60-row mean and sample std."""
+    f = feature_rows(spark, sf_dir)
+    return rounded(f.select("symbol", "event_time", "volume", "volume_zscore"))
+
+
+@plan("buy_ratio", S.with_(S.FEATURES, f"""
+SELECT symbol, event_time, {S.rnd('taker_buy_volume', 'buy_ratio')} FROM feat"""))
+def buy_ratio(spark, sf_dir):
+    """Taker-buy share of volume (null when volume is zero)."""
+    f = feature_rows(spark, sf_dir)
+    return rounded(f.select("symbol", "event_time", "taker_buy_volume", "buy_ratio"))
+
+
 @plan("forward_targets", S.with_(S.FEATURES, f"""
 SELECT symbol, event_time, {S.rnd('rv_15m', 'target_15m', 'target_1h')} FROM targets"""))
 def forward_targets(spark, sf_dir):
@@ -351,6 +367,18 @@ def har_score(spark, sf_dir):
     return rounded(f.select("symbol", "event_time", *_SCORE_OUT))
 
 
+@plan("har_residual", S.with_(S.DETECT, f"SELECT symbol, event_time, {S.rnd('rv_15m', 'forecast', 'residual')} FROM forecasts"))
+def har_residual(spark, sf_dir):
+    """M4: log(rv_15m + eps) - log(forecast + eps) for every scored bar."""
+    return rounded(forecast_table(spark, sf_dir).select("symbol", "event_time", "rv_15m", "forecast", "residual"))
+
+
+@plan("vol_percent", S.with_(S.DETECT, f"SELECT symbol, event_time, {S.rnd('vol_forecast', 'vol_realized')} FROM forecasts"))
+def vol_percent(spark, sf_dir):
+    """Forecast and realised volatility in percent (sqrt of clamped variance x 100)."""
+    return rounded(forecast_table(spark, sf_dir).select("symbol", "event_time", "vol_forecast", "vol_realized"))
+
+
 @plan("latest_forecasts", S.with_(S.DETECT + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol, day ORDER BY event_time DESC) AS recency
            FROM forecasts)""", f"""
@@ -702,3 +730,19 @@ def stream_anomalies(spark, sf_dir):
 def stream_route(spark, sf_dir):
     """Envelopes routed as (key = symbol, value = inner JSON) for closed candles."""
     return spark.read.parquet(f"{live_run(spark, sf_dir)}/routed")
+
+
+@plan("stream_sinks", S.with_(S.DETECT, f"""
+SELECT symbol, count(*) AS n_forecasts, CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS n_anomalies,
+       max(event_time) AS last_event_time
+FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM} GROUP BY symbol"""))
+def stream_sinks(spark, sf_dir):
+    """K5 K6: what the two foreachBatch tables hold per symbol (latest write per key)."""
+    base = live_run(spark, sf_dir)
+    fc = live.latest(live.read_sink(spark, f"{base}/forecasts", live.FORECAST_TABLE_SCHEMA))
+    an = live.latest(live.read_sink(spark, f"{base}/anomalies", live.ANOMALY_SCHEMA), ("symbol", "event_time"))
+    per = fc.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_forecasts"), F.max("event_time").alias("last_event_time"))
+    flagged = an.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_anomalies"))
+    return (per.join(flagged, "symbol", "left")
+               .select("symbol", "n_forecasts", F.coalesce("n_anomalies", F.lit(0)).cast("long").alias("n_anomalies"),
+                       "last_event_time"))
