@@ -67,3 +67,34 @@ def test_halo_plan_has_no_symbol_only_window(spark):
     b = _skewed_bars(spark)
     plan = features.feature_table(b)._jdf.queryExecution().executedPlan().toString()
     assert "_chunk" in plan
+
+
+def test_hot_symbol_never_forms_one_group(spark):
+    """A symbol with most of the rows is cut into bounded (symbol, chunk) groups; numbering
+    cells are bounded by the segment (a day of minute bars)."""
+    from volcast.operators.series import CHUNK, TOTAL, with_halo
+    n_hot, chunk, back, ahead = 60_000, 4096, 1440, 60
+    hot = spark.range(n_hot).select(F.lit("hot").alias("symbol"),
+                                    F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("bar_time"),
+                                    (F.lit(100.0) + F.sin(F.col("id") / 50.0)).alias("close"))
+    cold = spark.range(500).select(F.concat(F.lit("c"), (F.col("id") % 2).cast("string")).alias("symbol"),
+                                   F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("bar_time"),
+                                   F.lit(50.0).alias("close"))
+    b = hot.unionByName(cold)
+    seg = time_segment("bar_time")
+    cells = b.groupBy("symbol", seg.alias("seg")).count().agg(F.max("count")).first()[0]
+    assert cells <= 1440
+    numbered = number_rows(b, ["symbol"], ["bar_time"], seg)
+    groups = with_halo(numbered, back, ahead, chunk).groupBy("symbol", CHUNK).count()
+    biggest = groups.agg(F.max("count")).first()[0]
+    assert biggest <= chunk + back + ahead
+    assert groups.filter("symbol = 'hot'").count() == -(-n_hot // chunk)
+    # and the frames still equal whole-series frames
+    spec = Window.partitionBy("symbol").orderBy("bar_time")
+    got = over_series(b, ["symbol"], "bar_time",
+                      lambda f, s: f.withColumn("s", F.sum("close").over(s.rowsBetween(-back, 0))),
+                      back=back, chunk_rows=chunk)
+    ref = b.withColumn("s", F.sum("close").over(spec.rowsBetween(-back, 0)))
+    diff = got.join(ref.withColumnRenamed("s", "s2"), ["symbol", "bar_time"]) \
+              .agg(F.max(F.abs(F.col("s") - F.col("s2"))), F.count(F.lit(1))).first()
+    assert diff[1] == n_hot + 500 and diff[0] < 1e-6
