@@ -644,9 +644,10 @@ def checksum_verify(spark, sf_dir):
     return ar.verify_checksums(content, manifest)
 
 
-@plan("archive_unpack")
+@plan("archive_unpack", S.with_(_KROW_SQL, f"""
+SELECT symbol, open_time, {S.rnd(*_KNUM)}, close_time, num_trades FROM krows"""))
 def archive_unpack(spark, sf_dir):
-    """One zip archive per symbol-day of kline CSV, unpacked and parsed back to rows."""
+    """One zip archive per symbol-day of kline CSV, unpacked and parsed back to typed rows."""
     rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
     day = F.date_format(millis_to_ntz("open_time"), "yyyy-MM-dd")
     lines = rows.select("symbol", "open_time", day.alias("day"),
@@ -655,7 +656,8 @@ def archive_unpack(spark, sf_dir):
     zips = ar.pack_zip(lines, ["symbol", "day"], order_col="open_time")
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kl.KLINE_CSV_SCHEMA.fields)
     parsed = ar.unpack_zip(zips).select("file_name", F.from_csv("line", ddl).alias("k"))
-    return parsed.select(F.regexp_extract("file_name", r"^([^-]+)-", 1).alias("symbol"), "k.*")
+    k = parsed.select(F.regexp_extract("file_name", r"^([^-]+)-", 1).alias("symbol"), "k.*")
+    return rounded(_typed_klines(k))
 
 
 # ---------------------------------------------------------------- streaming
@@ -726,10 +728,15 @@ def stream_anomalies(spark, sf_dir):
                    .select("symbol", "event_time", "close", "forecast", "rv_15m", "zscore"))
 
 
-@plan("stream_route")
+@plan("stream_route", f"""
+SELECT event_type AS symbol, {_MS_NTZ} AS event_time, round(value + 1.0, 6) + 0.0 AS close
+FROM events WHERE {_K} < 95 AND value >= 1""")
 def stream_route(spark, sf_dir):
-    """Envelopes routed as (key = symbol, value = inner JSON) for closed candles."""
-    return spark.read.parquet(f"{live_run(spark, sf_dir)}/routed")
+    """Envelopes routed by the stream as (key = symbol, value = inner JSON) for closed
+    candles; the forwarded bytes are decoded again to show they arrive intact."""
+    routed = spark.read.parquet(f"{live_run(spark, sf_dir)}/routed")
+    d = msg.decode_kline(routed.select(F.col("key").cast("string").alias("k"), "value"))
+    return rounded(d.filter(~F.col("_bad")).select(F.col("k").alias("symbol"), "event_time", "close"))
 
 
 @plan("stream_sinks", S.with_(S.DETECT, f"""
