@@ -78,3 +78,12 @@ def gap_fill_plan(gaps: DataFrame, step_seconds: int, page_rows: int = REST_PAGE
                     first.alias("page_start_ms"),
                     (first + (n_bars - 1) * step_ms).alias("page_end_ms"),
                     n_bars.cast("long").alias("n_bars"))
+
+
+def hash_sample(df: DataFrame, identity: Sequence[str], fraction: float) -> DataFrame:
+    """F8: deterministic sample — a row is kept when the first four hex digits of the MD5
+    of its identity fall below ``fraction`` of 0x10000.  The same rows come out on any
+    partitioning or engine (``md5`` is standard), and the filter is one JVM expression."""
+    threshold = format(int(round(fraction * 0x10000)), "04x")
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in identity])
+    return df.filter(F.substring(F.md5(key), 1, 4) < F.lit(threshold))

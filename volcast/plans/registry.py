@@ -466,13 +466,13 @@ def symbol_lookup(spark, sf_dir):
     return rounded(f.select("symbol", "event_time", "close", "rv_15m", "target_15m"))
 
 
-@plan("hash_sample")
+@plan("hash_sample", f"""
+SELECT * FROM events
+WHERE substr(md5(CAST(event_id AS VARCHAR) || '|' || event_type), 1, 4) < '{format(int(round(SAMPLE_FRACTION * 0x10000)), "04x")}'""")
 def hash_sample(spark, sf_dir):
-    """F8: deterministic ~1 % sample of the ticks — a row is kept when the hash of its
-    identity falls in the first 1 % of the hash range (same rows on any partitioning)."""
+    """F8: deterministic ~1 % sample of the ticks by a hash of each row's identity."""
     ev = table(spark, sf_dir, "events")
-    h = F.pmod(F.xxhash64("event_type", "ts", "event_id"), F.lit(1_000_000))
-    return ev.filter(h < int(SAMPLE_FRACTION * 1_000_000))
+    return rounded(qa.hash_sample(ev, ["event_id", "event_type"], SAMPLE_FRACTION))
 
 
 # ---------------------------------------------------------------- ingestion
