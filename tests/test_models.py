@@ -39,3 +39,15 @@ def test_symbol_lookup_prunes_partitions(spark):
     df = E.queries()["symbol_lookup"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(symbol" in plan and "click" in plan
+
+
+def test_time_filter_and_columns_reach_the_scan(spark):
+    """§4.1: a time range on the written feature table is pushed to the parquet scan (row-group
+    statistics on time-sorted files) and only the projected columns are read."""
+    import datetime as dt
+
+    from volcast.plans.common import feature_rows
+    f = feature_rows(spark, SF_SMALL).filter(F.col("event_time") >= F.lit(dt.datetime(2024, 1, 20)))
+    plan = f.select("symbol", "rv_15m")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(event_time), GreaterThanOrEqual(event_time" in plan
+    assert "ReadSchema: struct<event_time:timestamp_ntz,rv_15m:double>" in plan
