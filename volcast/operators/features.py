@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from volcast.functions import market as m
-from volcast.operators.series import CHUNK, RN, over_series, rolling_sum_prefix, window_moments
+from volcast.operators.series import CHUNK, RN, over_series, rolling_sum_prefix, window_moments, window_sums
 
 # Fixed window lengths (rows) of the reference's feature set.
 RV_WINDOWS = {"rv_15m": 15, "rv_1h": 60, "rv_4h": 240, "rv_24h": 1440}
@@ -38,14 +38,22 @@ def add_returns(frame: DataFrame, spec) -> DataFrame:
     return frame.withColumns({"log_return": lr, "sq_return": lr * lr})
 
 
-def add_realised_variance(frame: DataFrame, spec, windows: dict[str, int] = RV_WINDOWS) -> DataFrame:
-    """Trailing sums of squared returns over n rows."""
+def add_realised_variance(frame: DataFrame, spec, windows: dict[str, int] = RV_WINDOWS,
+                          part_keys: list[str] | None = None, rn: str | None = None) -> DataFrame:
+    """Trailing sums of squared returns over n rows.
+
+    Frames of ``PREFIX_MIN_ROWS`` rows or more are O(rows): block sums
+    (:func:`window_sums`) on the halo-chunk series (``part_keys``/``rn``), otherwise
+    differences of running sums."""
     direct = {k: n for k, n in windows.items() if n < PREFIX_MIN_ROWS}
     frame = frame.withColumns({k: F.sum("sq_return").over(spec.rowsBetween(-(n - 1), 0))
                                for k, n in direct.items()})
     for k, n in windows.items():
         if n >= PREFIX_MIN_ROWS:
-            frame = rolling_sum_prefix(frame, spec, "sq_return", n, k, nonnegative=True)
+            if part_keys and rn:
+                frame = window_sums(frame, spec, part_keys, rn, "sq_return", n, k, nonnegative=True)
+            else:
+                frame = rolling_sum_prefix(frame, spec, "sq_return", n, k, nonnegative=True)
     return frame
 
 
@@ -110,7 +118,7 @@ def feature_table(bars: DataFrame, targets: bool = True, chunk_rows: int | None
 
     def build(frame, spec):
         frame = add_returns(frame, spec)
-        frame = add_realised_variance(frame, spec)
+        frame = add_realised_variance(frame, spec, part_keys=["symbol", CHUNK], rn=RN)
         frame = add_range_volume(frame, spec, ["symbol", CHUNK], RN)
         if targets:
             frame = add_forward_sums(frame, spec)
