@@ -129,14 +129,19 @@ class HarForecaster(StatefulProcessor):
         self.state.update((s.closes, s.residuals, s.last_time))
 
     @staticmethod
-    def _sorted(frames) -> pd.DataFrame:
-        pdf = pd.concat(list(frames), ignore_index=True)
+    def _sorted(frames) -> pd.DataFrame | None:
+        frames = [f for f in frames if len(f)]
+        if not frames:
+            return None
+        pdf = pd.concat(frames, ignore_index=True)
         return pdf.sort_values("bar_time", kind="stable")
 
     def handleInputRows(self, key, rows, timerValues):
+        pdf = self._sorted(rows)
+        if pdf is None:
+            return
         s = self._load()
         out = []
-        pdf = self._sorted(rows)
         for t, c in zip(pdf["bar_time"], pdf["close"]):
             r = s.update(pd.Timestamp(t).to_pydatetime(), c)
             if r is not None:
@@ -147,6 +152,8 @@ class HarForecaster(StatefulProcessor):
     def handleInitialState(self, key, initialState, timerValues) -> None:
         """Replay history bars through the same update (no output), so the state is
         exactly what streaming those bars would have left behind."""
+        if initialState is None or not len(initialState):
+            return
         s = self._load()
         pdf = initialState.sort_values("bar_time", kind="stable")
         for t, c in zip(pdf["bar_time"], pdf["close"]):
