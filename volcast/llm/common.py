@@ -37,13 +37,13 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str,
-             rows: int = 512) -> DataFrame:
-    """``mapInArrow`` that hands ``fn`` slices of at most ``rows`` rows, so that work buffers stay small."""
+             text_column: int = 1) -> DataFrame:
+    """``mapInArrow`` that hands ``fn`` slices with about 2 MB of text, so that work buffers stay small."""
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, rows):
-                yield from fn(batch.slice(start, rows))
+            for part in bounded_slices(batch, text_column):
+                yield from fn(part)
 
     return df.mapInArrow(run, schema)
 
@@ -62,35 +62,67 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHash(dict):
-    """word (bytes) -> 64-bit content hash, remembered up to ``limit`` words; forgetting only costs time."""
-
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        get = self.__getitem__
-        return np.fromiter(map(get, words), dtype=np.uint64, count=len(words))
-
-
-_WORD_HASH: WordHash | None = None
-
-
-def word_hash() -> WordHash:
-    """One word cache per Python worker."""
-    global _WORD_HASH
-    if _WORD_HASH is None:
-        _WORD_HASH = WordHash()
-    return _WORD_HASH
+#: Odd base of the polynomial word hash, and its inverse modulo 2**64 (derived).
+BASE = 0x9E3779B97F4A7C15 | 1
+INVERSE = pow(BASE, -1, 1 << 64)
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[list(SPACE_BYTES)] = True
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo 2**64; grown by doubling and kept per worker."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        have = np.ones(1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            while len(have) < size:
+                have = np.concatenate([have, have * np.uint64(pow(base, len(have), 1 << 64))])
+        _POWERS[base] = have
+    return have[:n]
+
+
+class Words:
+    """The words of a few texts: 64-bit content hash, first and last byte of each, and each text's range of words.
+
+    A word's hash is the polynomial of its bytes, taken from prefix sums over all bytes, then
+    mixed; it depends on the word only, so it is the same in every task."""
+
+    def __init__(self, texts: list[bytes]):
+        self.sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+        self.base = np.concatenate([[0], np.cumsum(self.sizes + 1)])[:-1]
+        inside = np.zeros(len(buf) + 1, dtype=np.int8)
+        inside[:-1] = ~_IS_SPACE[buf]
+        step = np.diff(inside, prepend=np.int8(0))
+        self.start, self.end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(buf) + 1, dtype=np.uint64)
+            np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(buf)), out=sums[1:])
+            self.hash = mix64((sums[self.end] - sums[self.start]) * powers(INVERSE, len(buf))[self.start])
+        self.first = np.searchsorted(self.start, self.base)            # of each text, in words
+        self.last = np.append(self.first[1:], len(self.start))
+
+    def of(self, i: int) -> np.ndarray:
+        """Word hashes of text ``i``."""
+        return self.hash[self.first[i]:self.last[i]]
+
+
+def bounded_slices(batch: pa.RecordBatch, text_column: int, most_bytes: int = 2_000_000, most_rows: int = 2048):
+    """Slices of a batch of which each holds few bytes of text (one text at least)."""
+    column = batch.column(text_column)
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    at, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > at and (held + n > most_bytes or i - at >= most_rows):
+            yield batch.slice(at, i - at)
+            at, held = i, 0
+        held += n
+    if at < batch.num_rows:
+        yield batch.slice(at)
 
 
 def window_hash(h: np.ndarray, size: int) -> np.ndarray:

@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from volcast.llm.bpe_trie import encode_decode
 from volcast.llm.common import table
+from volcast.llm.compression_rules import quality_rules
 from volcast.llm.harmonic_packing import pack
+from volcast.llm.line_dedup import line_dedup
+from volcast.llm.lsh_forest import near_duplicates
+from volcast.llm.pairwise_quality import fit, score
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -23,6 +28,28 @@ def op1_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2: base statistics and compression bands of every text."""
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3: lines shared by three or more documents stay in the document with the largest id."""
+    out = line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4: components of near-duplicate documents by an LSH forest."""
+    return near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6: quality score of every text by a Bradley-Terry model of the labelled training folds."""
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: every document packed into sequences of 2,048 tokens by harmonic classes."""
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -30,7 +57,27 @@ def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_trie": op1_bpe_trie,
+    "op2_compression_rules": op2_compression_rules,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_lsh_forest": op4_lsh_forest,
+    "op6_pairwise_quality": op6_pairwise_quality,
     "op10_harmonic_packing": op10_harmonic_packing,
 }
 
-ORACLE: dict[str, str] = {}
+OP3_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls, row_number() OVER () AS i FROM documents)),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+shared AS (
+  SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.holder AS dropped FROM keyed k LEFT JOIN shared s ON k.key = s.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, i
+"""
+
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
