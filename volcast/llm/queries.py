@@ -14,6 +14,7 @@ from volcast.llm.harmonic_packing import pack
 from volcast.llm.line_dedup import line_dedup
 from volcast.llm.lsh_forest import near_duplicates
 from volcast.llm.pairwise_quality import fit, score
+from volcast.llm.seed_extend import substring_dedup
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -50,6 +51,11 @@ def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 7: words of repeated 20-word passages removed, but for the first occurrence."""
+    return substring_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: every document packed into sequences of 2,048 tokens by harmonic classes."""
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_lsh_forest": op4_lsh_forest,
     "op6_pairwise_quality": op6_pairwise_quality,
+    "op7_seed_extend": op7_seed_extend,
     "op10_harmonic_packing": op10_harmonic_packing,
 }
 
