@@ -23,9 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the two columns an operator works on, so other columns of any name cannot clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """Only the two columns an operator works on, so other columns of any name cannot clash; with ``carry`` the
+    whole row's other columns too, in one struct ``rest``."""
+    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      *([F.struct(F.lit(True).alias("row"), *[F.col(f"`{c}`").alias(f"c_{c}") for c in docs.columns
+                                                              if c not in (id_col, text_col)]).alias("rest")] if carry else []))
+    return out
+
+
+def with_rest(out: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The columns of the rows that ``id_text(carry=True)`` packed, with the new text; ``n_chars`` is the new length."""
+    made = {id_col: F.col("doc_id"), text_col: F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[(made[c] if c in made else F.col(f"rest.`c_{c}`")).alias(c) for c in columns])
 
 
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:

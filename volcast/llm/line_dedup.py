@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from volcast.llm.common import id_text
 
+SALTS = 16
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -29,12 +30,12 @@ def line_key(line: Column) -> Column:
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_dropped, text (the lines that stay) for every row."""
+               text_col: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id, n_lines, n_dropped, text (the lines that stay) for every row; with ``carry`` also ``rest``."""
     # A row is known by its id and its text, so that rows which repeat an id keep their own lines.
-    docs = id_text(docs, id_col, text_col).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
-        F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("row"), "text").alias("t2"))
+    docs = id_text(docs, id_col, text_col, carry)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("t1"),
+                       F.xxhash64(F.lit("row"), "text").alias("t2"), *docs.columns[2:])
     lines = (docs.select("doc_id", "t1", "t2", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
              .select("doc_id", "t1", "t2", "pos", line_key(F.col("line")).alias("key"))
              .where(F.length("key") >= min_chars)
@@ -43,7 +44,10 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
     shared = (lines.groupBy("h1", "h2", "doc_id").agg(F.lit(1).alias("one"))
               .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("holder"))
               .where(F.col("n_docs") >= min_docs).select("h1", "h2", "holder"))
-    drops = (lines.join(shared, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("holder")))
+    # a shared line's rows are many, its holder is one row: rows go to SALTS places, the holder to all of them
+    salted = shared.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    lines = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    drops = (lines.join(salted, ["h1", "h2", "salt"]).where(~F.col("doc_id").eqNullSafe(F.col("holder")))
              .groupBy("doc_id", "t1", "t2").agg(F.collect_set("pos").alias("drop"))
              .select(F.col("doc_id").alias("d_id"), F.col("t1").alias("d_t1"), F.col("t2").alias("d_t2"), "drop"))
     joined = docs.join(drops, F.col("doc_id").eqNullSafe(F.col("d_id")) & (F.col("t1") == F.col("d_t1"))
@@ -55,4 +59,5 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
     return (joined.withColumn("lines", F.when(F.col("drop").isNotNull(), all_lines))
             .select("doc_id", n_lines.cast("long").alias("n_lines"),
                     F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_dropped"),
-                    F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")))
+                    F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+                    *(["rest"] if carry else [])))

@@ -190,7 +190,7 @@ def candidate_pairs(spark: SparkSession, classes: DataFrame) -> DataFrame:
 
 
 def _confirm(numerator: int, denominator: int):
-    def run(key, pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    def run(key, pairs, sets):
         full = {c: np.frombuffer(s, dtype=np.uint64) for c, s in
                 zip(sets.column("cid").to_pylist(), sets.column("shingles").to_pylist())}
         a_out, b_out = [], []
@@ -241,7 +241,7 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, first: DataFrame, pair
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 85, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: components of the links ``100 * |a & b| >= percent * |a | b|``."""
+    """doc_id, n_shingles, component_id, kept, text_hash (xxhash64): components of the links ``100 * |a & b| >= percent * |a | b|``."""
     docs = id_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     sigs = written(spark, signatures(docs, words), "forest-signatures")
     shaped = sigs.where("cid is not null")
@@ -260,7 +260,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
              .select("cid", "first_id", F.coalesce("component", "cid").alias("component")))
     lowest = heads.groupBy("component").agg(F.min("first_id").alias("component_id"))
     heads = heads.join(lowest, "component").select(F.col("cid").alias("class"), "component_id")
-    out = sigs.select("doc_id", "n_shingles", "cid").join(heads, F.col("cid") == F.col("class"), "left")
+    out = sigs.select("doc_id", "text_hash", "n_shingles", "cid").join(heads, F.col("cid") == F.col("class"), "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash")

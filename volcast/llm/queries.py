@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volcast.llm.bpe_trie import encode_decode
+from volcast.llm.chat_repair import repair
 from volcast.llm.common import table
 from volcast.llm.compression_rules import quality_rules
 from volcast.llm.harmonic_packing import pack
+from volcast.llm.hnsw import nearest_neighbours
+from volcast.llm.license_scan import license_scan
 from volcast.llm.line_dedup import line_dedup
 from volcast.llm.lsh_forest import near_duplicates
 from volcast.llm.pairwise_quality import fit, score
@@ -45,6 +48,11 @@ def op4_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def op5_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 5: the 20 nearest vectors of every twentieth, by HNSW graphs per shard."""
+    return nearest_neighbours(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 6: quality score of every text by a Bradley-Terry model of the labelled training folds."""
     docs = table(spark, sf_dir, "documents")
@@ -56,6 +64,16 @@ def op7_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 8: licence notices in every text."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9: every conversation repaired and rendered, piece by piece."""
+    return repair(spark, table(spark, sf_dir, "conversations"))
+
+
 def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 10: every document packed into sequences of 2,048 tokens by harmonic classes."""
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -66,8 +84,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_compression_rules": op2_compression_rules,
     "op3_line_dedup": op3_line_dedup,
     "op4_lsh_forest": op4_lsh_forest,
+    "op5_hnsw": op5_hnsw,
     "op6_pairwise_quality": op6_pairwise_quality,
     "op7_seed_extend": op7_seed_extend,
+    "op8_license_scan": op8_license_scan,
+    "op9_chat_repair": op9_chat_repair,
     "op10_harmonic_packing": op10_harmonic_packing,
 }
 

@@ -264,21 +264,40 @@ def repeated_places(spark: SparkSession, docs: DataFrame, span: int, gram: int)
     return seeds.where("every").select("id", "at").union(found.select("id", "at"))
 
 
+def _cut(raw: bytes, stay: np.ndarray, start: np.ndarray) -> bytes:
+    """``raw`` without the words that do not stay, each with the blanks after it."""
+    edge = np.append(start, len(raw))
+    change = np.flatnonzero(np.diff(stay.astype(np.int8), prepend=np.int8(1)))
+    parts, keep, at = [], True, 0
+    for i in change.tolist():
+        if keep:
+            parts.append(raw[at:edge[i]])
+        keep, at = not keep, edge[i]
+    if keep:
+        parts.append(raw[at:])
+    return b"".join(parts)
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id",
-                    text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 (and, with ``keep_text``, text: the kept words joined by one space)."""
-    docs = id_text(docs, id_col, text_col).withColumn(
+                    text_col: str = "text", carry: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space); with ``carry`` also text (the
+    text without the removed words, otherwise as it was) and ``rest``."""
+    docs = id_text(docs, id_col, text_col, carry).withColumn(
         "th", F.xxhash64("text").bitwiseAND(F.lit((1 << TEXT_BITS) - 1)))
-    places = _by_document(repeated_places(spark, docs, span, gram))
+    places = _by_document(repeated_places(spark, docs.select("doc_id", "text", "th"), span, gram))
     joined = docs.join(places, (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("f_id")) & (F.col("th") == F.col("f_th")),
-                       "left").select("doc_id", "text", "places")
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", text string" if keep_text else "")
+                       "left").select("doc_id", "text", "places", *(["rest"] if carry else []))
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+    if carry:
+        schema += f", text string, rest {joined.schema['rest'].dataType.simpleString()}"
 
     def run(batches):
         for whole in batches:
             for batch in bounded_slices(whole, 1):
                 n, removed, sha, kept_text = [], [], [], []
-                for raw, at in zip(text_bytes(batch.column(1)), batch.column(2)):
+                texts = text_bytes(batch.column(1))
+                spans = Words(texts) if carry else None
+                for i, (raw, at) in enumerate(zip(texts, batch.column(2))):
                     words = raw.split()
                     n.append(len(words))
                     if at.is_valid:
@@ -287,19 +306,20 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram
                         edge = np.zeros(len(words) + 1, dtype=np.int64)
                         np.add.at(edge, start, 1)
                         np.add.at(edge, start + (a & ((1 << COUNT_BITS) - 1)) - 1 + span, -1)
-                        stay = np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()
-                        removed.append(len(words) - len(stay))
-                        words = [words[i] for i in stay]
+                        stay = np.cumsum(edge[:-1]) == 0
+                        removed.append(len(words) - int(stay.sum()))
+                        words = [words[j] for j in np.flatnonzero(stay).tolist()]
+                        if carry:
+                            raw = _cut(raw, stay, spans.start[spans.first[i]:spans.last[i]] - spans.base[i])
                     else:
                         removed.append(0)
-                    kept = b" ".join(words)
-                    sha.append(hashlib.sha256(kept).hexdigest())
-                    kept_text.append(kept.decode() if keep_text else None)
+                    sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+                    kept_text.append(raw.decode() if carry else None)
                 cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())]
                 names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-                if keep_text:
-                    cols.append(pa.array(kept_text, pa.string()))
-                    names.append("text")
+                if carry:
+                    cols += [pa.array(kept_text, pa.string()), batch.column(3)]
+                    names += ["text", "rest"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     return joined.mapInArrow(run, schema)
