@@ -8,7 +8,8 @@ dynamic programming over the automaton's four states.
 A conversation may be very long, so it is cut into chunks of turn numbers.  A chunk's effect is a
 small matrix (cheapest cost from each state to each state), matrices of a conversation are chained,
 and the chosen states at the chunk borders go back to the chunks, which retrace their own turns.
-The programme works on roles alone; the texts are joined to the decisions afterwards.
+The programme works on roles alone; the texts are joined to the decisions afterwards.  Of repairs that cost
+the same, a conversation of one chunk always gets the same one; another chunk length may choose another.
 
 The result has one row per piece, so that no conversation or joined turn is ever held whole:
 the pieces of a conversation in the order of ``chunk, seq`` are its rendered text.
