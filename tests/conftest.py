@@ -13,9 +13,10 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from volcast.session import build_session
+    from volcast.session import build_session, drop_scratch
     s = build_session("local[4]", 8, app_name="volcast-tests")
     yield s
+    drop_scratch(s)
     s.stop()
 
 

@@ -84,12 +84,17 @@ def test_z_golden_alternating_then_five(spark):
 
 
 def test_stream_state_matches_golden():
-    s = SymbolState()
-    s.residuals = [(-1.0) ** i for i in range(288)]
-    # z of a residual equal to 5 against the alternating history (the state's own arithmetic)
+    """z of the state's own update against the alternating history: (r - 0) / sqrt(288 / 287)."""
+    import datetime as dt
+
     import numpy as np
-    arr = np.asarray(s.residuals)
-    assert abs((5 - arr.mean()) / arr.std(ddof=1) - 5 / math.sqrt(288 / 287)) < 1e-12
+    import pandas as pd
+    start = dt.datetime(2024, 1, 1)
+    closes = 100.0 + np.sin(np.arange(400) / 7.0)
+    s = SymbolState(list(closes[:399]), [(-1.0) ** i for i in range(288)], start)
+    out = s.update(pd.DataFrame({"bar_time": [start + dt.timedelta(minutes=1)], "close": [closes[399]]}))
+    assert abs(out.zscore.iloc[0] - out.residual.iloc[0] / math.sqrt(288 / 287)) < 1e-9
+    assert len(s.residuals) == 288 and s.residuals[-1] == out.residual.iloc[0]
 
 
 def _z_blocked(spark, residuals, chunk=None):

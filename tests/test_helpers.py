@@ -1,39 +1,50 @@
-from pyspark.sql import functions as F
+"""Session helpers: settings, scratch folders, input identity."""
+import os
 
-from volcast.operators.joins import small_side
-from volcast.operators.partitioning import spread
-from volcast.session import cluster_settings, scratch_dir
-from volcast.streaming.live import as_glob
+from volcast.session import cluster_settings, drop_scratch, fresh_scratch, scratch_dir, source_signature
 
 
-def test_cluster_settings_scale_with_input():
+def test_cluster_settings_follow_the_shuffled_bytes():
     small = cluster_settings(10 << 30, 64)
     big = cluster_settings(100 << 40, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 64
-    assert int(big["spark.sql.shuffle.partitions"]) >= (100 << 40) // (256 << 20)
+    assert int(cluster_settings(1 << 40, 64)["spark.sql.shuffle.partitions"]) == (1 << 40) // (128 << 20) + 1
+    assert int(big["spark.sql.shuffle.partitions"]) == 20_000          # blocks stay countable
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_small_side_broadcasts_only_under_bound(spark):
-    d = spark.range(10)
-    j1 = spark.range(1000).join(small_side(d, max_rows=100), "id")
-    j2 = spark.range(1000).join(small_side(d, max_rows=5), "id")
-    assert "BroadcastHashJoin" in j1._jdf.queryExecution().executedPlan().toString()
-    assert j1.count() == j2.count() == 10
+def test_scratch_dir_from_session(spark):
+    base = scratch_dir(spark)
+    assert base and scratch_dir(spark, "x").endswith("/x")
 
 
-def test_spread_only_when_under_partitioned(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(8)
-    assert spread(many, 4).rdd.getNumPartitions() == 8
+def test_signature_follows_the_files(spark, tmp_dir):
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_dir}/t")
+    a = source_signature(spark, f"{tmp_dir}/t")
+    assert a == source_signature(spark, f"{tmp_dir}/t")
+    spark.range(5).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/t")
+    assert a != source_signature(spark, f"{tmp_dir}/t")
 
 
-def test_scratch_dir_from_session(spark):
-    base = scratch_dir(spark)
-    assert base and scratch_dir(spark, "x").endswith("/x")
+def test_changed_input_is_not_answered_from_old_stage_tables(spark, tmp_dir):
+    from volcast.plans import common
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_dir}/t")
+
+    def stage():
+        key = ("stage_test", source_signature(spark, f"{tmp_dir}/t"))
+        return common.materialized(spark, key, lambda: spark.read.parquet(f"{tmp_dir}/t")).count()
+
+    assert stage() == 3
+    spark.range(4).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/t")
+    assert stage() == 7
 
 
-def test_single_file_glob():
-    assert as_glob("/a/b/events.parquet") == "/a/b/[e]vents.parquet"
-    assert as_glob("/a/b/*.parquet") == "/a/b/*.parquet"
+def test_scratch_folders_are_removed_at_the_end(spark):
+    from volcast import session
+    app = spark.sparkContext.applicationId
+    kept = session._SCRATCH.pop(app, [])
+    path = fresh_scratch(spark, "gone")
+    spark.range(2).write.parquet(path)
+    drop_scratch(spark)
+    assert not os.path.exists(path.replace("file:", ""))
+    session._SCRATCH[app] = kept

@@ -27,7 +27,7 @@ def test_kline_json_strings_numbers_and_garbage(spark):
     assert d[0]._bad is True  # the broken record (null time sorts first)
     good = [r for r in d if not r._bad]
     assert [(r.symbol, r.close, r.volume, r.taker_buy_volume) for r in good] == [
-        ("BTC", 2.5, 10.0, 4.0), ("ETH", 2.25, 10.0, 4.0), ("ETH", None, 10.0, 4.0)]
+        ("BTC", 2.5, 10.0, 4.0), ("ETH", 2.25, 10.0, 4.0)]      # a close that is no number makes the event bad
     closed = msg.closed_candles(msg.decode_kline(df))
     assert closed.count() == 2
 
@@ -97,3 +97,40 @@ def test_manifest_anti_join(spark):
     missing = ar.missing_files(wanted, present, ["symbol", "period"])
     assert missing.count() == 5
     assert wanted.filter("symbol = 'A'").orderBy("period").first().file_name == "A-1h-2024-01-01"
+
+
+def test_unreadable_pages_are_reported_and_the_rest_is_kept(spark):
+    page = '[[1704067200000,"1","2","0.5","1.5","10",1704070799999,"15",3,"5","7","0"]]'
+    pages = spark.createDataFrame([("A", 0, page), ("A", 1, page[:-9]), ("A", 2, "[]"), ("A", 3, None)],
+                                  "symbol string, page_no int, page string")
+    got = {r.page_no: (r.status, r.n_rows) for r in kl.rest_page_status(pages).collect()}
+    assert got == {0: ("ok", 1), 1: ("unreadable", 0), 2: ("empty", 0), 3: ("unreadable", 0)}
+    assert kl.decode_rest_pages(pages).count() == 1
+    none = kl.warmup_closes(kl.decode_rest_pages(pages.filter("page_no = 2")))
+    assert none.count() == 0 and none.columns == ["symbol", "bar_time", "close"]
+
+
+def test_broken_member_gives_a_null_line(spark):
+    good = ar.zip_text("a.csv", "1,2\n3,4\n")
+    blob = ar.zip_text("b.csv", "x" * 5000 + "".join(str(i) for i in range(3000)))
+    cut = len(blob) // 2
+    bad = blob[:cut] + bytes([blob[cut] ^ 0xFF, blob[cut + 1] ^ 0xFF]) + blob[cut + 2:]
+    d = spark.createDataFrame([("good.zip", good), ("bad.zip", bad)], "file_name string, content binary")
+    got = ar.unpack_zip(d).collect()
+    assert sorted(r.line for r in got if r.file_name == "good.zip") == ["1,2", "3,4"]
+    assert [(r.member, r.line) for r in got if r.file_name == "bad.zip"] == [("b.csv", None)]
+
+
+def test_checksums_of_binary_files(spark, tmp_dir):
+    """The binaryFile source against a manifest."""
+    import hashlib
+    import os
+    os.makedirs(f"{tmp_dir}/f")
+    lines = []
+    for name, data in (("a.zip", b"one"), ("b.zip", b"two")):
+        with open(f"{tmp_dir}/f/{name}", "wb") as f:
+            f.write(data)
+        lines.append((name, hashlib.sha256(data if name == "a.zip" else b"other").hexdigest() + "  " + name))
+    manifest = spark.createDataFrame(lines, "file_name string, line string")
+    got = {r.file_name: r.status for r in ar.verify_checksums(ar.binary_files(spark, f"{tmp_dir}/f/*.zip"), manifest).collect()}
+    assert got == {"a.zip": "ok", "b.zip": "mismatch"}

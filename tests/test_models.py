@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from volcast.operators import models as md
-from volcast.plans.common import split_features
+from volcast.plans.common import split_features, split_part
 
 
 def test_har_fit_equals_least_squares(spark):
@@ -51,3 +51,59 @@ def test_time_filter_and_columns_reach_the_scan(spark):
     plan = f.select("symbol", "rv_15m")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_time), GreaterThanOrEqual(event_time" in plan
     assert "ReadSchema: struct<event_time:timestamp_ntz,rv_15m:double>" in plan
+
+
+def test_split_range_reaches_the_scan(spark):
+    import __spark_entry__ as E
+    assert E.queries()["model_metrics"](spark, SF_SMALL).count() == 2
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for split in ("train", "val", "test"):
+        d = split_part(spark, SF_SMALL, split)
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert any(op in plan.split("PushedFilters: [")[1].split("]")[0]
+                   for op in ("LessThan(event_time", "GreaterThanOrEqual(event_time"))
+        same = split_features(spark, SF_SMALL).filter(F.col("split") == split)
+        assert d.count() == same.count()
+
+
+def test_standardised_columns_have_unit_spread(spark):
+    from volcast.operators import dataset as ds
+    rows = [(s, float(i), 5.0) for s in "ab" for i in range(10)]
+    d = spark.createDataFrame(rows, "symbol string, x double, y double")
+    p = ds.column_profiles(d, ["x", "y"])
+    out = ds.standardised(d.unionByName(spark.createDataFrame([("new", 1.0, 1.0)], d.schema)), p, ["x", "y"])
+    by = {r.symbol: r for r in out.groupBy("symbol").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s"),
+                                                         F.count("y").alias("n")).collect()}
+    assert abs(by["a"].m) < 1e-12 and abs(by["b"].s - 1) < 1e-12 and by["a"].n == 0 and by["new"].m is None
+    assert out.columns == d.columns
+
+
+def test_sequence_model_artefact_and_comparison(spark):
+    """Fitted on the training sequences, saved and loaded as one artefact; finite scores for every
+    sequence, a training error below the mean predictor's, and the same rows as the other models."""
+    from conftest import SF_MID
+    from volcast.plans.common import sequence_model, sequence_table
+    from volcast.plans.registry import sequence_comparison
+    scored = sequence_model(spark, SF_MID)
+    assert scored.count() == sequence_table(spark, SF_MID).count() > 0
+    assert scored.filter(F.isnan("seq_pred") | F.col("seq_pred").isNull()).count() == 0
+    table = {(r.split, r.model): r for r in sequence_comparison(spark, SF_MID).collect()}
+    assert {n for _, n in table} == {"SEQ", "HAR", "mean"}
+    y = scored.filter("split = 'train'").toPandas()
+    assert ((y.target - y.seq_pred) ** 2).mean() < y.target.var(ddof=0)
+    assert all(table[s, "SEQ"].n == table[s, "mean"].n for s, n in table if n == "SEQ")
+
+
+def test_sequence_model_loads_what_was_saved(spark, tmp_dir):
+    from pyspark.ml.linalg import Vectors
+    from volcast.sinks.models import load_sequence_model, save_sequence_model
+    rows = [("a", 0, Vectors.dense([float(i), 1.0]), 2.0 * i) for i in range(20)]
+    train = spark.createDataFrame(rows, ["symbol", "symbol_id", "features", "target_s"])
+    model = md.fit_sequence_model(train)
+    one = spark.createDataFrame([(1.5, 2.5)], "y_mean double, y_std double")
+    ids = spark.createDataFrame([("a", 0)], "symbol string, symbol_id int")
+    save_sequence_model(spark, f"{tmp_dir}/m", model, one, ids, {"seq_len": 48})
+    again, scaling, ids2, config = load_sequence_model(spark, f"{tmp_dir}/m")
+    assert config == {"seq_len": 48} and scaling.first().y_std == 2.5 and ids2.collect() == ids.collect()
+    pick = lambda m: [r.prediction for r in m.transform(train).collect()]
+    assert pick(again) == pick(model)

@@ -50,3 +50,38 @@ def test_coverage(spark):
     b = make_bars(spark, [("A", i, 1.0) for i in range(5)] + [("B", 0, 1.0)]).withColumnRenamed("bar_time", "event_time")
     got = {r.symbol: r.n_rows for r in qa.coverage(b).collect()}
     assert got == {"A": 5, "B": 1}
+
+
+def test_hash_sample_keeps_none_all_and_the_exact_share(spark):
+    import hashlib
+
+    import pytest
+    d = spark.range(3000)
+    assert qa.hash_sample(d, ["id"], 1.0).count() == 3000 and qa.hash_sample(d, ["id"], 0.0).count() == 0
+    want = {i for i in range(3000) if int(hashlib.md5(str(i).encode()).hexdigest()[:15], 16) < int(0.01 * 2 ** 60)}
+    assert {r.id for r in qa.hash_sample(d, ["id"], 0.01).collect()} == want
+    for bad in (-0.1, 1.5):
+        with pytest.raises(ValueError):
+            qa.hash_sample(d, ["id"], bad)
+
+
+def test_gaps_do_not_depend_on_the_session_zone(spark):
+    """A gapless hourly series over a clock change has no gap in any session zone."""
+    base = dt.datetime(2024, 3, 9, 12)
+    bars = make_bars(spark, [("A", i, 1.0) for i in range(1)]).limit(0)
+    rows = [("A", base + dt.timedelta(hours=i)) for i in range(48)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        d = spark.createDataFrame(rows, "symbol string, event_time timestamp_ntz")
+        assert qa.gap_report(d, 3600).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert bars.count() == 0
+
+
+def test_overlap_pushes_its_ranges_into_the_scan(spark):
+    plan = archive_and_gap_files(table(spark, SF_SMALL, "events"))._jdf.queryExecution().executedPlan().toString()
+    pushed = [line for line in plan.split("\n") if "FileScan" in line]
+    assert len(pushed) == 2
+    assert all("ts" in line.split("DataFilters: [")[1].split("]")[0] for line in pushed)

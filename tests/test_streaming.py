@@ -1,14 +1,16 @@
 """Batch = stream, late data, replay-safe sinks, restart from checkpoint, warm-up state."""
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, make_bars
 from volcast.operators.bars import ohlcv_bars
 from volcast.operators import detect
 from volcast.sources.tables import load_ticks, table
 from volcast.streaming import live
+from volcast.streaming.forecaster import SymbolState
 
 SPLIT = dt.datetime(2024, 1, 15)
 ONCE = {"availableNow": True}
@@ -60,10 +62,11 @@ def test_restart_from_checkpoint_equals_unbroken_run(spark, tmp_dir):
 
 def test_stream_equals_batch_on_closed_bars(spark, tmp_dir):
     schema = table(spark, SF_SMALL, "events").schema
-    _run(spark, f"{SF_SMALL}/events.parquet", schema, tmp_dir)
+    table(spark, SF_SMALL, "events").coalesce(1).write.parquet(f"{tmp_dir}/in")
+    _run(spark, f"{tmp_dir}/in", schema, tmp_dir)
     s = live.latest(spark.read.parquet(f"{tmp_dir}/fc"))
     last = s.agg(F.max("event_time")).first()[0]
-    b = detect.detect_anomalies(ohlcv_bars(load_ticks(spark, SF_SMALL))).filter(F.col("event_time") <= F.lit(last))
+    b = detect.detect_anomalies(ohlcv_bars(load_ticks(spark, SF_SMALL), tie="tick_id")).filter(F.col("event_time") <= F.lit(last))
     assert _rows(s) == _rows(b)
 
 
@@ -103,7 +106,7 @@ def test_late_event_dropped_and_counted(spark, tmp_dir):
     late = [(99, base + dt.timedelta(minutes=5), 1, "A", 1000.0, '{"k": 1}')]
     spark.createDataFrame(late, schema).coalesce(1).write.parquet(f"{tmp_dir}/in/c")
     src = live.file_stream(spark, f"{tmp_dir}/in/*/*.parquet", spark.createDataFrame([], schema).schema, max_files=1)
-    q = live.start_bars(live.event_ticks(src), f"{tmp_dir}/ck", f"{tmp_dir}/bars", trigger=ONCE)
+    q = live.start_bars(live.stream_bars(live.event_ticks(src)), f"{tmp_dir}/ck", f"{tmp_dir}/bars", trigger=ONCE)
     q.awaitTermination()
     dropped = sum(o.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for o in p["stateOperators"])
     assert dropped == 1
@@ -111,21 +114,102 @@ def test_late_event_dropped_and_counted(spark, tmp_dir):
     assert bars.agg(F.max("high")).first()[0] < 1000
 
 
+def _candle(sym, minute, o, h, l, c, v="10", closed=True, n=4):
+    t = 1_704_067_200_000 + 60_000 * minute
+    return json.dumps({"e": "kline", "E": t, "s": sym, "k": {"t": t - 1000, "T": t, "s": sym, "i": "1s", "o": o, "c": c,
+                                                            "h": h, "l": l, "v": v, "V": "5", "n": n, "x": closed}})
+
+
+def test_candles_keep_high_low_open_and_count_once(spark, tmp_dir):
+    """Highs and lows of the candles, first open, summed trades; a record delivered twice counts once;
+    an event whose close is no number is no candle."""
+    rows = [_candle("A", 1, "3", "9", "1", "2"), _candle("A", 2, "2", "4", "0.5", "3"), _candle("A", 2, "2", "4", "0.5", "3"),
+            _candle("A", 3, "3", "99", "0.1", "x"), _candle("A", 4, "3", "50", "0.2", "3", closed=False),
+            _candle("A", 70, 5, 6, 4, 5), _candle("A", 200, "1", "1", "1", "1")]
+    spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.parquet(f"{tmp_dir}/in")
+    src = live.file_stream(spark, f"{tmp_dir}/in", "value string")
+    live.start_bars(live.stream_candle_bars(live.kline_candles(src)), f"{tmp_dir}/ck", f"{tmp_dir}/bars",
+                    trigger=ONCE).awaitTermination()
+    got = [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/bars").orderBy("bar_time")
+           .select("open", "high", "low", "close", "volume", "taker_buy_volume", "num_trades").collect()]
+    assert got == [(3.0, 9.0, 0.5, 3.0, 20.0, 10.0, 8), (5.0, 6.0, 4.0, 5.0, 10.0, 5.0, 4)]
+
+
+def test_equal_times_are_ordered_by_tick(spark):
+    t = dt.datetime(2024, 1, 1, 0, 30)
+    ticks = [("A", t, p, 1.0, 0.5, i) for i, p in ((7, 2.0), (5, 3.0), (9, 1.0))]
+    for order in (ticks, ticks[::-1]):
+        d = spark.createDataFrame(order, "symbol string, event_time timestamp_ntz, price double, volume double, "
+                                  "taker_buy_volume double, tick_id long")
+        b = ohlcv_bars(d, tie="tick_id").first()
+        assert (b.open, b.close) == (3.0, 1.0)
+
+
+def test_batch_equals_stream_after_null_residuals(spark):
+    """Zero closes give null returns and residuals: frames count rows on both sides."""
+    import random
+    rnd = random.Random(2)
+    closes = [100 + rnd.gauss(0, 1) for _ in range(420)]
+    closes[60:80] = [0.0] * 20
+    bars = make_bars(spark, [("S", i, c) for i, c in enumerate(closes)])
+    want = {r.event_time: r for r in detect.detect_anomalies(bars).collect()}
+    rows = bars.select("bar_time", "close").toPandas().sort_values("bar_time")
+    for step in (1, 37, 420):
+        state, got = SymbolState(), []
+        for at in range(0, 420, step):
+            got += state.update(rows.iloc[at:at + step]).to_dict("records")
+        assert len(got) == len(want)
+        for r in got:
+            w = want[r["event_time"].to_pydatetime()]
+            for c in ("rv_15m", "rv_24h", "forecast", "residual", "zscore", "vol_forecast"):
+                assert (w[c] is None) == (r[c] != r[c]), (step, c)
+                assert w[c] is None or abs(w[c] - r[c]) < 1e-9
+            assert w.is_anomaly == r["is_anomaly"]
+
+
+def test_missing_sink_table_is_an_error(spark, tmp_dir):
+    import pytest
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        live.read_sink(spark, f"{tmp_dir}/never", live.FORECAST_TABLE_SCHEMA).count()
+
+
+def test_forecast_table_is_pruned_by_day_and_compacted(spark, tmp_dir):
+    schema = _write_halves(spark, tmp_dir)
+    os.makedirs(f"{tmp_dir}/in")
+    for h in ["first", "second"]:
+        for f in os.listdir(f"{tmp_dir}/{h}"):
+            if f.endswith(".parquet"):
+                os.link(f"{tmp_dir}/{h}/{f}", f"{tmp_dir}/in/{h}-{f}")
+    _run(spark, f"{tmp_dir}/in", schema, tmp_dir)
+    t = live.read_sink(spark, f"{tmp_dir}/fc", live.FORECAST_TABLE_SCHEMA)
+    day = t.agg(F.max("day")).first()[0]
+    plan = t.filter(F.col("day") == F.lit(day))._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    whole = live.latest(t)
+    packed = live.compact_days(spark, f"{tmp_dir}/fc", live.FORECAST_TABLE_SCHEMA, f"{tmp_dir}/days")
+    assert _rows(packed) == _rows(whole) and packed.count() > 0
+    older = live.compact_days(spark, f"{tmp_dir}/fc", live.FORECAST_TABLE_SCHEMA, f"{tmp_dir}/older", before=day)
+    assert older.count() == whole.filter(F.col("day") < F.lit(day)).count()
+
+
 def test_kafka_shaped_records_to_bars(spark, tmp_dir):
     """(key, value) kline records (the Kafka shape) streamed from files -> bars
-    equal the batch bars of the closed candles."""
+    equal the plain aggregates of the closed candles."""
     from volcast.sources import encode as enc
     from volcast.sources import messages as msg
     ev = table(spark, SF_SMALL, "events")
-    enc.kline_json(ev).select("key", "value").coalesce(1).write.parquet(f"{tmp_dir}/kafka")
+    enc.redelivered(enc.kline_json(ev)).select("key", "value").coalesce(1).write.parquet(f"{tmp_dir}/kafka")
     src = live.file_stream(spark, f"{tmp_dir}/kafka", "key binary, value string")
-    q = live.start_bars(live.kline_ticks(src), f"{tmp_dir}/ck", f"{tmp_dir}/bars", trigger=ONCE)
+    q = live.start_bars(live.stream_candle_bars(live.kline_candles(src)), f"{tmp_dir}/ck", f"{tmp_dir}/bars", trigger=ONCE)
     q.awaitTermination()
-    got = spark.read.parquet(f"{tmp_dir}/bars")
-    closed = msg.closed_candles(msg.decode_kline(enc.kline_json(ev)))
-    ticks = closed.select("symbol", "event_time", F.col("close").alias("price"), "volume",
-                          F.coalesce("taker_buy_volume", F.lit(0.0)).alias("taker_buy_volume"))
-    want = ohlcv_bars(ticks).filter(F.col("bar_time") <= F.lit(got.agg(F.max("bar_time")).first()[0]))
-    cols = ["symbol", "bar_time", "open", "high", "low", "close", "num_trades"]
-    assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
-    assert got.count() > 0
+    got = {(r.symbol, r.bar_time): r for r in spark.read.parquet(f"{tmp_dir}/bars").collect()}
+    assert got
+    groups = {}
+    for r in msg.closed_candles(msg.decode_kline(enc.kline_json(ev))).collect():
+        end = r.event_time.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1)
+        groups.setdefault((r.symbol, end), []).append(r)
+    for key, bar in got.items():
+        rows = sorted(groups[key], key=lambda r: r.event_time)
+        assert (bar.open, bar.close) == (rows[0].open, rows[-1].close)
+        assert (bar.high, bar.low) == (max(r.high for r in rows), min(r.low for r in rows))
+        assert bar.num_trades == sum(r.num_trades for r in rows)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,34 +59,59 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(_c(num), _c(den))
 
 
-def har_forecast(rv_15m: str | Column, rv_1h: str | Column, rv_24h: str | Column,
-                 w15: Column | float = HAR_W_15M, w1h: Column | float = HAR_W_1H,
-                 w24: Column | float = HAR_W_24H, intercept: Column | float = HAR_INTERCEPT) -> Column:
-    """HAR-RV forecast in log1p-variance space.  One expression for batch and stream.
+class ColumnMath:
+    """The few functions the formulas below need, on Columns (null-safe)."""
 
-    Coefficients are literals (served model) or scalar-subquery Columns (fitted)."""
-    lit = lambda v: v if isinstance(v, Column) else F.lit(float(v))
-    return (lit(intercept)
-            + lit(w15) * F.log1p(_c(rv_15m))
-            + lit(w1h) * F.log1p(_c(rv_1h))
-            + lit(w24) * F.log1p(_c(rv_24h)))
+    log1p, expm1 = staticmethod(F.log1p), staticmethod(F.expm1)
 
+    @staticmethod
+    def log_positive(x):
+        return F.when(x > 0, F.ln(x))
 
-def log_residual(rv: str | Column, forecast: str | Column, eps: float = LOG_EPS) -> Column:
-    """log(rv + eps) - log(forecast + eps); the forecast stays in log1p space."""
-    a = _c(rv) + F.lit(eps)
-    b = _c(forecast) + F.lit(eps)
-    return F.when((a > 0) & (b > 0), F.ln(a) - F.ln(b))
+    @staticmethod
+    def sqrt_clamped(x):
+        return F.when(x.isNotNull(), F.sqrt(F.greatest(x, F.lit(0.0))))     # greatest() alone would skip the null
 
 
-def vol_percent_from_forecast(forecast: str | Column) -> Column:
+class ArrayMath:
+    """The same on numpy arrays, with NaN for null."""
+
+    log1p, expm1 = staticmethod(np.log1p), staticmethod(np.expm1)
+
+    @staticmethod
+    def log_positive(x):
+        return np.where(x > 0, np.log(np.where(x > 0, x, 1.0)), np.nan)
+
+    @staticmethod
+    def sqrt_clamped(x):
+        return np.sqrt(np.maximum(x, 0.0))
+
+
+def _arg(x):
+    return F.col(x) if isinstance(x, str) else x
+
+
+def har_forecast(rv_15m, rv_1h, rv_24h, w15=HAR_W_15M, w1h=HAR_W_1H, w24=HAR_W_24H, intercept=HAR_INTERCEPT,
+                 math_of=ColumnMath):
+    """HAR-RV forecast in log1p-variance space: the one expression of batch (Columns) and stream
+    (arrays, ``math_of=ArrayMath``).  Coefficients are numbers (served model) or Columns (fitted)."""
+    return (intercept + w15 * math_of.log1p(_arg(rv_15m)) + w1h * math_of.log1p(_arg(rv_1h))
+            + w24 * math_of.log1p(_arg(rv_24h)))
+
+
+def log_residual(rv, forecast, eps: float = LOG_EPS, math_of=ColumnMath):
+    """log(rv + eps) - log(forecast + eps), null where either is not positive; the forecast stays in log1p space."""
+    return math_of.log_positive(_arg(rv) + eps) - math_of.log_positive(_arg(forecast) + eps)
+
+
+def vol_percent_from_forecast(forecast, math_of=ColumnMath):
     """sqrt(max(expm1(forecast), 0)) * 100."""
-    return F.sqrt(F.greatest(F.expm1(_c(forecast)), F.lit(0.0))) * F.lit(100.0)
+    return math_of.sqrt_clamped(math_of.expm1(_arg(forecast))) * 100.0
 
 
-def vol_percent_from_variance(rv: str | Column) -> Column:
+def vol_percent_from_variance(rv, math_of=ColumnMath):
     """sqrt(max(rv, 0)) * 100."""
-    return F.sqrt(F.greatest(_c(rv), F.lit(0.0))) * F.lit(100.0)
+    return math_of.sqrt_clamped(_arg(rv)) * 100.0
 
 
 def epoch_to_millis(epoch: str | Column) -> Column:
@@ -108,5 +134,13 @@ def millis_to_ntz(ms: str | Column) -> Column:
 
 
 def ntz_micros(ts: str | Column) -> Column:
-    """TIMESTAMP_NTZ -> epoch µs read as UTC wall clock (session-zone independent)."""
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(ts))
+    """TIMESTAMP_NTZ -> epoch µs read as UTC wall clock.
+
+    Days and the time within the day are taken apart and put together as numbers, so the
+    session's zone and its clock changes play no part (a difference of timestamps would be
+    taken through the session's zone)."""
+    t = _c(ts)
+    days = F.unix_date(t.cast("date")).cast("long")
+    micros = F.floor(F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long")
+    seconds = days * 86_400 + F.hour(t).cast("long") * 3_600 + F.minute(t).cast("long") * 60
+    return seconds * 1_000_000 + micros

@@ -21,70 +21,52 @@ SEQ_LEN = 48
 SAMPLE_EVERY = 5
 
 
-def split_bounds(df: DataFrame, time: str = "event_time") -> dict[str, Column]:
-    """Global time bounds and the 80 % / 90 % cuts as scalar subqueries.
-
-    One aggregate over the table (partial, map-side); no value visits the driver
-    and no join is needed to use the cuts."""
-    t0, t1 = ntz_micros(F.min(time)), ntz_micros(F.max(time))
-    b = df.agg(t0.alias("t0"), t1.alias("t1"))
-    span = F.col("t1") - F.col("t0")
-    cuts = b.select(F.struct(
-        (F.col("t0") + F.floor(span * TRAIN_FRACTION)).cast("long").alias("train_cut"),
-        (F.col("t0") + F.floor(span * VAL_FRACTION)).cast("long").alias("val_cut")).alias("c"))
-    # One struct-valued subquery: every use is the same plan, so Spark runs it once.
-    c = cuts.scalar()
-    return {"train_cut": c["train_cut"], "val_cut": c["val_cut"]}
+def split_cuts(df: DataFrame, time: str = "event_time") -> DataFrame:
+    """The 80 % / 90 % cuts of the global time span as a one-row table of TIMESTAMP_NTZ
+    (``train_cut``, ``val_cut``), from one partial aggregate."""
+    ends = df.agg(F.min(time).alias("first"), F.max(time).alias("last"))
+    t0, span = ntz_micros("first"), ntz_micros("last") - ntz_micros("first")
+    return ends.select(*[micros_to_ntz((t0 + F.floor(span * f)).cast("long")).alias(name)
+                         for name, f in (("train_cut", TRAIN_FRACTION), ("val_cut", VAL_FRACTION))])
 
 
-def split_cuts(df: DataFrame, time: str = "event_time") -> DataFrame:
-    """The two cuts (epoch µs) as a one-row table — to be written once and reused."""
-    t0, t1 = ntz_micros(F.min(time)), ntz_micros(F.max(time))
-    span = F.col("t1") - F.col("t0")
-    return df.agg(t0.alias("t0"), t1.alias("t1")).select(
-        (F.col("t0") + F.floor(span * TRAIN_FRACTION)).cast("long").alias("train_cut"),
-        (F.col("t0") + F.floor(span * VAL_FRACTION)).cast("long").alias("val_cut"))
-
-
-def chrono_split(df: DataFrame, time: str = "event_time", cuts: DataFrame | None = None) -> DataFrame:
-    """label rows train / val / test by the global cuts (one pass, no re-scan per split).
-    ``cuts`` is a one-row table from :func:`split_cuts`; without it the cuts are a subquery."""
-    if cuts is not None:
-        c = cuts.select(F.struct("train_cut", "val_cut").alias("c")).scalar()
-        b = {"train_cut": c["train_cut"], "val_cut": c["val_cut"]}
-    else:
-        b = split_bounds(df, time)
-    us = ntz_micros(time)
-    split = (F.when(us < b["train_cut"], F.lit("train"))
-              .when(us < b["val_cut"], F.lit("val"))
-              .otherwise(F.lit("test")))
-    return df.withColumn("split", split)
-
-
-def cut_times(df: DataFrame, time: str = "event_time") -> DataFrame:
-    """The two cuts as timestamps (one row) — for reports."""
-    b = split_bounds(df, time)
-    return df.sparkSession.range(1).select(micros_to_ntz(b["train_cut"]).alias("train_cut"),
-                                           micros_to_ntz(b["val_cut"]).alias("val_cut"))
-
-
-def scaler_stats(train: DataFrame, cols: Sequence[str] = SCALE_COLUMNS, key: str = "symbol") -> DataFrame:
-    """A6 G4 / Y-3: per-symbol mean and sample std of each column (generated aggregates)."""
-    aggs = []
-    for c in cols:
-        aggs += [F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std")]
-    return train.groupBy(key).agg(*aggs)
-
-
-def apply_scaling(df: DataFrame, stats: DataFrame, cols: Sequence[str] = SCALE_COLUMNS,
-                  key: str = "symbol") -> DataFrame:
-    """(x - mean) / std with the symbol's statistics (left join; std 0 -> null).
-
-    ``stats`` should come through :func:`volcast.operators.joins.small_side` so it
-    is broadcast only after its size was checked."""
-    d = df.join(stats, on=key, how="left")
-    d = d.withColumns({c: F.try_divide(F.col(c) - F.col(f"{c}_mean"), F.col(f"{c}_std")) for c in cols})
-    return d.drop(*[f"{c}_mean" for c in cols], *[f"{c}_std" for c in cols])
+def _ranges(cuts: DataFrame, time: str) -> dict[str, Column]:
+    """Condition of each split on the raw time column.  The two cuts are one row of two
+    timestamps, so they become literals and the comparison reaches the parquet scan."""
+    train_cut, val_cut = (F.lit(c).cast("timestamp_ntz") for c in cuts.select("train_cut", "val_cut").first())
+    t = F.col(time)
+    return {"train": t < train_cut, "val": (t >= train_cut) & (t < val_cut), "test": t >= val_cut}
+
+
+def chrono_split(df: DataFrame, cuts: DataFrame, time: str = "event_time") -> DataFrame:
+    """label rows train / val / test by the global cuts (one pass, no re-scan per split)."""
+    r = _ranges(cuts, time)
+    return df.withColumn("split", F.when(r["train"], "train").when(r["val"], "val").otherwise("test"))
+
+
+def split_part(df: DataFrame, cuts: DataFrame, split: str, time: str = "event_time") -> DataFrame:
+    """the rows of one split, as a range on the time column."""
+    return df.filter(_ranges(cuts, time)[split])
+
+
+def column_profiles(train: DataFrame, cols: Sequence[str] = SCALE_COLUMNS, key: str = "symbol") -> DataFrame:
+    """One row per symbol with ``profile``, a map from column name to its training centre
+    and spread (sample deviation), gathered in one aggregate."""
+    moments = [F.struct(F.lit(c).alias("column"), F.struct(F.avg(c).alias("centre"), F.stddev_samp(c).alias("spread"))
+                        .alias("moments")) for c in cols]
+    return train.groupBy(key).agg(F.map_from_entries(F.array(*moments)).alias("profile"))
+
+
+def standardised(df: DataFrame, profiles: DataFrame, cols: Sequence[str] = SCALE_COLUMNS,
+                 key: str = "symbol") -> DataFrame:
+    """``cols`` in units of their symbol's training spread around its centre.  A symbol that
+    training has not seen, and a column without spread, give nulls.  One row per symbol joins;
+    Spark broadcasts it while it is below the session's threshold in bytes."""
+    def scaled(c: str) -> Column:
+        m = F.col("profile")[c]
+        return F.try_divide(F.col(c) - m["centre"], m["spread"])
+
+    return df.join(profiles, key, "left").select(*[scaled(c).alias(c) if c in cols else c for c in df.columns])
 
 
 def drop_incomplete(df: DataFrame, cols: Sequence[str] = DROPNA_COLUMNS) -> DataFrame:
@@ -107,10 +89,10 @@ def every_kth(df: DataFrame, k: int = SAMPLE_EVERY, key: str | Sequence[str] = "
 def dense_ids(df: DataFrame, col: str, out: str = "symbol_id") -> DataFrame:
     """0-based dense id of each distinct value in sorted order.
 
-    Numbered per leading character and shifted by the running count of earlier
-    characters, so the dictionary never has to fit one task."""
+    The distinct values are numbered per prefix of three characters and shifted by the running
+    count of earlier prefixes; a task holds the values of some prefixes."""
     d = df.select(col).distinct()
-    n = number_rows(d, [], [col], F.substring(F.col(col), 1, 1), total_col=None)
+    n = number_rows(d, [], [col], F.substring(F.col(col), 1, 3), total_col=None)
     return n.select(col, (F.col(RN) - 1).cast("int").alias(out))
 
 

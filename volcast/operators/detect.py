@@ -59,7 +59,7 @@ def detect_anomalies(bars: DataFrame, coef: dict | None = None, threshold: float
 
     def build(frame, spec):
         frame = add_returns(frame, spec)
-        frame = add_realised_variance(frame, spec, DETECT_RV, part_keys=["symbol", CHUNK], rn=RN)
+        frame = add_realised_variance(frame, spec, ["symbol", CHUNK], RN, DETECT_RV)
         frame = score_har(frame, coef)
         warm = F.col(RN) >= min_prices
         frame = frame.withColumn("residual", F.when(warm, F.col("residual")))

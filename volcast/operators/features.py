@@ -8,25 +8,23 @@ whole symbol.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from volcast.functions import market as m
-from volcast.operators.series import CHUNK, RN, over_series, rolling_sum_prefix, window_moments, window_sums
+from volcast.operators.series import CHUNK, RN, over_series, window_moments, window_sums
 
 # Fixed window lengths (rows) of the reference's feature set.
 RV_WINDOWS = {"rv_15m": 15, "rv_1h": 60, "rv_4h": 240, "rv_24h": 1440}
 PARKINSON_WINDOWS = {"parkinson_15m": 15, "parkinson_1h": 60}
 VOLUME_WINDOW = 60
 TARGET_WINDOWS = {"target_15m": 15, "target_1h": 60}
-FORWARD_NAMES = {"target_15m": ("rv_future_15m", "cnt_future_15m"),
-                 "target_1h": ("rv_future_1h", "cnt_future_1h")}
+#: Sum and count of the squared returns ahead, by target.
+FORWARD_NAMES = {k: (f"_{k}_sum", f"_{k}_count") for k in TARGET_WINDOWS}
 
-# Frames at least this long use running-sum differences (O(rows) instead of O(rows x n)).
-PREFIX_MIN_ROWS = 240
+# Frames at least this long are summed by blocks (O(rows) instead of O(rows x n)); the sums are the same.
+BLOCK_SUM_ROWS = 240
 
-FEATURE_COLUMNS = ["rv_15m", "rv_1h", "rv_4h", "rv_24h", "parkinson_15m", "parkinson_1h",
-                   "volume_zscore", "buy_ratio"]
 BACK_ROWS = max(RV_WINDOWS.values())          # 1439 rows of frame + 1 for the lag
 AHEAD_ROWS = max(TARGET_WINDOWS.values())
 
@@ -38,47 +36,36 @@ def add_returns(frame: DataFrame, spec) -> DataFrame:
     return frame.withColumns({"log_return": lr, "sq_return": lr * lr})
 
 
-def add_realised_variance(frame: DataFrame, spec, windows: dict[str, int] = RV_WINDOWS,
-                          part_keys: list[str] | None = None, rn: str | None = None) -> DataFrame:
-    """Trailing sums of squared returns over n rows.
-
-    Frames of ``PREFIX_MIN_ROWS`` rows or more are O(rows): block sums
-    (:func:`window_sums`) on the halo-chunk series (``part_keys``/``rn``), otherwise
-    differences of running sums."""
-    direct = {k: n for k, n in windows.items() if n < PREFIX_MIN_ROWS}
+def add_realised_variance(frame: DataFrame, spec, part_keys: list[str], rn: str,
+                          windows: dict[str, int] = RV_WINDOWS) -> DataFrame:
+    """Trailing sums of squared returns over n rows; long frames by :func:`window_sums`."""
+    direct = {k: n for k, n in windows.items() if n < BLOCK_SUM_ROWS}
     frame = frame.withColumns({k: F.sum("sq_return").over(spec.rowsBetween(-(n - 1), 0))
                                for k, n in direct.items()})
     for k, n in windows.items():
-        if n >= PREFIX_MIN_ROWS:
-            if part_keys and rn:
-                frame = window_sums(frame, spec, part_keys, rn, "sq_return", n, k, nonnegative=True)
-            else:
-                frame = rolling_sum_prefix(frame, spec, "sq_return", n, k, nonnegative=True)
+        if k not in direct:
+            frame = window_sums(frame, spec, part_keys, rn, "sq_return", n, k, nonnegative=True)
     return frame
 
 
-def add_range_volume(frame: DataFrame, spec, part_keys: list[str] | None = None, rn: str | None = None) -> DataFrame:
-    """Parkinson, volume z-score, buy ratio.
-
-    With ``part_keys``/``rn`` (the halo-chunk series) the 60-row volume mean and std
-    come from :func:`window_moments` in O(rows); otherwise from sliding frames."""
+def add_parkinson(frame: DataFrame, spec) -> DataFrame:
+    """One-bar Parkinson variance and its trailing means."""
     frame = frame.withColumn("parkinson_1m", m.parkinson_bar("high", "low"))
-    cols = {k: F.avg("parkinson_1m").over(spec.rowsBetween(-(n - 1), 0))
-            for k, n in PARKINSON_WINDOWS.items()}
-    if part_keys and rn:
-        frame = window_moments(frame, spec, part_keys, rn, "volume", VOLUME_WINDOW, past=False, prefix="_vol")
-        cols["vol_mean_1h"] = F.col("_vol_mean")
-        cols["vol_std_1h"] = F.col("_vol_std")
-    else:
-        vol = spec.rowsBetween(-(VOLUME_WINDOW - 1), 0)
-        cols["vol_mean_1h"] = F.avg("volume").over(vol)
-        cols["vol_std_1h"] = F.stddev_samp("volume").over(vol)
-    frame = frame.withColumns(cols)
-    frame = frame.drop(*[c for c in ("_vol_n", "_vol_mean", "_vol_std") if c in frame.columns])
-    return frame.withColumns({
-        "volume_zscore": m.safe_zscore("volume", "vol_mean_1h", "vol_std_1h"),
-        "buy_ratio": m.ratio("taker_buy_volume", "volume"),
-    })
+    return frame.withColumns({k: F.avg("parkinson_1m").over(spec.rowsBetween(-(n - 1), 0))
+                              for k, n in PARKINSON_WINDOWS.items()})
+
+
+def add_volume(frame: DataFrame, spec, part_keys: list[str], rn: str) -> DataFrame:
+    """Volume against its trailing mean and sample deviation (:func:`window_moments`, O(rows)); buy ratio."""
+    frame = window_moments(frame, spec, part_keys, rn, "volume", VOLUME_WINDOW, past=False, prefix="_vol")
+    frame = frame.withColumns({"vol_mean_1h": F.col("_vol_mean"), "vol_std_1h": F.col("_vol_std")})
+    return frame.drop("_vol_n", "_vol_mean", "_vol_std").withColumns({
+        "volume_zscore": m.safe_zscore("volume", "vol_mean_1h", "vol_std_1h"), "buy_ratio": buy_ratio()})
+
+
+def buy_ratio() -> Column:
+    """Taker-buy share of volume (null when volume is zero)."""
+    return m.ratio("taker_buy_volume", "volume")
 
 
 def add_forward_sums(frame: DataFrame, spec) -> DataFrame:
@@ -117,25 +104,18 @@ def feature_table(bars: DataFrame, targets: bool = True, chunk_rows: int | None
     df = bars_to_events(bars)
 
     def build(frame, spec):
-        frame = add_returns(frame, spec)
-        frame = add_realised_variance(frame, spec, part_keys=["symbol", CHUNK], rn=RN)
-        frame = add_range_volume(frame, spec, ["symbol", CHUNK], RN)
-        if targets:
-            frame = add_forward_sums(frame, spec)
-        return frame
+        keys = ["symbol", CHUNK]
+        frame = add_realised_variance(add_returns(frame, spec), spec, keys, RN)
+        frame = add_volume(add_parkinson(frame, spec), spec, keys, RN)
+        return add_forward_sums(frame, spec) if targets else frame
 
     out = over_series(df, ["symbol"], "event_time", build, back=BACK_ROWS,
                       ahead=AHEAD_ROWS if targets else 0, chunk_rows=chunk_rows)
     return finish_targets(out) if (targets and filter_targets) else out
 
 
-def plain_window_features(bars: DataFrame, targets: bool = True) -> DataFrame:
-    """Reference-shaped twin on ``Window.partitionBy("symbol")`` — for tests only."""
-    df = bars_to_events(bars)
-    spec = Window.partitionBy("symbol").orderBy("event_time")
-    df = add_returns(df, spec)
-    df = add_realised_variance(df, spec, {k: n for k, n in RV_WINDOWS.items()})
-    df = add_range_volume(df, spec)
-    if targets:
-        df = finish_targets(add_forward_sums(df, spec))
-    return df
+def short_frames(bars: DataFrame, build, back: int, chunk_rows: int | None = None) -> DataFrame:
+    """Bars with only the window columns that ``build(frame, spec, part_keys)`` adds (frames of at most
+    ``back`` rows): what a light query needs, without the day-long frames of the whole table."""
+    return over_series(bars_to_events(bars), ["symbol"], "event_time",
+                       lambda frame, spec: build(frame, spec, ["symbol", CHUNK]), back=back, chunk_rows=chunk_rows)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from volcast.functions.market import har_forecast
@@ -35,7 +35,7 @@ def fit_har(df: DataFrame, inputs: Sequence[str] = HAR_INPUTS, target: str = HAR
     d = har_design(df, inputs, target)
     k = len(inputs)
     if k != 3:
-        raise ValueError("fit_har solves the three-input HAR model; use fit_linear_ml otherwise")
+        raise ValueError("fit_har solves the three-input HAR model")
     aggs = [F.count(F.lit(1)).alias("n"), F.avg("y").alias("my")]
     aggs += [F.avg(f"x{i}").alias(f"m{i}") for i in range(k)]
     for i in range(k):
@@ -86,6 +86,21 @@ def regression_metrics(df: DataFrame, truth: str, preds: dict[str, Column | str]
                                      F.avg(F.abs(err)).alias("mae"))
 
 
+def losses_by_split(df: DataFrame, preds: dict[str, str], truth: str = "target") -> DataFrame:
+    """N, RMSE and MAE per split and model, and over all splits (``split = 'all'``) as the
+    sample-weighted mean of the per-split losses."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("model"), F.col(p).cast("double").alias("p")) for name, p in preds.items()])
+    long = df.select("split", truth, F.explode(pairs).alias("_m")).select("split", truth, "_m.*").na.drop(subset=[truth, "p"])
+    err = F.col(truth) - F.col("p")
+    per_split = long.groupBy("split", "model").agg(F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"),
+                                                   F.avg(F.abs(err)).alias("mae"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy("model"))
+    overall = per_split.select("model", "n", (F.col("mse") * share).alias("mse"), (F.col("mae") * share).alias("mae")) \
+        .groupBy("model").agg(F.lit("all").alias("split"), F.sum("n").alias("n"), F.sum("mse").alias("mse"),
+                              F.sum("mae").alias("mae"))
+    return per_split.unionByName(overall).select("split", "model", "n", F.sqrt("mse").alias("rmse"), "mae")
+
+
 def mean_target(fit: DataFrame) -> Column:
     """The naive predictor — mean target over the fit's rows — as a scalar subquery."""
     return _fit_row(fit)["y_mean"]
@@ -93,7 +108,11 @@ def mean_target(fit: DataFrame) -> Column:
 
 def target_scaling(train_seq: DataFrame, target: str = "target") -> DataFrame:
     """Mean and population std of the training targets (one row)."""
-    return train_seq.agg(F.avg(target).alias("y_mean"), F.stddev_pop(target).alias("y_std"))
+    return train_seq.agg(*target_moments(target))
+
+
+def target_moments(target: str = "target") -> list[Column]:
+    return [F.avg(target).alias("y_mean"), F.stddev_pop(target).alias("y_std")]
 
 
 def flatten_sequences(seqs: DataFrame, ids: DataFrame) -> DataFrame:

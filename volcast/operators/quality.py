@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from volcast.functions.market import ntz_micros
@@ -13,10 +13,13 @@ from volcast.operators.series import over_series
 REST_PAGE_ROWS = 1000      # fixed: rows per REST page in the reference's backfill walk
 
 
-def coverage(df: DataFrame, key: str = "symbol", time: str = "event_time") -> DataFrame:
-    """Q1 A2: rows and time span per key (partial aggregation, skew-safe)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"),
-                               F.min(time).alias("first_time"), F.max(time).alias("last_time"))
+COVERAGE_KEYS = 25         # fixed: keys listed in the coverage report
+
+
+def coverage(df: DataFrame, key: str = "symbol", time: str = "event_time", top: int = COVERAGE_KEYS) -> DataFrame:
+    """Q1 A2 O1: rows and time span of the first ``top`` keys in order (partial aggregation, then a top-k)."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"), F.min(time).alias("first_time"),
+                                F.max(time).alias("last_time")).orderBy(key).limit(top))
 
 
 def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -31,15 +34,12 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """U4: one row per key tuple — the one that is first in ``order`` (deterministic).
+    """U4: one row per key tuple — the one that is first in ``order`` (deterministic if that is total).
 
-    An aggregation, not a window: copies are merged map-side before the shuffle,
-    so a key with millions of copies never reaches one task whole."""
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order])
-    best = F.min_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    The rank limit runs before the shuffle too (each map task passes on one row per key), so a
+    key with millions of copies never reaches one task whole."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
 
 
 def gap_report(series: DataFrame, step_seconds: int, key: str = "symbol",
@@ -80,10 +80,15 @@ def gap_fill_plan(gaps: DataFrame, step_seconds: int, page_rows: int = REST_PAGE
                     n_bars.cast("long").alias("n_bars"))
 
 
+SAMPLE_BITS = 60
+
+
 def hash_sample(df: DataFrame, identity: Sequence[str], fraction: float) -> DataFrame:
-    """F8: deterministic sample — a row is kept when the first four hex digits of the MD5
-    of its identity fall below ``fraction`` of 0x10000.  The same rows come out on any
-    partitioning or engine (``md5`` is standard), and the filter is one JVM expression."""
-    threshold = format(int(round(fraction * 0x10000)), "04x")
+    """F8: deterministic sample — a row is kept when the first 15 hex digits of the MD5 of its
+    identity, as a number, are below ``fraction`` of 2**60.  The same rows come out on any
+    partitioning or engine, 0 keeps none and 1 keeps all."""
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction {fraction} is outside [0, 1]")
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in identity])
-    return df.filter(F.substring(F.md5(key), 1, 4) < F.lit(threshold))
+    number = F.conv(F.substring(F.md5(key), 1, SAMPLE_BITS // 4), 16, 10).cast("long")
+    return df.filter(number < F.lit(int(fraction * (1 << SAMPLE_BITS))))

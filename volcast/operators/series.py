@@ -124,26 +124,6 @@ def over_series(df: DataFrame, by: Sequence[str], time_col: str,
     return out.drop(*drop)
 
 
-def rolling_sum_prefix(frame: DataFrame, spec, col: str, n: int, out: str,
-                       nonnegative: bool = False) -> DataFrame:
-    """Sum over the last ``n`` rows as a difference of running sums.
-
-    Cost is O(rows) instead of O(rows x n).  Running sums restart in every chunk,
-    so their magnitude is bounded by the chunk, not the series.  Null handling
-    matches ``sum``: a frame without any non-null value gives null.
-    """
-    run = spec.rowsBetween(Window.unboundedPreceding, 0)
-    cs, cc = f"_cs_{out}", f"_cc_{out}"
-    frame = frame.withColumns({
-        cs: F.sum(F.coalesce(F.col(col), F.lit(0.0))).over(run),
-        cc: F.count(F.col(col)).over(run),
-    })
-    diff = F.col(cs) - F.coalesce(F.lag(cs, n).over(spec), F.lit(0.0))
-    cnt = F.col(cc) - F.coalesce(F.lag(cc, n).over(spec), F.lit(0))
-    val = F.greatest(diff, F.lit(0.0)) if nonnegative else diff
-    return frame.withColumn(out, F.when(cnt > 0, val)).drop(cs, cc)
-
-
 def window_moments(frame: DataFrame, spec, part_keys: Sequence[str], rn: str, value: str, w: int,
                    past: bool, prefix: str) -> DataFrame:
     """Count, mean and sample std of ``value`` over the last ``w`` rows, in O(rows).

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from volcast.operators import dataset as ds
 from volcast.operators.bars import ohlcv_bars
 from volcast.operators.features import feature_table, finish_targets
 from volcast.session import fresh_scratch, source_signature
@@ -56,14 +57,14 @@ def once_per_app(spark: SparkSession, key: tuple, run: Callable[[], str]) -> str
 def bars(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """Hourly bars of ``events`` (materialised once per application and input)."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return materialized(spark, ("bars", width, src, source_signature(src)),
-                        lambda: ohlcv_bars(load_ticks(spark, sf_dir), width))
+    return materialized(spark, ("bars", width, src, source_signature(spark, src)),
+                        lambda: ohlcv_bars(load_ticks(spark, sf_dir), width, tie="tick_id"))
 
 
 def feature_rows(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """Every bar with its features and forward sums/counts (no row dropped yet)."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return materialized(spark, ("features", width, src, source_signature(src)),
+    return materialized(spark, ("features", width, src, source_signature(spark, src)),
                         lambda: feature_table(bars(spark, sf_dir, width), targets=True,
                                               filter_targets=False),
                         partition_by=["symbol"], sort_by=["event_time"])
@@ -89,54 +90,52 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def split_cuts(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """The 80 % / 90 % cuts of the feature table's span, written once (one row)."""
-    from volcast.operators.dataset import split_cuts as cuts_of
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return materialized(spark, ("split_cuts", width, src, source_signature(src)),
-                        lambda: cuts_of(features(spark, sf_dir, width)))
+    return materialized(spark, ("split_cuts", width, src, source_signature(spark, src)),
+                        lambda: ds.split_cuts(features(spark, sf_dir, width)))
 
 
 def split_features(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """features_with_targets labelled train / val / test by the global time cuts."""
-    from volcast.operators.dataset import chrono_split
-    return chrono_split(features(spark, sf_dir, width), cuts=split_cuts(spark, sf_dir, width))
+    return ds.chrono_split(features(spark, sf_dir, width), split_cuts(spark, sf_dir, width))
+
+
+def split_part(spark: SparkSession, sf_dir: str, split: str, width: str = BAR_WIDTH) -> DataFrame:
+    """one split of features_with_targets; its time range reaches the scan."""
+    return ds.split_part(features(spark, sf_dir, width), split_cuts(spark, sf_dir, width), split)
 
 
 def har_fit(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """M1 K9: the HAR-RV fit on the train split, written once as a one-row model table."""
     from volcast.operators.models import fit_har
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return materialized(spark, ("har_fit", width, src, source_signature(src)),
-                        lambda: fit_har(split_features(spark, sf_dir, width).filter("split = 'train'")))
+    return materialized(spark, ("har_fit", width, src, source_signature(spark, src)),
+                        lambda: fit_har(split_part(spark, sf_dir, "train", width)))
 
 
-def scaler_stats(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
-    """K3: per-symbol train statistics, written once."""
-    from volcast.operators.dataset import scaler_stats as stats_of
+def column_profiles(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """K3: per-symbol training centre and spread of the scaled columns, written once."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return materialized(spark, ("scaler_stats", width, src, source_signature(src)),
-                        lambda: stats_of(split_features(spark, sf_dir, width).filter("split = 'train'")))
+    return materialized(spark, ("column_profiles", width, src, source_signature(spark, src)),
+                        lambda: ds.column_profiles(split_part(spark, sf_dir, "train", width)))
 
 
 def scaled(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """Scaled train / val / test in one table partitioned by split and symbol."""
-    from volcast.operators.dataset import SCALE_COLUMNS, apply_scaling, drop_incomplete
-    from volcast.operators.joins import small_side
-    keep = ["symbol", "event_time", "split", *SCALE_COLUMNS, "volume_zscore", "target_15m", "target_1h"]
+    keep = ["symbol", "event_time", "split", *ds.SCALE_COLUMNS, "volume_zscore", "target_15m", "target_1h"]
     src = f"{sf_dir.rstrip('/')}/events.parquet"
 
     def build():
-        stats = small_side(scaler_stats(spark, sf_dir, width))
-        d = apply_scaling(split_features(spark, sf_dir, width).select(*keep), stats)
-        return drop_incomplete(d).select(*keep)
+        d = ds.standardised(split_features(spark, sf_dir, width).select(*keep), column_profiles(spark, sf_dir, width))
+        return ds.drop_incomplete(d)
 
-    return materialized(spark, ("scaled", width, src, source_signature(src)), build,
+    return materialized(spark, ("scaled", width, src, source_signature(spark, src)), build,
                         partition_by=["split", "symbol"], sort_by=["event_time"])
 
 
 def sequence_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """W10 W11 Y-4: every-5th rows of each (symbol, split) series and their 48 x 8 windows,
     all splits in one pass (the series key includes the split), written once."""
-    from volcast.operators import dataset as ds
     cols = [*ds.SEQUENCE_FEATURES, "target_15m"]
     src = f"{sf_dir.rstrip('/')}/events.parquet"
 
@@ -146,7 +145,7 @@ def sequence_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) ->
         sampled = ds.drop_incomplete(ds.every_kth(d, key=keys), cols)
         return ds.sequences(sampled, key=keys)
 
-    return materialized(spark, ("sequences", width, src, source_signature(src)), build,
+    return materialized(spark, ("sequences", width, src, source_signature(spark, src)), build,
                         partition_by=["split"])
 
 
@@ -155,14 +154,39 @@ def forecast_table(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) ->
     sorted by time inside — the forecast store's ((symbol, day), event_time) layout."""
     from volcast.operators.detect import detect_anomalies
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return materialized(spark, ("forecasts", width, src, source_signature(src)),
+    return materialized(spark, ("forecasts", width, src, source_signature(spark, src)),
                         lambda: detect_anomalies(bars(spark, sf_dir, width)),
                         partition_by=["symbol"], sort_by=["day", "event_time"])
 
 
 def symbol_dictionary(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
-    """Dense ids of the training symbols, written once (one row per symbol)."""
-    from volcast.operators.dataset import dense_ids
+    """Dense ids of the symbols that have training sequences, written once (one row per symbol)."""
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    return materialized(spark, ("symbol_ids", width, src, source_signature(spark, src)),
+                        lambda: ds.dense_ids(sequence_table(spark, sf_dir, width).filter("split = 'train'"), "symbol"))
+
+
+def sequence_model(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH):
+    """The sequence model fitted on the training sequences, saved as one artefact
+    (pipeline, target scaling, symbol ids, configuration), loaded back, and its scores of every split:
+    symbol, event_time, split, target, seq_pred."""
+    from volcast.operators import models as md
+    from volcast.sinks.models import load_sequence_model, save_sequence_model
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return materialized(spark, ("symbol_ids", width, src, source_signature(src)),
-                        lambda: dense_ids(scaled(spark, sf_dir, width).filter("split = 'train'"), "symbol"))
+
+    def run() -> str:
+        seqs = sequence_table(spark, sf_dir, width)
+        ids = symbol_dictionary(spark, sf_dir, width)
+        train = seqs.filter("split = 'train'")
+        scaling = materialized(spark, ("target_scaling", width, src, source_signature(spark, src)),
+                               lambda: md.target_scaling(train))
+        model = md.fit_sequence_model(md.standardise_target(md.flatten_sequences(train, ids), scaling))
+        path = fresh_scratch(spark, "sequence-model")
+        save_sequence_model(spark, path, model, scaling, ids, {"seq_len": ds.SEQ_LEN, "features": ds.SEQUENCE_FEATURES})
+        return path
+
+    path = once_per_app(spark, ("sequence_model", width, src, source_signature(spark, src)), run)
+    model, scaling, ids, _ = load_sequence_model(spark, path)
+    vec = md.flatten_sequences(sequence_table(spark, sf_dir, width), ids)
+    return (md.destandardise(model.transform(vec), scaling)
+            .select("symbol", "event_time", "split", "target", "seq_pred"))

@@ -19,11 +19,12 @@ from volcast.operators import dataset as ds
 from volcast.operators import detect
 from volcast.operators import models as md
 from volcast.operators import quality as qa
-from volcast.operators.joins import small_side
-from volcast.operators.partitioning import spread
+from volcast.operators import bars as br
+from volcast.operators import features as ft
 from volcast.plans import sql as S
-from volcast.plans.common import (bars, feature_rows, features, forecast_table, once_per_app, rounded, scaled,
-                                  scaler_stats, sequence_table, split_features, symbol_dictionary)
+from volcast.plans.common import (bars, column_profiles, feature_rows, features, forecast_table,
+                                  once_per_app, rounded, scaled, sequence_table, split_features, split_part,
+                                  symbol_dictionary)
 from volcast.plans.common import har_fit as fitted_har
 from volcast.session import fresh_scratch, ship_package, source_signature
 from volcast.sinks.files import write_csv
@@ -31,7 +32,7 @@ from volcast.sources import archives as ar
 from volcast.sources import encode as enc
 from volcast.sources import klines as kl
 from volcast.sources import messages as msg
-from volcast.sources.tables import archive_and_gap_files, table
+from volcast.sources.tables import archive_and_gap_files, load_ticks, table
 from volcast.streaming import live
 
 Plan = Callable[[SparkSession, str], DataFrame]
@@ -62,11 +63,21 @@ def ohlcv_bars(spark, sf_dir):
     return rounded(bars(spark, sf_dir))
 
 
+@plan("ohlcv_bars_ties", S.with_(S.bars_sql("hour", S.TICKS.replace("ts AS event_time", "date_trunc('hour', ts) AS event_time")), f"""
+SELECT symbol, bar_time, {S.rnd('open', 'high', 'low', 'close', 'volume', 'taker_buy_volume')}, num_trades
+FROM bars"""))
+def ohlcv_bars_ties(spark, sf_dir):
+    """A1: bars of ticks whose times are cut to the hour, so all ticks of a bar are tied in time and the
+    tick id decides which is first and last."""
+    ticks = load_ticks(spark, sf_dir).withColumn("event_time", F.date_trunc("hour", "event_time").cast("timestamp_ntz"))
+    return rounded(br.ohlcv_bars(ticks, tie="tick_id"))
+
+
 @plan("log_returns", S.with_(S.RETURNS, f"""
 SELECT symbol, event_time, {S.rnd('close', 'prev_close', 'log_return', 'sq_return')} FROM sq"""))
 def log_returns(spark, sf_dir):
     """Previous close, log return, squared return."""
-    f = feature_rows(spark, sf_dir)
+    f = ft.short_frames(bars(spark, sf_dir), lambda frame, spec, _: ft.add_returns(frame, spec), back=1)
     return rounded(f.select("symbol", "event_time", "close", "prev_close", "log_return", "sq_return"))
 
 
@@ -82,15 +93,19 @@ def realised_variance(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('parkinson_1m', 'parkinson_15m', 'parkinson_1h')} FROM feat"""))
 def parkinson(spark, sf_dir):
     """One-bar Parkinson and its 15 / 60 row means."""
-    f = feature_rows(spark, sf_dir)
+    f = ft.short_frames(bars(spark, sf_dir), lambda frame, spec, _: ft.add_parkinson(frame, spec), back=60)
     return rounded(f.select("symbol", "event_time", "parkinson_1m", "parkinson_15m", "parkinson_1h"))
 
 
+def _volume_frames(spark, sf_dir):
+    return ft.short_frames(bars(spark, sf_dir), lambda frame, spec, keys: ft.add_volume(frame, spec, keys, "_rn"), back=120)
+
+
 @plan("volume_features", S.with_(S.FEATURES, f"""
 SELECT symbol, event_time, {S.rnd('vol_mean_1h', 'vol_std_1h', 'volume_zscore', 'buy_ratio')} FROM feat"""))
 def volume_features(spark, sf_dir):
     """Trailing volume mean / std / z-score and buy ratio."""
-    f = feature_rows(spark, sf_dir)
+    f = _volume_frames(spark, sf_dir)
     return rounded(f.select("symbol", "event_time", "vol_mean_1h", "vol_std_1h", "volume_zscore", "buy_ratio"))
 
 
@@ -98,7 +113,7 @@ def volume_features(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('volume', 'volume_zscore')} FROM feat"""))
 def volume_zscore(spark, sf_dir):
     """Volume against its trailing 60-row mean and sample std."""
-    f = feature_rows(spark, sf_dir)
+    f = _volume_frames(spark, sf_dir)
     return rounded(f.select("symbol", "event_time", "volume", "volume_zscore"))
 
 
@@ -106,8 +121,8 @@ def volume_zscore(spark, sf_dir):
 SELECT symbol, event_time, {S.rnd('taker_buy_volume', 'buy_ratio')} FROM feat"""))
 def buy_ratio(spark, sf_dir):
     """Taker-buy share of volume (null when volume is zero)."""
-    f = feature_rows(spark, sf_dir)
-    return rounded(f.select("symbol", "event_time", "taker_buy_volume", "buy_ratio"))
+    b = bars(spark, sf_dir).withColumnRenamed("bar_time", "event_time")
+    return rounded(b.select("symbol", "event_time", "taker_buy_volume", ft.buy_ratio().alias("buy_ratio")))
 
 
 @plan("forward_targets", S.with_(S.FEATURES, f"""
@@ -118,6 +133,21 @@ def forward_targets(spark, sf_dir):
     return rounded(f.select("symbol", "event_time", "rv_15m", "target_15m", "target_1h"))
 
 
+#: Rows per chunk of the one-minute plans: small, so that a symbol's series is cut into many chunks (ten and
+#: more at the smallest scale factors that have a thousand minutes) and offsets, halos and clamping all take part.
+MINUTE_CHUNK = 180
+
+
+@plan("features_1m", S.with_(S.bars_sql("minute") + S._RETURNS_TAIL + S.FEATURES[len(S.RETURNS):], f"""
+SELECT symbol, event_time, {S.rnd('close', 'rv_15m', 'rv_1h', 'rv_4h', 'rv_24h', 'parkinson_15m', 'parkinson_1h',
+                                  'volume_zscore', 'buy_ratio', 'target_15m', 'target_1h')} FROM targets"""))
+def features_1m(spark, sf_dir):
+    """D3 W1-W7 F3 at the reference's width: features and targets of one-minute bars, every symbol in many chunks."""
+    f = ft.feature_table(bars(spark, sf_dir, "1 minute"), targets=True, chunk_rows=MINUTE_CHUNK)
+    return rounded(f.select("symbol", "event_time", "close", "rv_15m", "rv_1h", "rv_4h", "rv_24h", "parkinson_15m",
+                            "parkinson_1h", "volume_zscore", "buy_ratio", "target_15m", "target_1h"))
+
+
 # ---------------------------------------------------------------- detector
 
 _FORECAST_NUM = ("close", "rv_15m", "rv_1h", "rv_24h", "forecast", "vol_forecast", "vol_realized",
@@ -135,8 +165,8 @@ def har_zscore(spark, sf_dir):
 SELECT symbol, event_time, day, {S.rnd(*_FORECAST_NUM)}, is_anomaly FROM forecasts"""))
 def har_zscore_1m(spark, sf_dir):
     """A1 W1-W3 M3 M4 W8 M5 on one-minute bars (the reference's bar width): a 1440-row
-    frame is a day of minutes, the z-score reaches 1728 rows back through the halo."""
-    return rounded(forecast_table(spark, sf_dir, "1 minute"))
+    frame is a day of minutes, the z-score reaches 1728 rows back through the halo of many chunks."""
+    return rounded(detect.detect_anomalies(bars(spark, sf_dir, "1 minute"), chunk_rows=MINUTE_CHUNK))
 
 
 @plan("anomalies", S.with_(S.DETECT, f"""
@@ -170,9 +200,9 @@ STEP_S = 3600   # hourly bars
 
 @plan("coverage", S.with_(S.BARS, """
 SELECT symbol, count(*) AS n_rows, min(bar_time) AS first_time, max(bar_time) AS last_time
-FROM bars GROUP BY symbol"""))
+FROM bars GROUP BY symbol ORDER BY symbol LIMIT 25"""))
 def coverage(spark, sf_dir):
-    """Q1 A2 O1: bars per symbol and their span."""
+    """Q1 A2 O1: bars and span of the first 25 symbols (the report's length)."""
     return qa.coverage(bars(spark, sf_dir).withColumnRenamed("bar_time", "event_time"))
 
 
@@ -249,7 +279,10 @@ _STAT_COLS = [f"{c}_{s}" for c in ds.SCALE_COLUMNS for s in ("mean", "std")]
 @plan("scaler_stats", S.with_(S.SCALED, f"SELECT symbol, {S.rnd(*_STAT_COLS)} FROM stats"))
 def scaler_stats_plan(spark, sf_dir):
     """Per-symbol mean and sample std of the seven scaled columns (train only)."""
-    return rounded(scaler_stats(spark, sf_dir))
+    p = column_profiles(spark, sf_dir)
+    parts = [F.col("profile")[c][part].alias(f"{c}_{name}") for c in ds.SCALE_COLUMNS
+             for part, name in (("centre", "mean"), ("spread", "std"))]
+    return rounded(p.select("symbol", *parts))
 
 
 _SCALED_OUT = [*ds.SCALE_COLUMNS, "volume_zscore", "target_15m", "target_1h"]
@@ -273,11 +306,11 @@ def scale_check(spark, sf_dir):
                                            F.stddev_samp("rv_15m").alias("std_rv_15m")))
 
 
-@plan("symbol_ids", S.with_(S.SCALED, """
+@plan("symbol_ids", S.with_(S.SEQUENCES, """
 SELECT symbol, CAST(row_number() OVER (ORDER BY symbol) - 1 AS INTEGER) AS symbol_id
-FROM (SELECT DISTINCT symbol FROM scaled WHERE split = 'train')"""))
+FROM (SELECT DISTINCT symbol FROM seqs WHERE split = 'train')"""))
 def symbol_ids(spark, sf_dir):
-    """Dense ids over the sorted distinct training symbols."""
+    """Dense ids over the sorted distinct symbols that have training sequences."""
     return symbol_dictionary(spark, sf_dir)
 
 
@@ -292,30 +325,33 @@ def every_fifth(spark, sf_dir):
     return rounded(ds.drop_incomplete(ds.every_kth(d), _SEQ_OUT))
 
 
-_SEQ_SQL = S.SCALED + S._sampled("train", "samp") + f""",
-seqs AS (
-  SELECT symbol, event_time, target_15m AS target,
-         count(*) OVER w AS seq_len,
-         first_value(rv_15m) OVER w AS first_rv_15m, last_value(rv_15m) OVER w AS last_rv_15m,
-         first_value(buy_ratio) OVER w AS first_buy_ratio, last_value(buy_ratio) OVER w AS last_buy_ratio
-  FROM samp
-  WINDOW w AS (PARTITION BY symbol ORDER BY event_time ROWS BETWEEN {ds.SEQ_LEN} PRECEDING AND 1 PRECEDING))"""
+_SEQ_CELLS = [f"{kind}_{c}" for c in S.SEQUENCE_COLUMNS for kind in ("sum", "turn")]
 
 
-@plan("sequences", S.with_(_SEQ_SQL, f"""
-SELECT symbol, event_time, CAST(seq_len AS INTEGER) AS seq_len,
-       {S.rnd('first_rv_15m', 'last_rv_15m', 'first_buy_ratio', 'last_buy_ratio', 'target')}
-FROM seqs WHERE seq_len = {ds.SEQ_LEN}"""))
+@plan("sequences", S.with_(S.SEQUENCES, f"""
+SELECT symbol, split, event_time, CAST(seq_len AS INTEGER) AS seq_len, {S.rnd('target', *_SEQ_CELLS)} FROM seqs"""))
 def sequences(spark, sf_dir):
-    """W11 Y-4: 48 x 8 windows of every-5th scaled training rows and the next row's target
-    (reported as length plus first / last values of two features)."""
-    s = sequence_table(spark, sf_dir).filter("split = 'train'")
-    i_rv, i_br = ds.SEQUENCE_FEATURES.index("rv_15m"), ds.SEQUENCE_FEATURES.index("buy_ratio")
-    first, last = F.col("seq")[0], F.col("seq")[ds.SEQ_LEN - 1]
-    return rounded(s.select("symbol", "event_time", F.size("seq").alias("seq_len"),
-                            first[i_rv].alias("first_rv_15m"), last[i_rv].alias("last_rv_15m"),
-                            first[i_br].alias("first_buy_ratio"), last[i_br].alias("last_buy_ratio"),
-                            "target"))
+    """W11 Y-4: 48 x 8 windows of every-5th scaled rows of every split and the next row's target, reported with
+    two numbers per feature over all 48 cells: their sum and their sum weighted by position 1..48."""
+    def cells(i, weighted):
+        def add(total, row, j):
+            return total + row[i] * (j if weighted else F.lit(1.0))
+        return F.aggregate(F.transform("seq", lambda row, j: F.struct(row.alias("r"), (j + 1).cast("double").alias("j"))),
+                           F.lit(0.0), lambda total, x: add(total, x["r"], x["j"]))
+
+    reported = [cells(i, kind == "turn").alias(f"{kind}_{c}") for i, c in enumerate(ds.SEQUENCE_FEATURES)
+                for kind in ("sum", "turn")]
+    return rounded(sequence_table(spark, sf_dir).select("symbol", "split", "event_time", F.size("seq").alias("seq_len"),
+                                                        "target", *reported))
+
+
+@plan("target_scaling", S.with_(S.SEQUENCES, """
+SELECT count(*) AS n_train, round(avg(target), 6) + 0.0 AS y_mean, round(stddev_pop(target), 6) + 0.0 AS y_std
+FROM seqs WHERE split = 'train'"""))
+def target_scaling(spark, sf_dir):
+    """Mean and population deviation of the training sequences' targets."""
+    train = sequence_table(spark, sf_dir).filter("split = 'train'")
+    return rounded(train.agg(F.count(F.lit(1)).alias("n_train"), *md.target_moments()))
 
 
 # ---------------------------------------------------------------- models
@@ -326,7 +362,7 @@ _FIT_OUT = ["intercept", "w_15m", "w_1h", "w_24h", "y_mean"]
 @plan("har_fit", S.with_(S.HAR_FIT, f"SELECT n_train, {S.rnd(*_FIT_OUT)} FROM har_fit"))
 def har_fit(spark, sf_dir):
     """M1: HAR-RV least squares on the train split (normal equations, one aggregate)."""
-    return rounded(md.fit_har(split_features(spark, sf_dir).filter("split = 'train'")))
+    return rounded(md.fit_har(split_part(spark, sf_dir, "train")))
 
 
 @plan("model_metrics", S.with_(S.HAR_FIT + """,
@@ -343,7 +379,7 @@ FROM per_model WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY model"""))
 def model_metrics(spark, sf_dir):
     """RMSE / MAE of the fitted HAR model and the mean predictor on test."""
     fit = fitted_har(spark, sf_dir)
-    test = md.score_har_fitted(split_features(spark, sf_dir).filter("split = 'test'"), fit)
+    test = md.score_har_fitted(split_part(spark, sf_dir, "test"), fit)
     return rounded(md.regression_metrics(test, "target_15m",
                                          {"HAR": "har_pred", "mean": md.mean_target(fit)}))
 
@@ -357,8 +393,8 @@ hr AS (
   SELECT *,
     CASE WHEN rv_15m + 1e-12 > 0 AND forecast + 1e-12 > 0 THEN ln(rv_15m + 1e-12) - ln(forecast + 1e-12) END
       AS residual,
-    sqrt(greatest(exp(forecast) - 1, 0.0)) * 100 AS vol_forecast,
-    sqrt(greatest(rv_15m, 0.0)) * 100 AS vol_realized
+    CASE WHEN forecast IS NOT NULL THEN sqrt(greatest(exp(forecast) - 1, 0.0)) * 100 END AS vol_forecast,
+    CASE WHEN rv_15m IS NOT NULL THEN sqrt(greatest(rv_15m, 0.0)) * 100 END AS vol_realized
   FROM hs)""", f"SELECT symbol, event_time, {S.rnd(*_SCORE_OUT)} FROM hr"))
 def har_score(spark, sf_dir):
     """Served-model forecast, residual and percent volatilities
@@ -403,7 +439,7 @@ SELECT symbol, time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01 00
        round(avg(vol_realized), 6) + 0.0 AS vol_realized, round(avg(vol_forecast), 6) + 0.0 AS vol_forecast,
        round(max(abs(zscore)), 6) + 0.0 AS max_abs_z,
        CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS n_anomalies,
-       CAST({m.ANOMALY_THRESHOLD} AS DOUBLE) AS z_upper, CAST(-{m.ANOMALY_THRESHOLD} AS DOUBLE) AS z_lower
+       CAST(4.0 AS DOUBLE) AS z_upper, CAST(-4.0 AS DOUBLE) AS z_lower
 FROM forecasts GROUP BY symbol, time_bucket(INTERVAL 6 HOUR, event_time, TIMESTAMP '1970-01-01 00:00:00')"""))
 def forecast_panel(spark, sf_dir):
     """Realised vs forecast volatility and |z| with the ±4 bands, per symbol and 6 hours."""
@@ -419,44 +455,43 @@ def forecast_panel(spark, sf_dir):
     return rounded(out)
 
 
-@plan("sequence_model_metrics")
+@plan("sequence_model_metrics", S.with_(S.SEQUENCES + S._har_fit() + """,
+on_rows AS (
+  SELECT q.split, q.target AS y,
+         f.intercept + f.w_15m * ln(1 + t.rv_15m) + f.w_1h * ln(1 + t.rv_1h) + f.w_24h * ln(1 + t.rv_24h) AS har,
+         f.y_mean AS mean
+  FROM seqs q LEFT JOIN targets t ON q.symbol = t.symbol AND q.event_time = t.event_time, har_fit f),
+per_model AS (
+  SELECT split, 'HAR' AS model, y, har AS p FROM on_rows UNION ALL SELECT split, 'mean' AS model, y, mean AS p FROM on_rows),
+per_split AS (
+  SELECT split, model, count(*) AS n, avg((y - p) * (y - p)) AS mse, avg(abs(y - p)) AS mae
+  FROM per_model WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY split, model),
+overall AS (
+  SELECT 'all' AS split, model, CAST(sum(n) AS BIGINT) AS n, sum(mse * n) / sum(n) AS mse, sum(mae * n) / sum(n) AS mae
+  FROM per_split GROUP BY model)""", """
+SELECT split, model, n, round(sqrt(mse), 6) + 0.0 AS rmse, round(mae, 6) + 0.0 AS mae
+FROM (SELECT * FROM per_split UNION ALL SELECT * FROM overall)"""))
 def sequence_model_metrics(spark, sf_dir):
-    """Spark ML regression on flattened 48 x 8 training sequences
-    plus a one-hot symbol, trained on the standardised target, saved and re-loaded as a
-    pipeline artefact, then scored (de-standardised) on every split.  Predictions are
-    left-joined to the feature rows on (symbol, event_time) for the HAR forecast, so the
-    comparison table (SEQ / HAR / mean: n, RMSE, MAE per split) is on the same rows."""
-    from pyspark.ml import PipelineModel
-    seqs = sequence_table(spark, sf_dir)
-    vec = md.flatten_sequences(seqs, small_side(symbol_dictionary(spark, sf_dir)))   # size-checked broadcast
-    train = vec.filter("split = 'train'")
-    path = fresh_scratch(spark, "sequence-target-scaling")
-    md.target_scaling(train).write.parquet(path)          # A8: one row, reused by fit and scoring
-    scaling = spark.read.parquet(path)
-    model = md.fit_sequence_model(md.standardise_target(train, scaling))
-    path = fresh_scratch(spark, "sequence-model")
-    model.write().overwrite().save(path)
-    scored = md.destandardise(PipelineModel.load(path).transform(vec), scaling)
+    """HAR and mean predictor on the rows that have sequences — left join on (symbol, event_time),
+    n, RMSE and MAE per split, and over all splits as the sample-weighted mean of the losses.  The sequence
+    model's own row of this table (``common.sequence_model``) is no SQL and is held by a test."""
+    return rounded(md.losses_by_split(_on_sequence_rows(spark, sf_dir), {"HAR": "har_pred", "mean": "mean_pred"}))
+
+
+def _on_sequence_rows(spark, sf_dir):
     fit = fitted_har(spark, sf_dir)
     har = md.score_har_fitted(features(spark, sf_dir).select("symbol", "event_time", *md.HAR_INPUTS), fit)
-    joined = (scored.select("symbol", "event_time", "split", "target", "seq_pred")
-                    .join(har.select("symbol", "event_time", "har_pred"), ["symbol", "event_time"], "left"))
-    models = F.array(*[F.struct(F.lit(n).alias("model"), p.cast("double").alias("p")) for n, p in
-                       [("SEQ", F.col("seq_pred")), ("HAR", F.col("har_pred")), ("mean", md.mean_target(fit))]])
-    long = joined.select("split", "target", F.explode(models).alias("_m")).select("split", "target", "_m.*")
-    err = F.col("target") - F.col("p")
-    per_split = (long.na.drop(subset=["target", "p"]).groupBy("split", "model")
-                 .agg(F.count(F.lit(1)).alias("n"), F.avg(err * err).alias("mse"), F.avg(F.abs(err)).alias("mae")))
-    # Loss over all splits as the sample-weighted mean of the per-split losses.
-    overall = per_split.groupBy("model").agg(
-        F.lit("all").alias("split"), F.sum("n").alias("n"),
-        (F.sum(F.col("mse") * F.col("n")) / F.sum("n")).alias("mse"),
-        (F.sum(F.col("mae") * F.col("n")) / F.sum("n")).alias("mae"))
-    out = per_split.unionByName(overall).select("split", "model", "n", F.sqrt("mse").alias("rmse"), "mae")
-    return rounded(out)
+    rows = sequence_table(spark, sf_dir).select("symbol", "event_time", "split", "target")
+    return (rows.join(har.select("symbol", "event_time", "har_pred"), ["symbol", "event_time"], "left")
+            .withColumn("mean_pred", md.mean_target(fit)))
 
 
-SAMPLE_FRACTION = 0.01
+def sequence_comparison(spark, sf_dir):
+    """:func:`sequence_model_metrics` with the sequence model's predictions as one more model."""
+    from volcast.plans.common import sequence_model
+    seq = sequence_model(spark, sf_dir).select("symbol", "event_time", "seq_pred")
+    rows = _on_sequence_rows(spark, sf_dir).join(seq, ["symbol", "event_time"], "left")
+    return rounded(md.losses_by_split(rows, {"SEQ": "seq_pred", "HAR": "har_pred", "mean": "mean_pred"}))
 
 
 @plan("har_artifact", S.with_(S.HAR_FIT, f"SELECT n_train, {S.rnd(*_FIT_OUT)} FROM har_fit"))
@@ -464,7 +499,7 @@ def har_artifact(spark, sf_dir):
     """K9: the fitted HAR coefficients saved as a model artefact and loaded back."""
     from volcast.sinks.models import load_har, save_har
     path = fresh_scratch(spark, "har-model")
-    save_har(md.fit_har(split_features(spark, sf_dir).filter("split = 'train'")), path)
+    save_har(md.fit_har(split_part(spark, sf_dir, "train")), path)
     return rounded(load_har(spark, path))
 
 
@@ -476,13 +511,33 @@ def symbol_lookup(spark, sf_dir):
     return rounded(f.select("symbol", "event_time", "close", "rv_15m", "target_15m"))
 
 
-@plan("hash_sample", f"""
+def _sample_sql(fraction: float) -> str:
+    return f"""
 SELECT * FROM events
-WHERE substr(md5(CAST(event_id AS VARCHAR) || '|' || event_type), 1, 4) < '{format(int(round(SAMPLE_FRACTION * 0x10000)), "04x")}'""")
+WHERE CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || '|' || event_type), 1, 15) AS BIGINT)
+      < CAST({fraction!r} * 1152921504606846976.0 AS BIGINT)"""
+
+
+def _sample(spark, sf_dir, fraction):
+    return rounded(qa.hash_sample(table(spark, sf_dir, "events"), ["event_id", "event_type"], fraction))
+
+
+@plan("hash_sample", _sample_sql(0.01))
 def hash_sample(spark, sf_dir):
-    """F8: deterministic ~1 % sample of the ticks by a hash of each row's identity."""
-    ev = table(spark, sf_dir, "events")
-    return rounded(qa.hash_sample(ev, ["event_id", "event_type"], SAMPLE_FRACTION))
+    """F8: deterministic 1 % sample of the ticks by a hash of each row's identity (a sampling operator)."""
+    return _sample(spark, sf_dir, 0.01)
+
+
+@plan("hash_sample_fine", _sample_sql(0.0001))
+def hash_sample_fine(spark, sf_dir):
+    """F8 at the reference's fraction, 0.0001."""
+    return _sample(spark, sf_dir, 0.0001)
+
+
+@plan("hash_sample_all", _sample_sql(1.0))
+def hash_sample_all(spark, sf_dir):
+    """F8 at its upper end: a fraction of 1 keeps every row."""
+    return _sample(spark, sf_dir, 1.0)
 
 
 # ---------------------------------------------------------------- ingestion
@@ -490,6 +545,7 @@ def hash_sample(spark, sf_dir):
 
 _K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 _TAKER = "CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END"
+_CLOSE = "(value + 1.0 + (user_id % 3) * 0.25)"
 _MS_NTZ = "make_timestamp((epoch_us(ts) // 1000) * 1000)"  # ms truncated, like UnixMilli
 _CANDLE = ["open", "close", "high", "low", "volume", "taker_buy_volume"]
 
@@ -498,37 +554,37 @@ _CANDLE = ["open", "close", "high", "low", "volume", "taker_buy_volume"]
 SELECT event_type AS symbol, {_MS_NTZ} AS event_time,
        {", ".join(f"round(x_{c}, 6) + 0.0 AS {c}" for c in _CANDLE)},
        CAST({_K} AS BIGINT) AS num_trades
-FROM (SELECT *, value + 1.0 AS x_open, value + 1.0 AS x_close, value + 1.0 AS x_high, value + 1.0 AS x_low,
+FROM (SELECT *, value + 1.0 AS x_open, {_CLOSE} AS x_close, {_CLOSE} + 0.5 AS x_high, (value + 1.0) * 0.5 AS x_low,
              value AS x_volume, {_TAKER} AS x_taker_buy_volume FROM events)
-WHERE value >= 1""")
+WHERE value >= 1 AND NOT ({_K} BETWEEN 92 AND 94)""")
 def decode_kline_json(spark, sf_dir):
     """Kline event JSON (prices as strings or bare numbers) decoded to
     typed candles; open candles dropped."""
-    d = msg.closed_candles(msg.decode_kline(enc.kline_json(spread(table(spark, sf_dir, "events")))))
+    d = msg.closed_candles(msg.decode_kline(enc.kline_json(table(spark, sf_dir, "events"))))
     return rounded(d.select("symbol", "event_time", *_CANDLE, "num_trades"))
 
 
 @plan("decode_envelope", f"""
 SELECT lower(event_type) || '@kline_1s' AS stream, event_type AS symbol, {_MS_NTZ} AS event_time,
-       round(value + 1.0, 6) + 0.0 AS close
-FROM events WHERE {_K} < 95 AND value >= 1""")
+       round({_CLOSE}, 6) + 0.0 AS close
+FROM events WHERE {_K} < 92 AND value >= 1""")
 def decode_envelope(spark, sf_dir):
     """Combined-stream envelopes -> routed (key = symbol, value = inner JSON)
     records for closed candles; broken envelopes are skipped."""
-    r = msg.route(enc.envelopes(spread(table(spark, sf_dir, "events"))))
+    r = msg.route(enc.envelopes(table(spark, sf_dir, "events")))
     return rounded(r.select("stream", "symbol", "event_time", "close"))
 
 
 @plan("decode_rejects", f"""
 SELECT count(*) AS n_messages,
        CAST(sum(CASE WHEN {_K} >= 95 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_envelope,
-       CAST(0 AS BIGINT) AS n_bad_event,
-       CAST(sum(CASE WHEN {_K} < 95 AND value < 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_open,
-       CAST(sum(CASE WHEN {_K} < 95 AND value >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_routed
+       CAST(sum(CASE WHEN {_K} BETWEEN 92 AND 94 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_event,
+       CAST(sum(CASE WHEN {_K} < 92 AND value < 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_open,
+       CAST(sum(CASE WHEN {_K} < 92 AND value >= 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_routed
 FROM events""")
 def decode_rejects(spark, sf_dir):
     """F2 K8: message totals of the routing step (bad envelopes, bad events, open, routed)."""
-    return msg.reject_counts(enc.envelopes(spread(table(spark, sf_dir, "events"))))
+    return msg.reject_counts(enc.envelopes(table(spark, sf_dir, "events")))
 
 
 _KROW_SQL = S.BARS + f""",
@@ -562,6 +618,33 @@ def decode_rest_page(spark, sf_dir):
     return rounded(_typed_klines(kl.decode_rest_pages(enc.rest_pages(rows))))
 
 
+@plan("rest_page_status", S.with_(S.BARS + """,
+paged AS (SELECT symbol, (row_number() OVER (PARTITION BY symbol ORDER BY bar_time) - 1) // 100 AS page_no FROM bars)""", """
+SELECT symbol, page_no, CASE WHEN length(symbol) % 2 = 0 THEN 'unreadable' ELSE 'ok' END AS status,
+       CASE WHEN length(symbol) % 2 = 0 THEN 0 ELSE count(*) END AS n_rows
+FROM paged GROUP BY symbol, page_no"""))
+def rest_page_status(spark, sf_dir):
+    """Status and row count of every REST page (100 rows each), some of them cut short on the way."""
+    rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
+    return kl.rest_page_status(enc.cut_pages(enc.rest_pages(rows, page_rows=100)))
+
+
+@plan("csv_rejects", S.with_(_KROW_SQL, """
+SELECT symbol, count(*) AS n_rows, count(*) FILTER (WHERE (open_time // 3600000) % 7 <> 0) AS n_with_time,
+       CAST(count(*) FILTER (WHERE (open_time // 3600000) % 7 = 0) AS BIGINT) AS n_rejected
+FROM krows GROUP BY symbol"""))
+def csv_rejects(spark, sf_dir):
+    """Archive CSV in which every seventh hour has an open time that is no number: rows read, rows with a
+    time, and rejects per symbol (the reader keeps rejects with nulls)."""
+    rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
+    bad = F.pmod(F.floor(F.col("open_time") / 3_600_000), F.lit(7)) == 0
+    text = F.col("open_time").cast("string")
+    rows = rows.withColumn("open_time", F.when(bad, F.concat(F.lit("x"), text)).otherwise(text))
+    out = fresh_scratch(spark, "klines-rejects")
+    write_csv(rows.select(*kl.KLINE_FIELDS, "symbol"), out, partition_by=["symbol"])
+    return kl.csv_rejects(kl.read_kline_csv(spark, f"{out}/symbol=*/*.csv", symbol_pattern=r"/symbol=([^/]+)/"))
+
+
 @plan("epoch_normalise", """
 SELECT event_id, raw_open_time AS open_time,
        CASE WHEN raw_open_time > 100000000000000 THEN raw_open_time // 1000 ELSE raw_open_time END AS open_time_ms,
@@ -597,23 +680,21 @@ def etl_from_csv(spark, sf_dir):
     """The ETL notebook end to end — archive CSV (before the
     90 % cut) and gap-file CSV (from the 80 % cut, with µs epochs) overlap; both are read by
     one glob, normalised, de-duplicated on (symbol, time) and turned into features + targets."""
-    from volcast.functions.market import ntz_micros
-    from volcast.operators.dataset import split_bounds
-    from volcast.operators.features import feature_table
     rows = enc.kline_rows(bars(spark, sf_dir), STEP_S * 1000)
-    b = split_bounds(rows.select(millis_to_ntz("open_time").alias("t")), "t")
-    us = F.col("open_time") * 1000
+    train_cut, val_cut = ds.split_cuts(rows.select(millis_to_ntz("open_time").alias("t")), "t").first()
+    t = millis_to_ntz("open_time")
     out = fresh_scratch(spark, "klines-etl")
-    write_csv(rows.filter(us < b["val_cut"]).select(*kl.KLINE_FIELDS, "symbol"), f"{out}/archive",
+    write_csv(rows.filter(t < F.lit(val_cut)).select(*kl.KLINE_FIELDS, "symbol"), f"{out}/archive",
               partition_by=["symbol"])
-    gap = rows.filter(us >= b["train_cut"]).withColumn("open_time", F.col("open_time") * 1000)  # µs epochs
+    gap = rows.filter(t >= F.lit(train_cut)).withColumn("open_time", F.col("open_time") * 1000)  # µs epochs
     write_csv(gap.select(*kl.KLINE_FIELDS, "symbol"), f"{out}/gap", partition_by=["symbol"])
     raw = kl.read_kline_csv(spark, f"{out}/*/symbol=*/*.csv", symbol_pattern=r"/symbol=([^/]+)/")
     norm = kl.normalise_klines(raw.filter(F.col("_corrupt").isNull()))
-    unique = qa.dedupe(kl.klines_to_bars(norm), ["symbol", "bar_time"], ["num_trades"])
+    unique = qa.dedupe(kl.klines_to_bars(norm), ["symbol", "bar_time"],
+                       ["num_trades", "open", "high", "low", "close", "volume", "taker_buy_volume"])
     # Archive rows are labelled by open time; the bar table by window end.
     unique = unique.withColumn("bar_time", F.col("bar_time") + F.expr(f"INTERVAL {STEP_S} SECONDS"))
-    f = feature_table(unique, targets=True)
+    f = ft.feature_table(unique, targets=True)
     return rounded(f.select("symbol", "event_time", "close", "rv_15m", "rv_24h", "parkinson_15m",
                             "volume_zscore", "buy_ratio", "target_15m", "target_1h"))
 
@@ -650,7 +731,7 @@ FROM (SELECT 'doc-' || doc_id || '.txt' AS file_name, sha256(text) AS actual,
       FROM documents)""")
 def checksum_verify(spark, sf_dir):
     """SHA-256 of every document's bytes against its manifest line."""
-    content, manifest = enc.checksum_manifest(spread(table(spark, sf_dir, "documents")))
+    content, manifest = enc.checksum_manifest(table(spark, sf_dir, "documents"))
     return ar.verify_checksums(content, manifest)
 
 
@@ -674,38 +755,83 @@ def archive_unpack(spark, sf_dir):
 
 
 
-def live_run(spark, sf_dir) -> str:
-    """Drain ``events`` through the live topology once per application (availableNow):
-    bars, forecasts + anomalies (foreachBatch) and routed messages, each with its own
-    checkpoint under one fresh scratch folder."""
-    src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return once_per_app(spark, ("live", src, source_signature(src)), lambda: _drain_live(spark, sf_dir, src))
+REPLAY_BATCHES = 3
 
 
-def _drain_live(spark, sf_dir, src) -> str:
+def live_run(spark, sf_dir) -> str:
+    """Drain ``events`` through the live topology once per application (availableNow): bars, forecasts +
+    anomalies (foreachBatch), routed messages and candle bars, each with its own checkpoint under one
+    fresh scratch folder, in ``REPLAY_BATCHES`` micro-batches."""
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    return once_per_app(spark, ("live", src, source_signature(spark, src)), lambda: _drain_live(spark, sf_dir))
+
+
+def _replay(rows: DataFrame, time: str, path: str, late: DataFrame | None = None) -> None:
+    """Write ``rows`` as one file per micro-batch, one after the other in time order (the file source takes
+    them by modification time); ``late`` goes with the last."""
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    cuts = [first + (last - first) * i / REPLAY_BATCHES for i in range(1, REPLAY_BATCHES)]
+    for i in range(REPLAY_BATCHES):
+        part = rows
+        if i:
+            part = part.filter(F.col(time) >= F.lit(cuts[i - 1]))
+        if i < REPLAY_BATCHES - 1:
+            part = part.filter(F.col(time) < F.lit(cuts[i]))
+        elif late is not None:
+            part = part.unionByName(late)
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def late_copies(events: DataFrame) -> DataFrame:
+    """Ticks that arrive days late: copies, as new ticks with other values, of every tenth id in the first
+    three tenths of the time (the watermark that filters a batch is that of two batches before)."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    old = events.filter((F.col("ts") < F.lit(first + (last - first) * 3 / 10)) & (F.pmod("event_id", F.lit(10)) == 0))
+    return old.withColumns({"event_id": F.col("event_id") + 10 ** 12, "value": F.col("value") + 1000.0})
+
+
+def _drain_live(spark, sf_dir) -> str:
     base = fresh_scratch(spark, "live")
-    schema = table(spark, sf_dir, "events").schema
-    once = {"availableNow": True}
-
-    def stream():
-        return live.file_stream(spark, src, schema)
-
-    # Three independent queries, run side by side as a deployment would; state
-    # partitions = the session's parallelism (a handful of symbols here).
-    par = spark.sparkContext.defaultParallelism
-    queries = [
-        live.start_forecasting(spark, live.event_ticks(stream()), f"{base}/ck_forecast", f"{base}/forecasts",
-                               f"{base}/anomalies", trigger=once, state_partitions=par),
-        live.start_bars(live.event_ticks(stream()), f"{base}/ck_bars", f"{base}/bars", trigger=once,
-                        state_partitions=par),
-        live.start_route(enc.envelopes(stream()), f"{base}/ck_route", f"{base}/routed", trigger=once,
-                         parallelism=spark.sparkContext.defaultParallelism),
-    ]
-    for q in queries:
+    events = table(spark, sf_dir, "events")
+    _replay(events, "ts", f"{base}/in_events")
+    _replay(events, "ts", f"{base}/in_late", late_copies(events))
+    history, recent = _history_and_recent(spark, sf_dir)
+    _replay(recent, "bar_time", f"{base}/in_bars")
+    drain = {"trigger": {"availableNow": True}}
+    # a handful of symbols here; on a cluster this is the number of state partitions to keep
+    state = drain | {"state_partitions": spark.sparkContext.defaultParallelism}
+
+    def stream(name, schema=events.schema):
+        return live.file_stream(spark, f"{base}/{name}", schema, max_files=1)
+
+    # Independent queries, run side by side as a deployment would.
+    queries = {
+        "forecast": live.start_forecasting(spark, live.event_ticks(stream("in_late")), f"{base}/ck_forecast",
+                                           f"{base}/forecasts", f"{base}/anomalies", report_path=f"{base}/report", **state),
+        "bars": live.start_bars(live.stream_bars(live.event_ticks(stream("in_late"))), f"{base}/ck_bars",
+                                f"{base}/bars", **state),
+        "route": live.start_route(enc.envelopes(stream("in_events")), f"{base}/ck_route", f"{base}/routed", **drain),
+        "candles": live.start_bars(live.stream_candle_bars(live.kline_candles(
+            enc.redelivered(enc.kline_json(stream("in_events"))))), f"{base}/ck_candles", f"{base}/candle_bars", **state),
+        "warm": live.start_forecaster(spark, stream("in_bars", recent.schema), f"{base}/ck_warm", f"{base}/warm_forecasts",
+                                      f"{base}/warm_anomalies", initial=history, **state),
+    }
+    for q in queries.values():
         q.awaitTermination()
+    # the first stateful operator of the bars query drops the late ticks
+    dropped = sum(o["numRowsDroppedByWatermark"] for p in queries["bars"].recentProgress for o in p["stateOperators"])
+    n_batches = sum(p["numInputRows"] > 0 for p in queries["bars"].recentProgress)
+    spark.createDataFrame([(dropped, n_batches)], "n_dropped long, n_batches long").coalesce(1).write.parquet(f"{base}/late")
     return base
 
 
+def _history_and_recent(spark, sf_dir):
+    """Bars before and from the 80 % cut."""
+    b = bars(spark, sf_dir).select("symbol", "bar_time", "close")
+    cut = F.lit(ds.split_cuts(b, "bar_time").first()["train_cut"])
+    return b.filter(F.col("bar_time") < cut), b.filter(F.col("bar_time") >= cut)
+
+
 _WM = "(SELECT (epoch_us(max(ts)) // 1000) - 30000 FROM events)"   # watermark in ms after the last batch
 
 
@@ -713,11 +839,56 @@ _WM = "(SELECT (epoch_us(max(ts)) // 1000) - 30000 FROM events)"   # watermark i
 SELECT symbol, bar_time, {S.rnd('open', 'high', 'low', 'close', 'volume', 'taker_buy_volume')}, num_trades
 FROM bars WHERE epoch_us(bar_time) // 1000 <= {_WM}"""))
 def stream_bars(spark, sf_dir):
-    """Final bars from the watermarked stream (append mode) — the batch
-    bars less those the watermark has not closed yet."""
+    """Final bars from the watermarked stream (append mode, several micro-batches, late ticks
+    in the last) — the batch bars less those the watermark has not closed yet."""
     return rounded(spark.read.parquet(f"{live_run(spark, sf_dir)}/bars"))
 
 
+@plan("stream_late_rows", """
+SELECT CAST(count(*) AS BIGINT) AS n_dropped, CAST(3 AS BIGINT) AS n_batches
+FROM events, (SELECT min(ts) AS t0, max(ts) AS t1 FROM events)
+WHERE event_id % 10 = 0 AND epoch_us(ts) < epoch_us(t0) + (epoch_us(t1) - epoch_us(t0)) * 3 // 10""")
+def stream_late_rows(spark, sf_dir):
+    """The ticks that came days late are dropped by the watermark, all of them and no other."""
+    return spark.read.parquet(f"{live_run(spark, sf_dir)}/late")
+
+
+@plan("stream_kline_bars", f"""
+WITH c AS (
+  SELECT event_type AS symbol, epoch_us(ts) // 1000 AS t, value + 1.0 AS open, {_CLOSE} AS close, {_CLOSE} + 0.5 AS high,
+         (value + 1.0) * 0.5 AS low, value AS volume, {_TAKER} AS taker_buy_volume, {_K} AS trades
+  FROM events WHERE value >= 1 AND NOT ({_K} BETWEEN 92 AND 94)),
+b AS (
+  SELECT symbol, make_timestamp((t // 3600000 + 1) * 3600000000) AS bar_time, arg_min(open, t) AS open, max(high) AS high,
+         min(low) AS low, arg_max(close, t) AS close, sum(volume) AS volume, sum(taker_buy_volume) AS taker_buy_volume,
+         CAST(sum(trades) AS BIGINT) AS num_trades
+  FROM c GROUP BY symbol, t // 3600000)
+SELECT symbol, bar_time, {S.rnd('open', 'high', 'low', 'close', 'volume', 'taker_buy_volume')}, num_trades
+FROM b WHERE epoch_ms(bar_time) <= (SELECT max(t) - 30000 FROM c)""")
+def stream_kline_bars(spark, sf_dir):
+    """Live candles with four different prices, a third of them delivered twice, as hourly bars."""
+    return rounded(spark.read.parquet(f"{live_run(spark, sf_dir)}/candle_bars"))
+
+
+@plan("stream_warm_start", S.with_(S.DETECT + S._split_ctes("bars", "bar_time", "warm"), f"""
+SELECT symbol, event_time, day, {S.rnd(*_FORECAST_NUM)}, is_anomaly
+FROM forecasts, warm_c WHERE epoch_us(event_time) >= train_cut"""))
+def stream_warm_start(spark, sf_dir):
+    """A forecaster started on history bars (their newest rows as initial state) and fed the rest
+    gives the batch detector's rows for the rest."""
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/warm_forecasts", live.FORECAST_TABLE_SCHEMA)
+    return rounded(live.latest(t).select(*detect.FORECAST_COLUMNS))
+
+
+@plan("stream_report", S.with_(S.DETECT, f"""
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS n_anomalies
+FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM}"""))
+def stream_report(spark, sf_dir):
+    """K8: rows and anomalies of all micro-batches, from the sink's report rows."""
+    r = live.read_sink(spark, f"{live_run(spark, sf_dir)}/report", live.REPORT_SCHEMA)
+    return r.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_anomalies").alias("n_anomalies"))
+
+
 @plan("stream_zscore", S.with_(S.DETECT, f"""
 SELECT symbol, event_time, day, {S.rnd(*_FORECAST_NUM)}, is_anomaly
 FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM}"""))
@@ -739,8 +910,8 @@ def stream_anomalies(spark, sf_dir):
 
 
 @plan("stream_route", f"""
-SELECT event_type AS symbol, {_MS_NTZ} AS event_time, round(value + 1.0, 6) + 0.0 AS close
-FROM events WHERE {_K} < 95 AND value >= 1""")
+SELECT event_type AS symbol, {_MS_NTZ} AS event_time, round({_CLOSE}, 6) + 0.0 AS close
+FROM events WHERE {_K} < 92 AND value >= 1""")
 def stream_route(spark, sf_dir):
     """Envelopes routed by the stream as (key = symbol, value = inner JSON) for closed
     candles; the forwarded bytes are decoded again to show they arrive intact."""
@@ -754,9 +925,10 @@ SELECT symbol, count(*) AS n_forecasts, CAST(sum(CASE WHEN is_anomaly THEN 1 ELS
        max(event_time) AS last_event_time
 FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM} GROUP BY symbol"""))
 def stream_sinks(spark, sf_dir):
-    """K5 K6: what the two foreachBatch tables hold per symbol (latest write per key)."""
+    """K5 K6: what the two foreachBatch tables hold per symbol — the forecasts after compaction to one
+    folder per day, the anomalies by latest write per key."""
     base = live_run(spark, sf_dir)
-    fc = live.latest(live.read_sink(spark, f"{base}/forecasts", live.FORECAST_TABLE_SCHEMA))
+    fc = live.compact_days(spark, f"{base}/forecasts", live.FORECAST_TABLE_SCHEMA, f"{base}/forecast_days")
     an = live.latest(live.read_sink(spark, f"{base}/anomalies", live.ANOMALY_SCHEMA), ("symbol", "event_time"))
     per = fc.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_forecasts"), F.max("event_time").alias("last_event_time"))
     flagged = an.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_anomalies"))

@@ -1,28 +1,31 @@
 """Oracle SQL (DuckDB dialect) for the registered plans.
 
-Written from the definitions, not from our Spark plans: straightforward
-``PARTITION BY symbol`` windows, ``arg_min``/``arg_max`` bars, explicit CASEs for
-null-safe division.  Views ``events`` etc. are registered by the caller.
+Written from the definitions, not from our Spark plans, with every constant and column list
+written out here: straightforward ``PARTITION BY symbol`` windows, ``arg_min``/``arg_max``
+bars, explicit CASEs for null-safe division.  Views ``events`` etc. are registered by the caller.
 """
 
 from __future__ import annotations
 
-from volcast.functions import market as m
-
-PF = repr(m.PARKINSON_FACTOR)
+PF = "0.36067376022224085"      # 1 / (4 ln 2)
+SCALED_COLUMNS = ["rv_15m", "rv_1h", "rv_4h", "rv_24h", "parkinson_15m", "parkinson_1h", "buy_ratio"]
+SEQUENCE_COLUMNS = ["rv_15m", "rv_1h", "rv_4h", "rv_24h", "parkinson_15m", "parkinson_1h", "volume_zscore", "buy_ratio"]
+COMPLETE_COLUMNS = ["rv_15m", "rv_1h", "rv_4h", "rv_24h", "parkinson_15m", "parkinson_1h", "buy_ratio", "volume_zscore"]
 
 TICKS = """
 ticks AS (
   SELECT event_type AS symbol, ts AS event_time, value + 1.0 AS price, value AS volume,
-         CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END AS taker_buy_volume
+         CASE WHEN user_id % 2 = 0 THEN value ELSE 0.0 END AS taker_buy_volume, event_id AS tick_id
   FROM events)"""
 
-def bars_sql(unit: str = "hour") -> str:
-    return TICKS + f""",
+
+def bars_sql(unit: str = "hour", ticks: str = TICKS) -> str:
+    return ticks + f""",
 bars AS (
   SELECT symbol, date_trunc('{unit}', event_time) + INTERVAL 1 {unit.upper()} AS bar_time,
-         arg_min(price, event_time) AS open, max(price) AS high, min(price) AS low,
-         arg_max(price, event_time) AS close, sum(volume) AS volume,
+         arg_min(price, epoch_us(event_time)::HUGEINT * 10000000000000000000 + tick_id) AS open,
+         max(price) AS high, min(price) AS low,
+         arg_max(price, epoch_us(event_time)::HUGEINT * 10000000000000000000 + tick_id) AS close, sum(volume) AS volume,
          sum(taker_buy_volume) AS taker_buy_volume, count(*) AS num_trades
   FROM ticks GROUP BY symbol, date_trunc('{unit}', event_time))"""
 
@@ -68,7 +71,7 @@ feat AS (
   SELECT *,
     avg(parkinson_1m) OVER {_rows(15)} AS parkinson_15m,
     avg(parkinson_1m) OVER {_rows(60)} AS parkinson_1h,
-    CASE WHEN vol_std_1h > {m.STD_FLOOR} THEN (volume - vol_mean_1h) / vol_std_1h END AS volume_zscore
+    CASE WHEN vol_std_1h > 1e-12 THEN (volume - vol_mean_1h) / vol_std_1h END AS volume_zscore
   FROM feat0),
 targets AS (
   SELECT *, ln(1 + fsum15) AS target_15m, ln(1 + fsum60) AS target_1h
@@ -76,8 +79,8 @@ targets AS (
 
 
 def _har(rv15: str = "rv_15m", rv1h: str = "rv_1h", rv24: str = "rv_24h") -> str:
-    return (f"({m.HAR_INTERCEPT!r} + {m.HAR_W_15M!r} * ln(1 + {rv15}) + {m.HAR_W_1H!r} * ln(1 + {rv1h})"
-            f" + {m.HAR_W_24H!r} * ln(1 + {rv24}))")
+    return (f"(1.896524003230036e-05 + 0.17862620024636272 * ln(1 + {rv15}) + 0.011214103226812332 * ln(1 + {rv1h})"
+            f" + 0.00035420663272866257 * ln(1 + {rv24}))")
 
 
 _DETECT_TAIL = f""",
@@ -90,23 +93,23 @@ drv AS (
 dfc AS (SELECT *, {_har()} AS forecast FROM drv),
 dres AS (
   SELECT *,
-    CASE WHEN rn >= {m.MIN_PRICES} AND rv_15m + 1e-12 > 0 AND forecast + 1e-12 > 0
+    CASE WHEN rn >= 16 AND rv_15m + 1e-12 > 0 AND forecast + 1e-12 > 0
          THEN ln(rv_15m + 1e-12) - ln(forecast + 1e-12) END AS residual,
-    sqrt(greatest(exp(forecast) - 1, 0.0)) * 100 AS vol_forecast,
-    sqrt(greatest(rv_15m, 0.0)) * 100 AS vol_realized
+    CASE WHEN forecast IS NOT NULL THEN sqrt(greatest(exp(forecast) - 1, 0.0)) * 100 END AS vol_forecast,
+    CASE WHEN rv_15m IS NOT NULL THEN sqrt(greatest(rv_15m, 0.0)) * 100 END AS vol_realized
   FROM dfc),
 dz0 AS (
   SELECT *,
     avg(residual) OVER p AS zm, stddev_samp(residual) OVER p AS zs, count(residual) OVER p AS zn
   FROM dres
-  WINDOW p AS (PARTITION BY symbol ORDER BY event_time ROWS BETWEEN {m.Z_PAST_ROWS} PRECEDING AND 1 PRECEDING)),
+  WINDOW p AS (PARTITION BY symbol ORDER BY event_time ROWS BETWEEN 288 PRECEDING AND 1 PRECEDING)),
 scored AS (
   SELECT symbol, event_time, CAST(event_time AS DATE) AS day, close, rv_15m, rv_1h, rv_24h, forecast,
          vol_forecast, vol_realized, residual,
-         CASE WHEN zn >= {m.Z_MIN_PAST} AND zs > {m.STD_FLOOR} THEN (residual - zm) / zs END AS zscore
-  FROM dz0 WHERE rn >= {m.MIN_PRICES}),
+         CASE WHEN zn >= 29 AND zs > 1e-12 THEN (residual - zm) / zs END AS zscore
+  FROM dz0 WHERE rn >= 16),
 forecasts AS (
-  SELECT *, coalesce(abs(zscore) > {m.ANOMALY_THRESHOLD}, false) AS is_anomaly FROM scored)"""
+  SELECT *, coalesce(abs(zscore) > 4.0, false) AS is_anomaly FROM scored)"""
 DETECT = RETURNS + _DETECT_TAIL
 
 
@@ -128,15 +131,13 @@ def rnd(*cols: str) -> str:
 # ---------------------------------------------------------------- dataset preparation
 
 def _scaled_cols() -> str:
-    from volcast.operators.dataset import SCALE_COLUMNS
     return ",\n    ".join(
         f"CASE WHEN st.{c}_std = 0 THEN NULL ELSE (s.{c} - st.{c}_mean) / st.{c}_std END AS {c}"
-        for c in SCALE_COLUMNS)
+        for c in SCALED_COLUMNS)
 
 
 def _stats_cols() -> str:
-    from volcast.operators.dataset import SCALE_COLUMNS
-    return ", ".join(f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_std" for c in SCALE_COLUMNS)
+    return ", ".join(f"avg({c}) AS {c}_mean, stddev_samp({c}) AS {c}_std" for c in SCALED_COLUMNS)
 
 
 def _notnull(cols) -> str:
@@ -159,7 +160,6 @@ split AS (
 
 
 def _scaled() -> str:
-    from volcast.operators.dataset import DROPNA_COLUMNS
     return SPLIT + f""",
 stats AS (SELECT symbol, {_stats_cols()} FROM split WHERE split = 'train' GROUP BY symbol),
 scaled0 AS (
@@ -167,22 +167,38 @@ scaled0 AS (
     {_scaled_cols()},
     s.volume_zscore, s.target_15m, s.target_1h
   FROM split s LEFT JOIN stats st ON s.symbol = st.symbol),
-scaled AS (SELECT * FROM scaled0 WHERE {_notnull(DROPNA_COLUMNS)})"""
+scaled AS (SELECT * FROM scaled0 WHERE {_notnull(COMPLETE_COLUMNS)})"""
 
 
 SCALED = _scaled()
 
 
 def _sampled(split_name: str, cte: str) -> str:
-    from volcast.operators.dataset import SEQUENCE_FEATURES
-    cols = ", ".join(SEQUENCE_FEATURES)
+    cols = ", ".join(SEQUENCE_COLUMNS)
     return f""",
 {cte}0 AS (
   SELECT symbol, event_time, {cols}, target_15m,
          row_number() OVER (PARTITION BY symbol ORDER BY event_time) AS srn
   FROM scaled WHERE split = '{split_name}'),
-{cte} AS (SELECT * FROM {cte}0 WHERE (srn - 1) % 5 = 0 AND {_notnull(SEQUENCE_FEATURES + ['target_15m'])})"""
-
+{cte} AS (SELECT * FROM {cte}0 WHERE (srn - 1) % 5 = 0 AND {_notnull(SEQUENCE_COLUMNS + ['target_15m'])})"""
+
+
+#: Every fifth row of each (symbol, split) series and the 48 rows before it.
+_SEQ_WINDOW = "(PARTITION BY symbol, split ORDER BY event_time ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING)"
+SEQUENCES = SCALED + f""",
+seq0 AS (
+  SELECT symbol, split, event_time, {", ".join(SEQUENCE_COLUMNS)}, target_15m,
+         row_number() OVER (PARTITION BY symbol, split ORDER BY event_time) AS srn
+  FROM scaled),
+seq1 AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol, split ORDER BY event_time) AS pos FROM seq0
+  WHERE (srn - 1) % 5 = 0 AND {_notnull(SEQUENCE_COLUMNS + ['target_15m'])}),
+seq2 AS (
+  SELECT symbol, split, event_time, target_15m AS target, count(*) OVER w AS seq_len,
+    {", ".join(f"sum({c}) OVER w AS sum_{c}, sum({c} * pos) OVER w - (pos - 49) * sum({c}) OVER w AS turn_{c}"
+               for c in SEQUENCE_COLUMNS)}
+  FROM seq1 WINDOW w AS {_SEQ_WINDOW}),
+seqs AS (SELECT * FROM seq2 WHERE seq_len = 48)"""
 
 # ---------------------------------------------------------------- models
 

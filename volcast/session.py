@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -75,23 +76,29 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
 
 def fresh_scratch(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the scratch location (one per run, never reused)."""
-    return scratch_dir(spark, "volcast", f"{label}-{uuid.uuid4().hex[:12]}")
-
-
-def source_signature(path: str) -> str:
-    """Cheap identity of an input path (names, sizes, mtimes) for memoising derived tables."""
-    parts = []
-    if os.path.isdir(path):
-        for root, _, files in os.walk(path):
-            for f in sorted(files):
-                st = os.stat(os.path.join(root, f))
-                parts.append(f"{f}:{st.st_size}:{int(st.st_mtime)}")
-    elif os.path.exists(path):
-        st = os.stat(path)
-        parts.append(f"{path}:{st.st_size}:{int(st.st_mtime)}")
-    else:
-        parts.append(path)
-    return "|".join(parts)
+    path = scratch_dir(spark, "volcast", f"{label}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def source_signature(spark: SparkSession, path: str) -> str:
+    """Identity of an input (paths, sizes, modification times of its files) for memoising derived
+    tables; listed by Spark, so it works on every file system, and digested to one number."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("path", "length", "modificationTime"))
+    n, digest = files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return f"{path}|{n}|{digest}"
+
+
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the folders that :func:`fresh_scratch` gave out in this application (end of a run)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        p = hadoop(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 _SHIPPED: set[str] = set()
@@ -132,19 +139,20 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def cluster_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
-    """Spark settings sized for a data volume and a cluster (pass to ``build_session(extra=...)``).
+def cluster_settings(shuffled_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20,
+                     max_partitions: int = 20_000) -> dict:
+    """Spark settings for a cluster (pass to ``build_session(extra=...)``).
 
-    Shuffle partitions: enough that each holds ~``target_partition_bytes`` of the input
-    (bars and features are far smaller than ticks, AQE coalesces the rest), and at least
-    three waves of tasks.  File splits match the same size, and AQE splits any shuffle
-    partition five times the median and above 1 GiB (skew)."""
-    parts = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    ``shuffled_bytes`` is what the largest shuffle moves: bars and features are a small part of the
+    ticks.  Partitions hold about ``target_partition_bytes``, three waves at least and
+    ``max_partitions`` at most (map tasks x partitions blocks must stay countable); beyond that
+    partitions grow and AQE splits the skewed ones."""
+    parts = min(max(3 * total_cores, shuffled_bytes // target_partition_bytes + 1), max(max_partitions, total_cores))
     return {
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",

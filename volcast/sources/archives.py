@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,20 +40,24 @@ def binary_files(spark, path_glob: str, name_pattern: str = r"([^/]+)$") -> Data
 
 
 def _unzip_batches(batches):
+    """One frame per member, so a task holds one member's text; what cannot be read gives a null text."""
+    def frame(name, member, text):
+        return pd.DataFrame({"file_name": [name], "member": [member], "text": [text]}, dtype="object")
+
+    unreadable = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, ValueError, TypeError)
     for pdf in batches:
-        out_name, out_member, out_text = [], [], []
         for name, blob in zip(pdf["file_name"], pdf["content"]):
             try:
-                with zipfile.ZipFile(io.BytesIO(bytes(blob))) as zf:
-                    for member in zf.namelist():
-                        out_name.append(name)
-                        out_member.append(member)
-                        out_text.append(zf.read(member).decode("utf-8", errors="replace"))
-            except zipfile.BadZipFile:
-                out_name.append(name)
-                out_member.append(None)
-                out_text.append(None)
-        yield pd.DataFrame({"file_name": out_name, "member": out_member, "text": out_text})
+                zf = zipfile.ZipFile(io.BytesIO(bytes(blob)))
+            except unreadable:
+                yield frame(name, None, None)
+                continue
+            with zf:
+                for member in zf.namelist():
+                    try:
+                        yield frame(name, member, zf.read(member).decode("utf-8", errors="replace"))
+                    except unreadable:
+                        yield frame(name, member, None)
 
 
 def unpack_zip(archives: DataFrame) -> DataFrame:
@@ -60,7 +65,7 @@ def unpack_zip(archives: DataFrame) -> DataFrame:
 
     Each task opens its own archives with the standard library (Arrow batches in,
     Arrow batches out); lines are split and parsed by Spark afterwards.  A broken
-    archive yields one row with a null member instead of failing the job."""
+    archive yields one row with a null member, a broken member one with a null line."""
     members = archives.select("file_name", "content").mapInPandas(
         _unzip_batches, "file_name string, member string, text string")
     lines = members.select("file_name", "member", F.explode_outer(F.split(F.col("text"), "\r?\n")).alias("line"))

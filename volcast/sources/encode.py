@@ -5,8 +5,11 @@ These encoders produce the same shapes from ``events`` / bars / ``documents``
 with plain DataFrame expressions, so decoders are exercised on data that grows
 with the tables.  Rules that pick a variant are data-driven, never row filters:
 closed flag ``x`` = ``value >= 1``; prices as bare JSON numbers when
-``props.k < 50`` (strings otherwise); envelopes with ``props.k >= 95`` are cut
-short (broken JSON).
+``props.k < 50`` (strings otherwise); a close that is no number when ``props.k`` is
+92 to 94; envelopes with ``props.k >= 95`` are cut short (broken JSON); pages of
+symbols with an even number of letters are cut short.  A candle's open is
+``value + 1``, its close ``user_id % 3`` quarters above, its high half above the
+close and its low half of the open.
 """
 
 from __future__ import annotations
@@ -31,17 +34,20 @@ def _ms(ts: str | Column) -> Column:
 
 def kline_json_value() -> Column:
     """X-3: kline event JSON for a row of ``events``."""
-    price = F.col("value") + F.lit(1.0)
+    opened = F.col("value") + F.lit(1.0)
+    closed = opened + F.pmod(F.col("user_id"), F.lit(3)) * F.lit(0.25)
+    high, low = closed + F.lit(0.5), opened * F.lit(0.5)
     taker = F.when(F.pmod(F.col("user_id"), F.lit(2)) == 0, F.col("value")).otherwise(F.lit(0.0))
     t_ms = _ms("ts")
     k = props_k()
 
     def kline(as_number: bool) -> Column:
         num = (lambda c: c) if as_number else (lambda c: c.cast("string"))
+        close = num(closed) if as_number else F.when(k.between(92, 94), F.lit("n/a")).otherwise(num(closed))
         inner = F.struct(
             (t_ms - 1000).alias("t"), t_ms.alias("T"), F.col("event_type").alias("s"),
-            F.lit(KLINE_INTERVAL).alias("i"), num(price).alias("o"), num(price).alias("c"),
-            num(price).alias("h"), num(price).alias("l"), num(F.col("value")).alias("v"),
+            F.lit(KLINE_INTERVAL).alias("i"), num(opened).alias("o"), close.alias("c"),
+            num(high).alias("h"), num(low).alias("l"), num(F.col("value")).alias("v"),
             num(taker).alias("V"), k.alias("n"), (F.col("value") >= 1).alias("x"))
         return F.to_json(F.struct(F.lit("kline").alias("e"), (t_ms + 5).alias("E"),
                                   F.col("event_type").alias("s"), inner.alias("k")))
@@ -102,11 +108,16 @@ def rest_pages(rows: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
                     .alias("page"))
 
 
-def csv_lines(rows: DataFrame) -> DataFrame:
-    """K7 format: header-less CSV text of the 12 fields."""
-    cols = ["open_time", "open", "high", "low", "close", "volume", "close_time", "quote_volume", "num_trades",
-            "taker_buy_base", "taker_buy_quote", "ignore"]
-    return rows.select("symbol", F.concat_ws(",", *[F.col(c).cast("string") for c in cols]).alias("line"))
+def cut_pages(pages: DataFrame) -> DataFrame:
+    """X-7 with broken responses: pages of symbols with an even number of letters lose their last ten characters."""
+    cut = F.pmod(F.length("symbol"), F.lit(2)) == 0
+    return pages.withColumn("page", F.when(cut, F.expr("left(page, length(page) - 10)")).otherwise(F.col("page")))
+
+
+def redelivered(messages: DataFrame, id_col: str = "event_id") -> DataFrame:
+    """X-6 as an at-least-once source delivers it: records whose id is divisible by three come twice."""
+    times = F.when(F.pmod(F.col(id_col), F.lit(3)) == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return messages.select("*", F.explode(times).alias("_n")).drop("_n")
 
 
 def checksum_manifest(documents: DataFrame) -> DataFrame:

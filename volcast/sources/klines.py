@@ -53,22 +53,44 @@ def klines_to_bars(norm: DataFrame) -> DataFrame:
                        F.col("taker_buy_base_num").alias("taker_buy_volume"), "num_trades")
 
 
+_PAGE = "array<array<string>>"
+
+
+def rest_page_status(pages: DataFrame, page: str = "page") -> DataFrame:
+    """Every page's ``status`` (ok, empty, unreadable) and ``n_rows``; an unreadable page is
+    reported here and gives no rows in :func:`decode_rest_pages`, the walk goes on."""
+    rows = F.from_json(F.col(page), _PAGE)
+    n = F.when(rows.isNull(), 0).otherwise(F.size(rows))
+    status = F.when(rows.isNull(), "unreadable").when(F.size(rows) == 0, "empty").otherwise("ok")
+    return pages.select(*[c for c in pages.columns if c != page], status.alias("status"), n.cast("long").alias("n_rows"))
+
+
 def decode_rest_pages(pages: DataFrame, page: str = "page") -> DataFrame:
     """JSON page ``[[open_time, "open", ...], ...]`` -> one typed row per kline.
 
     Mixed numbers and strings are read as text (integers keep their digits), so
-    each field converts exactly like an archive CSV field.  Empty pages give no rows."""
-    arr = F.from_json(F.col(page), "array<array<string>>")
+    each field converts exactly like an archive CSV field.  Empty and unreadable pages give
+    no rows; :func:`rest_page_status` tells which."""
+    arr = F.from_json(F.col(page), _PAGE)
     d = pages.select(*[c for c in pages.columns if c != page], F.explode(arr).alias("_k"))
     cols = []
     for i, f in enumerate(KLINE_CSV_SCHEMA.fields):
-        v = F.col("_k")[i]
+        v = F.try_element_at(F.col("_k"), F.lit(i + 1))
         cols.append((v.try_cast("long") if isinstance(f.dataType, LongType) else v).alias(f.name))
     return d.select(*[c for c in d.columns if c != "_k"], *cols)
 
 
+def csv_rejects(raw: DataFrame, corrupt_column: str = "_corrupt") -> DataFrame:
+    """Per symbol the rows read and the rows that do not fit the schema (kept with nulls by the
+    reader; whoever filters them out reports them with this)."""
+    bad = F.col(corrupt_column).isNotNull()
+    return raw.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rows"), F.count("open_time").alias("n_with_time"),
+                                     F.sum(bad.cast("long")).alias("n_rejected"))
+
+
 def warmup_closes(rows: DataFrame) -> DataFrame:
     """(bar_time, close) from REST rows — close time (field 6) and close (field 4).
-    Bars are labelled by window end, so close time + 1 ms is the label."""
+    Bars are labelled by window end, so close time + 1 ms is the label.  No rows give an empty
+    frame with these columns; :func:`rest_page_status` has the pages that failed."""
     return rows.select("symbol", millis_to_ntz(F.col("close_time") + 1).alias("bar_time"),
                        to_double("close").alias("close"))

@@ -58,6 +58,10 @@ def decode_kline(df: DataFrame, value: str = "value") -> DataFrame:
     k = k.toDF(*renamed)
     fld = {f.name: renamed[base + i] for i, f in enumerate(KLINE_FIELDS.fields)}
     bad = F.col("_ev._corrupt").isNotNull() | F.col("_ev.k").isNull() | F.col(fld["T"]).isNull()
+    # a price or volume that is text but no number makes the event undecodable, as does a missing close
+    for name in ("o", "c", "h", "l", "v", "V"):
+        bad = bad | (F.col(fld[name]).isNotNull() & to_double(fld[name]).isNull())
+    bad = bad | F.col(fld["c"]).isNull()
     return k.select(
         *names[:base],
         F.coalesce(F.col("_ev.s"), F.col(fld["s"])).alias("symbol"),
@@ -89,7 +93,7 @@ def route(envelopes: DataFrame, value: str = "value") -> DataFrame:
     """Envelope -> (key = symbol, value = inner data) for closed candles only.
 
     The inner JSON is forwarded untouched; the key drives hash partitioning, so
-    one symbol's records stay in one Kafka partition."""
+    one symbol's records stay in one Kafka partition.  Symbols keep the case of the wire."""
     e = open_envelope(envelopes, value).filter(~F.col("_env_bad"))
     k = decode_kline(e.select("stream", "data"), "data")
     k = closed_candles(k)

@@ -27,6 +27,7 @@ def ticks(events: DataFrame) -> DataFrame:
         F.col("value").alias("volume"),
         F.when(F.pmod(F.col("user_id"), F.lit(2)) == 0, F.col("value")).otherwise(F.lit(0.0))
          .alias("taker_buy_volume"),
+        F.col("event_id").alias("tick_id"),
     )
 
 
@@ -37,9 +38,10 @@ def load_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def archive_and_gap_files(events: DataFrame, time: str = "ts") -> DataFrame:
     """The archive (everything before the 90 % cut) plus gap files (everything from
     the 80 % cut on), read together as one table — the overlap is duplicated, as when a
-    backfill re-downloads a range the archive already holds."""
-    from volcast.operators.dataset import split_bounds
-    from volcast.functions.market import ntz_micros
-    b = split_bounds(events, time)
-    us = ntz_micros(time)
-    return events.filter(us < b["val_cut"]).unionByName(events.filter(us >= b["train_cut"]))
+    backfill re-downloads a range the archive already holds.
+
+    The cuts are computed once (one aggregate row) and compared with the raw column, so both
+    branches push their range into the scan."""
+    from volcast.operators.dataset import split_cuts
+    train_cut, val_cut = split_cuts(events, time).first()
+    return events.filter(F.col(time) < F.lit(val_cut)).unionByName(events.filter(F.col(time) >= F.lit(train_cut)))

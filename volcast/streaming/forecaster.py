@@ -4,14 +4,13 @@ Replaces the reference's driver-side dicts and ``collect`` loop with
 ``transformWithStateInPandas`` on executors: one state row per symbol holding
 the last ``1 + max rv window`` closes, the last ``past_rows`` residuals and the
 last bar time.  State is checkpointed (RocksDB), so a restart resumes where the
-last committed batch ended.  The arithmetic is the batch detector's, step by
-step, so stream and batch give the same rows for the same bars.
+last committed batch ended.  The formulas are those of ``functions.market`` that the
+batch detector uses, over arrays, and frames count rows as the batch windows do, so
+stream and batch give the same rows for the same bars, also after null residuals.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -38,76 +37,89 @@ OUTPUT_SCHEMA = StructType([
 ])
 
 
+#: Rows of history that decide a symbol's state: the z-score's rows, each over the longest variance.
+STATE_ROWS = max(RV_ROWS.values()) + 1 + m.Z_PAST_ROWS
+#: Bars judged at a time; bounds the work arrays (bars x longest window).
+BLOCK_BARS = 1024
+
+
+def _trailing(x: np.ndarray, n: int, n_new: int) -> np.ndarray:
+    """For each of the last ``n_new`` entries of ``x``: the ``n`` entries that end with it (NaN before the start)."""
+    padded = np.concatenate([np.full(n, np.nan), x])
+    return np.lib.stride_tricks.sliding_window_view(padded, n)[len(padded) - n - n_new + 1:]
+
+
+def _null_sum(rows: np.ndarray) -> np.ndarray:
+    known = np.isfinite(rows)
+    return np.where(known.any(1), np.where(known, rows, 0.0).sum(1), np.nan)
+
+
 class SymbolState:
-    """Plain-Python state of one symbol and the per-bar update (also used in tests)."""
+    """State of one symbol: its last closes, its last residuals (one per row, NaN for null) and the last bar time.
+
+    ``update`` judges a block of bars at once.  Rules of nulls are those of the batch detector: a
+    frame counts rows, and nulls within it are left out."""
 
     def __init__(self, closes=None, residuals=None, last_time=None, coef=None,
                  past_rows: int = m.Z_PAST_ROWS, min_past: int = m.Z_MIN_PAST,
                  min_prices: int = m.MIN_PRICES, threshold: float = m.ANOMALY_THRESHOLD):
-        self.closes = list(closes or [])
-        self.residuals = list(residuals or [])
+        self.closes = np.array([np.nan if c is None else c for c in closes or []], dtype="float64")
+        self.residuals = np.array([np.nan if r is None else r for r in residuals or []], dtype="float64")
         self.last_time = last_time
-        self.coef = coef or {"intercept": m.HAR_INTERCEPT, "w15": m.HAR_W_15M, "w1h": m.HAR_W_1H,
-                             "w24": m.HAR_W_24H}
+        self.coef = coef or {}
         self.past_rows, self.min_past = past_rows, min_past
         self.min_prices, self.threshold = min_prices, threshold
-        self.keep_closes = max(RV_ROWS.values()) + 1
-
-    def update(self, bar_time, close: float) -> dict | None:
-        """Bars at or before the last seen time are ignored (replays, late updates)."""
-        if self.last_time is not None and bar_time <= self.last_time:
-            return None
-        self.last_time = bar_time
-        self.closes.append(float(close))
-        if len(self.closes) > self.keep_closes:
-            del self.closes[: len(self.closes) - self.keep_closes]
-        if len(self.closes) < self.min_prices:
-            return None
-        c = np.asarray(self.closes, dtype="float64")
+
+    def fresh(self, bars: pd.DataFrame) -> pd.DataFrame:
+        """Bars in time order, without repeated times and those at or before the last seen time."""
+        bars = bars.sort_values("bar_time", kind="stable").drop_duplicates("bar_time", keep="first")
+        return bars if self.last_time is None else bars[bars["bar_time"] > pd.Timestamp(self.last_time)]
+
+    def update(self, bars: pd.DataFrame) -> pd.DataFrame:
+        """Take ``bars`` (bar_time, close; fresh) and return their forecast rows (none while warming up)."""
+        bars = self.fresh(bars)
+        parts = [self._block(bars.iloc[at:at + BLOCK_BARS]) for at in range(0, len(bars), BLOCK_BARS)]
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
+
+    def _block(self, bars: pd.DataFrame) -> pd.DataFrame:
+        n, held = len(bars), len(self.closes)
+        close = np.concatenate([self.closes, bars["close"].to_numpy(dtype="float64")])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            returns = np.concatenate([[np.nan], m.ArrayMath.log_positive(
+                np.where(close[:-1] != 0, close[1:] / close[:-1], np.nan))]) if len(close) > 1 else np.full(len(close), np.nan)
+        squares = returns * returns
+        if held:                                 # the first held close only serves the return after it
+            squares = squares[1:]
+        rv = {k: _null_sum(_trailing(squares, w, n)) for k, w in RV_ROWS.items()}
+        forecast = m.har_forecast(rv["rv_15m"], rv["rv_1h"], rv["rv_24h"], **self.coef, math_of=m.ArrayMath)
+        residual = m.log_residual(rv["rv_15m"], forecast, math_of=m.ArrayMath)
+        warm = held + 1 + np.arange(n) >= self.min_prices
+        residual = np.where(warm, residual, np.nan)
+        past = _trailing(np.concatenate([self.residuals, residual]), self.past_rows + 1, n)[:, :-1]
+        known = np.isfinite(past)
+        count = known.sum(1)
         with np.errstate(divide="ignore", invalid="ignore"):
-            ratio = c[1:] / c[:-1]
-            lr = np.where((c[:-1] != 0) & (ratio > 0), np.log(np.where(ratio > 0, ratio, 1.0)), np.nan)
-        sq = lr * lr
-        rv = {}
-        for k, n in RV_ROWS.items():
-            tail = sq[-n:]
-            rv[k] = float(np.nansum(tail)) if np.isfinite(tail).any() else None
-        if rv["rv_15m"] is None or rv["rv_1h"] is None or rv["rv_24h"] is None:
-            forecast = None
-        else:
-            forecast = (self.coef["intercept"] + self.coef["w15"] * math.log1p(rv["rv_15m"])
-                        + self.coef["w1h"] * math.log1p(rv["rv_1h"]) + self.coef["w24"] * math.log1p(rv["rv_24h"]))
-        residual = None
-        if forecast is not None and rv["rv_15m"] + m.LOG_EPS > 0 and forecast + m.LOG_EPS > 0:
-            residual = math.log(rv["rv_15m"] + m.LOG_EPS) - math.log(forecast + m.LOG_EPS)
-        z = None
-        past = self.residuals
-        if residual is not None and len(past) >= self.min_past:
-            arr = np.asarray(past, dtype="float64")
-            std = float(arr.std(ddof=1)) if len(arr) > 1 else float("nan")
-            if std > m.STD_FLOOR:
-                z = (residual - float(arr.mean())) / std
-        if residual is not None:
-            self.residuals.append(residual)
-            if len(self.residuals) > self.past_rows:
-                del self.residuals[: len(self.residuals) - self.past_rows]
-        return {
-            "event_time": bar_time, "close": float(close),
-            "rv_15m": rv["rv_15m"], "rv_1h": rv["rv_1h"], "rv_24h": rv["rv_24h"], "forecast": forecast,
-            "vol_forecast": None if forecast is None else math.sqrt(max(math.expm1(forecast), 0.0)) * 100,
-            "vol_realized": None if rv["rv_15m"] is None else math.sqrt(max(rv["rv_15m"], 0.0)) * 100,
-            "residual": residual, "zscore": z,
-            "is_anomaly": bool(z is not None and abs(z) > self.threshold),
-        }
-
-
-def _frame(symbol: str, rows: list[dict]) -> pd.DataFrame:
-    if not rows:
+            mean = np.where(known, past, 0.0).sum(1) / count
+            std = np.sqrt((np.where(known, past - mean[:, None], 0.0) ** 2).sum(1) / (count - 1))
+            z = np.where((count >= self.min_past) & (std > m.STD_FLOOR), (residual - mean) / std, np.nan)
+        self.closes = close[-(max(RV_ROWS.values()) + 1):]
+        self.residuals = np.concatenate([self.residuals, residual])[-self.past_rows:]
+        self.last_time = pd.Timestamp(bars["bar_time"].iloc[-1]).to_pydatetime()
+        out = pd.DataFrame({
+            "event_time": bars["bar_time"].to_numpy(), "close": close[len(close) - n:], **rv, "forecast": forecast,
+            "vol_forecast": m.vol_percent_from_forecast(forecast, math_of=m.ArrayMath),
+            "vol_realized": m.vol_percent_from_variance(rv["rv_15m"], math_of=m.ArrayMath),
+            "residual": residual, "zscore": z, "is_anomaly": np.abs(np.nan_to_num(z)) > self.threshold})
+        return out[warm]
+
+
+def _frame(symbol: str, rows: pd.DataFrame) -> pd.DataFrame:
+    if not len(rows):
         return pd.DataFrame({f.name: pd.Series([], dtype="object") for f in OUTPUT_SCHEMA.fields})
-    pdf = pd.DataFrame(rows)
-    pdf.insert(0, "symbol", symbol)
-    pdf["day"] = pd.to_datetime(pdf["event_time"]).dt.date
-    return pdf[[f.name for f in OUTPUT_SCHEMA.fields]]
+    rows = rows.assign(symbol=symbol, day=pd.to_datetime(rows["event_time"]).dt.date)
+    numbers = [f.name for f in OUTPUT_SCHEMA.fields if isinstance(f.dataType, DoubleType)]
+    rows[numbers] = rows[numbers].astype("object").where(rows[numbers].notna(), None)
+    return rows[[f.name for f in OUTPUT_SCHEMA.fields]]
 
 
 class HarForecaster(StatefulProcessor):
@@ -126,38 +138,27 @@ class HarForecaster(StatefulProcessor):
         return SymbolState(coef=self.coef, past_rows=self.past_rows)
 
     def _save(self, s: SymbolState) -> None:
-        self.state.update((s.closes, s.residuals, s.last_time))
-
-    @staticmethod
-    def _sorted(frames) -> pd.DataFrame | None:
-        frames = [f for f in frames if len(f)]
-        if not frames:
-            return None
-        pdf = pd.concat(frames, ignore_index=True)
-        return pdf.sort_values("bar_time", kind="stable")
+        known = lambda xs: [None if np.isnan(x) else float(x) for x in xs]
+        self.state.update((known(s.closes), known(s.residuals), s.last_time))
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = self._sorted(rows)
-        if pdf is None:
+        """One vectorised update per Arrow batch; a symbol's batches of a trigger come sorted only if
+        together, so they are joined first (a trigger holds the final bars since the last one)."""
+        frames = [f for f in rows if len(f)]
+        if not frames:
             return
         s = self._load()
-        out = []
-        for t, c in zip(pdf["bar_time"], pdf["close"]):
-            r = s.update(pd.Timestamp(t).to_pydatetime(), c)
-            if r is not None:
-                out.append(r)
+        out = s.update(pd.concat(frames, ignore_index=True))
         self._save(s)
         yield _frame(key[0], out)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        """Replay history bars through the same update (no output), so the state is
-        exactly what streaming those bars would have left behind."""
+        """History bars through the same update (no output), so the state is exactly what
+        streaming those bars would have left behind."""
         if initialState is None or not len(initialState):
             return
         s = self._load()
-        pdf = initialState.sort_values("bar_time", kind="stable")
-        for t, c in zip(pdf["bar_time"], pdf["close"]):
-            s.update(pd.Timestamp(t).to_pydatetime(), c)
+        s.update(initialState[["bar_time", "close"]])
         self._save(s)
 
     def close(self) -> None:

@@ -7,15 +7,15 @@ table and the anomaly table idempotently per batch id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from volcast.functions.market import micros_to_ntz, ntz_micros
-from volcast.operators.bars import ohlcv_bars
+from volcast.operators.bars import candle_bars, ohlcv_bars
 from volcast.sources import messages as msg
-from volcast.streaming.forecaster import OUTPUT_SCHEMA, HarForecaster
+from volcast.streaming.forecaster import OUTPUT_SCHEMA, STATE_ROWS, HarForecaster
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WATERMARK = "30 seconds"       # fixed: the reference's allowed lateness
@@ -50,22 +50,10 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, starting: str
     return r.load()
 
 
-def as_glob(path: str) -> str:
-    """The streaming file source wants a directory or a glob; turn a single file path into
-    a glob that matches only that file (``x/events.parquet`` -> ``x/[e]vents.parquet``)."""
-    head, _, name = path.rstrip("/").rpartition("/")
-    if not name or any(ch in name for ch in "*?[{"):
-        return path
-    return f"{head}/[{name[0]}]{name[1:]}"
-
-
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                 max_files: int | None = None) -> DataFrame:
     """File source standing in for Kafka in tests and replays (same downstream plan).
-    ``path`` may be a folder, a glob or a single file."""
-    import os
-    if os.path.isfile(path):
-        path = as_glob(path)
+    ``path`` is a folder or a glob; ``max_files`` bounds a trigger's batch."""
     r = spark.readStream.schema(schema).format(fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
@@ -78,68 +66,108 @@ def event_ticks(events: DataFrame) -> DataFrame:
         F.col("event_type").alias("symbol"), instant("ts").alias("event_time"),
         (F.col("value") + F.lit(1.0)).alias("price"), F.col("value").alias("volume"),
         F.when(F.pmod(F.col("user_id"), F.lit(2)) == 0, F.col("value")).otherwise(F.lit(0.0))
-         .alias("taker_buy_volume"))
+         .alias("taker_buy_volume"), F.col("event_id").alias("tick_id"))
 
 
-def kline_ticks(messages: DataFrame) -> DataFrame:
-    """Kafka kline records -> closed candles as ticks (close as the price)."""
+def kline_candles(messages: DataFrame) -> DataFrame:
+    """Kafka kline records -> closed candles with their four prices, volumes and trades."""
     c = msg.closed_candles(msg.decode_kline(messages.select("value")))
-    return c.select("symbol", instant("event_time").alias("event_time"), F.col("close").alias("price"),
-                    "volume", F.coalesce("taker_buy_volume", F.lit(0.0)).alias("taker_buy_volume"))
+    return c.select("symbol", instant("event_time").alias("event_time"), "open", "high", "low", "close", "volume",
+                    F.coalesce("taker_buy_volume", F.lit(0.0)).alias("taker_buy_volume"),
+                    F.coalesce("num_trades", F.lit(0)).cast("long").alias("num_trades"))
+
+
+def unique_within(rows: DataFrame, keys: list[str], watermark: str = WATERMARK) -> DataFrame:
+    """Watermark on ``event_time``; redelivered records (equal ``keys``) count once.  The
+    state keeps a key only until the watermark has passed it."""
+    return rows.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(keys)
 
 
 def stream_bars(ticks: DataFrame, width: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
-    """Watermarked tumbling bars; in append mode a bar is emitted once,
-    final, after the watermark passes its end (late rows are dropped and counted)."""
-    b = ohlcv_bars(ticks.withWatermark("event_time", watermark), width)
+    """Watermarked tumbling bars of ticks (unique by ``tick_id``); in append mode a bar is
+    emitted once, final, after the watermark passes its end (late rows are dropped and counted)."""
+    b = ohlcv_bars(unique_within(ticks, ["symbol", "tick_id"], watermark), width, tie="tick_id")
     return b.withColumn("bar_time", wall_clock("bar_time"))
 
 
+def stream_candle_bars(candles: DataFrame, width: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
+    """Watermarked bars of closed candles (unique by symbol and time)."""
+    b = candle_bars(unique_within(candles, ["symbol", "event_time"], watermark), width)
+    return b.withColumn("bar_time", wall_clock("bar_time"))
+
+
+def state_history(bars: DataFrame) -> DataFrame:
+    """Of history bars, per symbol the newest rows that a state depends on.  The rank limit runs
+    before the shuffle, so a long history does not move."""
+    newest = Window.partitionBy("symbol").orderBy(F.desc("bar_time"))
+    return (bars.select("symbol", "bar_time", "close").withColumn("_k", F.row_number().over(newest))
+            .filter(F.col("_k") <= STATE_ROWS).drop("_k"))
+
+
 def forecasts(bars: DataFrame, coef: dict | None = None, initial: DataFrame | None = None) -> DataFrame:
     """Keyed forecaster over final bars.  ``initial`` = history bars
     ``(symbol, bar_time, close)`` replayed into the state before the first batch."""
     b = bars.select("symbol", "bar_time", "close")
-    init = initial.select("symbol", "bar_time", "close").groupBy("symbol") if initial is not None else None
+    init = state_history(initial).groupBy("symbol") if initial is not None else None
     return b.groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=HarForecaster(coef), outputStructType=OUTPUT_SCHEMA, outputMode="Append",
         timeMode="None", initialState=init)
 
 
 class ForecastSink:
-    """T5 K5 K6: foreachBatch writer — the forecast table and, from the same cached batch,
-    the flagged rows.  Each batch lands in its own ``batch_id=`` partition written with
-    dynamic overwrite, so a replayed batch replaces itself instead of duplicating."""
+    """T5 K5 K6 K8: foreachBatch writer — from one cached batch the forecast table, the flagged rows
+    and a report row (rows and anomalies of the batch).
 
-    def __init__(self, forecast_path: str, anomaly_path: str):
-        self.forecast_path, self.anomaly_path = forecast_path, anomaly_path
+    The tables are laid out by ``day`` and then by batch, so a reader of a day prunes to it, and a
+    replayed batch replaces its own folders (dynamic overwrite) instead of duplicating."""
+
+    def __init__(self, forecast_path: str, anomaly_path: str, report_path: str | None = None):
+        self.forecast_path, self.anomaly_path, self.report_path = forecast_path, anomaly_path, report_path
+
+    @staticmethod
+    def _write(df: DataFrame, path: str, *folders: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
         try:
-            (b.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(self.forecast_path))
-            (b.filter("is_anomaly")
-              .select("symbol", "event_time", "close", "forecast", "rv_15m", "zscore", "batch_id")
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(self.anomaly_path))
+            self._write(b, self.forecast_path, "day", "batch_id")
+            self._write(b.filter("is_anomaly").select("symbol", "event_time", "day", "close", "forecast", "rv_15m",
+                                                      "zscore", "batch_id"), self.anomaly_path, "day", "batch_id")
+            if self.report_path:
+                self._write(b.agg(F.count(F.lit(1)).alias("n_rows"),
+                                  F.count(F.when(F.col("is_anomaly"), 1)).alias("n_anomalies"))
+                            .withColumn("batch_id", F.lit(batch_id).cast("long")), self.report_path, "batch_id")
         finally:
             b.unpersist()
 
 
-ANOMALY_SCHEMA = StructType([*(OUTPUT_SCHEMA[c] for c in ("symbol", "event_time", "close", "forecast", "rv_15m",
+FORECAST_TABLE_SCHEMA = StructType([*OUTPUT_SCHEMA.fields, StructField("batch_id", LongType())])
+ANOMALY_SCHEMA = StructType([*(OUTPUT_SCHEMA[c] for c in ("symbol", "event_time", "day", "close", "forecast", "rv_15m",
                                                            "zscore")),
                              StructField("batch_id", LongType())])
-FORECAST_TABLE_SCHEMA = StructType([*OUTPUT_SCHEMA.fields, StructField("batch_id", LongType())])
+REPORT_SCHEMA = StructType([StructField("n_rows", LongType()), StructField("n_anomalies", LongType()),
+                            StructField("batch_id", LongType())])
 
 
 def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a foreachBatch table with its schema fixed (a table may hold no file yet)."""
-    import os
-    if path.startswith("/") and not os.path.exists(path):
-        return spark.createDataFrame([], schema)
+    """Read a foreachBatch table with its schema fixed (a batch may have left no row in it).  A table
+    that was never written is an error, on every file system."""
     return spark.read.schema(schema).parquet(path)
 
 
+def compact_days(spark: SparkSession, path: str, schema: StructType, out: str, before=None) -> DataFrame:
+    """K5: the newest write of each key, one folder per day without batches, as a new table at ``out``
+    (all days, or those before a date: the ones that no batch adds to any more)."""
+    d = read_sink(spark, path, schema)
+    if before is not None:
+        d = d.filter(F.col("day") < F.lit(before))
+    keys = ("symbol", "day", "event_time")
+    latest(d, keys).repartition("day").sortWithinPartitions("day", "symbol", "event_time") \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(out)
+    return spark.read.schema(StructType([f for f in schema.fields if f.name != "batch_id"])).parquet(out)
+
+
 def latest(table: DataFrame, keys=("symbol", "day", "event_time")) -> DataFrame:
     """K5 read side: the newest write (highest batch id) of each primary key."""
     from volcast.operators.quality import dedupe
@@ -150,17 +178,24 @@ def latest(table: DataFrame, keys=("symbol", "day", "event_time")) -> DataFrame:
 def start_forecasting(spark: SparkSession, ticks: DataFrame, checkpoint: str, forecast_path: str,
                       anomaly_path: str, width: str = "1 hour", coef: dict | None = None,
                       initial: DataFrame | None = None, trigger: dict | None = None,
-                      state_partitions: int | None = None) -> StreamingQuery:
+                      state_partitions: int | None = None, report_path: str | None = None) -> StreamingQuery:
     """T4 T5: the whole live job.  ``trigger`` defaults to the reference's 10 s cadence;
     pass ``{"availableNow": True}`` to drain the input and stop (tests, replays).
 
     ``state_partitions`` fixes the number of state-store partitions (bar windows and
     per-symbol state).  Spark records it in the checkpoint at the first start and keeps
     it for the life of the checkpoint, so choose it for the cluster, not the first batch."""
+    return start_forecaster(spark, stream_bars(ticks, width), checkpoint, forecast_path, anomaly_path, coef, initial,
+                            trigger, state_partitions, report_path)
+
+
+def start_forecaster(spark: SparkSession, bars: DataFrame, checkpoint: str, forecast_path: str, anomaly_path: str,
+                     coef: dict | None = None, initial: DataFrame | None = None, trigger: dict | None = None,
+                     state_partitions: int | None = None, report_path: str | None = None) -> StreamingQuery:
+    """The forecaster over a stream of final bars."""
     use_rocksdb(spark)
-    out = forecasts(stream_bars(ticks, width), coef, initial)
-    w = (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-         .foreachBatch(ForecastSink(forecast_path, anomaly_path)))
+    w = (forecasts(bars, coef, initial).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+         .foreachBatch(ForecastSink(forecast_path, anomaly_path, report_path)))
     w = w.trigger(**(trigger or {"processingTime": TRIGGER}))
     return _start_with_partitions(spark, w, state_partitions)
 
@@ -177,23 +212,27 @@ def _start_with_partitions(spark: SparkSession, writer, partitions: int | None)
         spark.conf.set(key, old)
 
 
-def start_bars(ticks: DataFrame, checkpoint: str, path: str, width: str = "1 hour",
-               trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Final bars to a parquet table (file sink: exactly-once through its commit log)."""
-    w = (stream_bars(ticks, width).writeStream.outputMode("append").format("parquet")
+def start_bars(bars: DataFrame, checkpoint: str, path: str, trigger: dict | None = None,
+               state_partitions: int | None = None) -> StreamingQuery:
+    """Final bars (``stream_bars`` or ``stream_candle_bars``) to a parquet table (file sink:
+    exactly-once through its commit log)."""
+    w = (bars.writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", checkpoint).option("path", path))
     w = w.trigger(**(trigger or {"processingTime": TRIGGER}))
-    return _start_with_partitions(ticks.sparkSession, w, state_partitions)
+    return _start_with_partitions(bars.sparkSession, w, state_partitions)
 
 
-def start_route(messages: DataFrame, checkpoint: str, path: str, trigger: dict | None = None,
-                parallelism: int | None = None) -> StreamingQuery:
-    """Envelopes -> (key = symbol, value = inner JSON) of closed candles.  For Kafka use
-    ``format("kafka")``; the file form co-locates a symbol's records by hash of the key.
-    ``parallelism`` round-robins a source with few partitions before the JSON work."""
-    if parallelism:
-        messages = messages.repartition(parallelism)
+def start_route(messages: DataFrame, checkpoint: str, path: str | None = None, trigger: dict | None = None,
+                kafka: dict | None = None) -> StreamingQuery:
+    """Envelopes -> (key = symbol, value = inner JSON) of closed candles, to Kafka
+    (``kafka={"servers": ..., "topic": ...}``; the producer's partitioner hashes the key) or to files
+    under ``path``, where the records of a symbol are brought together by hash of the key first,
+    so a trigger writes one file per symbol."""
     r = msg.route(messages).select("key", "value", "symbol")
-    w = (r.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
-         .option("path", path).partitionBy("symbol"))
+    if kafka:
+        w = (r.select("key", "value").writeStream.format("kafka").option("kafka.bootstrap.servers", kafka["servers"])
+             .option("topic", kafka["topic"]))
+    else:
+        w = r.repartition("symbol").writeStream.format("parquet").option("path", path).partitionBy("symbol")
+    w = w.outputMode("append").option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": TRIGGER})).start()
