@@ -116,13 +116,7 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    base = scratch_dir(spark)
-    if "://" in base and not base.startswith("file:"):
-        target_dir = tempfile.mkdtemp(prefix="volcast-pkg-")   # driver copy; Spark ships it
-    else:
-        target_dir = os.path.join(base.replace("file:", "", 1), "volcast", f"pkg-{app}")
-        os.makedirs(target_dir, exist_ok=True)
-    path = os.path.join(target_dir, "volcast.zip")
+    path = os.path.join(tempfile.mkdtemp(prefix="volcast-pkg-"), "volcast.zip")     # the driver's copy; Spark ships it
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _, files in os.walk(pkg):
             for f in files:
