@@ -250,8 +250,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
                                                      F.min(F.struct("doc_id", "text_hash")).alias("one"))
                     .select("cid", "first_id", F.col("one.doc_id").alias("one_id"),
                             F.col("one.text_hash").alias("one_hash")), "forest-first")
-    mine = F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash"))
-    classes = (shaped.join(first, "cid").where(mine).select("cid", "label", "prefixes"))
+    # joined on the row as well as the class, so the copies of one text are dealt out
+    one = first.select(F.col("cid").alias("one_cid"), "one_id", "one_hash")
+    mine = ((F.col("cid") == F.col("one_cid")) & F.col("doc_id").eqNullSafe(F.col("one_id"))
+            & (F.col("text_hash") == F.col("one_hash")))
+    classes = shaped.join(one, mine).select("cid", "label", "prefixes")
     pairs = candidate_pairs(spark, classes)
     links = confirmed_links(spark, docs, first, pairs, words, percent, 100)
     linked = components(links, "forest-components")
