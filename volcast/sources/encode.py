@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from volcast.functions.market import ntz_micros
 from volcast.operators.series import number_rows, time_segment
+from volcast.sources.messages import stream_name
 
 KLINE_INTERVAL = "1s"
 PAGE_ROWS = 1000
@@ -63,7 +64,7 @@ def kline_json(events: DataFrame) -> DataFrame:
 
 def envelopes(events: DataFrame) -> DataFrame:
     """X-5: ``{"stream": "<symbol>@kline_1s", "data": {...}}``; some cut short (broken)."""
-    stream = F.concat(F.lower("event_type"), F.lit(f"@kline_{KLINE_INTERVAL}"))
+    stream = stream_name("event_type", KLINE_INTERVAL)
     full = F.concat(F.lit('{"stream":"'), stream, F.lit('","data":'), kline_json_value(), F.lit("}"))
     broken = F.substring(full, 1, 40)
     return events.select("event_id", F.when(props_k() >= 95, broken).otherwise(full).alias("value"))

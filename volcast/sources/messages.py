@@ -32,6 +32,11 @@ CANDLE_COLUMNS = ["symbol", "event_time", "open", "close", "high", "low", "volum
                   "num_trades", "is_closed"]
 
 
+def stream_name(symbol: str | Column, interval: str = "1s") -> Column:
+    """P10: name of a symbol's kline stream: stream names are lower case, symbols keep the case of the wire."""
+    return F.concat(F.lower(F.col(symbol) if isinstance(symbol, str) else symbol), F.lit(f"@kline_{interval}"))
+
+
 def _text(c: str | Column) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return col.cast("string")
