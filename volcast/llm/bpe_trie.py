@@ -290,4 +290,5 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             names += ["ids", "decoded"]
         yield pa.RecordBatch.from_arrays(cols, names)
 
-    return map_rows(id_text(docs, id_col, text_col), run, schema)
+    # larger slices share more prefixes in one walk
+    return map_rows(id_text(docs, id_col, text_col), run, schema, most_bytes=2_000_000)

@@ -47,12 +47,12 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str,
-             text_column: int = 1) -> DataFrame:
-    """``mapInArrow`` that hands ``fn`` slices with about 2 MB of text, so that work buffers stay small."""
+             text_column: int = 1, most_bytes: int = 500_000) -> DataFrame:
+    """``mapInArrow`` that hands ``fn`` slices with about ``most_bytes`` of text, so that work buffers stay small."""
 
     def run(batches):
         for batch in batches:
-            for part in bounded_slices(batch, text_column):
+            for part in bounded_slices(batch, text_column, most_bytes):
                 yield from fn(part)
 
     return df.mapInArrow(run, schema)
@@ -119,7 +119,7 @@ class Words:
         return self.hash[self.first[i]:self.last[i]]
 
 
-def bounded_slices(batch: pa.RecordBatch, text_column: int, most_bytes: int = 2_000_000, most_rows: int = 2048):
+def bounded_slices(batch: pa.RecordBatch, text_column: int, most_bytes: int = 500_000, most_rows: int = 2048):
     """Slices of a batch of which each holds few bytes of text (one text at least)."""
     column = batch.column(text_column)
     import pyarrow.compute as pc

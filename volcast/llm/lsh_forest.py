@@ -70,49 +70,38 @@ def minhashes(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, cid (128-bit hash of the set; null: no shingles), label (all minhashes,
-    big-endian), prefixes (a hash per tree of the first ``BASE_DEPTH`` minhashes)."""
+    big-endian), sketch (the low byte of every minhash), prefixes (a hash per tree of the first ``BASE_DEPTH``
+    minhashes)."""
     family = _hash_family()
 
     def run(batch: pa.RecordBatch):
-        n, cid, label, prefixes = [], [], [], []
+        n, cid, label, sketch, prefixes = [], [], [], [], []
         for s in shingle_sets(text_bytes(batch.column(1)), words):
             n.append(len(s))
             if not len(s):
-                cid.append(None), label.append(None), prefixes.append(None)
+                cid.append(None), label.append(None), sketch.append(None), prefixes.append(None)
                 continue
             cid.append(xxhash.xxh3_128_digest(s.tobytes()))
             raw = minhashes(s, family).astype(">u4")
             label.append(raw.tobytes())
+            sketch.append(label[-1][3::4])
             prefixes.append([xxhash.xxh3_64_intdigest(t[:BASE_DEPTH].tobytes()) - (1 << 63)
                              for t in raw.reshape(TREES, DEPTH)])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.binary()), pa.array(label, pa.binary()),
-             pa.array(prefixes, pa.list_(pa.int64()))], ["doc_id", "text_hash", "n_shingles", "cid", "label", "prefixes"])
+             pa.array(sketch, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+            ["doc_id", "text_hash", "n_shingles", "cid", "label", "sketch", "prefixes"])
 
-    return map_rows(docs, run, "doc_id long, text_hash long, n_shingles long, cid binary, label binary, prefixes array<long>")
+    return map_rows(docs, run, "doc_id long, text_hash long, n_shingles long, cid binary, label binary, "
+                    "sketch binary, prefixes array<long>")
 
 
 def _tree_rows(classes: DataFrame) -> DataFrame:
-    """One row per class and tree: tree, p, label (of the tree), sketch (low byte of every minhash), cid."""
-
-    def run(batch: pa.RecordBatch):
-        cids, labels, ps = (batch.column(i).to_pylist() for i in range(3))
-        out: list[list] = [[] for _ in range(5)]
-        for cid, label, p in zip(cids, labels, ps):
-            sketch, step = label[3::4], 4 * DEPTH
-            for t in range(TREES):
-                for col, v in zip(out, (t, p[t], label[t * step:(t + 1) * step], sketch, cid)):
-                    col.append(v)
-        types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["tree", "p", "label", "sketch", "cid"])
-
-    def small(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                yield from run(batch.slice(at, 512))
-
-    return classes.select("cid", "label", "prefixes").mapInArrow(
-        small, "tree int, p long, label binary, sketch binary, cid binary")
+    """One row per class and tree: tree, p, label (of the tree), sketch, cid."""
+    width = 4 * DEPTH
+    return (classes.select("cid", "label", "sketch", F.posexplode("prefixes").alias("tree", "p"))
+            .select("tree", "p", F.col("label").substr(F.col("tree") * width + 1, F.lit(width)).alias("label"),
+                    "sketch", "cid"))
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -254,7 +243,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     one = first.select(F.col("cid").alias("one_cid"), "one_id", "one_hash")
     mine = ((F.col("cid") == F.col("one_cid")) & F.col("doc_id").eqNullSafe(F.col("one_id"))
             & (F.col("text_hash") == F.col("one_hash")))
-    classes = shaped.join(one, mine).select("cid", "label", "prefixes")
+    classes = shaped.join(one, mine).select("cid", "label", "sketch", "prefixes")
     pairs = candidate_pairs(spark, classes)
     links = confirmed_links(spark, docs, first, pairs, words, percent, 100)
     linked = components(links, "forest-components")
