@@ -74,13 +74,40 @@ class Templates:
                 raise ValueError(f"the template {name!r} has fewer than {WORDS} words")
             self.sets.append(s)
         self.family = _family()
-        self.signs = np.array([self.bands(s).min(0) for s in self.sets])
+        bands = [self.bands(s) for s in self.sets]
+        self.signs = [m.min(0) for m in bands]
         self.width = [1 << (len(s) - 1).bit_length() for s in self.sets]      # block length: len <= width < 2 * len
+        # A band of a window can only agree with a template's if the window holds the template's shingle of
+        # that band's minimum, so bands are worked out for the windows around those shingles alone.
+        self.of_shingle: dict[int, set[int]] = {}
+        for t, m in enumerate(bands):
+            for shingle in np.unique(self.sets[t][m.argmin(0)]).tolist():
+                self.of_shingle.setdefault(shingle, set()).add(t)
+        self.keys = np.array(sorted(self.of_shingle), dtype=np.uint64)
+        self.low_bits = np.zeros(1 << 16, dtype=bool)
+        self.low_bits[(self.keys & np.uint64(0xFFFF)).astype(np.int64)] = True
 
     def bands(self, shingles: np.ndarray) -> np.ndarray:
         factor, summand = self.family
         return (mix64(shingles) >> np.uint64(32)).astype(np.uint32)[:, None] * factor + summand
 
+    def _retrieved(self, shingles: np.ndarray, begin: np.ndarray):
+        """(template, text, block) of the windows that agree with a template in some band."""
+        at = np.flatnonzero(self.low_bits[(shingles & np.uint64(0xFFFF)).astype(np.int64)])
+        at = at[np.isin(shingles[at], self.keys)]
+        owner = np.searchsorted(begin, at, side="right") - 1
+        near = {(t, d, b) for i, d in zip(at.tolist(), owner.tolist()) for t in self.of_shingle[int(shingles[i])]
+                for b in ((i - begin[d]) // self.width[t] - 1, (i - begin[d]) // self.width[t]) if b >= 0}
+        for t, d, b in near:
+            lo, hi = self._window(begin, t, d, b)
+            if (self.bands(shingles[lo:hi]).min(0) == self.signs[t]).any():
+                yield t, d, b
+
+    def _window(self, begin: np.ndarray, t: int, d: int, b: int) -> tuple[int, int]:
+        """Window ``b`` of text ``d``: the blocks ``b`` and ``b + 1`` of the template's block length."""
+        lo = int(begin[d]) + int(b) * self.width[t]
+        return lo, min(lo + 2 * self.width[t], int(begin[d + 1]))
+
     def scan(self, texts: list[bytes], min_share: float, retrieve: bool = True):
         """(text, template, first word, number of words, share) of the matches; ``retrieve=False`` verifies all windows."""
         w = Words([t.translate(_FOLD) for t in texts])
@@ -90,37 +117,18 @@ class Templates:
         if not len(have):
             return []
         first, n = w.first[have], count[have]
-        at = np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        shingles = grams[at]
+        shingles = grams[np.repeat(first - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())]
         begin = np.append(0, np.cumsum(n))                             # of each text, in ``shingles``
-        level, width, blocks = self.bands(shingles), 1, n.copy()
-        hits: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        top = max(self.width)
-        while True:
-            offset = np.append(0, np.cumsum(blocks))
-            owner = np.repeat(np.arange(len(n)), blocks)
-            wanted = [t for t in range(len(self.names)) if self.width[t] == width]
-            if wanted:
-                follow = np.append(owner[1:] == owner[:-1], False)
-                window = level.copy()
-                window[follow] = np.minimum(level[follow], level[np.flatnonzero(follow) + 1])
-                for t in wanted:
-                    found = np.flatnonzero((window == self.signs[t]).any(1)) if retrieve else np.arange(len(window))
-                    for b in found.tolist():
-                        d = owner[b]
-                        lo = begin[d] + (b - offset[d]) * width
-                        hi = min(lo + 2 * width, begin[d + 1])
-                        inside = np.isin(shingles[lo:hi], self.sets[t])
-                        share = len(np.unique(shingles[lo:hi][inside])) / len(self.sets[t])
-                        if share >= min_share:
-                            places = np.flatnonzero(inside)
-                            hits.setdefault((d, t), []).append((lo + places[0], lo + places[-1], share))
-            if width >= top:
-                break
-            pair = np.concatenate([offset[i] + np.arange(0, blocks[i], 2) for i in range(len(n))])
-            level = np.minimum.reduceat(level, pair, axis=0) if len(pair) else level
-            blocks = (blocks + 1) // 2
-            width *= 2
+        windows = self._retrieved(shingles, begin) if retrieve else (
+            (t, d, b) for t in range(len(self.names)) for d in range(len(n)) for b in range(-(-int(n[d]) // self.width[t])))
+        hits: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
+        for t, d, b in windows:
+            lo, hi = self._window(begin, t, d, b)
+            inside = np.isin(shingles[lo:hi], self.sets[t])
+            share = len(np.unique(shingles[lo:hi][inside])) / len(self.sets[t])
+            if share >= min_share:
+                places = np.flatnonzero(inside)
+                hits.setdefault((d, t), []).append((lo + places[0], lo + places[-1], share))
         out = []
         for (d, t), spans in sorted(hits.items()):
             spans.sort()
@@ -142,7 +150,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, min_share: float = 0.8, i
     def run(batches):
         known = Templates(templates)
         for whole in batches:
-            for batch in bounded_slices(whole, 1, most_bytes=400_000):
+            for batch in bounded_slices(whole, 1):
                 found = known.scan(text_bytes(batch.column(1)), min_share)
                 ids = batch.column(0).to_pylist()
                 cols = list(zip(*found)) if found else [()] * 5
