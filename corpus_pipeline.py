@@ -18,6 +18,9 @@ from volcast.llm.common import table, with_rest, written
 from volcast.llm.harmonic_packing import pack
 from volcast.llm.queries import tokenizer_path
 
+#: Similarity (percent of five-word shingles) from which the stage links two documents; 85 is op4's own contract.
+NEAR_PERCENT = 80
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Bradley-Terry model of the training folds accepts."""
@@ -31,8 +34,8 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest id) of every component of near duplicates."""
-    kept = (lsh_forest.near_duplicates(spark, docs).where("kept")
+    """One document (the smallest id) of every component of near duplicates of similarity ``NEAR_PERCENT`` or more."""
+    kept = (lsh_forest.near_duplicates(spark, docs, percent=NEAR_PERCENT).where("kept")
             .select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")).distinct())
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id"))
                      & (F.xxhash64("text") == F.col("kept_hash")), "left_semi")

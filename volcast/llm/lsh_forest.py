@@ -21,6 +21,9 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,18 +33,38 @@ from pyspark.sql import functions as F
 from volcast.llm.common import Words, id_text, map_rows, mix64, text_bytes, window_hash, written
 from volcast.llm.components import components
 
-TREES, DEPTH, BASE_DEPTH, NEAR, HUBS = 16, 10, 5, 16, 4
-HASHES = TREES * DEPTH
-#: Sketch agreement under which a pair is not confirmed: 0.85 less more than four deviations of 160 hashes.
-SCREEN = 0.72
+DEPTH, NEAR, HUBS = 10, 16, 4
+#: Chance that a link of exactly the wanted similarity shares a prefix in no tree.
+MISS = 1e-4
 BLOCK = 256
 
 
-def _hash_family() -> tuple[np.ndarray, np.ndarray]:
-    """Odd factors and summands of the minhash functions, from a fixed seed."""
+class Forest(NamedTuple):
+    """Size of the forest for links of ``percent``; ``screen``: the sketch agreement under which a pair is not confirmed."""
+
+    trees: int
+    base_depth: int
+    screen: float
+
+    @property
+    def hashes(self) -> int:
+        return self.trees * DEPTH
+
+
+def forest(percent: int) -> Forest:
+    """Prefixes that a link shares in about two of five trees, as many trees as ``MISS`` asks for, and a screen more
+    than four deviations below the similarity (85: 16 trees, prefixes of 5, 0.72; 80: 18 trees, 4, 0.66)."""
+    same = percent / 100
+    base = max(1, min(DEPTH, 80 // max(1, 100 - percent)))
+    trees = math.ceil(math.log(MISS) / math.log1p(-same ** base)) if same < 1 else 1
+    return Forest(trees, base, round(same - 4.6 * math.sqrt(same * (1 - same) / (trees * DEPTH)), 2))
+
+
+def _hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and summands of ``n`` minhash functions, from a fixed seed."""
     rng = np.random.default_rng(20240607)
-    return (rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1),
-            rng.integers(0, 1 << 32, HASHES, dtype=np.uint32))
+    return (rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1),
+            rng.integers(0, 1 << 32, n, dtype=np.uint32))
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -62,17 +85,17 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
 def minhashes(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     factor, summand = family
     x = (mix64(shingles) >> np.uint64(32)).astype(np.uint32)
-    low = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
+    low = np.full(len(factor), 0xFFFFFFFF, dtype=np.uint32)
     for at in range(0, len(x), 512):
         np.minimum(low, (x[at:at + 512, None] * factor + summand).min(0), out=low)
     return low
 
 
-def signatures(docs: DataFrame, words: int) -> DataFrame:
+def signatures(docs: DataFrame, words: int, shape: Forest) -> DataFrame:
     """doc_id, text_hash, n_shingles, cid (128-bit hash of the set; null: no shingles), label (all minhashes,
-    big-endian), sketch (the low byte of every minhash), prefixes (a hash per tree of the first ``BASE_DEPTH``
+    big-endian), sketch (the low byte of every minhash), prefixes (a hash per tree of the first ``base_depth``
     minhashes)."""
-    family = _hash_family()
+    family = _hash_family(shape.hashes)
 
     def run(batch: pa.RecordBatch):
         n, cid, label, sketch, prefixes = [], [], [], [], []
@@ -85,8 +108,8 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             raw = minhashes(s, family).astype(">u4")
             label.append(raw.tobytes())
             sketch.append(label[-1][3::4])
-            prefixes.append([xxhash.xxh3_64_intdigest(t[:BASE_DEPTH].tobytes()) - (1 << 63)
-                             for t in raw.reshape(TREES, DEPTH)])
+            prefixes.append([xxhash.xxh3_64_intdigest(t[:shape.base_depth].tobytes()) - (1 << 63)
+                             for t in raw.reshape(shape.trees, DEPTH)])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.binary()), pa.array(label, pa.binary()),
              pa.array(sketch, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
@@ -108,40 +131,44 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, width)
 
 
-def _neighbours(batches):
+def _neighbours(shape: Forest):
     """Over rows in the order of (tree, label): screened pairs of near neighbours, and the central texts of regions."""
-    carry = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        new = batch if carry is None else pa.concat_batches([carry, batch])
-        old = 0 if carry is None else carry.num_rows
-        tree, p = new.column(0).to_numpy(), new.column(1).to_numpy()
-        sketch, cid = _matrix(new.column(3), HASHES), new.column(4).to_pylist()
-        a, b, est = [], [], []
-        for k in range(1, min(NEAR, len(tree) - 1) + 1):
-            i = np.flatnonzero((tree[k:] == tree[:-k]) & (p[k:] == p[:-k])) + k
-            i = i[i >= old]
-            if not len(i):
-                break           # a region of k + 1 rows is one of k rows too
-            for at in range(0, len(i), 4096):
-                j = i[at:at + 4096]
-                agree = (sketch[j] == sketch[j - k]).mean(1)
-                for x, s in zip(j[agree >= SCREEN].tolist(), agree[agree >= SCREEN].tolist()):
-                    a.append(min(cid[x], cid[x - k])), b.append(max(cid[x], cid[x - k])), est.append(s)
-        yield _found(a, b, est)
-        edge = np.flatnonzero(np.diff(p, prepend=p[0] ^ 1) | np.diff(tree, prepend=tree[0]))
-        for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(p)]):
-            if hi - lo > NEAR:
-                region = sketch[lo:hi]
-                common = np.array([np.bincount(c, minlength=256).argmax() for c in region.T], dtype=np.uint8)
-                agree = (region == common).mean(1)
-                for x in np.argsort(-agree, kind="stable")[:HUBS].tolist():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(1, pa.binary()), pa.array([cid[lo + x]], pa.binary()), pa.array([agree[x]]),
-                         pa.array([int(tree[lo])], pa.int32()), pa.array([int(p[lo])], pa.int64()),
-                         pa.array([sketch[lo + x].tobytes()], pa.binary())], ["a", "b", "est", "tree", "p", "sketch"])
-        carry = new.slice(max(0, new.num_rows - NEAR))
+
+    def run(batches):
+        carry = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = batch if carry is None else pa.concat_batches([carry, batch])
+            old = 0 if carry is None else carry.num_rows
+            tree, p = new.column(0).to_numpy(), new.column(1).to_numpy()
+            sketch, cid = _matrix(new.column(3), shape.hashes), new.column(4).to_pylist()
+            a, b, est = [], [], []
+            for k in range(1, min(NEAR, len(tree) - 1) + 1):
+                i = np.flatnonzero((tree[k:] == tree[:-k]) & (p[k:] == p[:-k])) + k
+                i = i[i >= old]
+                if not len(i):
+                    break           # a region of k + 1 rows is one of k rows too
+                for at in range(0, len(i), 4096):
+                    j = i[at:at + 4096]
+                    agree = (sketch[j] == sketch[j - k]).mean(1)
+                    for x, s in zip(j[agree >= shape.screen].tolist(), agree[agree >= shape.screen].tolist()):
+                        a.append(min(cid[x], cid[x - k])), b.append(max(cid[x], cid[x - k])), est.append(s)
+            yield _found(a, b, est)
+            edge = np.flatnonzero(np.diff(p, prepend=p[0] ^ 1) | np.diff(tree, prepend=tree[0]))
+            for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(p)]):
+                if hi - lo > NEAR:
+                    region = sketch[lo:hi]
+                    common = np.array([np.bincount(c, minlength=256).argmax() for c in region.T], dtype=np.uint8)
+                    agree = (region == common).mean(1)
+                    for x in np.argsort(-agree, kind="stable")[:HUBS].tolist():
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.nulls(1, pa.binary()), pa.array([cid[lo + x]], pa.binary()), pa.array([agree[x]]),
+                             pa.array([int(tree[lo])], pa.int32()), pa.array([int(p[lo])], pa.int64()),
+                             pa.array([sketch[lo + x].tobytes()], pa.binary())], ["a", "b", "est", "tree", "p", "sketch"])
+            carry = new.slice(max(0, new.num_rows - NEAR))
+
+    return run
 
 
 def _found(a: list, b: list, est: list) -> pa.RecordBatch:
@@ -151,30 +178,33 @@ def _found(a: list, b: list, est: list) -> pa.RecordBatch:
          pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], ["a", "b", "est", "tree", "p", "sketch"])
 
 
-def _central_pairs(batches):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        one, two = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        agree = (_matrix(batch.column(2), HASHES) == _matrix(batch.column(3), HASHES)).mean(1)
-        keep = [i for i in np.flatnonzero(agree >= SCREEN).tolist() if one[i] != two[i]]
-        yield pa.RecordBatch.from_arrays([pa.array([min(one[i], two[i]) for i in keep], pa.binary()),
-                                          pa.array([max(one[i], two[i]) for i in keep], pa.binary())], ["a", "b"])
+def _central_pairs(shape: Forest):
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            agree = (_matrix(batch.column(2), shape.hashes) == _matrix(batch.column(3), shape.hashes)).mean(1)
+            keep = [i for i in np.flatnonzero(agree >= shape.screen).tolist() if one[i] != two[i]]
+            yield pa.RecordBatch.from_arrays([pa.array([min(one[i], two[i]) for i in keep], pa.binary()),
+                                              pa.array([max(one[i], two[i]) for i in keep], pa.binary())], ["a", "b"])
+
+    return run
 
 
-def candidate_pairs(spark: SparkSession, classes: DataFrame) -> DataFrame:
+def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> DataFrame:
     """Distinct screened pairs ``a, b`` of class ids, from the forest."""
     places = classes.select("cid", F.posexplode("prefixes").alias("tree", "p"))
     regions = places.groupBy("tree", "p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     crowded = places.join(regions, ["tree", "p"], "left_semi").select("cid").distinct()
     rows = _tree_rows(written(spark, classes.join(crowded, "cid", "left_semi").dropDuplicates(["cid"]), "forest-classes"))
     found = written(spark, rows.repartitionByRange("tree", "label", "cid").sortWithinPartitions("tree", "label", "cid")
-                    .mapInArrow(_neighbours, "a binary, b binary, est double, tree int, p long, sketch binary"), "forest-pairs")
+                    .mapInArrow(_neighbours(shape), "a binary, b binary, est double, tree int, p long, sketch binary"), "forest-pairs")
     rank = Window.partitionBy("tree", "p").orderBy(F.desc("est"), "b")
     hubs = (found.where("a is null").withColumn("k", F.row_number().over(rank)).where(F.col("k") <= 4 * HUBS)
             .select("tree", "p", F.col("b").alias("hub"), F.col("sketch").alias("hub_sketch")))
     central = (rows.join(hubs, ["tree", "p"]).select("cid", "hub", "sketch", "hub_sketch")
-               .mapInArrow(_central_pairs, "a binary, b binary"))
+               .mapInArrow(_central_pairs(shape), "a binary, b binary"))
     return written(spark, found.where("a is not null").select("a", "b").union(central).distinct(), "forest-candidates")
 
 
@@ -231,8 +261,9 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, first: DataFrame, pair
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 85, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_hash (xxhash64): components of the links ``100 * |a & b| >= percent * |a | b|``."""
+    shape = forest(percent)
     docs = id_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    sigs = written(spark, signatures(docs, words), "forest-signatures")
+    sigs = written(spark, signatures(docs, words, shape), "forest-signatures")
     shaped = sigs.where("cid is not null")
     # texts with equal sets are one class; its shingles and signature are those of one of its rows
     first = written(spark, shaped.groupBy("cid").agg(F.min("doc_id").alias("first_id"),
@@ -244,7 +275,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     mine = ((F.col("cid") == F.col("one_cid")) & F.col("doc_id").eqNullSafe(F.col("one_id"))
             & (F.col("text_hash") == F.col("one_hash")))
     classes = shaped.join(one, mine).select("cid", "label", "sketch", "prefixes")
-    pairs = candidate_pairs(spark, classes)
+    pairs = candidate_pairs(spark, classes, shape)
     links = confirmed_links(spark, docs, first, pairs, words, percent, 100)
     linked = components(links, "forest-components")
     heads = (first.select("cid", "first_id")
