@@ -6,7 +6,9 @@ most ``near`` places apart in some tree and share a prefix of at least ``base_de
 where more than ``near`` texts share that prefix, the window reaches only the longest common
 prefixes, that is, the depth grows with the density of the region.  In such a region most texts may
 be copies of one text and only near to that one, so each text is also compared with the region's
-most central texts (those that agree most with the region's commonest minhash bytes).
+most central texts (those that agree most with the region's commonest minhash bytes).  What window and
+centre leave over in crowded regions is found exactly: the texts of such regions are joined on the
+prefixes of their full sets, rarest shingle first, across the components linked so far.
 
 Candidates are screened by their minhash sketches and confirmed on the full shingle sets, in
 blocks: the texts of a candidate component (cut into chunks if it is large) meet in one task with
@@ -37,6 +39,8 @@ DEPTH, NEAR, HUBS = 10, 16, 4
 #: Chance that a link of exactly the wanted similarity shares a prefix in no tree.
 MISS = 1e-4
 BLOCK = 256
+#: Rows of one shingle that meet in a task of the exact join; more are dealt in chunks, each pair of chunks to a task.
+CHUNK = 2048
 
 
 class Forest(NamedTuple):
@@ -192,12 +196,14 @@ def _central_pairs(shape: Forest):
     return run
 
 
-def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> DataFrame:
-    """Distinct screened pairs ``a, b`` of class ids, from the forest."""
+def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> tuple[DataFrame, DataFrame]:
+    """Distinct screened pairs ``a, b`` of class ids, from the forest; the ``cid`` of the texts of crowded regions, of
+    which the forest does not compare all pairs."""
     places = classes.select("cid", F.posexplode("prefixes").alias("tree", "p"))
     regions = places.groupBy("tree", "p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    crowded = places.join(regions, ["tree", "p"], "left_semi").select("cid").distinct()
-    rows = _tree_rows(written(spark, classes.join(crowded, "cid", "left_semi").dropDuplicates(["cid"]), "forest-classes"))
+    shared = places.join(regions, ["tree", "p"]).groupBy("cid").agg(F.max("n").alias("most"))
+    kept = written(spark, classes.join(shared, "cid").dropDuplicates(["cid"]), "forest-classes")
+    rows = _tree_rows(kept)
     found = written(spark, rows.repartitionByRange("tree", "label", "cid").sortWithinPartitions("tree", "label", "cid")
                     .mapInArrow(_neighbours(shape), "a binary, b binary, est double, tree int, p long, sketch binary"), "forest-pairs")
     rank = Window.partitionBy("tree", "p").orderBy(F.desc("est"), "b")
@@ -205,7 +211,8 @@ def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> D
             .select("tree", "p", F.col("b").alias("hub"), F.col("sketch").alias("hub_sketch")))
     central = (rows.join(hubs, ["tree", "p"]).select("cid", "hub", "sketch", "hub_sketch")
                .mapInArrow(_central_pairs(shape), "a binary, b binary"))
-    return written(spark, found.where("a is not null").select("a", "b").union(central).distinct(), "forest-candidates")
+    pairs = written(spark, found.where("a is not null").select("a", "b").union(central).distinct(), "forest-candidates")
+    return pairs, kept.where(F.col("most") > NEAR).select("cid")
 
 
 def _confirm(numerator: int, denominator: int):
@@ -225,9 +232,20 @@ def _confirm(numerator: int, denominator: int):
     return run
 
 
-def confirmed_links(spark: SparkSession, docs: DataFrame, first: DataFrame, pairs: DataFrame, words: int,
-                    numerator: int, denominator: int) -> DataFrame:
-    """The candidate pairs whose full sets are similar enough, confirmed in blocks."""
+def text_sets(spark: SparkSession, docs: DataFrame, first: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """cid, shingles (the full set, packed) of the classes in ``ids``, from one row of each."""
+    source = first.join(ids, "cid", "left_semi")
+
+    def sets_of(batch: pa.RecordBatch):
+        sets = [s.tobytes() for s in shingle_sets(text_bytes(batch.column(1)), words)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["cid", "shingles"])
+
+    texts = docs.join(source, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash")))
+    return written(spark, map_rows(texts.select("cid", "text"), sets_of, "cid binary, shingles binary"), "forest-sets")
+
+
+def confirmed_links(spark: SparkSession, pairs: DataFrame, sets_of, numerator: int, denominator: int) -> DataFrame:
+    """The candidate pairs whose full sets are similar enough, confirmed in blocks; ``sets_of`` gives the sets of ids."""
     groups = components(pairs, "forest-groups")
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     n_small = sizes.where(F.col("size") <= BLOCK).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
@@ -242,14 +260,7 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, first: DataFrame, pair
     keyed = written(spark, pairs.join(pa_, "a").join(pb_, "b").select(
         F.col("ra").alias("region"), F.least("ca", "cb").alias("c1"), F.greatest("ca", "cb").alias("c2"), "a", "b"),
         "forest-blocks")
-    source = first.join(place.select(F.col("node").alias("cid")), "cid", "left_semi")
-
-    def sets_of(batch: pa.RecordBatch):
-        sets = [s.tobytes() for s in shingle_sets(text_bytes(batch.column(1)), words)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["cid", "shingles"])
-
-    texts = docs.join(source, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash")))
-    sets = written(spark, map_rows(texts.select("cid", "text"), sets_of, "cid binary, shingles binary"), "forest-sets")
+    sets = sets_of(place.select(F.col("node").alias("cid")))
     sides = keyed.select("region", "c1", "c2", F.explode(F.array("a", "b")).alias("cid")).distinct()
     block = ["region", "c1", "c2"]
     by_block = (sides.join(sets.dropDuplicates(["cid"]), "cid").select(*block, "cid", "shingles")
@@ -258,6 +269,87 @@ def confirmed_links(spark: SparkSession, docs: DataFrame, first: DataFrame, pair
         _confirm(numerator, denominator), "a binary, b binary"), "forest-links")
 
 
+def _shingle_rows(batches):
+    for batch in batches:
+        for cid, part, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            tokens = np.frombuffer(s, dtype=np.int64)
+            for at in range(0, len(tokens), 10_000):
+                t = tokens[at:at + 10_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(t), pa.array([cid] * len(t), pa.binary()), pa.array(np.full(len(t), part)),
+                     pa.array(np.full(len(t), len(tokens)))], ["token", "cid", "part", "n"])
+
+
+def _prefix_pairs(numerator: int, denominator: int):
+    """Over rows in the order of (token, c1, c2): pairs of different components whose sets can be similar enough if the
+    token is the first that they share."""
+
+    def block(rows: pa.Table):
+        c1, c2 = rows.column("c1")[0].as_py(), rows.column("c2")[0].as_py()
+        part, n, left, c = (rows.column(x).to_numpy() for x in ("part", "n", "left", "c"))
+        cid = rows.column("cid").to_pylist()
+        # the smaller set of a pair leaves so many shingles that two sets of its size could be similar enough
+        for i in np.flatnonzero((numerator + denominator) * left >= 2 * numerator * n).tolist():
+            fits = ((part != part[i]) & (n >= n[i]) & (numerator * n <= denominator * n[i])
+                    & ((numerator + denominator) * np.minimum(left, left[i]) >= numerator * (n + n[i])))
+            if c1 != c2:
+                fits &= c != c[i]
+            j = np.flatnonzero(fits).tolist()
+            if j:
+                yield pa.RecordBatch.from_arrays([pa.array([min(cid[i], cid[x]) for x in j], pa.binary()),
+                                                  pa.array([max(cid[i], cid[x]) for x in j], pa.binary())], ["a", "b"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(x).to_numpy() for x in range(3)])
+            edge = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(edge, edge[1:]):
+                if held and any(held[0].column(x)[0].as_py() != keys[x, lo] for x in range(3)):
+                    yield from block(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield from block(pa.Table.from_batches(held))
+
+    return run
+
+
+def crowded_links(spark: SparkSession, sets: DataFrame, links: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Every link between texts of ``sets`` that are in different components of ``links``.
+
+    Shingles held by one component only come first in the order of a set, then the others, rarest first.  The first
+    shingle that two similar sets share is among the first of both, with enough shingles left in both for the overlap.
+    So only those prefixes are joined, and within a component nothing is."""
+    parts = components(links, "forest-parts").withColumnRenamed("node", "cid")
+    tagged = sets.join(parts, "cid", "left").select(
+        "cid", F.xxhash64(F.coalesce("component", "cid")).alias("part"), "shingles")
+    tokens = written(spark, tagged.mapInArrow(_shingle_rows, "token long, cid binary, part long, n long"), "forest-shingles")
+    live = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+            .where("lo < hi").select("token", "df"))
+    ranked = (tokens.join(live, "token").groupBy("cid", "part", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order")))
+    spare = F.size("order") - F.ceil(F.col("n") * numerator / denominator)
+    prefix = (ranked.where(spare >= 0)
+              .select("cid", "part", "n", F.size("order").alias("live"),
+                      F.posexplode(F.slice("order", F.lit(1), (spare + 1).cast("int"))).alias("at", "x"))
+              .select(F.col("x.token").alias("token"), "cid", "part", "n", (F.col("live") - F.col("at")).cast("long").alias("left")))
+    prefix = written(spark, prefix, "forest-prefixes")
+    smaller = (numerator + denominator) * F.col("left") >= 2 * numerator * F.col("n")
+    met = (prefix.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("part").alias("lo"), F.max("part").alias("hi"),
+                                       F.max(smaller).alias("any")).where("lo < hi and any")
+           .select("token", F.ceil(F.col("m") / CHUNK).alias("chunks")))
+    dealt = (prefix.join(met, "token").withColumn("c", F.pmod(F.xxhash64("cid"), F.col("chunks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+             .select("token", F.least("c", "other").alias("c1"), F.greatest("c", "other").alias("c2"), "c", "cid", "part", "n", "left"))
+    key = ["token", "c1", "c2"]
+    pairs = written(spark, dealt.repartition(*key).sortWithinPartitions(*key)
+                    .mapInArrow(_prefix_pairs(numerator, denominator), "a binary, b binary").distinct(), "forest-crowded")
+    return confirmed_links(spark, pairs, lambda ids: sets.join(ids, "cid", "left_semi"), numerator, denominator)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 85, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_hash (xxhash64): components of the links ``100 * |a & b| >= percent * |a | b|``."""
@@ -275,8 +367,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, percen
     mine = ((F.col("cid") == F.col("one_cid")) & F.col("doc_id").eqNullSafe(F.col("one_id"))
             & (F.col("text_hash") == F.col("one_hash")))
     classes = shaped.join(one, mine).select("cid", "label", "sketch", "prefixes")
-    pairs = candidate_pairs(spark, classes, shape)
-    links = confirmed_links(spark, docs, first, pairs, words, percent, 100)
+    pairs, crowded = candidate_pairs(spark, classes, shape)
+    links = confirmed_links(spark, pairs, lambda ids: text_sets(spark, docs, first, ids, words), percent, 100)
+    sets = text_sets(spark, docs, first, crowded, words).dropDuplicates(["cid"])
+    links = links.union(crowded_links(spark, sets, links, percent, 100))
     linked = components(links, "forest-components")
     heads = (first.select("cid", "first_id")
              .join(linked.withColumnRenamed("node", "cid"), "cid", "left")
