@@ -60,3 +60,21 @@ def test_links_of_a_common_shingle_are_dealt_in_chunks(spark, monkeypatch):
     rows = crowd(3, 300, 100)
     got = {r.doc_id: r.component_id for r in near_duplicates(spark, frame(spark, rows)).collect()}
     assert got == exact_components(rows, 85)
+
+
+def test_small_regions_are_not_cut_between_tasks(spark):
+    rng = random.Random(6)
+    rows = []
+    for _ in range(5):
+        w = [f"w{rng.randint(0, 10**6)}" for _ in range(114)]
+        rows += [" ".join(w), " ".join(w[:50] + ["own"] + w[51:])]
+    rows = list(enumerate(rows))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 400)      # more than there are places: every range holds one row
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.doc_id: r.component_id for r in near_duplicates(spark, frame(spark, rows)).collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == exact_components(rows, 85)

@@ -123,10 +123,11 @@ def signatures(docs: DataFrame, words: int, shape: Forest) -> DataFrame:
                     "sketch binary, prefixes array<long>")
 
 
-def _tree_rows(classes: DataFrame) -> DataFrame:
-    """One row per class and tree: tree, p, label (of the tree), sketch, cid."""
+def _tree_rows(classes: DataFrame, trees: str) -> DataFrame:
+    """One row per class and tree of the column ``trees``: tree, p, label (of the tree), sketch, cid."""
     width = 4 * DEPTH
-    return (classes.select("cid", "label", "sketch", F.posexplode("prefixes").alias("tree", "p"))
+    return (classes.select("cid", "label", "sketch", "prefixes", F.explode(trees).alias("tree"))
+            .withColumn("p", F.get("prefixes", "tree"))
             .select("tree", "p", F.col("label").substr(F.col("tree") * width + 1, F.lit(width)).alias("label"),
                     "sketch", "cid"))
 
@@ -201,18 +202,22 @@ def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> t
     which the forest does not compare all pairs."""
     places = classes.select("cid", F.posexplode("prefixes").alias("tree", "p"))
     regions = places.groupBy("tree", "p").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = places.join(regions, ["tree", "p"]).groupBy("cid").agg(F.max("n").alias("most"))
+    few, many = (F.collect_set(F.when((F.col("n") > NEAR) == crowded, F.col("tree"))) for crowded in (False, True))
+    shared = places.join(regions, ["tree", "p"]).groupBy("cid").agg(few.alias("few"), many.alias("many"))
     kept = written(spark, classes.join(shared, "cid").dropDuplicates(["cid"]), "forest-classes")
-    rows = _tree_rows(kept)
-    found = written(spark, rows.repartitionByRange("tree", "label", "cid").sortWithinPartitions("tree", "label", "cid")
-                    .mapInArrow(_neighbours(shape), "a binary, b binary, est double, tree int, p long, sketch binary"), "forest-pairs")
+    # a small region stays in one task and is compared whole; a crowded one is cut anywhere, the exact join covers its borders
+    rows, order = _tree_rows(kept, "many"), ["tree", "label", "cid"]
+    dealt = (_tree_rows(kept, "few").repartition("tree", "p"), rows.repartitionByRange(*order))
+    small, large = (d.sortWithinPartitions(*order).mapInArrow(
+        _neighbours(shape), "a binary, b binary, est double, tree int, p long, sketch binary") for d in dealt)
+    found = written(spark, small.union(large), "forest-pairs")
     rank = Window.partitionBy("tree", "p").orderBy(F.desc("est"), "b")
     hubs = (found.where("a is null").withColumn("k", F.row_number().over(rank)).where(F.col("k") <= 4 * HUBS)
             .select("tree", "p", F.col("b").alias("hub"), F.col("sketch").alias("hub_sketch")))
     central = (rows.join(hubs, ["tree", "p"]).select("cid", "hub", "sketch", "hub_sketch")
                .mapInArrow(_central_pairs(shape), "a binary, b binary"))
     pairs = written(spark, found.where("a is not null").select("a", "b").union(central).distinct(), "forest-candidates")
-    return pairs, kept.where(F.col("most") > NEAR).select("cid")
+    return pairs, kept.where(F.size("many") > 0).select("cid")
 
 
 def _confirm(numerator: int, denominator: int):
