@@ -11,12 +11,15 @@ from volcast.llm.bpe_trie import encode_decode
 from volcast.llm.chat_repair import repair
 from volcast.llm.common import table
 from volcast.llm.compression_rules import quality_rules
+from volcast.llm.filter_audit import filter_audit
 from volcast.llm.harmonic_packing import pack
 from volcast.llm.hnsw import nearest_neighbours
+from volcast.llm.laesa_clusters import centroid_clusters
 from volcast.llm.license_scan import license_scan
 from volcast.llm.line_dedup import line_dedup
 from volcast.llm.lsh_forest import near_duplicates
 from volcast.llm.pairwise_quality import fit, score
+from volcast.llm.rank_queue import encode_decode as queue_encode_decode
 from volcast.llm.seed_extend import substring_dedup
 
 
@@ -79,6 +82,24 @@ def op10_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11: byte-level BPE encoding and decoding of every text by a hierarchical-bitmap rank queue."""
+    import public_tokenizers
+
+    return queue_encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"),
+                               public_tokenizers.PATTERN)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12: what five filters remove in all 120 orders, per language, by folds over mask cells."""
+    return filter_audit(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13: ten rounds of centroid clustering of integer vectors with a pivot table."""
+    return centroid_clusters(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_trie": op1_bpe_trie,
     "op2_compression_rules": op2_compression_rules,
@@ -90,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_chat_repair": op9_chat_repair,
     "op10_harmonic_packing": op10_harmonic_packing,
+    "op11_rank_queue": op11_rank_queue,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_laesa_clusters": op13_laesa_clusters,
 }
 
 OP3_SQL = r"""
@@ -108,4 +132,61 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE dropped)::BIG
 FROM marked GROUP BY doc_id, i
 """
 
-ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL}
+OP12_SQL = r"""
+WITH firsts AS (SELECT coalesce(text, '') AS t, min(doc_id) AS first_id FROM documents GROUP BY 1),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY 1),
+words AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+judged AS (
+  SELECT part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+         (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(words.t, '[^A-Z]', '', 'g')) > 10 * length(words.t))::INT
+         + 8 * regexp_matches(words.t, '[#$%&*|]')::INT + 16 * coalesce(words.doc_id > first_id, false)::INT AS mask
+  FROM words JOIN firsts ON words.t = firsts.t LEFT JOIN marks m ON words.doc_id = m.doc_id),
+f(x, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, i AS step, bits[i] AS bit, list_sum(bits[1:i])::INT - bits[i] AS seen
+  FROM orders, (SELECT unnest(range(1, 6))::INT AS i)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         count(*) FILTER (WHERE mask & (seen | bit) = 0)::BIGINT AS kept,
+         count(*) FILTER (WHERE mask & seen = 0 AND mask & bit <> 0)::BIGINT AS removed,
+         count(*) FILTER (WHERE mask & seen <> 0 AND mask & bit <> 0)::BIGINT AS redundant,
+         count(*) FILTER (WHERE mask = bit)::BIGINT AS unique_fails,
+         count(*) FILTER (WHERE mask & seen = 0 AND mask & bit <> 0 AND good = 1)::BIGINT AS good_lost,
+         count(*) FILTER (WHERE mask & seen = 0 AND mask & bit <> 0 AND toxic = 1)::BIGINT AS toxic_lost
+  FROM judged, steps GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """DuckDB twin of operator 13: one pair of CTEs a round, every vector compared with every centroid."""
+    apart = "list_sum(list_transform(range(1, {n}), lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i])))::BIGINT".format(n=dims + 1)
+    ctes = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims})""",
+            f"""c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1)::INT AS c, v FROM kept QUALIFY c < {k})"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, any_value(v.vec_id) AS vec_id, arg_min(c, d * {k} + c) AS c, min(d) AS d
+  FROM (SELECT v.r, v.vec_id, c.c, {apart} AS d FROM kept v, c{i} c) v GROUP BY r)""")
+        if i < rounds:
+            ctes.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT o.c, coalesce(m.v, o.v) AS v FROM c{i} o LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+      SELECT a.c, i, sum(k.v[i])::BIGINT AS s, count(*) AS n FROM kept k JOIN a{i} a USING (r), range(1, {dims + 1}) x(i)
+      GROUP BY a.c, i) GROUP BY c) m ON m.c = o.c)""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, a.c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(o.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} o ON a.c = o.c"""
+
+
+ORACLE: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op12_filter_audit": OP12_SQL, "op13_laesa_clusters": _clusters_sql()}
