@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+import xxhash
 from conftest import SF_MID
 from llm_helpers import edge_rows, frame, lowered, near_components, repeats_removed, sha, words
 
@@ -121,6 +122,46 @@ def test_operator_7_edge_rows(spark):
     assert substring_dedup(spark, frame(spark, [], 1)).count() == 0
 
 
+def colliding_texts():
+    """Two texts of 25 words, and one of 25 and one of 3, whose xxhash64 agree in the low 30 bits and nothing else."""
+    low = lambda t: xxhash.xxh64_intdigest(t, 42) & ((1 << 30) - 1)
+    long_texts, pair = {}, None
+    for i in range(200_000):
+        t = " ".join(f"x{i}y{k}" for k in range(25))
+        other = long_texts.setdefault(low(t), t)
+        if other is not t:
+            pair = pair or (other, t)
+    for i in range(1_000_000):
+        t = f"a{i} b c"
+        if low(t) in long_texts:
+            return *pair, long_texts[low(t)], t
+    raise AssertionError("no collision")
+
+
+def test_operator_7_rows_of_one_id_whose_text_hashes_agree_in_part(spark):
+    a, b, c, short = colliding_texts()
+    assert spark.createDataFrame([(a,), (b,)], "t string").selectExpr("xxhash64(t) & 1073741823 h").distinct().count() == 1
+    for i in (7, None):
+        rows = [(-5, a), (i, a), (i, b), (-6, c), (i, c), (i, short)]
+        got = {(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(spark, frame(spark, rows)).collect()}
+        want = repeats_removed(rows)
+        assert got == {(k[0], *v) for k, v in want.items()}
+        assert want[i, b][1] == 0 and want[i, short][1] == 0
+
+
+def test_operator_7_many_texts_of_a_null_id(spark):
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(None, " ".join(f"n{rng.randint(0, 10**9)}" for _ in range(22))) for _ in range(400)]
+    rows += rows[:50] + [(3, passage), (4, "x " + passage), (4, "y"), (4, "y")]
+    got = substring_dedup(spark, frame(spark, rows), carry=True).collect()
+    want = repeats_removed(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.n_words, r.n_removed) == ((31, 30) if r.doc_id == 4 and r.n_words == 31 else (r.n_words, 0))
+        assert r.n_removed or (r.doc_id, r.text) in want
+
+
 def test_operators_4_and_7_over_the_table(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF_MID}/documents.parquet'").fetchall()

@@ -28,7 +28,7 @@ def test_stages_over_the_table(spark):
         elif name == "line_dedup":
             assert sorted((r.doc_id, r.text) for r in after) == sorted((i, t) for i, _, _, t in lines_kept(before))
         elif name == "minhash_near_dedup":
-            want = {i for (i, _), (n, c) in zip(before, near_components(before)) if not n or c == i}
+            want = {i for (i, _), (n, c) in zip(before, near_components(before, corpus_pipeline.NEAR_PERCENT)) if not n or c == i}
             assert {r.doc_id for r in after} == want and len(after) == len(want)
         elif name == "substring_dedup":
             want = repeats_removed(before)

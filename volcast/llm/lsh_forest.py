@@ -5,9 +5,9 @@ texts with the longest common prefixes are neighbours.  Two texts are candidates
 most ``near`` places apart in some tree and share a prefix of at least ``base_depth`` minhashes;
 where more than ``near`` texts share that prefix, the window reaches only the longest common
 prefixes, that is, the depth grows with the density of the region.  In such a region most texts may
-be copies of one text and only near to that one, so each text is also compared with the region's
-most central texts (those that agree most with the region's commonest minhash bytes).  What window and
-centre leave over in crowded regions is found exactly: the texts of such regions are joined on the
+be copies of one text and only near to that one, so each text is also compared with the most central
+texts of its stretch of the region (those that agree most with the stretch's commonest minhash bytes),
+where the sketches are in memory.  What window and centre leave over in crowded regions is found exactly: the texts of such regions are joined on the
 prefixes of their full sets, rarest shingle first, across the components linked so far.
 
 Candidates are screened by their minhash sketches and confirmed on the full shingle sets, in
@@ -29,7 +29,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volcast.llm.common import Words, id_text, map_rows, mix64, text_bytes, window_hash, written
@@ -137,10 +137,11 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _neighbours(shape: Forest):
-    """Over rows in the order of (tree, label): screened pairs of near neighbours, and the central texts of regions."""
+    """Over rows in the order of (tree, label): screened pairs of near neighbours, and of the texts of a crowded region
+    with its most central ones among the rows in memory (those of the batch and of the region's batches before)."""
 
     def run(batches):
-        carry = None
+        carry, hubs = None, []              # hubs: (tree, p, sketch, cid) of the last region
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -148,7 +149,14 @@ def _neighbours(shape: Forest):
             old = 0 if carry is None else carry.num_rows
             tree, p = new.column(0).to_numpy(), new.column(1).to_numpy()
             sketch, cid = _matrix(new.column(3), shape.hashes), new.column(4).to_pylist()
-            a, b, est = [], [], []
+            pairs: set[tuple] = set()
+
+            def meet(rows: np.ndarray, others: np.ndarray, ids: list, sketches: np.ndarray) -> None:
+                agree = (sketch[rows] == sketches).mean(1) >= shape.screen
+                for x, y in zip(rows[agree].tolist(), others[agree].tolist()):
+                    if cid[x] != ids[y]:
+                        pairs.add((min(cid[x], ids[y]), max(cid[x], ids[y])))
+
             for k in range(1, min(NEAR, len(tree) - 1) + 1):
                 i = np.flatnonzero((tree[k:] == tree[:-k]) & (p[k:] == p[:-k])) + k
                 i = i[i >= old]
@@ -156,47 +164,26 @@ def _neighbours(shape: Forest):
                     break           # a region of k + 1 rows is one of k rows too
                 for at in range(0, len(i), 4096):
                     j = i[at:at + 4096]
-                    agree = (sketch[j] == sketch[j - k]).mean(1)
-                    for x, s in zip(j[agree >= shape.screen].tolist(), agree[agree >= shape.screen].tolist()):
-                        a.append(min(cid[x], cid[x - k])), b.append(max(cid[x], cid[x - k])), est.append(s)
-            yield _found(a, b, est)
+                    meet(j, j - k, cid, sketch[j - k])
             edge = np.flatnonzero(np.diff(p, prepend=p[0] ^ 1) | np.diff(tree, prepend=tree[0]))
             for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(p)]):
+                hubs = [h for h in hubs if h[:2] == (tree[lo], p[lo])]
                 if hi - lo > NEAR:
                     region = sketch[lo:hi]
                     common = np.array([np.bincount(c, minlength=256).argmax() for c in region.T], dtype=np.uint8)
-                    agree = (region == common).mean(1)
-                    for x in np.argsort(-agree, kind="stable")[:HUBS].tolist():
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.nulls(1, pa.binary()), pa.array([cid[lo + x]], pa.binary()), pa.array([agree[x]]),
-                             pa.array([int(tree[lo])], pa.int32()), pa.array([int(p[lo])], pa.int64()),
-                             pa.array([sketch[lo + x].tobytes()], pa.binary())], ["a", "b", "est", "tree", "p", "sketch"])
+                    best = np.argsort(-(region == common).mean(1), kind="stable")[:HUBS]
+                    hubs = hubs[:3 * HUBS] + [(tree[lo], p[lo], region[x], cid[lo + x]) for x in best.tolist()]
+                rows = np.arange(max(lo, old), hi)
+                for _, _, central, of in hubs:
+                    meet(rows, np.zeros(len(rows), dtype=np.int64), [of], central[None])
+            found = sorted(pairs)
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()),
+                                              pa.array([b for _, b in found], pa.binary())], ["a", "b"])
             carry = new.slice(max(0, new.num_rows - NEAR))
 
     return run
 
 
-def _found(a: list, b: list, est: list) -> pa.RecordBatch:
-    n = len(a)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(est, pa.float64()), pa.nulls(n, pa.int32()),
-         pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], ["a", "b", "est", "tree", "p", "sketch"])
-
-
-def _central_pairs(shape: Forest):
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, two = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            agree = (_matrix(batch.column(2), shape.hashes) == _matrix(batch.column(3), shape.hashes)).mean(1)
-            keep = [i for i in np.flatnonzero(agree >= shape.screen).tolist() if one[i] != two[i]]
-            yield pa.RecordBatch.from_arrays([pa.array([min(one[i], two[i]) for i in keep], pa.binary()),
-                                              pa.array([max(one[i], two[i]) for i in keep], pa.binary())], ["a", "b"])
-
-    return run
-
-
 def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> tuple[DataFrame, DataFrame]:
     """Distinct screened pairs ``a, b`` of class ids, from the forest; the ``cid`` of the texts of crowded regions, of
     which the forest does not compare all pairs."""
@@ -206,18 +193,11 @@ def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> t
     shared = places.join(regions, ["tree", "p"]).groupBy("cid").agg(few.alias("few"), many.alias("many"))
     kept = written(spark, classes.join(shared, "cid").dropDuplicates(["cid"]), "forest-classes")
     # a small region stays in one task and is compared whole; a crowded one is cut anywhere, the exact join covers its borders
-    rows, order = _tree_rows(kept, "many"), ["tree", "label", "cid"]
-    dealt = (_tree_rows(kept, "few").repartition("tree", "p"), rows.repartitionByRange(*order))
-    small, large = (d.sortWithinPartitions(*order).mapInArrow(
-        _neighbours(shape), "a binary, b binary, est double, tree int, p long, sketch binary") for d in dealt)
-    found = written(spark, small.union(large), "forest-pairs")
-    rank = Window.partitionBy("tree", "p").orderBy(F.desc("est"), "b")
-    hubs = (found.where("a is null").withColumn("k", F.row_number().over(rank)).where(F.col("k") <= 4 * HUBS)
-            .select("tree", "p", F.col("b").alias("hub"), F.col("sketch").alias("hub_sketch")))
-    central = (rows.join(hubs, ["tree", "p"]).select("cid", "hub", "sketch", "hub_sketch")
-               .mapInArrow(_central_pairs(shape), "a binary, b binary"))
-    pairs = written(spark, found.where("a is not null").select("a", "b").union(central).distinct(), "forest-candidates")
-    return pairs, kept.where(F.size("many") > 0).select("cid")
+    order = ["tree", "label", "cid"]
+    dealt = (_tree_rows(kept, "few").repartition("tree", "p"), _tree_rows(kept, "many").repartitionByRange(*order))
+    small, large = (d.sortWithinPartitions(*order).mapInArrow(_neighbours(shape), "a binary, b binary") for d in dealt)
+    return (written(spark, small.union(large).distinct(), "forest-candidates"),
+            kept.where(F.size("many") > 0).select("cid"))
 
 
 def _confirm(numerator: int, denominator: int):

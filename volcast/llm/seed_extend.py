@@ -19,8 +19,10 @@ order of a sort and hold one row.  Hashes of two families (128 bits together) st
 reaches and windows.
 
 Defined cases: a null text has no words; texts of fewer than ``span`` words lose nothing; rows that
-repeat an id come in the order of their texts' hashes (equal rows have one result); a null id comes
-before all others; an empty table gives no rows.
+repeat an id come in the order of their texts' 128-bit hashes, by which they are numbered (equal rows
+have one result); a null id comes before all others; texts are taken whole, up to 2**29 words (more
+is an error, as are 2**30 texts of one id); other columns are ignored or carried, whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,15 +31,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from volcast.llm.common import (INVERSE, BASE, Words, bounded_slices, id_text, mix64, powers, text_bytes, window_hash,
                                 written)
 
 SPAN, GRAM = 20, 8
-#: ``at`` = text hash (30 bits), first window (29 bits), number of windows (4 bits); its order is the documents' order.
+#: ``at`` = number of the text among those of its id (30 bits), first window (29 bits), number of windows (4 bits); its
+#: order is the documents' order.
 TEXT_BITS, PLACE_BITS, COUNT_BITS = 30, 29, 4
+#: Texts of one id are numbered in cells by so many bits of their hash.
+CELL_BITS = 12
 HELD_ROWS = 400_000
 SAMPLE, HOT_IN_SAMPLE = 64, 200
 NO_ID = -(1 << 63)
@@ -86,7 +91,7 @@ class Grams:
 
 def _place(th: np.ndarray, place: np.ndarray, count: np.ndarray) -> np.ndarray:
     if len(place) and place.max() >= 1 << PLACE_BITS:
-        raise ValueError("a text has too many words")
+        raise ValueError(f"a text has more than {1 << PLACE_BITS} words")
     return (th << (PLACE_BITS + COUNT_BITS)) | (place << COUNT_BITS) | count
 
 
@@ -241,7 +246,7 @@ def _sorted_judgement(keyed: DataFrame, hot: list[int], by_windows: bool) -> Dat
 
 
 def _by_document(flags: DataFrame) -> DataFrame:
-    """(id, th) -> places, one row per document; the text hash is the high part of ``at``."""
+    """(id, th) -> places, one row per document; the text's number is the high part of ``at``."""
     th = F.shiftright("at", PLACE_BITS + COUNT_BITS)
     return flags.groupBy(F.col("id").alias("f_id"), th.alias("f_th")).agg(F.collect_list("at").alias("places"))
 
@@ -278,12 +283,39 @@ def _cut(raw: bytes, stay: np.ndarray, start: np.ndarray) -> bytes:
     return b"".join(parts)
 
 
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with ``th``, the number of the row's text among the different texts of its id, in the order of their
+    128-bit hashes.  Only ids that have several texts (null ids, as a rule) cost more than one narrow shuffle.
+
+    Texts are numbered in cells by the high bits of the hash, so an id that a third of all rows share is many cells."""
+    hashed = docs.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(7), "text")})
+    texts = hashed.select("doc_id", "h1", "h2", F.shiftright("h1", 64 - CELL_BITS).alias("cell")).distinct()
+    by_cell = Window.partitionBy("doc_id").orderBy("cell")
+    of_id = Window.partitionBy("doc_id")
+    cells = (texts.groupBy("doc_id", "cell").agg(F.count(F.lit(1)).alias("n"))
+             .select(F.col("doc_id").alias("cell_id"), F.col("cell").alias("in_cell"), (F.sum("n").over(by_cell) - F.col("n")).alias("before"),
+                     F.sum("n").over(of_id).alias("texts")).where("texts > 1"))
+    cells = written(spark, cells, "repeat-cells")
+    most = cells.agg(F.max("texts")).first()[0]
+    if most is None:
+        return docs.withColumn("th", F.lit(0).cast("long"))
+    if most >= 1 << TEXT_BITS:
+        raise ValueError(f"an id has {most} texts")
+    rank = F.row_number().over(Window.partitionBy("n_id", "cell").orderBy("n1", "n2"))
+    numbers = (texts.join(cells, F.col("doc_id").eqNullSafe(F.col("cell_id")) & (F.col("cell") == F.col("in_cell")))
+               .select(F.col("doc_id").alias("n_id"), F.col("h1").alias("n1"), F.col("h2").alias("n2"), "cell", "before")
+               .select("n_id", "n1", "n2", (F.col("before") + rank - 1).cast("long").alias("number")))
+    numbers = written(spark, numbers, "repeat-numbers")
+    same = (F.col("doc_id").eqNullSafe(F.col("n_id"))) & (F.col("h1") == F.col("n1")) & (F.col("h2") == F.col("n2"))
+    out = hashed.join(numbers, same, "left").withColumn("th", F.coalesce("number", F.lit(0)))
+    return written(spark, out.select(*docs.columns, "th"), "repeat-texts")
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id",
                     text_col: str = "text", carry: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space); with ``carry`` also text (the
     text without the removed words, otherwise as it was) and ``rest``."""
-    docs = id_text(docs, id_col, text_col, carry).withColumn(
-        "th", F.xxhash64("text").bitwiseAND(F.lit((1 << TEXT_BITS) - 1)))
+    docs = numbered(spark, id_text(docs, id_col, text_col, carry))
     places = _by_document(repeated_places(spark, docs.select("doc_id", "text", "th"), span, gram))
     joined = docs.join(places, (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("f_id")) & (F.col("th") == F.col("f_th")),
                        "left").select("doc_id", "text", "places", *(["rest"] if carry else []))
