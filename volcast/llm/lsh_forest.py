@@ -7,7 +7,7 @@ where more than ``near`` texts share that prefix, the window reaches only the lo
 prefixes, that is, the depth grows with the density of the region.  In such a region most texts may
 be copies of one text and only near to that one, so each text is also compared with the most central
 texts of its stretch of the region (those that agree most with the stretch's commonest minhash bytes),
-where the sketches are in memory.  What window and centre leave over in crowded regions is found exactly: the texts of such regions are joined on the
+where the sketches are in memory, and the likest few go on.  What window and centre leave over in crowded regions is found exactly: the texts of such regions are joined on the
 prefixes of their full sets, rarest shingle first, across the components linked so far.
 
 Candidates are screened by their minhash sketches and confirmed on the full shingle sets, in
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from volcast.llm.common import Words, id_text, map_rows, mix64, text_bytes, window_hash, written
 from volcast.llm.components import components
 
-DEPTH, NEAR, HUBS = 10, 16, 4
+DEPTH, NEAR, HUBS, BEST = 10, 16, 4, 4
 #: Chance that a link of exactly the wanted similarity shares a prefix in no tree.
 MISS = 1e-4
 BLOCK = 256
@@ -136,27 +136,29 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, width)
 
 
-def _neighbours(shape: Forest):
-    """Over rows in the order of (tree, label): screened pairs of near neighbours, and of the texts of a crowded region
-    with its most central ones among the rows in memory (those of the batch and of the region's batches before)."""
+def _pairs(found: set) -> pa.RecordBatch:
+    rows = sorted(found)
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in rows], pa.binary()), pa.array([b for _, b in rows], pa.binary())],
+                                      ["a", "b"])
 
-    def run(batches):
-        carry, hubs = None, []              # hubs: (tree, p, sketch, cid) of the last region
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+
+def _places(batches, shape: Forest):
+    """(tree, p, sketches, class ids, rows known before) of every batch with the ``NEAR`` rows before it."""
+    carry = None
+    for batch in batches:
+        if batch.num_rows:
             new = batch if carry is None else pa.concat_batches([carry, batch])
-            old = 0 if carry is None else carry.num_rows
-            tree, p = new.column(0).to_numpy(), new.column(1).to_numpy()
-            sketch, cid = _matrix(new.column(3), shape.hashes), new.column(4).to_pylist()
-            pairs: set[tuple] = set()
+            yield (new.column(0).to_numpy(), new.column(1).to_numpy(), _matrix(new.column(3), shape.hashes),
+                   new.column(4).to_pylist(), new.num_rows - batch.num_rows)
+            carry = new.slice(max(0, new.num_rows - NEAR))
+
 
-            def meet(rows: np.ndarray, others: np.ndarray, ids: list, sketches: np.ndarray) -> None:
-                agree = (sketch[rows] == sketches).mean(1) >= shape.screen
-                for x, y in zip(rows[agree].tolist(), others[agree].tolist()):
-                    if cid[x] != ids[y]:
-                        pairs.add((min(cid[x], ids[y]), max(cid[x], ids[y])))
+def _neighbours(shape: Forest):
+    """Over whole regions in the order of (tree, label): all screened pairs of neighbours."""
 
+    def run(batches):
+        for tree, p, sketch, cid, old in _places(batches, shape):
+            found: set[tuple] = set()
             for k in range(1, min(NEAR, len(tree) - 1) + 1):
                 i = np.flatnonzero((tree[k:] == tree[:-k]) & (p[k:] == p[:-k])) + k
                 i = i[i >= old]
@@ -164,7 +166,22 @@ def _neighbours(shape: Forest):
                     break           # a region of k + 1 rows is one of k rows too
                 for at in range(0, len(i), 4096):
                     j = i[at:at + 4096]
-                    meet(j, j - k, cid, sketch[j - k])
+                    for x in j[(sketch[j] == sketch[j - k]).mean(1) >= shape.screen].tolist():
+                        found.add((min(cid[x], cid[x - k]), max(cid[x], cid[x - k])))
+            yield _pairs(found)
+
+    return run
+
+
+def _central(shape: Forest):
+    """Over stretches of crowded regions in the order of (tree, label): the screened pairs of every text with its
+    ``BEST`` likest ones of the ``NEAR`` places before it and the most central texts among the rows in memory (those
+    of the batch and of the region's batches before)."""
+
+    def run(batches):
+        hubs: list[tuple] = []              # (tree, p, sketch, cid) of the last region
+        for tree, p, sketch, cid, old in _places(batches, shape):
+            found: set[tuple] = set()
             edge = np.flatnonzero(np.diff(p, prepend=p[0] ^ 1) | np.diff(tree, prepend=tree[0]))
             for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(p)]):
                 hubs = [h for h in hubs if h[:2] == (tree[lo], p[lo])]
@@ -173,13 +190,19 @@ def _neighbours(shape: Forest):
                     common = np.array([np.bincount(c, minlength=256).argmax() for c in region.T], dtype=np.uint8)
                     best = np.argsort(-(region == common).mean(1), kind="stable")[:HUBS]
                     hubs = hubs[:3 * HUBS] + [(tree[lo], p[lo], region[x], cid[lo + x]) for x in best.tolist()]
-                rows = np.arange(max(lo, old), hi)
-                for _, _, central, of in hubs:
-                    meet(rows, np.zeros(len(rows), dtype=np.int64), [of], central[None])
-            found = sorted(pairs)
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.binary()),
-                                              pa.array([b for _, b in found], pa.binary())], ["a", "b"])
-            carry = new.slice(max(0, new.num_rows - NEAR))
+                for at in range(max(lo, old), hi, 4096):
+                    rows = np.arange(at, min(at + 4096, hi))
+                    near = [np.where(rows - k >= lo, (sketch[rows] == sketch[np.maximum(rows - k, lo)]).mean(1), -1.0)
+                            for k in range(1, NEAR + 1)]
+                    far = [(sketch[rows] == h[2]).mean(1) for h in hubs]
+                    agree = np.stack(near + far, axis=1)
+                    for c in np.argsort(-agree, axis=1, kind="stable")[:, :BEST].T:
+                        ok = agree[np.arange(len(rows)), c] >= shape.screen
+                        for x, y in zip(rows[ok].tolist(), c[ok].tolist()):
+                            other = cid[x - y - 1] if y < NEAR else hubs[y - NEAR][3]
+                            if other != cid[x]:
+                                found.add((min(cid[x], other), max(cid[x], other)))
+            yield _pairs(found)
 
     return run
 
@@ -194,8 +217,10 @@ def candidate_pairs(spark: SparkSession, classes: DataFrame, shape: Forest) -> t
     kept = written(spark, classes.join(shared, "cid").dropDuplicates(["cid"]), "forest-classes")
     # a small region stays in one task and is compared whole; a crowded one is cut anywhere, the exact join covers its borders
     order = ["tree", "label", "cid"]
-    dealt = (_tree_rows(kept, "few").repartition("tree", "p"), _tree_rows(kept, "many").repartitionByRange(*order))
-    small, large = (d.sortWithinPartitions(*order).mapInArrow(_neighbours(shape), "a binary, b binary") for d in dealt)
+    small = (_tree_rows(kept, "few").repartition("tree", "p").sortWithinPartitions(*order)
+             .mapInArrow(_neighbours(shape), "a binary, b binary"))
+    large = (_tree_rows(kept, "many").repartitionByRange(*order).sortWithinPartitions(*order)
+             .mapInArrow(_central(shape), "a binary, b binary"))
     return (written(spark, small.union(large).distinct(), "forest-candidates"),
             kept.where(F.size("many") > 0).select("cid"))
 
