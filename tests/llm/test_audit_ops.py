@@ -51,11 +51,14 @@ def test_any_order_of_ranks(tokens, word):
 
 def test_very_long_pre_tokens():
     rng = random.Random(3)
-    for word in ("a" * 50_000, "".join(rng.choice("abcdefgh") for _ in range(60_000)), "ab" * (LONG // 2), "é" * 20_000,
-                 " " * 9_000 + "x", "!" * 30_000):
+    for word in ("a" * 50_000, "".join(rng.choice("abcdefgh") for _ in range(60_000)), "é" * 20_000, " " * 9_000 + "x", "!" * 30_000):
         ids = QUEUE.encode(word)
         assert QUEUE.decode(ids) == word.encode()
         assert ids == LIB.encode_ordinary(word)
+    word = "".join(rng.choice("abcdefgh") for _ in range(LONG + 5))
+    ids = QUEUE.encode(word)
+    assert QUEUE.decode(ids) == word.encode() and not QUEUE.known and not any(QUEUE.words_of_bits)
+    assert ids == [i for part in QUEUE.merge_all([word.encode()]) for i in part]
 
 
 def test_forgetting_does_not_change_ids():
@@ -94,6 +97,8 @@ def test_ranks_need_all_bytes_and_skip_blank_lines():
     assert read_ranks(base64.b64encode(b"x") + b" 7\n\n") == {b"x": 7}
     with pytest.raises(ValueError, match="lacks a byte"):
         QueueEncoder({b"a": 0}, "a+")
+    with pytest.raises(ValueError, match="UTF-8"):
+        QueueEncoder({bytes([b]): b for b in range(256)} | {b"\xff\xff": 256}, "a+")
 
 
 # ---------------------------------------------------------------- operator 12

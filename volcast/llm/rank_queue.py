@@ -6,7 +6,9 @@ of list positions for every merge rank.  Which buckets hold something is kept in
 levels: a bit per rank in words of ``WORD`` bits, and a bit per word in the top.  The next rank is
 found by find-first-set on the top, then on the word.  A merge changes the pairs of its position and
 of the one before; their old entries stay in their buckets and are skipped as stale when taken out.
-So a pre-token costs a bounded number of queue steps per byte, however long it is.
+So a pre-token costs a bounded number of queue steps per byte, however long it is.  The new
+pre-tokens of a batch are one list with separators that are in no merge; merges of different
+pre-tokens do not touch, so they share the queue, and one bucket serves them all.
 
 A pre-token that is a token as a whole is that token.  Texts are cut into white-space units
 (``\\s*\\S+``) first: the usual split pattern never crosses the place between a non-space character
@@ -23,8 +25,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -37,8 +39,10 @@ SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 SHIFT = 8
 WORD = 1 << SHIFT
 MASK = WORD - 1
-#: Pre-tokens longer than this keep their lists in packed arrays.
-LONG = 4096
+#: A byte that UTF-8 does not have.
+SEPARATOR = b"\xff"
+#: Longer lists than this are packed arrays; texts with longer units are not remembered.
+LONG = 1 << 20
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -61,7 +65,11 @@ class QueueEncoder:
 
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("the vocabulary lacks a byte")
+        if any(SEPARATOR in token for token in ranks if len(token) > 1):
+            raise ValueError("a token holds a byte that UTF-8 does not have")
         self.ranks = ranks
+        self.one_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.two_bytes = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], dtype=np.int32)
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.words_of_bits = [0] * ((max(ranks.values()) >> SHIFT) + 1)    # lower level; all zero between pre-tokens
         self.bit = [1 << i for i in range(max(WORD, len(self.words_of_bits)))]
@@ -75,116 +83,118 @@ class QueueEncoder:
         self.known: dict[str, tuple[str, int, bytes]] = {}
         self.older: dict[str, tuple[str, int, bytes]] = {}
 
-    def merge(self, word: bytes) -> list[int]:
-        """Token ids of one pre-token."""
-        rank_of = self.ranks.get
-        whole = rank_of(word)
-        if whole is not None:
-            return [whole]
-        n = len(word)
-        after, before, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """Token ids of every pre-token.  All of them are one linked list with a separator between them, which is in no
+        merge, so they share one queue and a bucket serves all pre-tokens at once."""
+        joined = SEPARATOR.join([b"", *words, b""])
+        raw = np.frombuffer(joined, dtype=np.uint8)
+        n = len(raw)
+        first = self.two_bytes[raw[:-1].astype(np.int64) << 8 | raw[1:]]
+        at = np.flatnonzero(first >= 0)
+        at = at[np.argsort(first[at], kind="stable")]
+        edge = np.flatnonzero(np.diff(first[at], prepend=-1)) if len(at) else at
+        starts, places = [*edge.tolist(), len(at)], at.tolist()
+        buckets = {r: places[x:y] for r, x, y in zip(first[at[edge]].tolist(), starts, starts[1:])}
+        bits, bit, top, rank_of = self.words_of_bits, self.bit, 0, self.ranks.get
+        for rank in buckets:
+            bits[rank >> SHIFT] |= bit[rank & MASK]
+            top |= bit[rank >> SHIFT]
+        pair, token = [*first.tolist(), -1], self.one_byte[raw].tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         if n > LONG:
-            after, before, pair = array("i", after), array("i", before), array("i", pair)
-        buckets: dict[int, list[int]] = {}
-        bits, BIT, top = self.words_of_bits, self.bit, 0
-        for i in range(n - 1):
-            rank = rank_of(word[i:i + 2])
-            if rank is not None:
-                pair[i] = rank
-                if rank in buckets:
-                    buckets[rank].append(i)             # ascending, so a heap already
-                else:
-                    buckets[rank] = [i]
-                    bits[rank >> SHIFT] |= BIT[rank & MASK]
-                    top |= BIT[rank >> SHIFT]
+            pair, token, after, before = (array("i", x) for x in (pair, token, after, before))
         while top:
             at = (top & -top).bit_length() - 1          # find first set: word, then bit
             held = bits[at]
             rank = at << SHIFT | (held & -held).bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) > 1:
-                i = heappop(bucket)
-            else:
-                i = bucket[0]
-                del buckets[rank]
-                bits[at] = held = held & held - 1
-                if not held:
-                    top &= top - 1
-            if pair[i] != rank:
-                continue                                # stale: the pair has changed since
-            j = after[i]
-            k = after[i] = after[j]
-            pair[j] = -1
-            if k < n:
-                before[k] = i
-                rank = rank_of(word[i:after[k]])
-                if rank is None:
-                    pair[i] = -1
-                else:
-                    pair[i] = rank
-                    if rank in buckets:
-                        heappush(buckets[rank], i)
+            bits[at] = held = held & held - 1
+            if not held:
+                top &= top - 1
+            bucket = buckets.pop(rank)
+            bucket.sort()                               # of equal ranks the leftmost goes first
+            lowest = rank
+            for done, i in enumerate(bucket, 1):
+                if pair[i] != rank:
+                    continue                            # stale: the pair has changed since
+                j = after[i]
+                k = after[i] = after[j]
+                before[k], pair[j], token[i], h = i, -1, rank, before[i]
+                made = pair[i] = rank_of(joined[i:after[k]], -1)
+                if made >= 0:
+                    if made in buckets:
+                        buckets[made].append(i)
                     else:
-                        buckets[rank] = [i]
-                        bits[rank >> SHIFT] |= BIT[rank & MASK]
-                        top |= BIT[rank >> SHIFT]
-            else:
-                pair[i] = -1
-            if i:
-                j = before[i]
-                rank = rank_of(word[j:k])
-                if rank is None:
-                    pair[j] = -1
-                else:
-                    pair[j] = rank
-                    if rank in buckets:
-                        heappush(buckets[rank], j)
+                        buckets[made] = [i]
+                        bits[made >> SHIFT] |= bit[made & MASK]
+                        top |= bit[made >> SHIFT]
+                        if made < lowest:
+                            lowest = made
+                made = pair[h] = rank_of(joined[h:k], -1)
+                if made >= 0:
+                    if made in buckets:
+                        buckets[made].append(h)
                     else:
-                        buckets[rank] = [j]
-                        bits[rank >> SHIFT] |= BIT[rank & MASK]
-                        top |= BIT[rank >> SHIFT]
-        ids, i, ranks = [], 0, self.ranks
+                        buckets[made] = [h]
+                        bits[made >> SHIFT] |= bit[made & MASK]
+                        top |= bit[made >> SHIFT]
+                        if made < lowest:
+                            lowest = made
+                if lowest < rank:                       # a lower rank has come up: it goes before the rest
+                    if done < len(bucket):
+                        buckets[rank] = bucket[done:]
+                        bits[rank >> SHIFT] |= bit[rank & MASK]
+                        top |= bit[rank >> SHIFT]
+                    break
+        out, ids, i = [], [], 1
         while i < n:
-            ids.append(ranks[word[i:after[i]]])
+            if joined[i] == SEPARATOR[0]:
+                out.append(ids)
+                ids = []
+            else:
+                ids.append(token[i])
             i = after[i]
-        return ids
+        return out
+
+    def words_in(self, unit: str) -> list[str]:
+        """Pre-tokens of a unit; a space and letters are one of the usual pattern."""
+        if self.usual and (unit[1:] if unit[0] == " " else unit).isalpha():
+            return [unit]
+        return self.split(unit)
 
     def learn(self, units: list[str]) -> None:
         """Encode units into ``known``; those of the generation before are taken over."""
-        known, older, numbers, raw, usual = self.known, self.older, self.numbers, self.bytes_of, self.usual
-        for unit in units:
-            if unit in known:
-                continue
-            hit = older.get(unit)
-            if hit is None:
-                # a space and letters are one pre-token of the usual pattern
-                words = (unit,) if usual and (unit[1:] if unit[0] == " " else unit).isalpha() else self.split(unit)
-                if len(words) == 1:
-                    ids = self.merge(unit.encode())
-                    hit = (",".join([numbers[i] for i in ids]), len(ids), b"".join([raw[i] for i in ids]))
-                else:
-                    self.learn(words)
-                    hits = [known[w] for w in words]
-                    hit = (",".join([h[0] for h in hits]), sum([h[1] for h in hits]), b"".join([h[2] for h in hits]))
-            known[unit] = hit
-
-    def found(self, text: str) -> list[tuple[str, int, bytes]]:
-        """(ids as text, number of ids, decoded bytes) of the units of ``text``."""
-        units, known = self.units_of(text), self.known
-        new = [u for u in units if u not in known]
-        if not new:
-            return [known[u] for u in units]
+        known, older, numbers, raw, ranks = self.known, self.older, self.numbers, self.bytes_of, self.ranks
+        cut = {u: (u,) if u in older else self.words_in(u) for u in units if u not in known}
+        new = []
+        for word in {w for ws in cut.values() for w in ws if w not in known}:
+            if word in older:
+                known[word] = older[word]
+            elif (whole := ranks.get(word.encode())) is not None:
+                known[word] = (numbers[whole], 1, word.encode())
+            else:
+                new.append(word)
+        for word, ids in zip(new, self.merge_all([w.encode() for w in new])):
+            known[word] = (",".join([numbers[i] for i in ids]), len(ids), b"".join([raw[i] for i in ids]))
+        for unit, ws in cut.items():
+            if len(ws) > 1:
+                hits = [known[w] for w in ws]
+                known[unit] = (",".join([h[0] for h in hits]), sum([h[1] for h in hits]), b"".join([h[2] for h in hits]))
+
+    def found(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
+        """Per text the (ids as text, number of ids, decoded bytes) of its units."""
+        units, known = [self.units_of(t) for t in texts], self.known
+        new = {u for us in units for u in us if u not in known}
         if len(known) + len(new) > self.remember:
             self.older, self.known = known, {}
-            known, new = self.known, units
+            known, new = self.known, {u for us in units for u in us}
         self.learn(new)
-        hits = [known[u] for u in units]
-        if len(text) > LONG and max(map(len, new)) > LONG:
+        hits = [[known[u] for u in us] for us in units]
+        if max(map(len, new), default=0) > LONG:
             self.older = self.known = {}                # do not hold long texts
         return hits
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, n, _ in self.found(text) if n for i in ids.split(",")]
+        return [int(i) for ids, n, _ in self.found([text])[0] if n for i in ids.split(",")]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -211,8 +221,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         if enc is None:
             enc = _ENCODERS[key] = QueueEncoder(read_ranks(lines.value), pattern)
         out: list[list] = [[] for _ in range(5)]
-        for text in batch.column(1).to_pylist():
-            hits = enc.found(text or "")
+        for hits in enc.found([t or "" for t in batch.column(1).to_pylist()]):
             ids, decoded = ",".join([h[0] for h in hits]), b"".join([h[2] for h in hits])
             out[0].append(sum([h[1] for h in hits]))
             out[1].append(hashlib.sha256(ids.encode()).hexdigest())
@@ -227,4 +236,5 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
             names += ["ids", "decoded"]
         yield pa.RecordBatch.from_arrays(cols, names)
 
-    return map_rows(id_text(docs, id_col, text_col), run, schema)
+    # larger slices share more queue steps
+    return map_rows(id_text(docs, id_col, text_col), run, schema, most_bytes=4_000_000)
