@@ -1,4 +1,5 @@
 import io
+import math
 import zipfile
 
 from pyspark.sql import functions as F
@@ -134,3 +135,29 @@ def test_checksums_of_binary_files(spark, tmp_dir):
     manifest = spark.createDataFrame(lines, "file_name string, line string")
     got = {r.file_name: r.status for r in ar.verify_checksums(ar.binary_files(spark, f"{tmp_dir}/f/*.zip"), manifest).collect()}
     assert got == {"a.zip": "ok", "b.zip": "mismatch"}
+
+
+def test_key_partition_is_that_of_the_hash_balancer(spark):
+    """K4: FNV-1a over the bytes, signed, remainder without its sign; a key's records stay together and in order."""
+    from volcast.sources import messages as msg
+
+    def balancer(key, n):
+        h = 2166136261
+        for b in key:
+            h = (h ^ b) * 16777619 & 0xFFFFFFFF
+        h = h - (1 << 32) if h >> 31 else h
+        return abs(int(math.fmod(h, n)))
+
+    keys = [b"", b"a", b"BTCUSDT", "żółw🙂".encode(), bytes(range(256)), b"\x00\xff", None]
+    d = spark.createDataFrame([(bytearray(k) if k is not None else None, f"v{i}".encode(), i) for i, k in enumerate(keys * 5)],
+                              "key binary, value binary, at long")
+    for n in (1, 3, 12):
+        for r in d.withColumn("p", msg.key_partition("key", n)).collect():
+            assert r.p == (None if r.key is None else balancer(bytes(r.key), n))
+    # b"a" has the published 32-bit FNV-1a hash e40c292c
+    assert balancer(b"a", 1 << 31) == abs(0xE40C292C - (1 << 32))
+    laid = msg.by_partition(d.coalesce(1), 3).withColumn("task", F.spark_partition_id()).collect()
+    assert len(laid) == 35 and all(len({r.task for r in laid if r.key == k}) == 1 for k in map(lambda k: k and bytearray(k), keys[1:6]))
+    import pytest
+    with pytest.raises(ValueError):
+        msg.key_partition("key", 0)

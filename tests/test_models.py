@@ -88,10 +88,10 @@ def test_sequence_model_artefact_and_comparison(spark):
     assert scored.count() == sequence_table(spark, SF_MID).count() > 0
     assert scored.filter(F.isnan("seq_pred") | F.col("seq_pred").isNull()).count() == 0
     table = {(r.split, r.model): r for r in sequence_comparison(spark, SF_MID).collect()}
-    assert {n for _, n in table} == {"SEQ", "HAR", "mean"}
+    assert {n for _, n in table} == {"SEQ", "RES", "HAR", "mean"}
     y = scored.filter("split = 'train'").toPandas()
     assert ((y.target - y.seq_pred) ** 2).mean() < y.target.var(ddof=0)
-    assert all(table[s, "SEQ"].n == table[s, "mean"].n for s, n in table if n == "SEQ")
+    assert all(table[s, n].n == table[s, "mean"].n for s, n in table if n in ("SEQ", "RES"))
 
 
 def test_sequence_model_loads_what_was_saved(spark, tmp_dir):
@@ -107,3 +107,66 @@ def test_sequence_model_loads_what_was_saved(spark, tmp_dir):
     assert config == {"seq_len": 48} and scaling.first().y_std == 2.5 and ids2.collect() == ids.collect()
     pick = lambda m: [r.prediction for r in m.transform(train).collect()]
     assert pick(again) == pick(model)
+
+
+def plain_reservoir(shape, sequences, symbols):
+    """Last states step by step, one sequence at a time."""
+    out = []
+    for x, s in zip(sequences, symbols):
+        h, code = np.zeros(shape.units), shape.codes([s])[0]
+        for step in x:
+            h = np.tanh(shape.w @ h + shape.u @ np.concatenate([step, code]))
+        out.append([1.0, *h])
+    return np.array(out)
+
+
+def test_reservoir_equals_a_plain_fit_over_all_training_sequences(spark):
+    """M8 M9: readout weights, scores and loss of the registered job against numpy, row by row."""
+    from conftest import SF_MID
+    from volcast.operators import reservoir as rs
+    from volcast.plans.common import reservoir_scores, sequence_table
+    from volcast.plans.registry import sequence_comparison
+    rows = sequence_table(spark, SF_MID).collect()
+    shape = rs.Reservoir(48, 8)
+    z = plain_reservoir(shape, [np.array(r.seq) for r in rows], [r.symbol for r in rows])
+    y, train = np.array([r.target for r in rows]), np.array([r.split == "train" for r in rows])
+    mean, std = y[train].mean(), y[train].std()
+    a = z[train]
+    w = np.linalg.solve(a.T @ a + 1e-3 * len(a) * np.diag([0.0] + [1.0] * shape.units), a.T @ ((y[train] - mean) / std))
+    model = rs.fit(sequence_table(spark, SF_MID).filter("split = 'train'"), shape)
+    assert model["n_train"] == train.sum() and np.allclose(model["weights"], w, atol=1e-7)
+    want = {(r.symbol, r.event_time): p for r, p in zip(rows, z @ w * std + mean)}
+    got = {(r.symbol, r.event_time): r.res_pred for r in reservoir_scores(spark, SF_MID).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    loss = {(r.split, r.model): r for r in sequence_comparison(spark, SF_MID).collect()}
+    fitted = np.array([want[r.symbol, r.event_time] for r in rows])
+    assert abs(loss["train", "RES"].rmse - np.sqrt(((y - fitted)[train] ** 2).mean())) < 1e-6
+    assert loss["train", "RES"].rmse <= loss["train", "mean"].rmse
+
+
+def test_reservoir_sees_order_and_survives_odd_rows(spark, tmp_dir):
+    import datetime as dt
+    from volcast.operators import reservoir as rs
+    rng, shape = np.random.default_rng(1), rs.Reservoir(6, 2, units=24)
+    t0, rows = dt.datetime(2024, 1, 1), []
+    for i in range(300):
+        x = rng.normal(size=(6, 2))
+        rows.append(("ab"[i % 2], t0 + dt.timedelta(hours=i), "train", x.tolist(), float(x[-1, 0] - x[-2, 0])))
+    odd = [("a", t0, "test", None, 1.0), ("a", t0, "test", [[1.0, 2.0]], 1.0), ("b", t0, "test", [[None, 2.0]] * 6, 1.0),
+           (None, t0, "test", rows[0][3], None), ("new", t0, "test", rows[0][3], float("nan")), ("a", t0, "test", [[float("inf"), 0.0]] * 6, 2.0)]
+    d = spark.createDataFrame(rows + odd, "symbol string, event_time timestamp_ntz, split string, seq array<array<double>>, target double")
+    model = rs.fit(d.repartition(3), shape)
+    assert model["n_train"] == 300
+    turned = rs.score(d.withColumn("seq", F.reverse("seq")), model).filter("split = 'train'").toPandas()
+    out = rs.score(d, model)
+    straight = out.filter("split = 'train'").toPandas()
+    error = lambda p: ((p.target - p.res_pred) ** 2).mean()
+    assert error(straight) < 0.5 * straight.target.var() < error(turned)         # the order of the steps matters
+    assert [r.res_pred is None for r in out.filter("split = 'test'").collect()].count(True) == 4
+    rs.save(spark, model, f"{tmp_dir}/m")
+    assert rs.load(spark, f"{tmp_dir}/m") == model
+    import pytest
+    with pytest.raises(ValueError, match="no training sequence"):
+        rs.fit(d.limit(0), shape)
+    with pytest.raises(ValueError, match="complete"):
+        rs.fit(d.filter("seq is null"), shape)

@@ -213,3 +213,63 @@ def test_kafka_shaped_records_to_bars(spark, tmp_dir):
         assert (bar.open, bar.close) == (rows[0].open, rows[-1].close)
         assert (bar.high, bar.low) == (max(r.high for r in rows), min(r.low for r in rows))
         assert bar.num_trades == sum(r.num_trades for r in rows)
+
+
+def test_state_after_a_restart_is_that_of_the_closed_bars(spark, tmp_dir):
+    """One part, stop, the other part on the same checkpoint; the checkpoint then holds what a plain pass over the
+    closed bars leaves behind."""
+    schema = _write_halves(spark, tmp_dir)
+    for half in ("first", "second"):
+        os.makedirs(f"{tmp_dir}/in/{half}")
+        for f in os.listdir(f"{tmp_dir}/{half}"):
+            if f.endswith(".parquet"):
+                os.link(f"{tmp_dir}/{half}/{f}", f"{tmp_dir}/in/{half}/{f}")
+        q = live.start_forecasting(spark, live.event_ticks(live.file_stream(spark, f"{tmp_dir}/in/*", schema)), f"{tmp_dir}/ck",
+                                   f"{tmp_dir}/fc", f"{tmp_dir}/an", trigger=ONCE)
+        q.awaitTermination()
+    held = {r.symbol: r for r in live.symbol_states(spark, f"{tmp_dir}/ck").collect()}
+    last = max(r.last_time for r in held.values())
+    bars = ohlcv_bars(load_ticks(spark, SF_SMALL), tie="tick_id").filter(F.col("bar_time") <= F.lit(last)).toPandas()
+    assert set(held) == set(bars.symbol)
+    for symbol, rows in bars.groupby("symbol"):
+        state = SymbolState()
+        state.update(rows[["bar_time", "close"]])
+        r, known = held[symbol], state.residuals[state.residuals == state.residuals]
+        assert (r.n_closes, r.n_residuals, r.n_known_residuals) == (len(state.closes), len(state.residuals), len(known))
+        assert abs(r.sum_residuals - known.sum()) < 1e-9 and r.last_close == state.closes[-1] and r.last_time == state.last_time
+
+
+def test_state_of_another_query_is_an_error(spark, tmp_dir):
+    import pytest
+    schema = _write_halves(spark, tmp_dir)
+    live.start_provisional(live.event_ticks(live.file_stream(spark, f"{tmp_dir}/first", schema)), f"{tmp_dir}/ck", f"{tmp_dir}/p",
+                           trigger=ONCE).awaitTermination()
+    with pytest.raises(ValueError, match="no keyed forecaster"):
+        live.symbol_states(spark, f"{tmp_dir}/ck")
+
+
+def test_provisional_bars_are_replaced_and_marked(spark, tmp_dir):
+    """T4: an open bar comes out at once, is replaced by its later states, and is final once the watermark has passed it;
+    a tick behind the watermark changes nothing; writing a batch again changes nothing."""
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    base = dt.datetime(2024, 1, 1)
+    batches = [[(1, base + dt.timedelta(minutes=5), 1.0), (2, base + dt.timedelta(minutes=70), 2.0)],
+               [(3, base + dt.timedelta(minutes=80), 9.0), (4, base + dt.timedelta(minutes=75), 0.0)],
+               [(5, base + dt.timedelta(minutes=7), 500.0), (6, base + dt.timedelta(minutes=200), 4.0)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([(k, t, 1, "A", v, "{}") for k, t, v in rows], schema).coalesce(1).write.parquet(f"{tmp_dir}/in/b{i}")
+        src = live.file_stream(spark, f"{tmp_dir}/in/*", schema)
+        live.start_provisional(live.event_ticks(src), f"{tmp_dir}/ck", f"{tmp_dir}/out", trigger=ONCE).awaitTermination()
+    rows = live.read_sink(spark, f"{tmp_dir}/out", live.PROVISIONAL_SCHEMA)
+    got = {}
+    for r in live.provisional_history(rows).orderBy("batch", "bar_time").collect():
+        got.setdefault(r.batch, []).append((r.bar_time.hour, r.open, r.high, r.low, r.close, r.num_trades, r.is_final))
+    first = (1, 2.0, 2.0, 2.0, 2.0, 1, True)
+    assert got == {1: [first, (2, 3.0, 3.0, 3.0, 3.0, 1, False)], 2: [first, (2, 3.0, 10.0, 1.0, 10.0, 3, False)],
+                   3: [first, (2, 3.0, 10.0, 1.0, 10.0, 3, True), (4, 5.0, 5.0, 5.0, 5.0, 1, False)]}
+    made = rows.drop("watermark_ms", "day", "batch_id")
+    before = sorted(map(tuple, rows.collect()))
+    again = spark.createDataFrame(rows.filter("batch_id = 0").select(*made.columns).collect(), made.schema)
+    live.ProvisionalSink(f"{tmp_dir}/out", 30_000)(again, 0)
+    after = live.read_sink(spark, f"{tmp_dir}/out", live.PROVISIONAL_SCHEMA)
+    assert sorted(map(tuple, after.collect())) == before

@@ -190,3 +190,19 @@ def sequence_model(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH):
     vec = md.flatten_sequences(sequence_table(spark, sf_dir, width), ids)
     return (md.destandardise(model.transform(vec), scaling)
             .select("symbol", "event_time", "split", "target", "seq_pred"))
+
+
+def reservoir_scores(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
+    """M8 M9 K9: the reservoir learner fitted on all training sequences, saved, loaded back, and its scores of every
+    split: symbol, event_time, split, target, res_pred."""
+    from volcast.operators import reservoir as rs
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    seqs = sequence_table(spark, sf_dir, width)
+
+    def run() -> str:
+        path = fresh_scratch(spark, "reservoir")
+        rs.save(spark, rs.fit(seqs.filter("split = 'train'"), rs.Reservoir(ds.SEQ_LEN, len(ds.SEQUENCE_FEATURES))), path)
+        return path
+
+    path = once_per_app(spark, ("reservoir", width, src, source_signature(spark, src)), run)
+    return rs.score(seqs, rs.load(spark, path))

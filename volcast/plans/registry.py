@@ -7,6 +7,7 @@ once, at the end, in both the plan and its SQL twin.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Callable
 
@@ -486,12 +487,19 @@ def _on_sequence_rows(spark, sf_dir):
             .withColumn("mean_pred", md.mean_target(fit)))
 
 
+@plan("sequence_comparison")
 def sequence_comparison(spark, sf_dir):
-    """:func:`sequence_model_metrics` with the sequence model's predictions as one more model."""
-    from volcast.plans.common import sequence_model
+    """:func:`sequence_model_metrics` with two sequence models fitted on all training sequences as more
+    models: the linear one on the flat window (SEQ) and the order-aware reservoir learner (RES).  No SQL: the tests hold
+    RES against a plain numpy fit, and SEQ against the mean predictor."""
+    from volcast.plans.common import reservoir_scores, sequence_model
+    if sequence_table(spark, sf_dir).filter("split = 'train'").isEmpty():     # nothing to fit: no rows of these models
+        return sequence_model_metrics(spark, sf_dir)
     seq = sequence_model(spark, sf_dir).select("symbol", "event_time", "seq_pred")
-    rows = _on_sequence_rows(spark, sf_dir).join(seq, ["symbol", "event_time"], "left")
-    return rounded(md.losses_by_split(rows, {"SEQ": "seq_pred", "HAR": "har_pred", "mean": "mean_pred"}))
+    res = reservoir_scores(spark, sf_dir).select("symbol", "event_time", "res_pred")
+    keys = ["symbol", "event_time"]
+    rows = _on_sequence_rows(spark, sf_dir).join(seq, keys, "left").join(res, keys, "left")
+    return rounded(md.losses_by_split(rows, {"SEQ": "seq_pred", "RES": "res_pred", "HAR": "har_pred", "mean": "mean_pred"}))
 
 
 @plan("har_artifact", S.with_(S.HAR_FIT, f"SELECT n_train, {S.rnd(*_FIT_OUT)} FROM har_fit"))
@@ -575,6 +583,27 @@ def decode_envelope(spark, sf_dir):
     return rounded(r.select("stream", "symbol", "event_time", "close"))
 
 
+TOPIC_PARTITIONS = 12
+
+
+@plan("route_partitions", f"""
+WITH r AS (
+  SELECT event_type AS symbol, {_MS_NTZ} AS event_time FROM events WHERE {_K} < 92 AND value >= 1),
+h AS (
+  SELECT symbol, list_reduce(list_transform(range(1, length(symbol) + 1), lambda i: ascii(substr(symbol, i::INT, 1))::BIGINT),
+                             lambda a, b: (xor(a, b) * {msg.FNV_FACTOR}) & 4294967295, {msg.FNV_START}::BIGINT) AS f
+  FROM (SELECT DISTINCT symbol FROM r)),
+p AS (SELECT symbol, abs((CASE WHEN f >= 2147483648 THEN f - 4294967296 ELSE f END) % {TOPIC_PARTITIONS})::INTEGER AS partition_no FROM h)
+SELECT symbol, partition_no, count(*) AS n_records, min(event_time) AS first_time, max(event_time) AS last_time
+FROM r JOIN p USING (symbol) GROUP BY symbol, partition_no""")
+def route_partitions(spark, sf_dir):
+    """K4: the routed records laid out by the topic partition that the hash balancer gives their key (12 partitions);
+    shown is what each partition holds of each symbol: every symbol is in one partition only."""
+    laid = msg.by_partition(msg.route(enc.envelopes(table(spark, sf_dir, "events"))), TOPIC_PARTITIONS)
+    return laid.groupBy("symbol", "partition_no").agg(F.count(F.lit(1)).alias("n_records"), F.min("event_time").alias("first_time"),
+                                                      F.max("event_time").alias("last_time"))
+
+
 @plan("decode_rejects", f"""
 SELECT count(*) AS n_messages,
        CAST(sum(CASE WHEN {_K} >= 95 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_envelope,
@@ -759,27 +788,30 @@ REPLAY_BATCHES = 3
 
 
 def live_run(spark, sf_dir) -> str:
-    """Drain ``events`` through the live topology once per application (availableNow): bars, forecasts +
-    anomalies (foreachBatch), routed messages and candle bars, each with its own checkpoint under one
-    fresh scratch folder, in ``REPLAY_BATCHES`` micro-batches."""
+    """Drain ``events`` through the live topology once per application: bars, provisional bars, forecasts + anomalies
+    (foreachBatch), routed messages and candle bars, each with its own checkpoint under one fresh scratch folder.  The
+    records come in ``REPLAY_BATCHES`` parts; after each the queries stop, and start again on their checkpoints."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
     return once_per_app(spark, ("live", src, source_signature(spark, src)), lambda: _drain_live(spark, sf_dir))
 
 
-def _replay(rows: DataFrame, time: str, path: str, late: DataFrame | None = None) -> None:
-    """Write ``rows`` as one file per micro-batch, one after the other in time order (the file source takes
-    them by modification time); ``late`` goes with the last."""
+def _replay_cuts(rows: DataFrame, time: str) -> list:
     first, last = rows.agg(F.min(time), F.max(time)).first()
-    cuts = [first + (last - first) * i / REPLAY_BATCHES for i in range(1, REPLAY_BATCHES)]
-    for i in range(REPLAY_BATCHES):
-        part = rows
-        if i:
-            part = part.filter(F.col(time) >= F.lit(cuts[i - 1]))
-        if i < REPLAY_BATCHES - 1:
-            part = part.filter(F.col(time) < F.lit(cuts[i]))
-        elif late is not None:
-            part = part.unionByName(late)
-        part.coalesce(1).write.mode("append").parquet(path)
+    span = (last - first) // dt.timedelta(microseconds=1)
+    return [first + dt.timedelta(microseconds=span * i // REPLAY_BATCHES) for i in range(1, REPLAY_BATCHES)]
+
+
+def _replay(rows: DataFrame, time: str, path: str, cuts: list, at: int, late: DataFrame | None = None) -> None:
+    """Write part ``at`` of ``rows`` (between two cuts in time) into a folder of its own, in the partitions that the rows
+    have; ``late`` goes with the last part."""
+    part = rows
+    if at:
+        part = part.filter(F.col(time) >= F.lit(cuts[at - 1]))
+    if at < REPLAY_BATCHES - 1:
+        part = part.filter(F.col(time) < F.lit(cuts[at]))
+    elif late is not None:
+        part = part.unionByName(late)
+    part.write.parquet(f"{path}/part-{at}")
 
 
 def late_copies(events: DataFrame) -> DataFrame:
@@ -793,34 +825,44 @@ def late_copies(events: DataFrame) -> DataFrame:
 def _drain_live(spark, sf_dir) -> str:
     base = fresh_scratch(spark, "live")
     events = table(spark, sf_dir, "events")
-    _replay(events, "ts", f"{base}/in_events")
-    _replay(events, "ts", f"{base}/in_late", late_copies(events))
     history, recent = _history_and_recent(spark, sf_dir)
-    _replay(recent, "bar_time", f"{base}/in_bars")
+    cuts, bar_cuts = _replay_cuts(events, "ts"), _replay_cuts(recent, "bar_time")
+    late = late_copies(events)
     drain = {"trigger": {"availableNow": True}}
     # a handful of symbols here; on a cluster this is the number of state partitions to keep
     state = drain | {"state_partitions": spark.sparkContext.defaultParallelism}
 
     def stream(name, schema=events.schema):
-        return live.file_stream(spark, f"{base}/{name}", schema, max_files=1)
-
-    # Independent queries, run side by side as a deployment would.
-    queries = {
-        "forecast": live.start_forecasting(spark, live.event_ticks(stream("in_late")), f"{base}/ck_forecast",
-                                           f"{base}/forecasts", f"{base}/anomalies", report_path=f"{base}/report", **state),
-        "bars": live.start_bars(live.stream_bars(live.event_ticks(stream("in_late"))), f"{base}/ck_bars",
-                                f"{base}/bars", **state),
-        "route": live.start_route(enc.envelopes(stream("in_events")), f"{base}/ck_route", f"{base}/routed", **drain),
-        "candles": live.start_bars(live.stream_candle_bars(live.kline_candles(
-            enc.redelivered(enc.kline_json(stream("in_events"))))), f"{base}/ck_candles", f"{base}/candle_bars", **state),
-        "warm": live.start_forecaster(spark, stream("in_bars", recent.schema), f"{base}/ck_warm", f"{base}/warm_forecasts",
-                                      f"{base}/warm_anomalies", initial=history, **state),
-    }
-    for q in queries.values():
-        q.awaitTermination()
-    # the first stateful operator of the bars query drops the late ticks
-    dropped = sum(o["numRowsDroppedByWatermark"] for p in queries["bars"].recentProgress for o in p["stateOperators"])
-    n_batches = sum(p["numInputRows"] > 0 for p in queries["bars"].recentProgress)
+        return live.file_stream(spark, f"{base}/{name}/*", schema)
+
+    def start() -> dict:
+        """Independent queries, run side by side as a deployment would."""
+        return {
+            "forecast": live.start_forecasting(spark, live.event_ticks(stream("in_late")), f"{base}/ck_forecast",
+                                               f"{base}/forecasts", f"{base}/anomalies", report_path=f"{base}/report", **state),
+            "bars": live.start_bars(live.stream_bars(live.event_ticks(stream("in_late"))), f"{base}/ck_bars",
+                                    f"{base}/bars", **state),
+            "provisional": live.start_provisional(live.event_ticks(stream("in_late")), f"{base}/ck_provisional",
+                                                  f"{base}/provisional", **state),
+            "route": live.start_route(enc.envelopes(stream("in_events")), f"{base}/ck_route", f"{base}/routed", **drain),
+            "candles": live.start_bars(live.stream_candle_bars(live.kline_candles(
+                enc.redelivered(enc.kline_json(stream("in_events"))))), f"{base}/ck_candles", f"{base}/candle_bars", **state),
+            "warm": live.start_forecaster(spark, stream("in_bars", recent.schema), f"{base}/ck_warm", f"{base}/warm_forecasts",
+                                          f"{base}/warm_anomalies", initial=history, **state),
+        }
+
+    dropped = n_batches = 0
+    for at in range(REPLAY_BATCHES):
+        _replay(events, "ts", f"{base}/in_events", cuts, at)
+        _replay(events, "ts", f"{base}/in_late", cuts, at, late)
+        _replay(recent, "bar_time", f"{base}/in_bars", bar_cuts, at)
+        queries = start()
+        for q in queries.values():
+            q.awaitTermination()
+        # the first stateful operator of the bars query drops the late ticks
+        progress = queries["bars"].recentProgress
+        dropped += sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])
+        n_batches += sum(p["numInputRows"] > 0 for p in progress)
     spark.createDataFrame([(dropped, n_batches)], "n_dropped long, n_batches long").coalesce(1).write.parquet(f"{base}/late")
     return base
 
@@ -844,6 +886,44 @@ def stream_bars(spark, sf_dir):
     return rounded(spark.read.parquet(f"{live_run(spark, sf_dir)}/bars"))
 
 
+@plan("stream_provisional_bars", S.with_(S.TICKS + f"""
+, edge AS (SELECT epoch_us(min(event_time)) AS t0, epoch_us(max(event_time)) - epoch_us(min(event_time)) AS span FROM ticks),
+parts AS (SELECT b::BIGINT AS b, CASE WHEN b < {REPLAY_BATCHES} THEN t0 + span * b // {REPLAY_BATCHES} ELSE t0 + span + 1 END AS upto
+          FROM edge, (SELECT unnest(range(1, {REPLAY_BATCHES} + 1)) AS b)),
+seen AS (SELECT p.b, t.* FROM ticks t, parts p WHERE epoch_us(t.event_time) < p.upto),
+marks AS (SELECT b, epoch_us(max(event_time)) // 1000 - 30000 AS wm FROM seen GROUP BY b),
+grouped AS (
+  SELECT b, symbol, date_trunc('hour', event_time) + INTERVAL 1 HOUR AS bar_time,
+         arg_min(price, (event_time, tick_id)) AS open, max(price) AS high, min(price) AS low,
+         arg_max(price, (event_time, tick_id)) AS close, sum(volume) AS volume, count(*) AS num_trades
+  FROM seen GROUP BY b, symbol, date_trunc('hour', event_time))""", f"""
+SELECT g.b AS batch, symbol, bar_time, {S.rnd('open', 'high', 'low', 'close', 'volume')}, num_trades,
+       epoch_us(bar_time) // 1000 <= wm AS is_final
+FROM grouped g JOIN marks n ON g.b = n.b"""))
+def stream_provisional_bars(spark, sf_dir):
+    """T4: bars in update mode.  Every trigger upserts the bars it changed; shown is the keyed table as it stood after
+    each part of the records, with the bars that the watermark has not closed marked provisional."""
+    rows = live.read_sink(spark, f"{live_run(spark, sf_dir)}/provisional", live.PROVISIONAL_SCHEMA)
+    return rounded(live.provisional_history(rows).select("batch", "symbol", "bar_time", "open", "high", "low", "close",
+                                                         "volume", "num_trades", "is_final"))
+
+
+@plan("stream_state", S.with_(S.DETECT + """
+, closed AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY bar_time DESC) AS recency
+            FROM bars WHERE epoch_us(bar_time) // 1000 <= (SELECT (epoch_us(max(ts)) // 1000) - 30000 FROM events)),
+held AS (SELECT c.symbol, c.recency, c.bar_time, c.close, f.residual FROM closed c
+         LEFT JOIN forecasts f ON c.symbol = f.symbol AND c.bar_time = f.event_time)""", f"""
+SELECT symbol, CAST(least(count(*), 1441) AS INTEGER) AS n_closes, CAST(least(count(*), 288) AS INTEGER) AS n_residuals,
+       CAST(count(residual) FILTER (WHERE recency <= 288) AS INTEGER) AS n_known_residuals,
+       round(coalesce(sum(residual) FILTER (WHERE recency <= 288), 0), 6) + 0.0 AS sum_residuals,
+       round(arg_min(close, recency), 6) + 0.0 AS last_close, max(bar_time) AS last_time
+FROM held GROUP BY symbol"""))
+def stream_state(spark, sf_dir):
+    """What the forecaster's checkpoint holds per symbol after it was stopped and started again twice on the same
+    checkpoint, read from the RocksDB state by Spark's state data source: closes, residuals and the last bar."""
+    return rounded(live.symbol_states(spark, f"{live_run(spark, sf_dir)}/ck_forecast"))
+
+
 @plan("stream_late_rows", """
 SELECT CAST(count(*) AS BIGINT) AS n_dropped, CAST(3 AS BIGINT) AS n_batches
 FROM events, (SELECT min(ts) AS t0, max(ts) AS t1 FROM events)

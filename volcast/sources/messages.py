@@ -106,6 +106,33 @@ def route(envelopes: DataFrame, value: str = "value") -> DataFrame:
                     "stream", "symbol", "event_time", "close")
 
 
+#: 32-bit FNV-1a (fixed values): start and factor.
+FNV_START, FNV_FACTOR = 2166136261, 16777619
+
+
+def key_partition(key: str | Column, partitions: int) -> Column:
+    """K4: the partition a hash balancer gives a record key: FNV-1a over the key's bytes, read as a signed 32-bit number,
+    remainder by the number of partitions without its sign.  A null key has none (a producer deals those round robin).
+    Native, so a batch or a stream can be laid out as the topic is."""
+    if partitions < 1:
+        raise ValueError("a topic has one partition at least")
+    raw = (F.col(key) if isinstance(key, str) else key).cast("binary")
+    digits = F.hex(raw)
+    places = F.when(F.length(raw) > 0, F.sequence(F.lit(0), F.length(raw) - 1)).otherwise(F.array().cast("array<int>"))
+    byte = lambda i: F.conv(F.substr(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("long")
+    hashed = F.aggregate(places, F.lit(FNV_START).cast("long"),
+                         lambda h, i: (h.bitwiseXOR(byte(i)) * FNV_FACTOR).bitwiseAND(F.lit(0xFFFFFFFF)))
+    signed = F.when(hashed >= 1 << 31, hashed - (1 << 32)).otherwise(hashed)
+    return F.when(raw.isNotNull(), F.abs(signed % F.lit(partitions)).cast("int"))
+
+
+def by_partition(records: DataFrame, partitions: int, key: str = "key") -> DataFrame:
+    """K4: records laid out as the topic is — every Spark partition holds whole topic partitions (column
+    ``partition_no``), so one symbol's records stay together.  Null keys are dealt by their value."""
+    dealt = F.coalesce(key_partition(key, partitions), F.pmod(F.xxhash64("value"), F.lit(partitions)).cast("int"))
+    return records.withColumn("partition_no", dealt).repartition(partitions, "partition_no")
+
+
 def reject_counts(envelopes: DataFrame, value: str = "value") -> DataFrame:
     """F2 K8: totals of the routing step — one row, one pass."""
     e = open_envelope(envelopes, value)

@@ -7,13 +7,15 @@ table and the anomaly table idempotently per batch id.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from volcast.functions.market import micros_to_ntz, ntz_micros
-from volcast.operators.bars import candle_bars, ohlcv_bars
+from volcast.operators.bars import candle_bars, ohlcv_bars, total_order
 from volcast.sources import messages as msg
 from volcast.streaming.forecaster import OUTPUT_SCHEMA, STATE_ROWS, HarForecaster
 
@@ -96,6 +98,80 @@ def stream_candle_bars(candles: DataFrame, width: str = "1 hour", watermark: str
     return b.withColumn("bar_time", wall_clock("bar_time"))
 
 
+#: Bars of update mode: the bar as far as it is known, the newest tick in it, and the batch that wrote it.
+PROVISIONAL_SCHEMA = ("symbol string, bar_time timestamp_ntz, open double, high double, low double, close double, volume double, "
+                      "taker_buy_volume double, num_trades long, last_tick timestamp_ntz, watermark_ms long, day date, batch_id long")
+
+
+def provisional_bars(ticks: DataFrame, width: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
+    """Tumbling bars for update mode, each with its newest tick's time.  A bar comes out again whenever a
+    trigger changed it; ticks later than the watermark are dropped.  Spark allows one stateful operator in this mode,
+    so records delivered twice count twice: drop them upstream, or use :func:`stream_bars` for final figures."""
+    held = ticks.withWatermark("event_time", watermark)
+    order = total_order(held, "event_time", "tick_id")
+    g = held.groupBy("symbol", F.window("event_time", width).alias("_w")).agg(
+        F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+        F.max_by("price", order).alias("close"), F.sum("volume").alias("volume"),
+        F.sum("taker_buy_volume").alias("taker_buy_volume"), F.count(F.lit(1)).alias("num_trades"),
+        F.max("event_time").alias("last_tick"))
+    return g.select("symbol", wall_clock("_w.end").alias("bar_time"), "open", "high", "low", "close", "volume", "taker_buy_volume",
+                    "num_trades", wall_clock("last_tick").alias("last_tick"))
+
+
+class ProvisionalSink:
+    """T4 T5: foreachBatch upsert of changed bars, laid out by day and batch (a replayed batch replaces itself)."""
+
+    def __init__(self, path: str, watermark_ms: int):
+        self.path, self.watermark_ms = path, watermark_ms
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumns({"watermark_ms": F.lit(self.watermark_ms).cast("long"), "day": F.to_date("bar_time"),
+                                  "batch_id": F.lit(batch_id).cast("long")})
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id")
+         .parquet(self.path))
+
+
+def start_provisional(ticks: DataFrame, checkpoint: str, path: str, width: str = "1 hour", watermark_s: int = 30,
+                      trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    """T4: provisional bars in update mode, upserted every trigger."""
+    w = (provisional_bars(ticks, width, f"{watermark_s} seconds").writeStream.outputMode("update")
+         .option("checkpointLocation", checkpoint).foreachBatch(ProvisionalSink(path, 1000 * watermark_s)))
+    return _start_with_partitions(ticks.sparkSession, w.trigger(**(trigger or {"processingTime": TRIGGER})), state_partitions)
+
+
+def provisional_latest(rows: DataFrame) -> DataFrame:
+    """Read side of the upserts: the newest state of every bar, and whether the watermark has closed it (``is_final``)."""
+    now = rows.agg(F.max(ntz_micros("last_tick"))).scalar()
+    closed = ntz_micros("bar_time") / 1000 <= F.floor(now / 1000) - F.col("watermark_ms")
+    return latest(rows, ("symbol", "bar_time")).withColumn("is_final", closed)
+
+
+def provisional_history(rows: DataFrame) -> DataFrame:
+    """The keyed table after every batch that wrote something: the newest state of every bar up to it, by the batch's
+    place ``batch`` (1, 2, ...)."""
+    batches = [r.batch_id for r in rows.select("batch_id").distinct().orderBy("batch_id").collect()]
+    parts = [provisional_latest(rows.filter(F.col("batch_id") <= b)).withColumn("batch", F.lit(i).cast("long"))
+             for i, b in enumerate(batches, 1)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def symbol_states(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The forecaster's state per symbol as its checkpoint holds it (state data source): closes and residuals
+    held, the residuals that are known and their sum, the last close and the last bar."""
+    operator = (spark.read.format("state-metadata").load(checkpoint)
+                .filter(F.lower("operatorName").contains("transformwithstate")).select("operatorId").distinct().first())
+    if operator is None:
+        raise ValueError("the checkpoint holds no keyed forecaster")
+    use_rocksdb(spark)
+    state = (spark.read.format("statestore").option("operatorId", operator[0]).option("stateVarName", "symbol_state")
+             .load(checkpoint).select(F.col("key.symbol").alias("symbol"), "value.*"))
+    known = F.filter("residuals", lambda r: r.isNotNull())
+    return state.select("symbol", F.size("closes").alias("n_closes"), F.size("residuals").alias("n_residuals"),
+                        F.size(known).alias("n_known_residuals"),
+                        F.aggregate(known, F.lit(0.0), lambda a, r: a + r).alias("sum_residuals"),
+                        F.element_at("closes", -1).alias("last_close"), F.col("last_time"))
+
+
 def state_history(bars: DataFrame) -> DataFrame:
     """Of history bars, per symbol the newest rows that a state depends on.  The rank limit runs
     before the shuffle, so a long history does not move."""
