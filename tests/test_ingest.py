@@ -161,3 +161,18 @@ def test_key_partition_is_that_of_the_hash_balancer(spark):
     import pytest
     with pytest.raises(ValueError):
         msg.key_partition("key", 0)
+
+
+def test_files_are_written_whole_and_held_against_manifest_files(spark, tmp_dir):
+    """Lines of many partitions give one file per name, byte for byte; the manifest is text with odd lines."""
+    import hashlib
+
+    from volcast.sinks.files import write_lines
+    rows = [(f"f{i % 3}.csv", i, f"{i},x") for i in range(300)]
+    write_lines(spark.createDataFrame(rows, "n string, i int, line string").repartition(16), f"{tmp_dir}/files", "n", ["i"])
+    digest = [hashlib.sha256("".join(r[2] + "\n" for r in rows if r[0] == f"f{k}.csv").encode()).hexdigest() for k in range(3)]
+    with open(f"{tmp_dir}/SHA256SUMS", "w") as f:
+        f.write(f"{digest[0]}  f0.csv\n\n{digest[1].upper()} *f1.csv\n{digest[1]}  gone file.csv\n   \n")
+    content = ar.binary_files(spark, f"{tmp_dir}/files", r"n=([^/]+)/", recursive=True).where("file_name <> ''")
+    got = sorted((r.file_name, r.status) for r in ar.verify_checksums(content, ar.manifest_lines(spark, f"{tmp_dir}/SHA256SUMS")).collect())
+    assert got == [("f0.csv", "ok"), ("f1.csv", "ok"), ("f2.csv", "missing_checksum"), ("gone file.csv", "missing_file")]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import make_bars
 from volcast.operators import features
-from volcast.operators.series import RN, number_rows, over_series, time_segment
+from volcast.operators.series import RN, apply_over_series, number_rows, over_series, time_segment
 
 
 def _skewed_bars(spark, seed=7):
@@ -119,3 +119,33 @@ def test_hot_symbol_never_forms_one_group(spark):
     diff = got.join(ref.withColumnRenamed("s", "s2"), ["symbol", "bar_time"]) \
               .agg(F.max(F.abs(F.col("s") - F.col("s2"))), F.count(F.lit(1))).first()
     assert diff[1] == n_hot + 500 and diff[0] < 1e-6
+
+
+def _spread():
+    """Close less the smallest of the three closes before, its own and the one after (a closure, so that it travels by value)."""
+    def spread(rows):
+        closes = rows["close"].tolist()
+        low = [min(closes[max(0, i - 3):i + 2]) for i in range(len(closes))]
+        return rows[["symbol", "bar_time"]].assign(spread=[c - m for c, m in zip(closes, low)])
+    return spread
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 64, 5000])
+def test_user_function_on_chunks_equals_the_whole_series(spark, chunk):
+    b = _skewed_bars(spark)
+    out = apply_over_series(b, ["symbol"], "bar_time", _spread(), "symbol string, bar_time timestamp_ntz, spread double",
+                            back=3, ahead=1, chunk_rows=chunk)
+    w = Window.partitionBy("symbol").orderBy("bar_time").rowsBetween(-3, 1)
+    want = b.withColumn("spread", F.col("close") - F.min("close").over(w))
+    cols = ["symbol", "bar_time", "spread"]
+    assert _collect(out, cols) == _collect(want, cols)
+
+
+def test_user_function_odd_rows_and_wrong_length(spark):
+    schema = "symbol string, bar_time timestamp_ntz, spread double"
+    b = _skewed_bars(spark)
+    odd = b.unionByName(b.limit(3).withColumn("symbol", F.lit(None).cast("string")))
+    assert apply_over_series(odd, ["symbol"], "bar_time", _spread(), schema, back=3, ahead=1).count() == b.count()
+    assert apply_over_series(b.limit(0), ["symbol"], "bar_time", _spread(), schema, back=3).count() == 0
+    with pytest.raises(Exception, match="returned"):
+        apply_over_series(b, ["symbol"], "bar_time", lambda r: r[["symbol", "bar_time"]].assign(spread=0.0)[1:], schema, back=3).collect()

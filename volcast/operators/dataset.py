@@ -86,13 +86,40 @@ def every_kth(df: DataFrame, k: int = SAMPLE_EVERY, key: str | Sequence[str] = "
     return n.filter(F.pmod(F.col(RN) - 1, F.lit(k)) == 0).drop(RN)
 
 
-def dense_ids(df: DataFrame, col: str, out: str = "symbol_id") -> DataFrame:
-    """0-based dense id of each distinct value in sorted order.
+#: Distinct values that choose the splits of :func:`dense_ids`, and the number of splits.
+ID_SAMPLE, ID_SPLITS = 16_384, 128
 
-    The distinct values are numbered per prefix of three characters and shifted by the running
-    count of earlier prefixes; a task holds the values of some prefixes."""
-    d = df.select(col).distinct()
-    n = number_rows(d, [], [col], F.substring(F.col(col), 1, 3), total_col=None)
+
+def range_segment(values: DataFrame, col: str, splits: int = ID_SPLITS, sample: int = ID_SAMPLE) -> Column | None:
+    """Order-preserving segment number of a column of distinct values: how many of at most ``splits - 1`` bounds
+    lie at or below the value, found by a tree of comparisons.
+
+    The bounds are even steps through a sample of at most ``sample`` values (smallest hashes), the only rows that
+    reach the driver.  They decide where values are numbered, never which number they get.  With fewer than two
+    distinct values there is nothing to split (``None``)."""
+    picked = sorted((r[0] for r in values.orderBy(F.xxhash64(col), col).limit(sample).select(col).collect()))
+    step = max(1, -(-len(picked) // splits))
+    bounds = picked[step::step]
+
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(col) < F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+
+    return tree(0, len(bounds)) if bounds else None
+
+
+def dense_ids(df: DataFrame, col: str, out: str = "symbol_id", splits: int = ID_SPLITS,
+              sample: int = ID_SAMPLE) -> DataFrame:
+    """0-based dense id of each distinct value of a string column in sorted order; a null has no id.
+
+    The distinct values are numbered per range of values (:func:`range_segment`) and shifted by the running count of
+    earlier ranges, so values with one common prefix spread like any others and a task holds about 1 / ``splits``
+    of them."""
+    d = df.select(col).where(F.col(col).isNotNull()).distinct()
+    segment = range_segment(d, col, splits, sample)
+    n = number_rows(d, [], [col], segment if segment is not None else F.lit(0), total_col=None)
     return n.select(col, (F.col(RN) - 1).cast("int").alias(out))
 
 

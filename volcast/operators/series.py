@@ -124,6 +124,34 @@ def over_series(df: DataFrame, by: Sequence[str], time_col: str,
     return out.drop(*drop)
 
 
+def apply_over_series(df: DataFrame, by: Sequence[str], time_col: str, fn: Callable, schema: str,
+                      back: int, ahead: int = 0, chunk_rows: int | None = None, segment: Column | None = None,
+                      order: Sequence[str | Column] | None = None) -> DataFrame:
+    """A user's pandas function over row frames of each ``by`` series, without whole-series groups.
+
+    ``fn`` receives consecutive rows of one series in time order as a pandas frame and returns a frame of ``schema``
+    with one row for each of them, in the same order.  It may look at most ``back`` rows behind and ``ahead`` rows
+    in front of a row: that is what every chunk of ``chunk_rows`` rows is given beside its own, and only the rows of
+    the chunk itself are kept.  A group is therefore bounded by the chunk, however long the series is.
+
+    Another number of rows than was given is an error.  Rows with a null key or time have no place in a series and
+    are left out, as in :func:`number_rows`."""
+    by = list(by)
+    seg = segment if segment is not None else time_segment(time_col)
+    numbered = number_rows(df, by, order or [time_col], seg)
+    halo = with_halo(numbered, back, ahead, chunk_size(back, ahead, chunk_rows))
+
+    def run(rows):
+        rows = rows.sort_values(RN, kind="stable").reset_index(drop=True)
+        own = rows.pop(CORE).to_numpy(dtype=bool)
+        made = fn(rows.drop(columns=[RN, TOTAL, CHUNK]))
+        if len(made) != len(rows):
+            raise ValueError(f"the function was given {len(rows)} rows and returned {len(made)}")
+        return made[own]
+
+    return halo.groupBy(*by, CHUNK).applyInPandas(run, schema)
+
+
 def window_moments(frame: DataFrame, spec, part_keys: Sequence[str], rn: str, value: str, w: int,
                    past: bool, prefix: str) -> DataFrame:
     """Count, mean and sample std of ``value`` over the last ``w`` rows, in O(rows).

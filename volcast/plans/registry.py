@@ -22,13 +22,14 @@ from volcast.operators import models as md
 from volcast.operators import quality as qa
 from volcast.operators import bars as br
 from volcast.operators import features as ft
+from volcast.operators.series import apply_over_series
 from volcast.plans import sql as S
 from volcast.plans.common import (bars, column_profiles, feature_rows, features, forecast_table,
                                   once_per_app, rounded, scaled, sequence_table, split_features, split_part,
                                   symbol_dictionary)
 from volcast.plans.common import har_fit as fitted_har
 from volcast.session import fresh_scratch, ship_package, source_signature
-from volcast.sinks.files import write_csv
+from volcast.sinks.files import write_csv, write_lines
 from volcast.sources import archives as ar
 from volcast.sources import encode as enc
 from volcast.sources import klines as kl
@@ -315,6 +316,14 @@ def symbol_ids(spark, sf_dir):
     return symbol_dictionary(spark, sf_dir)
 
 
+@plan("url_ids", """
+SELECT url, CAST(row_number() OVER (ORDER BY url) - 1 AS INTEGER) AS url_id
+FROM (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)""")
+def url_ids(spark, sf_dir):
+    """Dense ids over sorted distinct page addresses, most of which share their first characters."""
+    return ds.dense_ids(table(spark, sf_dir, "pages"), "url", "url_id")
+
+
 _SEQ_OUT = [*ds.SEQUENCE_FEATURES, "target_15m"]
 
 
@@ -764,6 +773,35 @@ def checksum_verify(spark, sf_dir):
     return ar.verify_checksums(content, manifest)
 
 
+@plan("checksum_files", """
+WITH files AS (
+  SELECT event_type || '-' || strftime(ts, '%Y-%m-%d') || '.csv' AS file_name, day(ts) AS d,
+         string_agg(event_id || ',' || (epoch_us(ts) // 1000) || ',' || user_id, chr(10) ORDER BY event_id) || chr(10) AS text
+  FROM events GROUP BY 1, 2),
+lines AS (
+  SELECT file_name, CASE WHEN d % 7 = 0 THEN sha256(text || '#') ELSE sha256(text) END AS expected FROM files WHERE d % 5 <> 0
+  UNION ALL SELECT file_name || '.old', sha256(text) FROM files WHERE d % 11 = 0)
+SELECT coalesce(f.file_name, m.file_name) AS file_name, expected, sha256(text) AS actual,
+       CASE WHEN text IS NULL THEN 'missing_file' WHEN expected IS NULL THEN 'missing_checksum'
+            WHEN sha256(text) = expected THEN 'ok' ELSE 'mismatch' END AS status
+FROM files f FULL OUTER JOIN lines m ON f.file_name = m.file_name""")
+def checksum_files(spark, sf_dir):
+    """One file of ticks per symbol and day in the shared folder, read as bytes by the ``binaryFile``
+    source and held against manifest files; files without a line and lines without a file are reported."""
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+
+    def publish() -> str:
+        base = fresh_scratch(spark, "tick-files")
+        lines = enc.tick_files(table(spark, sf_dir, "events"))
+        write_lines(lines, f"{base}/files", "file_name", ["event_id"])
+        enc.tick_file_manifest(lines).write.text(f"{base}/manifest")
+        return base
+
+    base = once_per_app(spark, ("tick-files", src, source_signature(spark, src)), publish)
+    content = ar.binary_files(spark, f"{base}/files", r"file_name=([^/]+)/", recursive=True).where("file_name <> ''")
+    return ar.verify_checksums(content, ar.manifest_lines(spark, f"{base}/manifest"))
+
+
 @plan("archive_unpack", S.with_(_KROW_SQL, f"""
 SELECT symbol, open_time, {S.rnd(*_KNUM)}, close_time, num_trades FROM krows"""))
 def archive_unpack(spark, sf_dir):
@@ -780,6 +818,38 @@ def archive_unpack(spark, sf_dir):
     return rounded(_typed_klines(k))
 
 
+MEDIAN_ROWS = 60
+
+
+def _weighted_medians(rows):
+    """Lower median of the last closes weighted by trades: the smallest close at which half of the trades are reached."""
+    closes, trades = rows["close"].to_numpy(), rows["num_trades"].to_numpy()
+    medians = []
+    for i in range(len(rows)):
+        c, n = closes[max(0, i - MEDIAN_ROWS + 1):i + 1], trades[max(0, i - MEDIAN_ROWS + 1):i + 1]
+        by_close = c.argsort(kind="stable")
+        reached = n[by_close].cumsum()
+        medians.append(c[by_close][(2 * reached >= reached[-1]).argmax()])
+    return rows[["symbol", "bar_time", "close"]].assign(median_close=medians)
+
+
+@plan("weighted_median", S.with_(S.BARS + f"""
+, n AS (SELECT symbol, bar_time, close, num_trades, row_number() OVER (PARTITION BY symbol ORDER BY bar_time) AS i FROM bars),
+seen AS (SELECT a.symbol, a.bar_time, a.close, b.close AS c, sum(b.num_trades) AS trades
+         FROM n a JOIN n b ON a.symbol = b.symbol AND b.i BETWEEN a.i - {MEDIAN_ROWS - 1} AND a.i GROUP BY ALL),
+reached AS (SELECT *, sum(trades) OVER (PARTITION BY symbol, bar_time ORDER BY c) AS upto,
+                   sum(trades) OVER (PARTITION BY symbol, bar_time) AS whole FROM seen)""", """
+SELECT symbol, bar_time, round(close, 6) + 0.0 AS close, round(min(c), 6) + 0.0 AS median_close
+FROM reached WHERE 2 * upto >= whole GROUP BY symbol, bar_time, close"""))
+def weighted_median(spark, sf_dir):
+    """A user's pandas function (median of the last 60 closes weighted by trades) applied per series on bounded
+    chunks that carry the 59 rows before them."""
+    b = bars(spark, sf_dir).select("symbol", "bar_time", "close", "num_trades")
+    return rounded(apply_over_series(b, ["symbol"], "bar_time", _weighted_medians,
+                                     "symbol string, bar_time timestamp_ntz, close double, median_close double",
+                                     back=MEDIAN_ROWS - 1))
+
+
 # ---------------------------------------------------------------- streaming
 
 

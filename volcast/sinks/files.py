@@ -28,3 +28,10 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
+
+
+def write_lines(lines: DataFrame, path: str, name: str, order: list[str], line: str = "line", mode: str = "overwrite") -> None:
+    """One text file per value of ``name`` (in a folder ``name=value``) with its ``line`` values in the given order,
+    each ended by a newline.  A file is written by one task, so ``name`` must be as fine as a file may be large."""
+    w = lines.repartition(name).sortWithinPartitions(name, *order).select(name, line)
+    w.write.mode(mode).option("lineSep", "\n").partitionBy(name).text(path)

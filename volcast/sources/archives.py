@@ -33,10 +33,20 @@ def verify_checksums(content: DataFrame, manifest: DataFrame, key: str = "file_n
     return j.select(key, "expected", "actual", status.alias("status"))
 
 
-def binary_files(spark, path_glob: str, name_pattern: str = r"([^/]+)$") -> DataFrame:
-    """S10 input: the ``binaryFile`` source, with the file name taken from the path."""
-    d = spark.read.format("binaryFile").load(path_glob)
-    return d.select(F.regexp_extract("path", name_pattern, 1).alias("file_name"), "content")
+def binary_files(spark, path_glob: str, name_pattern: str = r"([^/]+)$", recursive: bool = False) -> DataFrame:
+    """S10 input: the ``binaryFile`` source, with the file name taken from the path (one row per file, so a task holds
+    one file's bytes at a time).  ``recursive`` takes ``path_glob`` for a folder and reads everything below it."""
+    r = spark.read.format("binaryFile")
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
+    return r.load(path_glob).select(F.regexp_extract("path", name_pattern, 1).alias("file_name"), "content")
+
+
+def manifest_lines(spark, path: str) -> DataFrame:
+    """S10 X15 input: manifest files of ``"<sha256 hex>  <file name>"`` lines as ``(file_name, line)``; the mark of binary
+    mode (``*``) before a name is not part of it, blank lines are no entries."""
+    d = spark.read.text(path).where(F.trim("value") != "")
+    return d.select(F.regexp_extract(F.trim("value"), r"^\S+\s+\*?(.*)$", 1).alias("file_name"), F.col("value").alias("line"))
 
 
 def _unzip_batches(batches):

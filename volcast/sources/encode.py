@@ -131,3 +131,24 @@ def checksum_manifest(documents: DataFrame) -> DataFrame:
     content = documents.select(name.alias("file_name"), F.col("text").cast("binary").alias("content"))
     manifest = documents.select(name.alias("file_name"), F.concat(h, F.lit("  "), name).alias("line"))
     return content, manifest
+
+
+def tick_files(events: DataFrame) -> DataFrame:
+    """X-8: the lines of one tick file per symbol and day, ``(file_name, event_id, line)``."""
+    line = F.concat_ws(",", F.col("event_id").cast("string"), _ms("ts").cast("string"), F.col("user_id").cast("string"))
+    name = F.concat(F.col("event_type"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".csv"))
+    return events.select(name.alias("file_name"), "event_id", line.alias("line"))
+
+
+def tick_file_manifest(files: DataFrame) -> DataFrame:
+    """X-8: the publisher's manifest lines of :func:`tick_files`: none for the fifth days of a month, a wrong hash (one
+    byte more) on the seventh ones, and a line for a file ``<name>.old`` that does not exist beside every eleventh one."""
+    text = F.concat(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("event_id", "line"))),
+                                             lambda x: x["line"]), "\n"), F.lit("\n"))
+    d = files.groupBy("file_name").agg(text.alias("text"))
+    day = F.regexp_extract("file_name", r"(\d\d)\.csv$", 1).cast("int")
+    good = F.sha2(F.col("text").cast("binary"), 256)
+    wrong = F.sha2(F.concat("text", F.lit("#")).cast("binary"), 256)
+    own = F.when(day % 5 != 0, F.concat(F.when(day % 7 == 0, wrong).otherwise(good), F.lit("  "), "file_name"))
+    gone = F.when(day % 11 == 0, F.concat(good, F.lit("  "), "file_name", F.lit(".old")))
+    return d.select(F.explode(F.array_compact(F.array(own, gone))).alias("line"))
