@@ -914,6 +914,7 @@ def _drain_live(spark, sf_dir) -> str:
                                     f"{base}/bars", **state),
             "provisional": live.start_provisional(live.event_ticks(stream("in_late")), f"{base}/ck_provisional",
                                                   f"{base}/provisional", **state),
+            "late": live.start_late_corrections(live.event_ticks(stream("in_late")), f"{base}/ck_late", f"{base}/corrected", **drain),
             "route": live.start_route(enc.envelopes(stream("in_events")), f"{base}/ck_route", f"{base}/routed", **drain),
             "candles": live.start_bars(live.stream_candle_bars(live.kline_candles(
                 enc.redelivered(enc.kline_json(stream("in_events"))))), f"{base}/ck_candles", f"{base}/candle_bars", **state),
@@ -1003,6 +1004,35 @@ def stream_late_rows(spark, sf_dir):
     return spark.read.parquet(f"{live_run(spark, sf_dir)}/late")
 
 
+@plan("stream_late_ticks", """
+SELECT event_type AS symbol, event_id + 1000000000000 AS tick_id, ts AS event_time,
+       round(value + 1001.0, 6) + 0.0 AS price, round(value + 1000.0, 6) + 0.0 AS volume
+FROM events, (SELECT min(ts) AS t0, max(ts) AS t1 FROM events)
+WHERE event_id % 10 = 0 AND epoch_us(ts) < epoch_us(t0) + (epoch_us(t1) - epoch_us(t0)) * 3 // 10""")
+def stream_late_ticks(spark, sf_dir):
+    """The side table of the ticks that came after their bar was closed, all of them and no other."""
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/corrected/late", live.TICK_SCHEMA)
+    return rounded(t.select("symbol", "tick_id", live.wall_clock("event_time").alias("event_time"), "price", "volume"))
+
+
+_WITH_LATE = """
+edge AS (SELECT epoch_us(min(ts)) AS t0, epoch_us(max(ts)) - epoch_us(min(ts)) AS span FROM events),
+arrived AS (SELECT event_id, ts, event_type, user_id, value FROM events
+            UNION ALL SELECT event_id + 1000000000000, ts, event_type, user_id, value + 1000.0 FROM events, edge
+            WHERE event_id % 10 = 0 AND epoch_us(ts) < t0 + span * 3 // 10),""" + S.TICKS.replace("FROM events", "FROM arrived")
+
+
+@plan("stream_corrected_bars", S.with_(S.bars_sql("hour", _WITH_LATE), f"""
+SELECT symbol, bar_time, {S.rnd('open', 'high', 'low', 'close', 'volume', 'taker_buy_volume')}, num_trades
+FROM bars WHERE epoch_us(bar_time) // 1000 <= {_WM}"""))
+def stream_corrected_bars(spark, sf_dir):
+    """The closed bars of the stream after the late ticks corrected them: the batch bars over all ticks that ever arrived."""
+    base = live_run(spark, sf_dir)
+    final = spark.read.parquet(f"{base}/bars")
+    again = live.read_sink(spark, f"{base}/corrected/corrections", live.CORRECTION_SCHEMA)
+    return rounded(live.corrected_bars(final, again).select(*final.columns))
+
+
 @plan("stream_kline_bars", f"""
 WITH c AS (
   SELECT event_type AS symbol, epoch_us(ts) // 1000 AS t, value + 1.0 AS open, {_CLOSE} AS close, {_CLOSE} + 0.5 AS high,
@@ -1049,6 +1079,27 @@ def stream_zscore(spark, sf_dir):
     return rounded(live.latest(t).select(*detect.FORECAST_COLUMNS))
 
 
+@plan("stream_snapshots", S.with_(S.DETECT, f"""
+SELECT CAST(v AS INTEGER) AS version, symbol, event_time, day, {S.rnd(*_FORECAST_NUM)}, is_anomaly
+FROM forecasts, (SELECT unnest(range(0, 3)) AS v) WHERE epoch_us(event_time) // 1000 <= {_WM}"""))
+def stream_snapshots(spark, sf_dir):
+    """K5: the forecast store before a compaction, after one of its first batch and after one of all but the newest:
+    every version reads the same newest write per key."""
+    base = live_run(spark, sf_dir)
+
+    def compact_twice() -> str:
+        store = live.forecast_store(spark, f"{base}/forecasts", f"{base}/forecast_snapshots")
+        first = live.read_sink(spark, f"{base}/forecasts", live.FORECAST_TABLE_SCHEMA).agg(F.min("batch_id")).first()[0]
+        store.compact(first)
+        store.compact()
+        return store.root
+
+    root = once_per_app(spark, ("snapshots", base), compact_twice)
+    store = live.forecast_store(spark, f"{base}/forecasts", root)
+    versions = [store.read(v).select(F.lit(v).alias("version"), *detect.FORECAST_COLUMNS) for v in range(3)]
+    return rounded(functools.reduce(DataFrame.unionByName, versions))
+
+
 @plan("stream_anomalies", S.with_(S.DETECT, f"""
 SELECT symbol, event_time, {S.rnd('close', 'forecast', 'rv_15m', 'zscore')}
 FROM forecasts WHERE is_anomaly AND epoch_us(event_time) // 1000 <= {_WM}"""))

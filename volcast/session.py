@@ -74,9 +74,14 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
     return base
 
 
+def new_name(label: str) -> str:
+    """A folder name that no other run has."""
+    return f"{label}-{uuid.uuid4().hex[:12]}"
+
+
 def fresh_scratch(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the scratch location (one per run, never reused)."""
-    path = scratch_dir(spark, "volcast", f"{label}-{uuid.uuid4().hex[:12]}")
+    path = scratch_dir(spark, "volcast", new_name(label))
     _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 

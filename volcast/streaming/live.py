@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from volcast.functions.market import micros_to_ntz, ntz_micros
 from volcast.operators.bars import candle_bars, ohlcv_bars, total_order
+from volcast.operators.quality import dedupe
+from volcast.sinks.snapshots import Snapshots
 from volcast.sources import messages as msg
 from volcast.streaming.forecaster import OUTPUT_SCHEMA, STATE_ROWS, HarForecaster
 
@@ -155,6 +157,74 @@ def provisional_history(rows: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+#: Every tick as it arrived, and the ticks that arrived after their bar was closed.
+TICK_SCHEMA = ("symbol string, event_time timestamp, price double, volume double, taker_buy_volume double, tick_id long, "
+               "bar_end timestamp, day date, batch_id long")
+#: Bars worked out again, by the batch that touched them.
+CORRECTION_SCHEMA = ("symbol string, bar_time timestamp_ntz, open double, high double, low double, close double, volume double, "
+                     "taker_buy_volume double, num_trades long, day date, batch_id long")
+MARK_SCHEMA = "newest_us long, batch_id long"
+
+
+class LateTickSink:
+    """foreachBatch writer that keeps late ticks and corrects the bars they belong to.
+
+    Four tables under ``path``, all replaced batch by batch when a batch is replayed: ``ticks`` (all ticks, by day and
+    batch), ``late`` (the ticks whose bar the watermark of the batches before had closed), ``corrections`` (whole bars,
+    worked out again from ``ticks``) and ``marks`` (the newest event time of each batch, written last).
+
+    Corrected are all closed bars that the batch touched, closed by the batch's own newest tick: a stream of bars over
+    the same source, whatever its triggers are, drops no tick of a bar that is not among them.  Only the days of those
+    bars are read back.  Ticks without a time belong to no bar and are left out; a tick delivered twice (equal symbol
+    and id) counts once."""
+
+    def __init__(self, path: str, width: str, watermark_s: int):
+        self.path, self.width, self.watermark_us = path, width, watermark_s * 1_000_000
+
+    def _write(self, rows: DataFrame, name: str, *folders: str) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders)
+         .parquet(f"{self.path}/{name}"))
+
+    def mark(self, spark: SparkSession, newest_us: int | None, batch_id: int) -> None:
+        self._write(spark.createDataFrame([(newest_us, batch_id)], MARK_SCHEMA).coalesce(1), "marks", "batch_id")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, this = batch.sparkSession, F.lit(batch_id).cast("long")
+        seen = Observation(f"ticks of batch {batch_id}")
+        arrived = batch.where(F.col("event_time").isNotNull()).withColumns({
+            "bar_end": F.window("event_time", self.width)["end"], "day": F.to_date(wall_clock("event_time")), "batch_id": this})
+        self._write(arrived.observe(seen, F.max(F.unix_micros("event_time")).alias("newest_us")), "ticks", "day", "batch_id")
+        before = (read_sink(spark, f"{self.path}/marks", MARK_SCHEMA).where(F.col("batch_id") < this)
+                  .agg(F.max("newest_us")).scalar())
+        newest = F.greatest(before, F.lit(seen.get["newest_us"]).cast("long"))
+        ticks = read_sink(spark, f"{self.path}/ticks", TICK_SCHEMA).where(F.col("batch_id") <= this)
+        own, ends = ticks.where(F.col("batch_id") == this), F.unix_micros("bar_end")
+        self._write(own.where(ends <= before - self.watermark_us), "late", "day", "batch_id")
+        days = F.sequence(F.to_date(wall_clock(F.window("event_time", self.width)["start"])), F.to_date(wall_clock("bar_end")))
+        touched = (own.where(ends <= newest - self.watermark_us).select("symbol", "bar_end", F.explode(days).alias("day")).distinct())
+        whole = dedupe(ticks.join(touched, ["symbol", "bar_end", "day"], "left_semi"), ["symbol", "tick_id"],
+                       ["event_time", "price", "volume", "taker_buy_volume"])
+        bars = ohlcv_bars(whole, self.width, tie="tick_id").withColumn("bar_time", wall_clock("bar_time"))
+        self._write(bars.withColumns({"day": F.to_date("bar_time"), "batch_id": this}), "corrections", "day", "batch_id")
+        self.mark(spark, seen.get["newest_us"], batch_id)
+
+
+def start_late_corrections(ticks: DataFrame, checkpoint: str, path: str, width: str = "1 hour", watermark_s: int = 30,
+                           trigger: dict | None = None) -> StreamingQuery:
+    """The side table of late ticks and the corrected bars, beside a stream of final bars over the same ticks."""
+    sink = LateTickSink(path, width, watermark_s)
+    sink.mark(ticks.sparkSession, None, -1)
+    columns = ["symbol", "event_time", "price", "volume", "taker_buy_volume", "tick_id"]
+    w = ticks.select(*columns).writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    return w.trigger(**(trigger or {"processingTime": TRIGGER})).start()
+
+
+def corrected_bars(final: DataFrame, corrections: DataFrame) -> DataFrame:
+    """T3 read side: the final bars, each replaced by its newest correction if it has one."""
+    first = final.withColumn("batch_id", F.lit(-1).cast("long"))
+    return latest(first.unionByName(corrections.drop("day")), ("symbol", "bar_time"))
+
+
 def symbol_states(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The forecaster's state per symbol as its checkpoint holds it (state data source): closes and residuals
     held, the residuals that are known and their sum, the last close and the last bar."""
@@ -206,14 +276,16 @@ class ForecastSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+        seen = Observation(f"forecasts of batch {batch_id}")
         try:
-            self._write(b, self.forecast_path, "day", "batch_id")
+            self._write(b.observe(seen, F.count(F.lit(1)).alias("n_rows"),
+                                  F.count(F.when(F.col("is_anomaly"), 1)).alias("n_anomalies")),
+                        self.forecast_path, "day", "batch_id")
             self._write(b.filter("is_anomaly").select("symbol", "event_time", "day", "close", "forecast", "rv_15m",
                                                       "zscore", "batch_id"), self.anomaly_path, "day", "batch_id")
-            if self.report_path:
-                self._write(b.agg(F.count(F.lit(1)).alias("n_rows"),
-                                  F.count(F.when(F.col("is_anomaly"), 1)).alias("n_anomalies"))
-                            .withColumn("batch_id", F.lit(batch_id).cast("long")), self.report_path, "batch_id")
+            if self.report_path:        # counted while the forecasts were written, not by another pass
+                counted = (seen.get["n_rows"], seen.get["n_anomalies"], batch_id)
+                self._write(batch.sparkSession.createDataFrame([counted], REPORT_SCHEMA).coalesce(1), self.report_path, "batch_id")
         finally:
             b.unpersist()
 
@@ -232,6 +304,11 @@ def read_sink(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def forecast_store(spark: SparkSession, batches: str, root: str) -> Snapshots:
+    """K5: snapshots of the forecast table that :class:`ForecastSink` writes."""
+    return Snapshots(spark, batches, root, FORECAST_TABLE_SCHEMA)
+
+
 def compact_days(spark: SparkSession, path: str, schema: StructType, out: str, before=None) -> DataFrame:
     """K5: the newest write of each key, one folder per day without batches, as a new table at ``out``
     (all days, or those before a date: the ones that no batch adds to any more)."""
@@ -246,7 +323,6 @@ def compact_days(spark: SparkSession, path: str, schema: StructType, out: str, b
 
 def latest(table: DataFrame, keys=("symbol", "day", "event_time")) -> DataFrame:
     """K5 read side: the newest write (highest batch id) of each primary key."""
-    from volcast.operators.quality import dedupe
     d = table.withColumn("_neg_batch", -F.col("batch_id"))
     return dedupe(d, list(keys), ["_neg_batch"]).drop("_neg_batch", "batch_id")
 
