@@ -34,6 +34,7 @@ from volcast.sources import archives as ar
 from volcast.sources import encode as enc
 from volcast.sources import klines as kl
 from volcast.sources import messages as msg
+from volcast.sources import records as rec
 from volcast.sources.tables import archive_and_gap_files, load_ticks, table
 from volcast.streaming import live
 
@@ -595,14 +596,18 @@ def decode_envelope(spark, sf_dir):
 TOPIC_PARTITIONS = 12
 
 
-@plan("route_partitions", f"""
-WITH r AS (
-  SELECT event_type AS symbol, {_MS_NTZ} AS event_time FROM events WHERE {_K} < 92 AND value >= 1),
+#: The routed records and the topic partition of each symbol, for the SQL twins.
+_TOPIC = f"""r AS (
+  SELECT event_type AS symbol, {_MS_NTZ} AS event_time, {_CLOSE} AS close FROM events WHERE {_K} < 92 AND value >= 1),
 h AS (
   SELECT symbol, list_reduce(list_transform(range(1, length(symbol) + 1), lambda i: ascii(substr(symbol, i::INT, 1))::BIGINT),
                              lambda a, b: (xor(a, b) * {msg.FNV_FACTOR}) & 4294967295, {msg.FNV_START}::BIGINT) AS f
   FROM (SELECT DISTINCT symbol FROM r)),
-p AS (SELECT symbol, abs((CASE WHEN f >= 2147483648 THEN f - 4294967296 ELSE f END) % {TOPIC_PARTITIONS})::INTEGER AS partition_no FROM h)
+p AS (SELECT symbol, abs((CASE WHEN f >= 2147483648 THEN f - 4294967296 ELSE f END) % {TOPIC_PARTITIONS})::INTEGER AS partition_no FROM h)"""
+
+
+@plan("route_partitions", f"""
+WITH {_TOPIC}
 SELECT symbol, partition_no, count(*) AS n_records, min(event_time) AS first_time, max(event_time) AS last_time
 FROM r JOIN p USING (symbol) GROUP BY symbol, partition_no""")
 def route_partitions(spark, sf_dir):
@@ -613,6 +618,49 @@ def route_partitions(spark, sf_dir):
                                                       F.max("event_time").alias("last_time"))
 
 
+LOG_BATCHES = 2
+
+
+def _drain_log(spark, sf_dir) -> str:
+    """The routed records as a log of two appends.  A query reads the first in bounded batches and stops; started again on
+    its checkpoint, it reads the second."""
+    base = fresh_scratch(spark, "log")
+    routed = msg.route(enc.envelopes(table(spark, sf_dir, "events"))).select("key", "value", F.col("event_time").alias("time"))
+    first, last, n = routed.agg(F.min("time"), F.max("time"), F.count(F.lit(1))).first()
+    if n == 0:
+        spark.createDataFrame([], f"{rec.RECORD_SCHEMA}, batch_id long").write.partitionBy("batch_id").parquet(f"{base}/read")
+        return base
+    half = F.lit(first + (last - first) / 2)
+    bound = max(n // 2 // LOG_BATCHES, 1)
+    sink = functools.partial(live.keep_batch, path=f"{base}/read")
+    for part in (F.col("time") < half, F.col("time") >= half):
+        rec.append(routed.where(part), f"{base}/records", TOPIC_PARTITIONS)
+        q = (rec.record_messages(spark, f"{base}/records", max_offsets=bound).writeStream.foreachBatch(sink)
+             .option("checkpointLocation", f"{base}/ck").trigger(processingTime="0 seconds").start())
+        q.processAllAvailable()
+        q.stop()
+    return base
+
+
+@plan("stream_offsets", f"""
+WITH {_TOPIC}
+SELECT partition_no, count(*) AS n_records, count(*) AS n_offsets, CAST(0 AS BIGINT) AS first_offset, count(*) - 1 AS last_offset,
+       min(event_time) AS first_time, max(event_time) AS last_time, round(sum(close), 4) + 0.0 AS sum_close, TRUE AS in_batches
+FROM r JOIN p USING (symbol) GROUP BY partition_no""")
+def stream_offsets(spark, sf_dir):
+    """The routed records appended to a log twice and read by offsets in bounded batches, by a query that was
+    stopped and started again between: what each topic partition gave, no offset lost or read twice, decoded closes."""
+    src = f"{sf_dir.rstrip('/')}/events.parquet"
+    base = once_per_app(spark, ("log", src, source_signature(spark, src)), lambda: _drain_log(spark, sf_dir))
+    read = spark.read.schema(f"{rec.RECORD_SCHEMA}, batch_id long").parquet(f"{base}/read")
+    candles = msg.closed_candles(msg.decode_kline(read.select("partition_no", "offset", "time", "batch_id", F.col("value").cast("string").alias("value"))))
+    d = candles.groupBy("partition_no").agg(
+        F.count(F.lit(1)).alias("n_records"), F.countDistinct("offset").alias("n_offsets"), F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"), F.min_by("time", "offset").alias("first_time"), F.max_by("time", "offset").alias("last_time"),
+        F.sum("close").alias("sum_close"), (F.countDistinct("batch_id") > 2).alias("in_batches"))
+    return rounded(d, 4)
+
+
 @plan("decode_rejects", f"""
 SELECT count(*) AS n_messages,
        CAST(sum(CASE WHEN {_K} >= 95 THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_envelope,

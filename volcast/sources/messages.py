@@ -126,11 +126,15 @@ def key_partition(key: str | Column, partitions: int) -> Column:
     return F.when(raw.isNotNull(), F.abs(signed % F.lit(partitions)).cast("int"))
 
 
+def dealt_partition(partitions: int, key: str = "key", value: str = "value") -> Column:
+    """K4: :func:`key_partition`; null keys are dealt by their value."""
+    return F.coalesce(key_partition(key, partitions), F.pmod(F.xxhash64(value), F.lit(partitions)).cast("int"))
+
+
 def by_partition(records: DataFrame, partitions: int, key: str = "key") -> DataFrame:
     """K4: records laid out as the topic is — every Spark partition holds whole topic partitions (column
     ``partition_no``), so one symbol's records stay together.  Null keys are dealt by their value."""
-    dealt = F.coalesce(key_partition(key, partitions), F.pmod(F.xxhash64("value"), F.lit(partitions)).cast("int"))
-    return records.withColumn("partition_no", dealt).repartition(partitions, "partition_no")
+    return records.withColumn("partition_no", dealt_partition(partitions, key)).repartition(partitions, "partition_no")
 
 
 def reject_counts(envelopes: DataFrame, value: str = "value") -> DataFrame:

@@ -157,6 +157,12 @@ def provisional_history(rows: DataFrame) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def keep_batch(batch: DataFrame, batch_id: int, path: str) -> None:
+    """T5: foreachBatch writer of whole batches; a replayed batch replaces itself."""
+    (batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
 #: Every tick as it arrived, and the ticks that arrived after their bar was closed.
 TICK_SCHEMA = ("symbol string, event_time timestamp, price double, volume double, taker_buy_volume double, tick_id long, "
                "bar_end timestamp, day date, batch_id long")
