@@ -58,7 +58,7 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
 class QueueEncoder:
     """Encoder and decoder for token ranks; ``pattern`` cuts texts into pre-tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, remember: int = 750_000):
         import re
 
         import regex
@@ -236,5 +236,5 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
             names += ["ids", "decoded"]
         yield pa.RecordBatch.from_arrays(cols, names)
 
-    # larger slices share more queue steps
-    return map_rows(id_text(docs, id_col, text_col), run, schema, most_bytes=4_000_000)
+    # slices whose lists stay near the processor's caches
+    return map_rows(id_text(docs, id_col, text_col), run, schema)
