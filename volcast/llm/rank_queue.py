@@ -23,8 +23,10 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from array import array
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,18 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return ranks
 
 
+@contextmanager
+def collector_paused():
+    """Nothing here makes reference cycles, so the cycle collector would only walk over what is remembered."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
+
+
 class QueueEncoder:
     """Encoder and decoder for token ranks; ``pattern`` cuts texts into pre-tokens."""
 
@@ -182,12 +196,14 @@ class QueueEncoder:
 
     def found(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
         """Per text the (ids as text, number of ids, decoded bytes) of its units."""
-        units, known = [self.units_of(t) for t in texts], self.known
+        with collector_paused():
+            units, known = [self.units_of(t) for t in texts], self.known
         new = {u for us in units for u in us if u not in known}
         if len(known) + len(new) > self.remember:
             self.older, self.known = known, {}
             known, new = self.known, {u for us in units for u in us}
-        self.learn(new)
+        with collector_paused():
+            self.learn(new)
         hits = [[known[u] for u in us] for us in units]
         if max(map(len, new), default=0) > LONG:
             self.older = self.known = {}                # do not hold long texts
