@@ -1,5 +1,6 @@
 """Late ticks are kept, and the bars they belong to are corrected."""
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,39 @@ def test_restarted_stream_keeps_its_watermark(spark, tmp_dir):
         q.awaitTermination()
         got.append(live.read_sink(spark, f"{tmp_dir}/late/late", live.TICK_SCHEMA).count())
     assert got == [0, 2, 4, 4]
+
+
+def test_a_long_batch_makes_folders_by_month(spark, tmp_dir):
+    sink = live.LateTickSink(f"{tmp_dir}/late", "36 hours", 30)
+    sink.mark(spark, None, -1)
+    day = 24 * 60
+    rows = [_tick("a", m, 1.0 + m, m) for m in range(0, 70 * day, day // 2)]          # March, April and a part of May
+    _run(spark, sink, [(0, rows), (1, [_tick("a", 31 * day - 5, 0.5, 10 ** 6), _tick("a", 71 * day, 2.0, 10 ** 6 + 1)])])
+    for name in ("ticks", "corrections"):
+        assert {f for f in os.listdir(f"{tmp_dir}/late/{name}") if "=" in f} == {f"month=2024-0{m}-01" for m in (3, 4, 5)}
+    again = live.read_sink(spark, f"{tmp_dir}/late/corrections", live.CORRECTION_SCHEMA)
+    assert again.columns[-2:] == ["day", "batch_id"]
+    ticks = live.read_sink(spark, f"{tmp_dir}/late/ticks", live.TICK_SCHEMA)
+    late = live.read_sink(spark, f"{tmp_dir}/late/late", live.TICK_SCHEMA)
+    assert [r.tick_id for r in late.collect()] == [10 ** 6]
+    # the bar over the end of March holds ticks of two months, and the late one
+    whole = ohlcv_bars(ticks, "36 hours", tie="tick_id").withColumn("bar_time", live.wall_clock("bar_time"))
+    mended = again.where("batch_id = 1 and low = 0.5")
+    assert mended.count() == 1 and _bars(mended) == _bars(whole.where("low = 0.5"))
+
+
+def test_a_plan_drains_its_own_queries_over_even_parts(spark, tmp_dir):
+    """The events lie in the order of time in a few files, so a third of the time is in few of them."""
+    from volcast.plans import registry
+    rows = spark.range(0, 6000, 1, 6).select(
+        F.col("id").alias("event_id"), F.timestamp_micros(F.col("id") * 300_000_000).cast("timestamp_ntz").alias("ts"),
+        F.col("id").alias("user_id"), F.lit("a").alias("event_type"), (F.col("id") % 97).cast("double").alias("value"),
+        F.lit('{"k": 1}').alias("props"))
+    rows.write.parquet(f"{tmp_dir}/events.parquet")
+    bars, late = registry.live_run(spark, tmp_dir, "bars", "late")
+    assert bars == late == registry.live_run(spark, tmp_dir, "late")[0]
+    assert {"bars", "corrected"} <= set(os.listdir(bars)) and not {"forecasts", "routed", "in_events"} & set(os.listdir(bars))
+    for at in range(registry.REPLAY_BATCHES):
+        part = spark.read.parquet(f"{bars}/in_late/part-{at}")
+        sizes = [r["count"] for r in part.groupBy(F.col("_metadata.file_path").alias("f")).count().collect()]
+        assert len(sizes) >= 3 and max(sizes) < part.count() / 2

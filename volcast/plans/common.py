@@ -54,6 +54,12 @@ def once_per_app(spark: SparkSession, key: tuple, run: Callable[[], str]) -> str
         return _MEMO[full_key]
 
 
+def known_in_app(spark: SparkSession, key: tuple) -> bool:
+    """Whether :func:`once_per_app` has run for the key."""
+    with _LOCK:
+        return (spark.sparkContext.applicationId, *key) in _MEMO
+
+
 def bars(spark: SparkSession, sf_dir: str, width: str = BAR_WIDTH) -> DataFrame:
     """Hourly bars of ``events`` (materialised once per application and input)."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"

@@ -25,7 +25,7 @@ from volcast.operators import features as ft
 from volcast.operators.series import apply_over_series
 from volcast.plans import sql as S
 from volcast.plans.common import (bars, column_profiles, feature_rows, features, forecast_table,
-                                  once_per_app, rounded, scaled, sequence_table, split_features, split_part,
+                                  known_in_app, once_per_app, rounded, scaled, sequence_table, split_features, split_part,
                                   symbol_dictionary)
 from volcast.plans.common import har_fit as fitted_har
 from volcast.session import fresh_scratch, ship_package, source_signature
@@ -905,12 +905,29 @@ def weighted_median(spark, sf_dir):
 REPLAY_BATCHES = 3
 
 
-def live_run(spark, sf_dir) -> str:
-    """Drain ``events`` through the live topology once per application: bars, provisional bars, forecasts + anomalies
-    (foreachBatch), routed messages and candle bars, each with its own checkpoint under one fresh scratch folder.  The
-    records come in ``REPLAY_BATCHES`` parts; after each the queries stop, and start again on their checkpoints."""
+#: The independent queries of the live topology.
+LIVE_QUERIES = ("forecast", "bars", "provisional", "late", "route", "candles", "warm")
+
+
+def live_run(spark, sf_dir, *names: str) -> list[str]:
+    """Drain ``events`` through queries of the live topology (all, if none is named), each once per application: bars,
+    provisional bars, late ticks, forecasts + anomalies (foreachBatch), routed messages, candle bars and forecasts from a
+    warm start, each with its own checkpoint.  The records come in ``REPLAY_BATCHES`` parts; after each the queries stop,
+    and start again on their checkpoints.  Returned is, per name, the folder that holds what the query wrote.
+
+    The queries share nothing but their input, so a plan drains those that it reads; the ones of a call run side by side."""
     src = f"{sf_dir.rstrip('/')}/events.parquet"
-    return once_per_app(spark, ("live", src, source_signature(spark, src)), lambda: _drain_live(spark, sf_dir))
+    signature = source_signature(spark, src)
+    names = names or LIVE_QUERIES
+    drained: list[str] = []
+
+    def drain() -> str:
+        if not drained:
+            rest = [n for n in names if not known_in_app(spark, ("live", n, src, signature))]
+            drained.append(_drain_live(spark, sf_dir, rest))
+        return drained[0]
+
+    return [once_per_app(spark, ("live", n, src, signature), drain) for n in names]
 
 
 def _replay_cuts(rows: DataFrame, time: str) -> list:
@@ -920,8 +937,9 @@ def _replay_cuts(rows: DataFrame, time: str) -> list:
 
 
 def _replay(rows: DataFrame, time: str, path: str, cuts: list, at: int, late: DataFrame | None = None) -> None:
-    """Write part ``at`` of ``rows`` (between two cuts in time) into a folder of its own, in the partitions that the rows
-    have; ``late`` goes with the last part."""
+    """Write part ``at`` of ``rows`` (between two cuts in time) into a folder of its own; ``late`` goes with the last part.
+    Rows that lie in the order of time have a part in a few of their partitions only, so they are dealt out again, by ranges
+    of time of like size: the streams read a part with all cores."""
     part = rows
     if at:
         part = part.filter(F.col(time) >= F.lit(cuts[at - 1]))
@@ -929,7 +947,7 @@ def _replay(rows: DataFrame, time: str, path: str, cuts: list, at: int, late: Da
         part = part.filter(F.col(time) < F.lit(cuts[at]))
     elif late is not None:
         part = part.unionByName(late)
-    part.write.parquet(f"{path}/part-{at}")
+    part.repartitionByRange(rows.sparkSession.sparkContext.defaultParallelism, time).write.parquet(f"{path}/part-{at}")
 
 
 def late_copies(events: DataFrame) -> DataFrame:
@@ -940,12 +958,18 @@ def late_copies(events: DataFrame) -> DataFrame:
     return old.withColumns({"event_id": F.col("event_id") + 10 ** 12, "value": F.col("value") + 1000.0})
 
 
-def _drain_live(spark, sf_dir) -> str:
+def _drain_live(spark, sf_dir, names) -> str:
     base = fresh_scratch(spark, "live")
     events = table(spark, sf_dir, "events")
-    history, recent = _history_and_recent(spark, sf_dir)
-    cuts, bar_cuts = _replay_cuts(events, "ts"), _replay_cuts(recent, "bar_time")
-    late = late_copies(events)
+    cuts = _replay_cuts(events, "ts")
+    inputs = {}        # folder: rows, their time, cuts, late rows
+    if {"route", "candles"} & set(names):
+        inputs["in_events"] = events, "ts", cuts, None
+    if {"forecast", "bars", "provisional", "late"} & set(names):
+        inputs["in_late"] = events, "ts", cuts, late_copies(events)
+    if "warm" in names:
+        history, recent = _history_and_recent(spark, sf_dir)
+        inputs["in_bars"] = recent, "bar_time", _replay_cuts(recent, "bar_time"), None
     drain = {"trigger": {"availableNow": True}}
     # a handful of symbols here; on a cluster this is the number of state partitions to keep
     state = drain | {"state_partitions": spark.sparkContext.defaultParallelism}
@@ -955,34 +979,38 @@ def _drain_live(spark, sf_dir) -> str:
 
     def start() -> dict:
         """Independent queries, run side by side as a deployment would."""
-        return {
-            "forecast": live.start_forecasting(spark, live.event_ticks(stream("in_late")), f"{base}/ck_forecast",
-                                               f"{base}/forecasts", f"{base}/anomalies", report_path=f"{base}/report", **state),
-            "bars": live.start_bars(live.stream_bars(live.event_ticks(stream("in_late"))), f"{base}/ck_bars",
-                                    f"{base}/bars", **state),
-            "provisional": live.start_provisional(live.event_ticks(stream("in_late")), f"{base}/ck_provisional",
-                                                  f"{base}/provisional", **state),
-            "late": live.start_late_corrections(live.event_ticks(stream("in_late")), f"{base}/ck_late", f"{base}/corrected", **drain),
-            "route": live.start_route(enc.envelopes(stream("in_events")), f"{base}/ck_route", f"{base}/routed", **drain),
-            "candles": live.start_bars(live.stream_candle_bars(live.kline_candles(
+        starts = {
+            "forecast": lambda: live.start_forecasting(
+                spark, live.event_ticks(stream("in_late")), f"{base}/ck_forecast", f"{base}/forecasts", f"{base}/anomalies",
+                report_path=f"{base}/report", **state),
+            "bars": lambda: live.start_bars(live.stream_bars(live.event_ticks(stream("in_late"))), f"{base}/ck_bars",
+                                            f"{base}/bars", **state),
+            "provisional": lambda: live.start_provisional(live.event_ticks(stream("in_late")), f"{base}/ck_provisional",
+                                                          f"{base}/provisional", **state),
+            "late": lambda: live.start_late_corrections(live.event_ticks(stream("in_late")), f"{base}/ck_late",
+                                                        f"{base}/corrected", **drain),
+            "route": lambda: live.start_route(enc.envelopes(stream("in_events")), f"{base}/ck_route", f"{base}/routed", **drain),
+            "candles": lambda: live.start_bars(live.stream_candle_bars(live.kline_candles(
                 enc.redelivered(enc.kline_json(stream("in_events"))))), f"{base}/ck_candles", f"{base}/candle_bars", **state),
-            "warm": live.start_forecaster(spark, stream("in_bars", recent.schema), f"{base}/ck_warm", f"{base}/warm_forecasts",
-                                          f"{base}/warm_anomalies", initial=history, **state),
+            "warm": lambda: live.start_forecaster(
+                spark, stream("in_bars", recent.schema), f"{base}/ck_warm", f"{base}/warm_forecasts",
+                f"{base}/warm_anomalies", initial=history, **state),
         }
+        return {name: starts[name]() for name in names}
 
     dropped = n_batches = 0
     for at in range(REPLAY_BATCHES):
-        _replay(events, "ts", f"{base}/in_events", cuts, at)
-        _replay(events, "ts", f"{base}/in_late", cuts, at, late)
-        _replay(recent, "bar_time", f"{base}/in_bars", bar_cuts, at)
+        for folder, (rows, time, at_times, late) in inputs.items():
+            _replay(rows, time, f"{base}/{folder}", at_times, at, late)
         queries = start()
         for q in queries.values():
             q.awaitTermination()
-        # the first stateful operator of the bars query drops the late ticks
-        progress = queries["bars"].recentProgress
-        dropped += sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])
-        n_batches += sum(p["numInputRows"] > 0 for p in progress)
-    spark.createDataFrame([(dropped, n_batches)], "n_dropped long, n_batches long").coalesce(1).write.parquet(f"{base}/late")
+        if "bars" in names:      # its first stateful operator drops the late ticks
+            progress = queries["bars"].recentProgress
+            dropped += sum(o["numRowsDroppedByWatermark"] for p in progress for o in p["stateOperators"])
+            n_batches += sum(p["numInputRows"] > 0 for p in progress)
+    if "bars" in names:
+        spark.createDataFrame([(dropped, n_batches)], "n_dropped long, n_batches long").coalesce(1).write.parquet(f"{base}/late")
     return base
 
 
@@ -1002,7 +1030,7 @@ FROM bars WHERE epoch_us(bar_time) // 1000 <= {_WM}"""))
 def stream_bars(spark, sf_dir):
     """Final bars from the watermarked stream (append mode, several micro-batches, late ticks
     in the last) — the batch bars less those the watermark has not closed yet."""
-    return rounded(spark.read.parquet(f"{live_run(spark, sf_dir)}/bars"))
+    return rounded(spark.read.parquet(f"{live_run(spark, sf_dir, 'bars')[0]}/bars"))
 
 
 @plan("stream_provisional_bars", S.with_(S.TICKS + f"""
@@ -1022,7 +1050,7 @@ FROM grouped g JOIN marks n ON g.b = n.b"""))
 def stream_provisional_bars(spark, sf_dir):
     """T4: bars in update mode.  Every trigger upserts the bars it changed; shown is the keyed table as it stood after
     each part of the records, with the bars that the watermark has not closed marked provisional."""
-    rows = live.read_sink(spark, f"{live_run(spark, sf_dir)}/provisional", live.PROVISIONAL_SCHEMA)
+    rows = live.read_sink(spark, f"{live_run(spark, sf_dir, 'provisional')[0]}/provisional", live.PROVISIONAL_SCHEMA)
     return rounded(live.provisional_history(rows).select("batch", "symbol", "bar_time", "open", "high", "low", "close",
                                                          "volume", "num_trades", "is_final"))
 
@@ -1040,7 +1068,7 @@ FROM held GROUP BY symbol"""))
 def stream_state(spark, sf_dir):
     """What the forecaster's checkpoint holds per symbol after it was stopped and started again twice on the same
     checkpoint, read from the RocksDB state by Spark's state data source: closes, residuals and the last bar."""
-    return rounded(live.symbol_states(spark, f"{live_run(spark, sf_dir)}/ck_forecast"))
+    return rounded(live.symbol_states(spark, f"{live_run(spark, sf_dir, 'forecast')[0]}/ck_forecast"))
 
 
 @plan("stream_late_rows", """
@@ -1049,7 +1077,7 @@ FROM events, (SELECT min(ts) AS t0, max(ts) AS t1 FROM events)
 WHERE event_id % 10 = 0 AND epoch_us(ts) < epoch_us(t0) + (epoch_us(t1) - epoch_us(t0)) * 3 // 10""")
 def stream_late_rows(spark, sf_dir):
     """The ticks that came days late are dropped by the watermark, all of them and no other."""
-    return spark.read.parquet(f"{live_run(spark, sf_dir)}/late")
+    return spark.read.parquet(f"{live_run(spark, sf_dir, 'bars')[0]}/late")
 
 
 @plan("stream_late_ticks", """
@@ -1059,7 +1087,7 @@ FROM events, (SELECT min(ts) AS t0, max(ts) AS t1 FROM events)
 WHERE event_id % 10 = 0 AND epoch_us(ts) < epoch_us(t0) + (epoch_us(t1) - epoch_us(t0)) * 3 // 10""")
 def stream_late_ticks(spark, sf_dir):
     """The side table of the ticks that came after their bar was closed, all of them and no other."""
-    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/corrected/late", live.TICK_SCHEMA)
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir, 'late')[0]}/corrected/late", live.TICK_SCHEMA)
     return rounded(t.select("symbol", "tick_id", live.wall_clock("event_time").alias("event_time"), "price", "volume"))
 
 
@@ -1075,9 +1103,9 @@ SELECT symbol, bar_time, {S.rnd('open', 'high', 'low', 'close', 'volume', 'taker
 FROM bars WHERE epoch_us(bar_time) // 1000 <= {_WM}"""))
 def stream_corrected_bars(spark, sf_dir):
     """The closed bars of the stream after the late ticks corrected them: the batch bars over all ticks that ever arrived."""
-    base = live_run(spark, sf_dir)
-    final = spark.read.parquet(f"{base}/bars")
-    again = live.read_sink(spark, f"{base}/corrected/corrections", live.CORRECTION_SCHEMA)
+    bars_base, late_base = live_run(spark, sf_dir, "bars", "late")
+    final = spark.read.parquet(f"{bars_base}/bars")
+    again = live.read_sink(spark, f"{late_base}/corrected/corrections", live.CORRECTION_SCHEMA)
     return rounded(live.corrected_bars(final, again).select(*final.columns))
 
 
@@ -1095,7 +1123,7 @@ SELECT symbol, bar_time, {S.rnd('open', 'high', 'low', 'close', 'volume', 'taker
 FROM b WHERE epoch_ms(bar_time) <= (SELECT max(t) - 30000 FROM c)""")
 def stream_kline_bars(spark, sf_dir):
     """Live candles with four different prices, a third of them delivered twice, as hourly bars."""
-    return rounded(spark.read.parquet(f"{live_run(spark, sf_dir)}/candle_bars"))
+    return rounded(spark.read.parquet(f"{live_run(spark, sf_dir, 'candles')[0]}/candle_bars"))
 
 
 @plan("stream_warm_start", S.with_(S.DETECT + S._split_ctes("bars", "bar_time", "warm"), f"""
@@ -1104,7 +1132,7 @@ FROM forecasts, warm_c WHERE epoch_us(event_time) >= train_cut"""))
 def stream_warm_start(spark, sf_dir):
     """A forecaster started on history bars (their newest rows as initial state) and fed the rest
     gives the batch detector's rows for the rest."""
-    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/warm_forecasts", live.FORECAST_TABLE_SCHEMA)
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir, 'warm')[0]}/warm_forecasts", live.FORECAST_TABLE_SCHEMA)
     return rounded(live.latest(t).select(*detect.FORECAST_COLUMNS))
 
 
@@ -1113,7 +1141,7 @@ SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN is_anomaly THEN 1
 FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM}"""))
 def stream_report(spark, sf_dir):
     """K8: rows and anomalies of all micro-batches, from the sink's report rows."""
-    r = live.read_sink(spark, f"{live_run(spark, sf_dir)}/report", live.REPORT_SCHEMA)
+    r = live.read_sink(spark, f"{live_run(spark, sf_dir, 'forecast')[0]}/report", live.REPORT_SCHEMA)
     return r.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_anomalies").alias("n_anomalies"))
 
 
@@ -1123,7 +1151,7 @@ FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM}"""))
 def stream_zscore(spark, sf_dir):
     """Keyed streaming forecaster output (latest write per key) — equal to the
     batch detector on the closed bars."""
-    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/forecasts", live.FORECAST_TABLE_SCHEMA)
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir, 'forecast')[0]}/forecasts", live.FORECAST_TABLE_SCHEMA)
     return rounded(live.latest(t).select(*detect.FORECAST_COLUMNS))
 
 
@@ -1133,7 +1161,7 @@ FROM forecasts, (SELECT unnest(range(0, 3)) AS v) WHERE epoch_us(event_time) //
 def stream_snapshots(spark, sf_dir):
     """K5: the forecast store before a compaction, after one of its first batch and after one of all but the newest:
     every version reads the same newest write per key."""
-    base = live_run(spark, sf_dir)
+    base, = live_run(spark, sf_dir, "forecast")
 
     def compact_twice() -> str:
         store = live.forecast_store(spark, f"{base}/forecasts", f"{base}/forecast_snapshots")
@@ -1153,7 +1181,7 @@ SELECT symbol, event_time, {S.rnd('close', 'forecast', 'rv_15m', 'zscore')}
 FROM forecasts WHERE is_anomaly AND epoch_us(event_time) // 1000 <= {_WM}"""))
 def stream_anomalies(spark, sf_dir):
     """K6: the anomaly table written by the same foreachBatch, latest write per key."""
-    t = live.read_sink(spark, f"{live_run(spark, sf_dir)}/anomalies", live.ANOMALY_SCHEMA)
+    t = live.read_sink(spark, f"{live_run(spark, sf_dir, 'forecast')[0]}/anomalies", live.ANOMALY_SCHEMA)
     return rounded(live.latest(t, ("symbol", "event_time"))
                    .select("symbol", "event_time", "close", "forecast", "rv_15m", "zscore"))
 
@@ -1164,7 +1192,7 @@ FROM events WHERE {_K} < 92 AND value >= 1""")
 def stream_route(spark, sf_dir):
     """Envelopes routed by the stream as (key = symbol, value = inner JSON) for closed
     candles; the forwarded bytes are decoded again to show they arrive intact."""
-    routed = spark.read.parquet(f"{live_run(spark, sf_dir)}/routed")
+    routed = spark.read.parquet(f"{live_run(spark, sf_dir, 'route')[0]}/routed")
     d = msg.decode_kline(routed.select(F.col("key").cast("string").alias("k"), "value"))
     return rounded(d.filter(~F.col("_bad")).select(F.col("k").alias("symbol"), "event_time", "close"))
 
@@ -1176,7 +1204,7 @@ FROM forecasts WHERE epoch_us(event_time) // 1000 <= {_WM} GROUP BY symbol"""))
 def stream_sinks(spark, sf_dir):
     """K5 K6: what the two foreachBatch tables hold per symbol — the forecasts after compaction to one
     folder per day, the anomalies by latest write per key."""
-    base = live_run(spark, sf_dir)
+    base, = live_run(spark, sf_dir, "forecast")
     fc = live.compact_days(spark, f"{base}/forecasts", live.FORECAST_TABLE_SCHEMA, f"{base}/forecast_days")
     an = live.latest(live.read_sink(spark, f"{base}/anomalies", live.ANOMALY_SCHEMA), ("symbol", "event_time"))
     per = fc.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_forecasts"), F.max("event_time").alias("last_event_time"))
