@@ -99,3 +99,16 @@ def test_files_of_a_day_are_few_and_empty_tables_are_read(spark, tmp_dir):
     spark.createDataFrame([], SCHEMA).write.partitionBy("day", "batch_id").parquet(f"{tmp_dir}/none")
     empty = Snapshots(spark, f"{tmp_dir}/none", f"{tmp_dir}/none_store", SCHEMA)
     assert empty.read().count() == 0 and empty.compact() is None
+
+
+def test_a_long_time_makes_few_files_and_one_listing_serves_many_reads(spark, tmp_dir):
+    path = f"{tmp_dir}/batches"
+    rows = [(s, 24 * d + 1, float(d)) for d in range(70) for s in ("a", "b")]        # March, April and a part of May
+    _batch(spark, path, 0, rows)
+    _batch(spark, path, 1, SECOND)
+    store = Snapshots(spark, path, f"{tmp_dir}/store", SCHEMA, files_per_day=2)
+    batches = store.listed()
+    assert store.compact(0, batches) == 0 and store.compact(1, batches) == 1
+    for commit in store.commits().collect():
+        assert len(spark.read.parquet(commit.data).inputFiles()) <= 3 * 2            # by the day: 70 and more
+    assert [_rows(store.read(v, batches)) for v in (None, 0, 1, 2)] == [_want(rows, SECOND)] * 4

@@ -1165,14 +1165,15 @@ def stream_snapshots(spark, sf_dir):
 
     def compact_twice() -> str:
         store = live.forecast_store(spark, f"{base}/forecasts", f"{base}/forecast_snapshots")
-        first = live.read_sink(spark, f"{base}/forecasts", live.FORECAST_TABLE_SCHEMA).agg(F.min("batch_id")).first()[0]
-        store.compact(first)
-        store.compact()
+        batches = store.listed()
+        store.compact(batches.agg(F.min("batch_id")).first()[0], batches)
+        store.compact(batches=batches)
         return store.root
 
     root = once_per_app(spark, ("snapshots", base), compact_twice)
     store = live.forecast_store(spark, f"{base}/forecasts", root)
-    versions = [store.read(v).select(F.lit(v).alias("version"), *detect.FORECAST_COLUMNS) for v in range(3)]
+    batches = store.listed()
+    versions = [store.read(v, batches).select(F.lit(v).alias("version"), *detect.FORECAST_COLUMNS) for v in range(3)]
     return rounded(functools.reduce(DataFrame.unionByName, versions))
 
 

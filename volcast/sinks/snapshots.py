@@ -39,37 +39,40 @@ class Snapshots:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/commits")
 
-    def _batches(self) -> DataFrame:
+    def listed(self) -> DataFrame:
+        """The batches as they are now.  Their folders are listed once, so a caller with several reads or compactions to do
+        at a time may hand this to each (``batches``); batches written later are not in it."""
         return self.spark.read.schema(self.schema).parquet(self.batches)
 
-    def _rows(self, commit, upto: int | None = None) -> DataFrame:
-        """Rows of a commit's snapshot and of the batches after it (up to ``upto``), one of them per key."""
-        rows = self._batches()
+    def _rows(self, commit, rows: DataFrame, upto: int | None = None) -> DataFrame:
+        """Rows of a commit's snapshot and of the batches (``rows``) after it, up to ``upto``, one of them per key."""
         if upto is not None:
             rows = rows.where(F.col("batch_id") <= F.lit(upto))
         if commit is not None:
-            kept = self.spark.read.schema(self.schema).parquet(commit.data)
+            kept = self.spark.read.schema(self.schema).parquet(commit.data).select(*self.schema.fieldNames())
             rows = rows.where(F.col("batch_id") > F.lit(commit.upto)).unionByName(kept)
         newest = rows.withColumn("_age", -F.col("batch_id"))
         return dedupe(newest, self.keys, ["_age"]).drop("_age")
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, version: int | None = None, batches: DataFrame | None = None) -> DataFrame:
         """The newest write of every key, by the newest commit.  ``version`` (0: before any commit, 1: the first, ...)
         reads through an older commit instead, which gives the same rows as long as no batch was taken away."""
         log = self.commits().orderBy("upto", "data").collect()        # one row per compaction
         place = len(log) if version is None else version
         if not 0 <= place <= len(log):
             raise ValueError(f"there are {len(log)} commits")
-        return self._rows(log[place - 1] if place else None).drop("batch_id")
+        return self._rows(log[place - 1] if place else None, self.listed() if batches is None else batches).drop("batch_id")
 
-    def compact(self, upto: int | None = None) -> int | None:
+    def compact(self, upto: int | None = None, batches: DataFrame | None = None) -> int | None:
         """Write and commit a snapshot of the batches up to ``upto``; the last batch but one by default, since the newest
         may still be being written.  Returns that batch, or None where nothing new is there to compact.
 
-        Only the batches after the last snapshot are read beside it.  Rows are laid out by day in at most
-        ``files_per_day`` files, by hash of the first key, so that a day is no single task."""
+        Only the batches after the last snapshot are read beside it.  Rows are laid out by month, in the order of the
+        days, in at most ``files_per_day`` files, by hash of the first key: a month is no single task, and a long time
+        makes few folders.  A filter on the day skips row groups."""
         last = self.commits().orderBy(F.desc("upto"), F.desc("data")).first()
-        seen = self._batches().select("batch_id").distinct()
+        batches = self.listed() if batches is None else batches
+        seen = batches.select("batch_id").distinct()
         if upto is None:
             newest = seen.orderBy(F.desc("batch_id")).limit(2).collect()
             if len(newest) < 2:
@@ -78,9 +81,11 @@ class Snapshots:
         if last is not None and upto <= last.upto:
             return None
         data = f"{self.root}/data/{new_name(f'upto-{upto}')}"
-        rows = self._rows(last, upto).select(*self.schema.fieldNames())
+        rows = self._rows(last, batches, upto).select(*self.schema.fieldNames())
         share = F.pmod(F.xxhash64(self.keys[0]), F.lit(self.files_per_day))
-        rows.repartition("day", share).sortWithinPartitions("day", *self.keys).write.partitionBy("day").parquet(data)
+        month = F.trunc("day", "month")
+        (rows.withColumn("month", month).repartition("month", share).sortWithinPartitions("month", "day", *self.keys)
+         .write.partitionBy("month").parquet(data))
         n_rows = self.spark.read.schema(self.schema).parquet(data).count()
         (self.spark.createDataFrame([(upto, data, n_rows)], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/commits"))
