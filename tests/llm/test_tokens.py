@@ -38,6 +38,18 @@ def test_forgetting_does_not_change_ids():
         assert small.encode(text) == library_ids(text)
 
 
+def test_common_words_are_learnt_once_when_the_bound_is_reached():
+    """Texts of a few common and many rare words, far beyond what is remembered at a time."""
+    small, learnt = TrieEncoder(open(PATH, encoding="utf-8").read(), remember=60), []
+    walk = small.encode_words
+    small.encode_words = lambda words: walk(learnt.extend(words) or words)
+    for i in range(40):
+        text = " alpha beta, gamma 'tis \t delta  " + " ".join(f"rare{chr(97 + k)}{chr(97 + i % 26)}q{i}" for k in range(9))
+        assert small.encode(text) == library_ids(text)
+        assert len(small.known) <= 100 and len(small.older) <= 100
+    assert learnt.count(b" alpha") == 1
+
+
 def test_operator_1_over_edge_rows(spark):
     rows = edge_rows()
     got = sorted(map(tuple, encode_decode(frame(spark, rows), PATH).collect()), key=repr)

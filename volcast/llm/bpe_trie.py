@@ -14,7 +14,8 @@ its tokens.  The cost is linear in new trie nodes, also for a word of 100,000 ch
 
 Words come from white-space units (``\\s*\\S+``): the tokeniser's split pattern never crosses the
 place between a non-space character and white space, so a unit can be split by itself.  Units and
-words are remembered per Python worker up to a bound.  No shuffle: each scan split is encoded alone.
+words are remembered per Python worker in two generations of bounded size, so a common one is not
+learnt again when the bound is reached.  No shuffle: each scan split is encoded alone.
 
 Defined cases: a null text is empty (0 tokens); repeated rows give repeated result rows; a null
 id stays null; an empty table gives an empty table; other columns are ignored.
@@ -37,6 +38,7 @@ WS = "\t-\r \x85\xa0  -     　"
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 60
 ROOT = 1 << 19     # stands for "no token yet"; above all ids
+MOST_PAIRS = 1_200_000
 TAIL = 4           # token ends of up to this many bytes are looked up at once
 
 
@@ -52,7 +54,7 @@ def byte_chars() -> dict[str, int]:
 class TrieEncoder:
     """Encoder and decoder of one ``tokenizers`` byte-level BPE file (given as its JSON text)."""
 
-    def __init__(self, tokenizer_json: str, remember: int = 300_000):
+    def __init__(self, tokenizer_json: str, remember: int = 750_000):
         import re
 
         import regex
@@ -85,8 +87,9 @@ class TrieEncoder:
         self.alone: dict[int, bool] = {}
         self.endings: dict[bytes, list[tuple[int, int]]] = {}
         self.numbers = {i: str(i) for i in self.bytes_of}
-        self.words: dict[str, tuple[str, int, bytes]] = {}
-        self.units: dict[str, tuple[str, int, bytes]] = {}
+        # unit or word -> ids as text, number of ids, decoded bytes; the newer and the older half of what is remembered
+        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.older: dict[str, tuple[str, int, bytes]] = {}
 
     # -- which tokens may stand alone, or next to each other
 
@@ -131,7 +134,7 @@ class TrieEncoder:
     def pair_ok(self, a: int, b: int) -> bool:
         """Whether ``b`` may follow ``a`` (``ROOT``: begin a word)."""
         ok = self.token_ok(b) and (a == ROOT or self.first_crossing(a, b) is None)
-        if len(self.pairs) >= 4 * self.remember:
+        if len(self.pairs) >= min(4 * self.remember, MOST_PAIRS):
             self.pairs.clear()
         self.pairs[a << 20 | b] = ok
         return ok
@@ -211,31 +214,39 @@ class TrieEncoder:
         return (unit,) if unit in self.special else tuple(self.split(unit))
 
     def learn(self, pieces: set[str]) -> None:
-        """Encode the pieces that are not remembered."""
-        if len(self.units) + len(pieces) > self.remember:
-            self.units.clear()
-        if len(self.words) > self.remember:
-            self.words.clear()
-        words, numbers, raw = self.words, self.numbers, self.bytes_of
-        for s, i in self.special.items():
-            words[s] = (numbers[i], 1, s.encode())
-        split = {u: self.words_of(u) for u in pieces}
-        new = {w for ws in split.values() for w in ws if w not in words}
-        for word, ids in self.encode_words([w.encode() for w in new]):
-            words[word.decode()] = (",".join([numbers[i] for i in ids]), len(ids), b"".join([raw[i] for i in ids]))
-        units = self.units
-        for u, ws in split.items():
-            if len(ws) == 1:
-                units[u] = words[ws[0]]
+        """Encode pieces into ``known``; those of the generation before are taken over."""
+        known, older, numbers, raw = self.known, self.older, self.numbers, self.bytes_of
+        for text, i in self.special.items():
+            known[text] = (numbers[i], 1, text.encode())
+        split = {u: (u,) if u in older else self.words_of(u) for u in pieces if u not in known}
+        new = []
+        for word in {w for ws in split.values() for w in ws if w not in known}:
+            if word in older:
+                known[word] = older[word]
             else:
-                found = [words[w] for w in ws]
-                units[u] = (",".join([f[0] for f in found]), sum([f[1] for f in found]), b"".join([f[2] for f in found]))
+                new.append(word.encode())
+        for word, ids in self.encode_words(new):
+            known[word.decode()] = (",".join([numbers[i] for i in ids]), len(ids), b"".join([raw[i] for i in ids]))
+        for u, ws in split.items():
+            if len(ws) > 1:
+                found = [known[w] for w in ws]
+                known[u] = (",".join([f[0] for f in found]), sum([f[1] for f in found]), b"".join([f[2] for f in found]))
+
+    def found(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
+        """Per text the (ids as text, number of ids, decoded bytes) of its pieces."""
+        pieces, known = [self.pieces(t) for t in texts], self.known
+        new = {p for ps in pieces for p in ps if p not in known}
+        if len(known) + len(new) > self.remember:
+            self.older, self.known = known, {}
+            known, new = self.known, {p for ps in pieces for p in ps}
+        self.learn(new)
+        return [[known[p] for p in ps] for ps in pieces]
+
+    def forget(self) -> None:
+        self.older, self.known = {}, {}
 
     def encode(self, text: str) -> list[int]:
-        pieces = self.pieces(text)
-        self.learn({p for p in pieces if p not in self.units})
-        joined = ",".join([self.units[p][0] for p in pieces])
-        return [int(x) for x in joined.split(",")] if joined else []
+        return [int(i) for ids, n, _ in self.found([text])[0] if n for i in ids.split(",")]
 
     def decode(self, ids) -> bytes:
         """Bytes of a token sequence (special tokens as their text)."""
@@ -262,17 +273,8 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         enc = _ENCODERS.get(key)
         if enc is None:
             enc = _ENCODERS[key] = TrieEncoder(spec.value)
-        texts = [t or "" for t in batch.column(1).to_pylist()]
-        pieces = [enc.pieces(t) for t in texts]
-        known = enc.units
-        new = {p for ps in pieces for p in ps if p not in known}
-        if len(known) + len(new) > enc.remember:      # learn() will forget all it knows
-            new = {p for ps in pieces for p in ps}
-        enc.learn(new)
-        known = enc.units
         out: list[list] = [[] for _ in range(5)]
-        for ps in pieces:
-            found = [known[p] for p in ps]
+        for found in enc.found([t or "" for t in batch.column(1).to_pylist()]):
             ids = ",".join([f[0] for f in found])
             raw = b"".join([f[2] for f in found])
             out[0].append(sum([f[1] for f in found]))

@@ -76,8 +76,7 @@ class FastEncoder:
             else:   # one run without (or of) white space: the trie's cost is linear in its length
                 self.trie = self.trie or TrieEncoder(self.json)
                 out.append(b"".join(i.to_bytes(4, "little") for i in self.trie.encode(part)))
-                self.trie.units.clear()
-                self.trie.words.clear()
+                self.trie.forget()
         return b"".join(out)
 
 
